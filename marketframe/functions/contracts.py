@@ -133,7 +133,9 @@ def parse_cdx(ticker: Column) -> Column:
 
 
 def build_cdx(parts: Column, series_num: Column) -> Column:
-    return F.concat_ws(" ", parts["index"], F.concat(F.lit("S"), series_num.cast("string")), parts["tenor"], parts["asset"])
+    return F.concat(
+        parts["index"], F.lit(" S"), series_num.cast("string"), F.lit(" "), parts["tenor"], F.lit(" "), parts["asset"]
+    )
 
 
 def previous_series(ticker: Column) -> Column:

@@ -99,10 +99,15 @@ def wall_to_utc(text: Column, zone: Column) -> Column:
     )
 
 
+def at_clock(date: Column, minutes: Column) -> Column:
+    """Wall-clock timestamp of minutes since midnight on a date."""
+    zero = F.lit(0)
+    return date.cast("timestamp") + F.make_dt_interval(zero, zero, minutes, F.lit(0).cast("decimal(18,6)"))
+
+
 def session_time_to_utc(date: Column, hhmm: Column, zone: Column) -> Column:
     """UTC instant of a clock time on ``date``; start and end share the date."""
-    local = F.concat(F.date_format(date, "yyyy-MM-dd"), F.lit(" "), hhmm, F.lit(":00")).try_cast("timestamp")
-    return local_to_utc(local, zone)
+    return local_to_utc(at_clock(date, clock_minutes(hhmm)), zone)
 
 
 def zone_to_zone(date: Column, hhmm: Column, source: Column, target: Column) -> Column:

@@ -65,22 +65,21 @@ def trading_calendar(exchanges: DataFrame, days: DataFrame) -> DataFrame:
     pairs = F.array(*[
         F.struct(F.lit(n).alias("session"), F.col(f"sessions.{n}").alias("w")) for n in SESSION_NAMES
     ])
-    rows = days.join(exchanges, "exchange").select("exchange", "timezone", "date", F.inline(pairs))
-    rows = rows.where(F.col("w").isNotNull())
     zone = F.col("timezone")
-    noon = lambda d: F.to_utc_timestamp(F.concat(d, F.lit(" 12:00:00")).cast("timestamp"), zone)
-    offset = lambda d: F.unix_timestamp(
-        F.concat(d, F.lit(" 12:00:00")).cast("timestamp")) - F.unix_timestamp(noon(d))
-    day = F.date_format("date", "yyyy-MM-dd")
-    winter = F.least(
-        offset(F.concat(F.date_format("date", "yyyy"), F.lit("-01-01"))),
-        offset(F.concat(F.date_format("date", "yyyy"), F.lit("-07-01"))),
-    )
+
+    def offset(day: Column) -> Column:
+        noon = dates.at_clock(day, F.lit(720))
+        return F.unix_timestamp(noon) - F.unix_timestamp(F.to_utc_timestamp(noon, zone))
+
+    year = F.year("date")
+    winter = F.least(*[offset(F.make_date(year, F.lit(m), F.lit(1))) for m in (1, 7)])
+    dated = days.join(exchanges, "exchange").withColumn("is_dst", offset(F.col("date")) > winter)
+    rows = dated.select("exchange", "timezone", "date", "is_dst", F.inline(pairs)).where(F.col("w").isNotNull())
     return rows.select(
         "exchange", "date", "session",
         dates.session_time_to_utc(F.col("date"), F.col("w.start"), zone).alias("start_utc"),
         dates.session_time_to_utc(F.col("date"), F.col("w.end"), zone).alias("end_utc"),
-        (offset(day) > winter).alias("is_dst"),
+        "is_dst",
     )
 
 

@@ -1,6 +1,6 @@
 """Subscription health from the event log: states, failures, counters, history.
 
-Input ``events``: at (timestamp), seq, topic, category, level, message_type,
+Input ``events``: event_time (timestamp), seq, topic, category, level, message_type,
 detail. All results are partial aggregates per topic or scope.
 """
 
@@ -32,16 +32,16 @@ def _state() -> Column:
 
 def topic_states(events: DataFrame) -> DataFrame:
     """Latest state per topic with the time it was reached."""
-    at = F.struct("at", "seq")
+    at = F.struct("event_time", "seq")
     rows = events.withColumn("_state", _state()).where(F.col("_state").isNotNull())
-    return rows.groupBy("topic").agg(F.max_by("_state", at).alias("state"), F.max("at").alias("last_change"))
+    return rows.groupBy("topic").agg(F.max_by("_state", at).alias("state"), F.max("event_time").alias("last_change"))
 
 
 def topic_failures(events: DataFrame) -> DataFrame:
     """Last failure or termination per topic, with its reason and kind."""
     bad = events.where(F.col("message_type").isin("SubscriptionFailure", "SubscriptionTerminated"))
     kind = F.when(F.col("message_type") == "SubscriptionFailure", "failure").otherwise("terminated")
-    at = F.struct("at", "seq")
+    at = F.struct("event_time", "seq")
     return bad.groupBy(F.col("topic").alias("ticker")).agg(
         F.max_by("detail", at).alias("reason"), F.max_by(kind, at).alias("kind")
     )
@@ -63,17 +63,17 @@ def active_topics(events: DataFrame) -> DataFrame:
 
 def event_history(events: DataFrame, keep: int = HISTORY_ROWS) -> DataFrame:
     """The newest events per topic; tasks keep ``keep`` per topic before the shuffle."""
-    w = Window.partitionBy("topic").orderBy(F.col("at").desc(), F.col("seq").desc())
+    w = Window.partitionBy("topic").orderBy(F.col("event_time").desc(), F.col("seq").desc())
     return events.withColumn("age", F.row_number().over(w).cast("bigint")).where(F.col("age") <= keep)
 
 
 def session_status(events: DataFrame) -> DataFrame:
     """One row: connection state, counts of drops and recoveries."""
     s = F.col("category") == "session"
-    at = F.struct("at", "seq")
+    at = F.struct("event_time", "seq")
     when = lambda m: s & (F.col("message_type") == m)
     return events.agg(
-        F.max_by("message_type", F.when(s, at)).alias("state"), F.max(F.when(s, F.col("at"))).alias("last_change"),
+        F.max_by("message_type", F.when(s, at)).alias("state"), F.max(F.when(s, F.col("event_time"))).alias("last_change"),
         F.count_if(when("SessionConnectionDown")).alias("disconnect_count"),
         F.count_if(when("SessionConnectionUp")).alias("reconnect_count"),
         F.count_if(when("RecoveryAttempt")).alias("recovery_attempt_count"),
@@ -84,7 +84,7 @@ def session_status(events: DataFrame) -> DataFrame:
 def admin_status(events: DataFrame) -> DataFrame:
     """One row: slow-consumer warnings and data losses."""
     a = F.col("category") == "admin"
-    at = F.struct("at", "seq")
+    at = F.struct("event_time", "seq")
     warn, clear, loss = (
         a & (F.col("message_type") == m) for m in ("SlowConsumerWarning", "SlowConsumerWarningCleared", "DataLoss")
     )
@@ -93,17 +93,17 @@ def admin_status(events: DataFrame) -> DataFrame:
         F.coalesce(last == "SlowConsumerWarning", F.lit(False)).alias("slow_consumer_warning_active"),
         F.count_if(warn).alias("slow_consumer_warning_count"), F.count_if(clear).alias("slow_consumer_cleared_count"),
         F.count_if(loss).alias("data_loss_count"),
-        F.max(F.when(warn, F.col("at"))).alias("last_warning"), F.max(F.when(clear, F.col("at"))).alias("last_cleared"),
-        F.max(F.when(loss, F.col("at"))).alias("last_data_loss"),
+        F.max(F.when(warn, F.col("event_time"))).alias("last_warning"), F.max(F.when(clear, F.col("event_time"))).alias("last_cleared"),
+        F.max(F.when(loss, F.col("event_time"))).alias("last_data_loss"),
     )
 
 
 def service_status(events: DataFrame) -> DataFrame:
     """Latest state per service; ``detail`` names the service."""
     rows = events.where(F.col("category") == "service")
-    at = F.struct("at", "seq")
+    at = F.struct("event_time", "seq")
     return rows.groupBy(F.col("detail").alias("service")).agg(
-        F.max_by(F.col("message_type") == "ServiceUp", at).alias("up"), F.max("at").alias("last_change")
+        F.max_by(F.col("message_type") == "ServiceUp", at).alias("up"), F.max("event_time").alias("last_change")
     )
 
 
