@@ -185,10 +185,11 @@ JOIN session_windows w2 ON w2.exchange = d.exchange AND w2.session = 'allday'"""
 def market_timing(spark, path):
     ex = calendars.with_sessions(joins.timezone_join(A.exchanges(spark, path))).where("sessions.day is not null")
     rows = A.exchange_days(spark, path).join(ex, "exchange")
-    args = (F.col("sessions"), F.col("timezone"), F.col("date"))
-    return rows.select(
-        "exchange", "date", calendars.market_timing(*args, "BOD").alias("bod"), calendars.market_timing(*args, "EOD").alias("eod"),
-        calendars.market_timing(*args, "FINISHED").alias("finished"), calendars.market_timing(*args, "EOD", "Asia/Tokyo").alias("eod_tokyo"))
+    for out, timing, target in (
+        ("bod", "BOD", "local"), ("eod", "EOD", "local"), ("finished", "FINISHED", "local"), ("eod_tokyo", "EOD", "Asia/Tokyo")
+    ):
+        rows = calendars.market_timing(rows, out, timing, target)
+    return rows.select("exchange", "date", "bod", "eod", "finished", "eod_tokyo")
 
 
 @query("relabel_output_tz", """SELECT event_id, time, (time AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' AS local_time FROM ticks""")

@@ -203,12 +203,12 @@ def govt_search_exact(spark, path):
 
 def _screens():
     s = predicates.Screens()
-    s.save("Cheap and liquid", "px_last < 500 AND volume > 40")
+    s.save("Cheap and liquid", "px_last < 3000 AND volume > 10")
     s.save("FI:MATURING", "crncy = :ccy AND maturity < date'2002-01-01'", "Search")
     return s
 
 
-@query("screen", "SELECT ticker, date, round(px_last, 6) AS px_last, volume FROM hist_wide WHERE date = DATE '1998-05-08' AND px_last < 500 AND volume > 40")
+@query("screen", "SELECT ticker, date, round(px_last, 6) AS px_last, volume FROM hist_wide WHERE date = DATE '1998-05-08' AND px_last < 3000 AND volume > 10")
 def screen(spark, path):
     h = A.hist_wide(spark, path).select("ticker", "date", "px_last", "volume")
     return rounded(predicates.screen(h, _screens(), "Cheap and liquid", as_of="1998-05-08"), "px_last")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _YMD = r"^(\d{4})([-/])(\d{1,2})\2(\d{1,2})$"
@@ -45,16 +45,15 @@ def date_offset(offset: Column, as_of: Column) -> Column:
     )
 
 
+_CLOCK = r"^(?:(\d{1,2}):(\d{1,2})(?::\d{1,2}(?:\.\d+)?)?|(\d{2})(\d{2}))$"
+
+
 def clock_minutes(hhmm: Column) -> Column:
     """Minutes since midnight of ``H:MM``, ``HH:MM[:SS]`` or ``HHMM``; null if out of range."""
     t = F.trim(hhmm)
-    colon, plain = r"^(\d{1,2}):(\d{1,2})(:\d{1,2}(\.\d+)?)?$", r"^(\d{2})(\d{2})$"
-    hour = F.when(t.rlike(colon), F.regexp_extract(t, colon, 1)).when(
-        t.rlike(plain), F.regexp_extract(t, plain, 1)
-    ).cast("int")
-    minute = F.when(t.rlike(colon), F.regexp_extract(t, colon, 2)).when(
-        t.rlike(plain), F.regexp_extract(t, plain, 2)
-    ).cast("int")
+    # a group that takes no part in the match is empty text
+    part = lambda a, b: F.concat(F.regexp_extract(t, _CLOCK, a), F.regexp_extract(t, _CLOCK, b)).try_cast("int")
+    hour, minute = part(1, 3), part(2, 4)
     return F.when((hour <= 23) & (minute <= 59), hour * 60 + minute)
 
 
@@ -82,12 +81,25 @@ def parse_futures_hours(text: Column) -> Column:
 
 
 def local_to_utc(local: Column, zone: Column) -> Column:
-    """UTC instant of a wall-clock timestamp; null where it does not exist or is ambiguous."""
+    """UTC instant of a wall-clock timestamp; null where it does not exist or is ambiguous.
+
+    A time whose zone has the same offset a day earlier and a day later is
+    certain; only the others are tried against the neighbouring offsets. For
+    costly ``local`` expressions use ``with_utc``, which computes each step once.
+    """
     utc = F.to_utc_timestamp(local, zone)
-    back = lambda shift: F.from_utc_timestamp(utc + F.expr(f"interval '{shift}' minute"), zone)
+    shown = lambda minutes: F.from_utc_timestamp(utc + F.expr(f"interval '{minutes}' minute"), zone)
+    day = F.expr("interval '1440' minute")
+    calm = (shown(-1440) == local - day) & (shown(1440) == local + day)
     exists = F.from_utc_timestamp(utc, zone) == local
-    repeated = (back(60) == local) | (back(-60) == local) | (back(30) == local) | (back(-30) == local)
-    return F.when(exists & ~repeated, utc)
+    repeated = (shown(60) == local) | (shown(-60) == local) | (shown(30) == local) | (shown(-30) == local)
+    return F.when(calm, utc).when(exists & ~repeated, utc)
+
+
+def with_utc(df: DataFrame, out: str, local: Column, zone: Column) -> DataFrame:
+    """Add the UTC instant of a wall-clock expression, computed in steps so none is repeated."""
+    staged = df.withColumn("_local", local).withColumn("_zone", zone)
+    return staged.withColumn(out, local_to_utc(F.col("_local"), F.col("_zone"))).drop("_local", "_zone")
 
 
 def wall_to_utc(text: Column, zone: Column) -> Column:

@@ -52,8 +52,12 @@ def with_sessions(exchanges: DataFrame) -> DataFrame:
 
 def hours_to_local(exchanges: DataFrame, date: Column, hours_tz: str = "America/New_York") -> DataFrame:
     """Session hours quoted in one zone moved to each exchange's own, at the offset of ``date``."""
-    move = lambda c: dates.zone_to_zone(date, dates.parse_hhmm(F.col(c)), F.lit(hours_tz), F.col("timezone"))
-    return exchanges.withColumn("day_start", move("day_start")).withColumn("day_end", move("day_end"))
+    out = exchanges
+    for c in ("day_start", "day_end"):
+        quoted = dates.at_clock(date, dates.clock_minutes(F.col(c)))
+        out = dates.with_utc(out, "_utc", quoted, F.lit(hours_tz))
+        out = out.withColumn(c, F.date_format(F.from_utc_timestamp("_utc", F.col("timezone")), "HH:mm")).drop("_utc")
+    return out
 
 
 def trading_calendar(exchanges: DataFrame, days: DataFrame) -> DataFrame:
@@ -75,26 +79,27 @@ def trading_calendar(exchanges: DataFrame, days: DataFrame) -> DataFrame:
     winter = F.least(*[offset(F.make_date(year, F.lit(m), F.lit(1))) for m in (1, 7)])
     dated = days.join(exchanges, "exchange").withColumn("is_dst", offset(F.col("date")) > winter)
     rows = dated.select("exchange", "timezone", "date", "is_dst", F.inline(pairs)).where(F.col("w").isNotNull())
-    return rows.select(
-        "exchange", "date", "session",
-        dates.session_time_to_utc(F.col("date"), F.col("w.start"), zone).alias("start_utc"),
-        dates.session_time_to_utc(F.col("date"), F.col("w.end"), zone).alias("end_utc"),
-        "is_dst",
-    )
+    for out, part in (("start_utc", "start"), ("end_utc", "end")):
+        rows = dates.with_utc(rows, out, dates.at_clock(F.col("date"), dates.clock_minutes(F.col(f"w.{part}"))), zone)
+    return rows.select("exchange", "date", "session", "start_utc", "end_utc", "is_dst")
 
 
-def market_timing(sessions: Column, zone: Column, date: Column, timing: str = "EOD", target: str = "local") -> Column:
-    """Begin (BOD), end (EOD) or last moment (FINISHED) of a market day as text."""
-    day = sessions["day"]
+def market_timing(
+    df: DataFrame, out: str, timing: str = "EOD", target: str = "local", sessions: str = "sessions",
+    zone: str = "timezone", date: str = "date",
+) -> DataFrame:
+    """Add the begin (BOD), end (EOD) or last moment (FINISHED) of a market day as text."""
+    day = F.col(sessions)["day"]
     clock = {
         "BOD": day["start"],
-        "FINISHED": F.coalesce(sessions["allday"]["end"], day["end"]),
+        "FINISHED": F.coalesce(F.col(sessions)["allday"]["end"], day["end"]),
     }.get(timing.upper(), day["end"])
     if target.lower() == "local":
-        return F.concat(F.date_format(date, "yyyy-MM-dd"), F.lit(" "), clock)
-    utc = dates.session_time_to_utc(date, clock, zone)
-    shown = F.date_format(F.from_utc_timestamp(utc, F.lit(target)), "yyyy-MM-dd HH:mm:ss")
-    return F.concat(shown, dates.offset_text(utc, F.lit(target)))
+        return df.withColumn(out, F.concat(F.date_format(date, "yyyy-MM-dd"), F.lit(" "), clock))
+    local = dates.at_clock(F.col(date), dates.clock_minutes(clock))
+    timed = dates.with_utc(df, "_utc", local, F.col(zone))
+    shown = F.date_format(F.from_utc_timestamp("_utc", F.lit(target)), "yyyy-MM-dd HH:mm:ss")
+    return timed.withColumn(out, F.concat(shown, dates.offset_text(F.col("_utc"), F.lit(target)))).drop("_utc")
 
 
 def relabel_output_tz(df: DataFrame, zone: str, time: str = "time", name: str = "local_time") -> DataFrame:

@@ -117,22 +117,16 @@ def hist_adjust(hist: DataFrame, actions: DataFrame, adjust: str = "all", value:
         raise ValueError(f"adjust must be one of {sorted(ADJUSTMENTS)}")
     from marketframe.operators.series import with_running
 
-    logs = (
-        actions.where(F.col("kind").isin(*ADJUSTMENTS[adjust]))
-        .groupBy("ticker", "date").agg(F.sum(F.log("factor")).alias("_log"))
-    )
-    total = logs.groupBy("ticker").agg(F.sum("_log").alias("_total"))
-    # an action of the same day counts as passed, so it sorts before the price
-    events = logs.select("ticker", "date", F.lit(0).alias("_kind"), "_log")
-    prices = hist.withColumn("_kind", F.lit(1)).withColumn("_log", F.lit(0.0))
+    wanted = actions.where(F.col("kind").isin(*ADJUSTMENTS[adjust]))
+    # newest first: an action of the same day comes after the price and does not count
+    events = wanted.select("ticker", "date", F.lit(1).alias("_kind"), F.col("factor").alias("_factor"))
+    prices = hist.withColumn("_kind", F.lit(0)).withColumn("_factor", F.lit(1.0))
     merged = prices.unionByName(events, allowMissingColumns=True)
     run = with_running(
-        merged, ["ticker"], [F.col("date"), F.col("_kind")], F.year("date"), {"_passed": F.col("_log")}
-    ).where(F.col("_kind") == 1)
-    after = F.coalesce(F.col("_total") - F.col("_passed"), F.lit(0.0))
-    return run.join(total, "ticker", "left").withColumn(value, F.col(value) * F.exp(after)).drop(
-        "_kind", "_log", "_passed", "_total"
+        merged, ["ticker"], [F.col("date").desc(), F.col("_kind")], -F.year("date"), {"_after": F.col("_factor")}, product=True
     )
+    adjusted = run.where(F.col("_kind") == 0).withColumn(value, F.col(value) * F.col("_after"))
+    return adjusted.drop("_kind", "_factor", "_after")
 
 
 def bulk_scan(bulk: DataFrame, tickers: Tickers, field: str, rows: str = "rows") -> DataFrame:

@@ -28,27 +28,29 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
 
 
 def with_running(
-    df: DataFrame, keys: list[str], order: list[Column], bucket: Column, totals: dict[str, Column]
+    df: DataFrame, keys: list[str], order: list[Column], bucket: Column, totals: dict[str, Column], product: bool = False
 ) -> DataFrame:
-    """Add running totals over ``order`` within ``keys``, the current row included.
+    """Add running totals (or products) over ``order`` within ``keys``, the current row included.
 
     ``bucket`` must not decrease along ``order`` and one (keys, bucket) group
     must fit a task: a year for daily rows, an hour or less for ticks.
     """
+    combine, neutral = (F.product, F.lit(1.0)) if product else (F.sum, F.lit(0))
     b = df.withColumn("_bucket", bucket)
     for name, expr in totals.items():
         b = b.withColumn(f"_v_{name}", expr)
-    sums = b.groupBy(*keys, "_bucket").agg(*[F.sum(f"_v_{n}").alias(f"_s_{n}") for n in totals])
+    sums = b.groupBy(*keys, "_bucket").agg(*[combine(F.col(f"_v_{n}")).alias(f"_s_{n}") for n in totals])
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
-        *keys, "_bucket", *[F.coalesce(F.sum(f"_s_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in totals]
+        *keys, "_bucket", *[F.coalesce(combine(F.col(f"_s_{n}")).over(before), neutral).alias(f"_o_{n}") for n in totals]
     )
     inside = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     for name in totals:
-        b = b.withColumn(f"_i_{name}", F.coalesce(F.sum(f"_v_{name}").over(inside), F.lit(0)))
+        b = b.withColumn(f"_i_{name}", F.coalesce(combine(F.col(f"_v_{name}")).over(inside), neutral))
     out = null_safe(b, offsets, [*keys, "_bucket"])
     for name in totals:
-        out = out.withColumn(name, F.col(f"_o_{name}") + F.col(f"_i_{name}"))
+        before_it, inside_it = F.col(f"_o_{name}"), F.col(f"_i_{name}")
+        out = out.withColumn(name, before_it * inside_it if product else before_it + inside_it)
     helpers = [f"_{p}_{n}" for p in "voi" for n in totals]
     return out.drop("_bucket", *helpers)
 

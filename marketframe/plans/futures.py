@@ -63,14 +63,14 @@ def futures_candidates(points: DataFrame, freq: str = "monthly", as_of=None, cou
 
     The year has one digit when the date lies in the month of ``as_of``.
     """
-    parts = contracts.parse_ticker(F.col("gen_ticker"))
     n = contracts.candidate_count(F.col("gen_ticker")) if count is None else count
     same = F.lit(False) if as_of is None else F.trunc("dt", "month") == F.trunc(F.lit(as_of).cast("date"), "month")
-    valid = points.where(~contracts.is_specific_contract(F.col("gen_ticker")) & parts.isNotNull())
+    generic = points.where(~contracts.is_specific_contract(F.col("gen_ticker")))
+    valid = generic.withColumn("_parts", contracts.parse_ticker(F.col("gen_ticker"))).where("_parts is not null")
     rows = valid.select(
-        *points.columns, F.posexplode(contracts.contract_months(F.col("dt"), freq, n)).alias("rank", "month")
+        *points.columns, "_parts", F.posexplode(contracts.contract_months(F.col("dt"), freq, n)).alias("rank", "month")
     )
-    return rows.withColumn("candidate", contracts.build_futures_ticker(parts, F.col("month"), same))
+    return rows.withColumn("candidate", contracts.build_futures_ticker(F.col("_parts"), F.col("month"), same)).drop("_parts")
 
 
 def fut_ticker_candidates(
@@ -156,16 +156,18 @@ def cdx_ticker(points: DataFrame, ref: DataFrame, with_version: bool = False) ->
     Before the accrual start of a series above 1 it is the series before,
     without a version. A generic without a readable series gives null.
     """
-    generic = points.where(contracts.parse_cdx(F.col("gen_ticker"))["is_generic"])
-    rows = generic.join(_cdx_facts(ref), "gen_ticker", "left")
+    parsed = points.withColumn("_parts", contracts.parse_cdx(F.col("gen_ticker"))).where("_parts.is_generic")
+    rows = parsed.join(_cdx_facts(ref), "gen_ticker", "left")
     early = F.coalesce(F.col("dt") < F.col("accrual"), F.lit(False)) & (F.col("series") > 1)
-    current = contracts.gen_to_specific(F.col("gen_ticker"), F.col("series"))
-    if with_version:
-        current = contracts.with_version(current, F.col("version"))
-    previous = contracts.gen_to_specific(F.col("gen_ticker"), F.col("series") - 1)
-    return rows.select(
-        "gen_ticker", "dt", F.when(early, previous).otherwise(current).alias("contract"), "accrual"
+    number = F.when(early, F.col("series") - 1).otherwise(F.col("series"))
+    out = rows.select(
+        "gen_ticker", "dt", "accrual", early.alias("_early"), "version",
+        contracts.build_cdx(F.col("_parts"), number).alias("contract"),
     )
+    if with_version:
+        versioned = contracts.with_version(F.col("contract"), F.col("version"))
+        out = out.withColumn("contract", F.when(F.col("_early"), F.col("contract")).otherwise(versioned))
+    return out.select("gen_ticker", "dt", "contract", "accrual")
 
 
 def active_cdx(points: DataFrame, ref: DataFrame, hist: DataFrame, lookback: int = LOOKBACK_DAYS) -> DataFrame:
@@ -174,9 +176,9 @@ def active_cdx(points: DataFrame, ref: DataFrame, hist: DataFrame, lookback: int
     ``ref`` may also hold the accrual start of specific series: before it the
     previous series is the active one.
     """
-    now = cdx_ticker(points, ref).drop("accrual").withColumn(
-        "previous", contracts.previous_series(F.col("contract"))
-    )
+    now = cdx_ticker(points, ref).drop("accrual").withColumn("_parts", contracts.parse_cdx(F.col("contract")))
+    number = F.col("_parts.series_num")
+    now = now.withColumn("previous", F.when(number > 1, contracts.build_cdx(F.col("_parts"), number - 1))).drop("_parts")
     start = _cdx_facts(ref).select(F.col("gen_ticker").alias("contract"), F.col("accrual").alias("_start"))
     now = now.join(start, "contract", "left")
     early = F.coalesce(F.col("dt") < F.col("_start"), F.lit(False))

@@ -13,9 +13,13 @@ from marketframe.plans import futures
 def normalize_universe(instruments: DataFrame) -> DataFrame:
     """Tickers with their parts: asset, generic parts, contract month and year, credit index, equity or not."""
     t = F.col("ticker")
-    g, s, c = contracts.parse_ticker(t), contracts.specific_parts(t), contracts.parse_cdx(t)
-    specific = contracts.is_specific_contract(t)
-    return instruments.select(
+    g, s, c, specific = F.col("_g"), F.col("_s"), F.col("_c"), F.col("_specific")
+    # parsed once per row, then taken apart
+    parsed = instruments.withColumns({
+        "_g": contracts.parse_ticker(t), "_s": contracts.specific_parts(t), "_c": contracts.parse_cdx(t),
+        "_specific": contracts.is_specific_contract(t),
+    })
+    return parsed.select(
         "ticker",
         F.element_at(contracts.tokens(t), -1).alias("asset"),
         F.coalesce(s["root"], g["prefix"]).alias("prefix"),

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # merge small shuffle pieces, but leave enough tasks for costly expressions
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join key even where that costs one more shuffle afterwards
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
