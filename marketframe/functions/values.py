@@ -46,8 +46,8 @@ def dtype_of(text: Column) -> Column:
 
 def engine_type(vendor_type: Column) -> Column:
     """Engine type of a vendor type name; unknown names are strings."""
-    pairs = [F.lit(x) for pair in refdata.VENDOR_TYPES.items() for x in pair]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.lower(F.trim(vendor_type))), F.lit("string"))
+    kind = F.try_element_at(refdata.literal_map(refdata.VENDOR_TYPES), F.lower(F.trim(vendor_type)))
+    return F.coalesce(kind, F.lit("string"))
 
 
 # Spark type behind each engine type name.
@@ -98,12 +98,11 @@ def render(col: Column, source: str) -> Column:
 def yield_flag(text: Column) -> Column:
     """Yield-type flag 1..9 of a code, a long name or the number itself."""
     t = F.upper(F.trim(text))
-    pairs = [F.lit(x) for name, flag in refdata.YIELD_TYPES.items() for x in (name, flag)]
     number = t.try_cast("int")
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), t), F.when(number.between(1, 9), number))
+    named = F.try_element_at(refdata.literal_map(refdata.YIELD_TYPES), t)
+    return F.coalesce(named, F.when(number.between(1, 9), number))
 
 
 def dividend_field(kind: Column) -> Column:
     """Field name of a dividend type alias; an unknown name passes through."""
-    pairs = [F.lit(x) for pair in refdata.DIVIDEND_TYPES.items() for x in pair]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.lower(kind)), kind)
+    return F.coalesce(F.try_element_at(refdata.literal_map(refdata.DIVIDEND_TYPES), F.lower(kind)), kind)

@@ -9,45 +9,42 @@ from marketframe.functions import contracts, dates, values
 from marketframe.operators.joins import market_rule_join
 
 
-def _window(start: Column, end: Column, keep: Column) -> Column:
-    return F.when(keep & start.isNotNull() & end.isNotNull(), F.struct(start.alias("start"), end.alias("end")))
-
-
 SESSION_NAMES = ("day", "allday", "pre", "post", "am", "pm")
 
 
 def derive_sessions(start: Column, end: Column, rule: Column) -> Column:
-    """struct of session windows from regular hours and a session rule.
+    """struct of session windows from regular hours (in minutes) and a session rule.
 
     The post session begins one minute after the close. A continuous market
     and one without a rule trade all day within their regular hours.
     """
-    s, e = dates.clock_minutes(start), dates.clock_minutes(end)
-    ok = s.isNotNull() & e.isNotNull()
     text = dates.clock_text
+    ok = start.isNotNull() & end.isNotNull()
     pre_min = F.coalesce(rule["pre_minutes"], F.lit(0))
     post_min = F.coalesce(rule["post_minutes"], F.lit(0))
     extended = ok & rule.isNotNull() & ~F.coalesce(rule["is_continuous"], F.lit(False))
     has_pre, has_post = extended & (pre_min > 0), extended & (post_min > 0)
     lunch = extended & rule["lunch_start_min"].isNotNull() & rule["lunch_end_min"].isNotNull()
-    return F.struct(
-        _window(text(s), text(e), ok).alias("day"),
-        _window(
-            F.when(has_pre, text(s - pre_min)).otherwise(text(s)),
-            F.when(has_post, text(e + post_min)).otherwise(text(e)), ok,
-        ).alias("allday"),
-        _window(text(s - pre_min), text(s), has_pre).alias("pre"),
-        _window(text(e + 1), text(e + post_min), has_post).alias("post"),
-        _window(text(s), text(s + rule["lunch_start_min"]), lunch).alias("am"),
-        _window(text(s + rule["lunch_end_min"]), text(e), lunch).alias("pm"),
-        F.lit(None).cast("struct<start:string,end:string>").alias("night"),
-    )
+    earliest = F.when(has_pre, start - pre_min).otherwise(start)
+    latest = F.when(has_post, end + post_min).otherwise(end)
+    windows = {
+        "day": (start, end, ok), "allday": (earliest, latest, ok), "pre": (start - pre_min, start, has_pre),
+        "post": (end + 1, end + post_min, has_post), "am": (start, start + rule["lunch_start_min"], lunch),
+        "pm": (start + rule["lunch_end_min"], end, lunch), "night": (F.lit(0), F.lit(0), F.lit(False)),
+    }
+    return F.struct(*[
+        F.when(keep, F.struct(text(a).alias("start"), text(b).alias("end"))).alias(name)
+        for name, (a, b, keep) in windows.items()
+    ])
 
 
 def with_sessions(exchanges: DataFrame) -> DataFrame:
     """Add ``sessions`` to (mic, exch_code, day_start, day_end) rows."""
-    ruled = market_rule_join(exchanges)
-    return ruled.withColumn("sessions", derive_sessions(F.col("day_start"), F.col("day_end"), F.col("rule"))).drop("rule")
+    staged = market_rule_join(exchanges).withColumns({
+        "_start": dates.clock_minutes(F.col("day_start")), "_end": dates.clock_minutes(F.col("day_end")),
+    })
+    sessions = derive_sessions(F.col("_start"), F.col("_end"), F.col("rule"))
+    return staged.withColumn("sessions", sessions).drop("rule", "_start", "_end")
 
 
 def hours_to_local(exchanges: DataFrame, date: Column, hours_tz: str = "America/New_York") -> DataFrame:

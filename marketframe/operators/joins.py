@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketframe import refdata
@@ -148,55 +148,30 @@ def vwap_volume_self_join(hist: DataFrame, price: str = "EQY_WEIGHTED_AVG_PX", v
     return pair.where(F.col("vwap").isNotNull() & F.col("volume").isNotNull())
 
 
-_RULE = "pre_minutes int, post_minutes int, lunch_start_min int, lunch_end_min int, is_continuous boolean"
-
-
-def rule_frame(spark: SparkSession, by: str) -> DataFrame:
-    """The constant session rules by ``mic`` or ``exch_code`` (tens of rows)."""
-    rules = refdata.MIC_RULES if by == "mic" else refdata.EXCHANGE_RULES
-    return spark.createDataFrame([(k, *v) for k, v in rules.items()], f"{by} string, {_RULE}")
-
-
-def country_zone_frame(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(refdata.COUNTRY_ZONES.items()), "country string, zone string")
-
-
 def market_rule_join(df: DataFrame) -> DataFrame:
     """Add ``rule``: by MIC, else by exchange code, else null.
 
-    The rule tables are constants of a few dozen rows, so they are broadcast.
+    The rules are constants of a few dozen entries, so they travel with the
+    plan as literal maps and need no join.
     """
-    spark = df.sparkSession
-    cols = ("pre_minutes", "post_minutes", "lunch_start_min", "lunch_end_min", "is_continuous")
-    mic = rule_frame(spark, "mic").select(F.col("mic").alias("_mic"), F.struct(*cols).alias("_by_mic"))
-    code = rule_frame(spark, "exch_code").select(F.col("exch_code").alias("_code"), F.struct(*cols).alias("_by_code"))
-    return (
-        df.join(F.broadcast(mic), F.trim(df["mic"]) == F.col("_mic"), "left")
-        .join(F.broadcast(code), F.trim(df["exch_code"]) == F.col("_code"), "left")
-        .withColumn("rule", F.coalesce("_by_mic", "_by_code"))
-        .drop("_mic", "_code", "_by_mic", "_by_code")
-    )
+    by_mic = F.try_element_at(refdata.rule_map(refdata.MIC_RULES), F.trim("mic"))
+    by_code = F.try_element_at(refdata.rule_map(refdata.EXCHANGE_RULES), F.trim("exch_code"))
+    return df.withColumn("rule", F.coalesce(by_mic, by_code))
 
 
 def infer_timezone(country: Column) -> Column:
     """Zone of an ISO country code; null if unknown."""
-    pairs = [F.lit(x) for pair in refdata.COUNTRY_ZONES.items() for x in pair]
-    return F.try_element_at(F.create_map(*pairs), F.upper(F.trim(country)))
+    return F.try_element_at(refdata.literal_map(refdata.COUNTRY_ZONES), F.upper(F.trim(country)))
 
 
 def timezone_join(df: DataFrame, iana: str = "iana_tz", country: str = "country") -> DataFrame:
     """Zone of a ticker: its IANA field, else its country's, else UTC; with the source named."""
-    own = values.clean_value(F.col(iana))
-    known = country_zone_frame(df.sparkSession).withColumnsRenamed({"country": "_country", "zone": "_zone"})
-    out = df.join(F.broadcast(known), F.upper(F.trim(df[country])) == F.col("_country"), "left")
-    return (
-        out.withColumn("timezone", F.coalesce(own, F.col("_zone"), F.lit("UTC")))
-        .withColumn(
-            "tz_source",
-            F.when(own.isNotNull(), "vendor").when(F.col("_zone").isNotNull(), "inferred").otherwise("fallback"),
-        )
-        .drop("_country", "_zone")
-    )
+    staged = df.withColumns({"_own": values.clean_value(F.col(iana)), "_zone": infer_timezone(F.col(country))})
+    return staged.withColumns({
+        "timezone": F.coalesce("_own", "_zone", F.lit("UTC")),
+        "tz_source": F.when(F.col("_own").isNotNull(), "vendor").when(F.col("_zone").isNotNull(), "inferred")
+        .otherwise("fallback"),
+    }).drop("_own", "_zone")
 
 
 def exchange_resolve(

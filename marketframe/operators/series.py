@@ -23,7 +23,7 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
     renamed = right.select(
         *[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys]
     )
-    cond = [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys]
+    cond = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
@@ -36,23 +36,21 @@ def with_running(
     must fit a task: a year for daily rows, an hour or less for ticks.
     """
     combine, neutral = (F.product, F.lit(1.0)) if product else (F.sum, F.lit(0))
-    b = df.withColumn("_bucket", bucket)
-    for name, expr in totals.items():
-        b = b.withColumn(f"_v_{name}", expr)
+    b = df.withColumns({"_bucket": bucket, **{f"_v_{n}": expr for n, expr in totals.items()}})
     sums = b.groupBy(*keys, "_bucket").agg(*[combine(F.col(f"_v_{n}")).alias(f"_s_{n}") for n in totals])
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
-        *keys, "_bucket", *[F.coalesce(combine(F.col(f"_s_{n}")).over(before), neutral).alias(f"_o_{n}") for n in totals]
+        *[F.col(k).alias(f"_r_{k}") for k in (*keys, "_bucket")],
+        *[F.coalesce(combine(F.col(f"_s_{n}")).over(before), neutral).alias(f"_o_{n}") for n in totals],
     )
     inside = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    for name in totals:
-        b = b.withColumn(f"_i_{name}", F.coalesce(combine(F.col(f"_v_{name}")).over(inside), neutral))
-    out = null_safe(b, offsets, [*keys, "_bucket"])
-    for name in totals:
-        before_it, inside_it = F.col(f"_o_{name}"), F.col(f"_i_{name}")
-        out = out.withColumn(name, before_it * inside_it if product else before_it + inside_it)
+    b = b.withColumns({f"_i_{n}": F.coalesce(combine(F.col(f"_v_{n}")).over(inside), neutral) for n in totals})
+    same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in (*keys, "_bucket")]
+    out = b.join(offsets, same).withColumns({
+        n: F.col(f"_o_{n}") * F.col(f"_i_{n}") if product else F.col(f"_o_{n}") + F.col(f"_i_{n}") for n in totals
+    })
     helpers = [f"_{p}_{n}" for p in "voi" for n in totals]
-    return out.drop("_bucket", *helpers)
+    return out.drop("_bucket", *helpers, *[f"_r_{k}" for k in (*keys, "_bucket")])
 
 
 def with_positions(
@@ -63,10 +61,6 @@ def with_positions(
     return out.withColumn(pos, F.col(pos) - 1)
 
 
-def year_of(date: str) -> Column:
-    return F.year(date)
-
-
 def in_blocks(
     df: DataFrame, keys: list[str], before: int, after: int = 0, pos: str = "pos", block_rows: int | None = None
 ) -> DataFrame:
@@ -85,7 +79,7 @@ def in_blocks(
         homes.append(F.when(offset >= size - before, blk + 1))
     if after:
         homes.append(F.when((offset < after) & (blk > 0), blk - 1))
-    out = df.withColumn("_home", blk).withColumn("_blk", F.explode(F.array_compact(F.array(*homes))))
+    out = df.select("*", blk.alias("_home"), F.explode(F.array_compact(F.array(*homes))).alias("_blk"))
     return out.withColumn("_own", F.col("_blk") == F.col("_home")).drop("_home")
 
 

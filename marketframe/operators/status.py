@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketframe import refdata
+
 HISTORY_ROWS = 128
 
 # Message type -> topic state.
@@ -24,10 +26,9 @@ TOPIC_STATES = {
 
 
 def _state() -> Column:
-    pairs = [F.lit(x) for pair in TOPIC_STATES.items() for x in pair]
     # the first data row of a topic makes it streaming
     data = F.when(F.col("category") == "data", F.lit("streaming"))
-    return F.coalesce(data, F.try_element_at(F.create_map(*pairs), F.col("message_type")))
+    return F.coalesce(data, F.try_element_at(refdata.literal_map(TOPIC_STATES), F.col("message_type")))
 
 
 def topic_states(events: DataFrame) -> DataFrame:

@@ -21,7 +21,10 @@ from marketframe.operators import series
 from marketframe.session import work_dir
 
 KEY = "ticker"
-POS = F.col("pos")
+
+
+def _pos() -> Column:
+    return F.col("pos")
 
 
 def ta_studies() -> list[str]:
@@ -57,7 +60,7 @@ def _rows(w, n: int):
 
 
 def _full(value: Column, n: int) -> Column:
-    return F.when(POS >= n - 1, value)
+    return F.when(_pos() >= n - 1, value)
 
 
 def _decay(n: int) -> float:
@@ -67,7 +70,7 @@ def _decay(n: int) -> float:
 def _ema(df: DataFrame, x: str, n: int, w, size: int, out: str, first: int = 0) -> DataFrame:
     """EMA with alpha 2/(n+1), seeded with the value at position ``first``."""
     alpha = 2 / (n + 1)
-    seeded = F.when(POS == first, F.col(x)).when(POS > first, alpha * F.col(x)).otherwise(0.0)
+    seeded = F.when(_pos() == first, F.col(x)).when(_pos() > first, alpha * F.col(x)).otherwise(0.0)
     return df.withColumn(out, series.linear_recurrence(F.coalesce(seeded, F.lit(0.0)), _decay(n), size, w))
 
 
@@ -75,10 +78,10 @@ def _wilder(df: DataFrame, x: str, n: int, w, size: int, out: str, first: int =
     """Mean of the first n values from ``first`` on, then (prev*(n-1) + x)/n; null before."""
     start = first + n - 1
     mean = F.avg(x).over(_rows(w, n))
-    b = F.when(POS == start, F.col("_mean")).when(POS > start, F.col(x) / n).otherwise(0.0)
+    b = F.when(_pos() == start, F.col("_mean")).when(_pos() > start, F.col(x) / n).otherwise(0.0)
     df = df.withColumn("_mean", mean)
     smooth = series.linear_recurrence(F.coalesce(b, F.lit(0.0)), (n - 1) / n, size, w)
-    return df.withColumn(out, F.when(POS >= start, smooth)).drop("_mean")
+    return df.withColumn(out, F.when(_pos() >= start, smooth)).drop("_mean")
 
 
 def smavg(df: DataFrame, period: int = 20, value: str = "close", name: str = "smavg", **kw) -> DataFrame:
@@ -224,7 +227,7 @@ def dmi(df: DataFrame, period: int = 14, **kw) -> DataFrame:
         d = d.withColumn("plus_di", 100 * F.col("_ps") / range_).withColumn("minus_di", 100 * F.col("_ms") / range_)
         both = F.nullif(F.col("plus_di") + F.col("minus_di"), F.lit(0.0))
         dx = F.coalesce(100 * F.abs(F.col("plus_di") - F.col("minus_di")) / both, F.lit(0.0))
-        d = d.withColumn("_dx", F.when(POS >= period, dx))
+        d = d.withColumn("_dx", F.when(_pos() >= period, dx))
         d = _wilder(d, "_dx", period, w, size, "adx", first=period)
         return d.drop("_u", "_d", "_tr", "_p", "_m", "_ps", "_ms", "_trs", "_dx")
     a = (period - 1) / period
@@ -287,7 +290,7 @@ def _money_flow() -> Column:
 def _accumulated(df: DataFrame, name: str) -> DataFrame:
     return series.with_running(
         df, [KEY], [F.col("date")], F.year("date"), {"pos": F.lit(1).cast("bigint"), name: _money_flow()}
-    ).withColumn("pos", POS - 1)
+    ).withColumn("pos", _pos() - 1)
 
 
 def ado(df: DataFrame, name: str = "ado") -> DataFrame:
@@ -419,7 +422,7 @@ def ptps(df: DataFrame, step: float = 0.02, cap: float = 0.20, block_rows: int =
         path = f"{folder}/round={i}"
         one_round(part).write.mode("overwrite").parquet(path)
         done = spark.read.schema(schema).parquet(path)
-        carry = done.where(POS == (i + 1) * block_rows - 1).select(
+        carry = done.where(_pos() == (i + 1) * block_rows - 1).select(
             KEY, F.col("_trend").cast("double").alias("_c_trend"), F.col("_sar").alias("_c_sar"),
             F.col("_ep").alias("_c_ep"), F.col("_af").alias("_c_af"),
         )
@@ -435,22 +438,22 @@ def hurst(df: DataFrame, value: str = "close", smallest: int = 8) -> DataFrame:
     length is an ordinary grouped maximum and minimum.
     """
     def returns(d, w, _):
-        return d.withColumn("_r", F.log(F.col(value) / F.lag(value).over(w))).withColumn("_i", POS - 1)
+        return d.withColumn("_r", F.log(F.col(value) / F.lag(value).over(w))).withColumn("_i", _pos() - 1)
     base = _run(_placed(df), 1, returns).where(F.col("_i") >= 0).select(KEY, F.col("_i").alias("pos"), "date", "_r")
-    run = series.with_running(base, [KEY], [POS], F.year("date"), {"_sum": F.col("_r")})
+    run = series.with_running(base, [KEY], [_pos()], F.year("date"), {"_sum": F.col("_r")})
     size = run.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"), F.min("pos").alias("_lo"), F.max("pos").alias("_hi"))
     rows = series.spread_join(run, size, [KEY])
     # 2**40 rows bound the number of doublings, whatever the length
     powers = F.array(*[F.lit(smallest * 2**k).cast("bigint") for k in range(40)])
     lengths = F.filter(powers, lambda n: n <= F.col("_n") / 2)
-    rows = rows.withColumn("n", F.explode(lengths)).withColumn("chunk", F.floor(POS / F.col("n")))
+    rows = rows.withColumn("n", F.explode(lengths)).withColumn("chunk", F.floor(_pos() / F.col("n")))
     rows = rows.where((F.col("chunk") + 1) * F.col("n") <= F.col("_n"))
     chunk = rows.groupBy(KEY, "n", "chunk").agg(
         F.min_by(F.col("_sum") - F.col("_r"), "pos").alias("_start"), F.max_by("_sum", "pos").alias("_end"),
         F.stddev_pop("_r").alias("_sd"), F.min("pos").alias("_lo"), F.max("pos").alias("_hi"),
     )
     joined = series.spread_join(rows.drop("_n"), chunk, [KEY, "n", "chunk"])
-    step = POS - F.col("chunk") * F.col("n") + 1
+    step = _pos() - F.col("chunk") * F.col("n") + 1
     mean = (F.col("_end") - F.col("_start")) / F.col("n")
     joined = joined.withColumn("_dev", F.col("_sum") - F.col("_start") - step * mean)
     ratio = joined.groupBy(KEY, "n", "chunk").agg(

@@ -342,3 +342,26 @@ STUDY_DEFAULTS = {
     "atr": {"period": 14},
     "tas": {"period_k": 14, "period_d": 3, "period_ds": 3, "period_dss": 3},
 }
+
+
+def literal_map(pairs: dict[str, object]):
+    """A constant map column; values are text or whole numbers."""
+    from pyspark.sql import functions as F
+
+    quote = lambda v: "'" + v.replace("'", "\\'") + "'" if isinstance(v, str) else str(v)
+    return F.expr("map(" + ", ".join(f"{quote(k)}, {quote(v)}" for k, v in pairs.items()) + ")")
+
+
+def rule_map(rules: dict[str, tuple]):
+    """A constant map column from code to session rule."""
+    from pyspark.sql import functions as F
+
+    names = ("pre_minutes", "post_minutes", "lunch_start_min", "lunch_end_min", "is_continuous")
+    kinds = ("int", "int", "int", "int", "boolean")
+    entries = []
+    for code, rule in rules.items():
+        fields = ", ".join(
+            f"'{n}', cast({'null' if v is None else str(v).lower()} as {k})" for n, k, v in zip(names, kinds, rule)
+        )
+        entries.append(f"'{code}', named_struct({fields})")
+    return F.expr("map(" + ", ".join(entries) + ")")

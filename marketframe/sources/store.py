@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from marketframe.functions import contracts
 
-BAR_SCHEMA = T.StructType.fromDDL(
+BAR_COLUMNS = ["ticker", "time", "open", "high", "low", "close", "volume", "numEvents"]
+BAR_DDL = (
     "ticker string, time timestamp, open double, high double, low double, close double, volume double, numEvents int"
 )
 CACHE_KEYS = ["asset", "event", "interval", "date"]
@@ -69,9 +70,7 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
     fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(jvm_path):
         return None
-    schema = T.StructType([*BAR_SCHEMA.fields, *T.StructType.fromDDL(
-        "asset string, event string, interval string, date date").fields])
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(f"{BAR_DDL}, asset string, event string, interval string, date date").parquet(path)
 
 
 def bar_cache_read(
@@ -82,9 +81,9 @@ def bar_cache_read(
 
     stored = _stored(spark, path)
     if stored is None:
-        return spark.createDataFrame([], BAR_SCHEMA)
+        return spark.createDataFrame([], BAR_DDL)
     rows = stored.where((F.col("event") == event) & (F.col("interval") == interval))
-    return only_tickers(date_range(rows, start, end), tickers).select(*BAR_SCHEMA.fieldNames())
+    return only_tickers(date_range(rows, start, end), tickers).select(*BAR_COLUMNS)
 
 
 STREAMABLE = ("hist", "bars", "ticks")
