@@ -162,7 +162,7 @@ def with_version(ticker: Column, version: Column) -> Column:
 def parse_series_number(text: Column) -> Column:
     """Whole number from 1 up, also written ``45.0``; null otherwise."""
     n = F.trim(text).try_cast("double")
-    return F.when((n >= 1) & (n == F.floor(n)), n.cast("int"))
+    return F.when((n >= 1) & (n == F.rint(n)), n.try_cast("int"))
 
 
 def tenor_tickers(ticker: Column, tenors: list[str]) -> Column:

@@ -27,7 +27,7 @@ def parse_amount(text: Column) -> Column:
 def parse_level(text: Column) -> Column:
     """Whole number from integer or integral float text."""
     n = F.trim(text).try_cast("double")
-    return F.when(n == F.floor(n), n.cast("int"))
+    return F.when(n == F.rint(n), n.try_cast("int"))
 
 
 def dtype_of(text: Column) -> Column:

@@ -86,7 +86,7 @@ def search_grid_header(df: DataFrame, json_col: str) -> list[str]:
         doc["fieldDisplayUnits"],
         lambda u, i: F.coalesce(u["field"], u["fieldId"], F.concat(F.lit("col"), i.cast("string"))),
     )
-    first_row = F.to_json(doc["results"][0])
+    first_row = F.to_json(F.get(doc["results"], 0))
     inner = F.get_json_object(first_row, "$.resultsRow")
     names = F.json_object_keys(F.coalesce(inner, first_row))
     header = F.when(F.size(units) > 0, units).otherwise(names)

@@ -166,7 +166,7 @@ def boll(
         d = d.withColumn("boll_lower", F.col("boll_mid") - lower * F.col("_sd"))
         spread = F.nullif(F.col("boll_upper") - F.col("boll_lower"), F.lit(0.0))
         d = d.withColumn("boll_pct", (F.col(value) - F.col("boll_lower")) / spread)
-        return d.withColumn("boll_width", (F.col("boll_upper") - F.col("boll_lower")) / F.col("boll_mid")).drop("_sd")
+        return d.withColumn("boll_width", F.try_divide(F.col("boll_upper") - F.col("boll_lower"), "boll_mid")).drop("_sd")
     return _run(_placed(df), period - 1, build, **kw)
 
 
@@ -438,7 +438,7 @@ def hurst(df: DataFrame, value: str = "close", smallest: int = 8) -> DataFrame:
     length is an ordinary grouped maximum and minimum.
     """
     def returns(d, w, _):
-        return d.withColumn("_r", F.log(F.col(value) / F.lag(value).over(w))).withColumn("_i", _pos() - 1)
+        return d.withColumn("_r", F.log(F.try_divide(F.col(value), F.lag(value).over(w)))).withColumn("_i", _pos() - 1)
     base = _run(_placed(df), 1, returns).where(F.col("_i") >= 0).select(KEY, F.col("_i").alias("pos"), "date", "_r")
     run = series.with_running(base, [KEY], [_pos()], F.year("date"), {"_sum": F.col("_r")})
     size = run.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"), F.min("pos").alias("_lo"), F.max("pos").alias("_hi"))
