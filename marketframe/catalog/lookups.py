@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from marketframe.catalog.registry import query
 from marketframe.catalog.tools import half_up, rounded
 from marketframe.operators import calendars, joins, scan
+from marketframe.plans import recipes
 from marketframe.sources import adapters as A
 
 
@@ -197,17 +198,17 @@ def relabel_output_tz(spark, path):
     return calendars.relabel_output_tz(A.ticks(spark, path).select("event_id", "time"), "America/New_York")
 
 
-@query("hours_to_local", """
+@query("est_to_local", """
 SELECT z.exchange, d.date, strftime((CAST(concat(strftime(d.date, '%Y-%m-%d'), ' ', w.start_time, ':00') AS TIMESTAMP) AT TIME ZONE 'America/New_York') AT TIME ZONE z.timezone, '%H:%M') AS day_start,
   strftime((CAST(concat(strftime(d.date, '%Y-%m-%d'), ' ', w.end_time, ':00') AS TIMESTAMP) AT TIME ZONE 'America/New_York') AT TIME ZONE z.timezone, '%H:%M') AS day_end
 FROM exchange_days d JOIN zoned z ON z.exchange = d.exchange JOIN session_windows w ON w.exchange = z.exchange AND w.session = 'day'""")
-def hours_to_local(spark, path):
+def est_to_local(spark, path):
     ex = joins.timezone_join(A.exchanges(spark, path)).where("day_start <> '25:00'")
     rows = A.exchange_days(spark, path).join(ex, "exchange")
     return calendars.hours_to_local(rows, F.col("date")).select("exchange", "date", "day_start", "day_end")
 
 
-@query("infer_venue", """
+VENUE = """
 SELECT ticker, CASE WHEN starts_with(ticker, 'CDX') THEN 'US' ELSE exch END AS exch, CASE WHEN starts_with(ticker, 'CDX') THEN 'America/New_York' ELSE tz END AS tz,
   CASE WHEN generic THEN 'HMUZ' END AS freq, CASE WHEN NOT starts_with(ticker, 'CDX') THEN generic END AS is_fut
 FROM (SELECT ticker, row_id % 8 IN (0, 5) AS generic,
@@ -218,7 +219,10 @@ FROM (SELECT ticker, row_id % 8 IN (0, 5) AS generic,
   WHEN 4 THEN concat('CDX HY CDSI S', CAST(o_custkey % 50 + 1 AS VARCHAR), ' V', n, ' 10Y Corp')
   WHEN 5 THEN concat('UX', code, n, ' Comdty') WHEN 6 THEN 'CDX EM CDSI GEN 5Y Corp' END AS ticker
   FROM (SELECT *, substr('FGHJKMNQUVXZ', CAST(o_custkey % 12 + 1 AS INT), 1) AS code, CAST(o_custkey % 9 + 1 AS VARCHAR) AS n FROM orders)
-  WHERE o_orderkey % 8 <> 7))""")
+  WHERE o_orderkey % 8 <> 7))"""
+
+
+@query("infer_venue", VENUE)
 def infer_venue(spark, path):
     k = F.col("row_id")
     facts = A.raw_instruments(spark, path).select(
@@ -226,3 +230,43 @@ def infer_venue(spark, path):
         F.when(k % 3 != 2, F.lit("XNYS")).alias("ID_MIC_PRIM_EXCH"),
         F.when(k % 2 == 0, F.lit("Asia/Tokyo")).otherwise(F.lit("nan")).alias("IANA_TIME_ZONE"), F.lit("HMUZ").alias("FUT_GEN_MONTH"))
     return calendars.infer_venue(facts)
+
+
+@query("market_info", """
+SELECT DISTINCT concat('ES', CAST(p_partkey AS VARCHAR), '1 Index') AS ticker, CASE WHEN p_partkey % 3 = 0 THEN 'US' ELSE 'XNYS' END AS exch, 'Asia/Tokyo' AS tz,
+  CASE WHEN p_partkey % 2 = 0 THEN NULL END AS freq, false AS is_fut FROM part
+UNION ALL SELECT concat('CL', chr(CAST(65 + p_partkey % 26 AS INT)), CAST(p_partkey % 10 AS VARCHAR), ' Comdty'), 'XNYS', 'Asia/Tokyo', 'HMUZ', true FROM part GROUP BY ALL""")
+def market_info(spark, path):
+    p = A.table(spark, path, "part")
+    key = F.col("p_partkey")
+    pair = lambda name, value: F.struct(F.lit(name).alias("field"), value.alias("value"))
+    base = [pair("id_mic_prim_exch", F.lit("XNYS")), pair("IANA_TIME_ZONE", F.lit("Asia/Tokyo")), pair("FUT_GEN_MONTH", F.lit("HMUZ"))]
+    stocks = p.select(
+        F.concat(F.lit("ES"), key.cast("string"), F.lit("1 Index")).alias("ticker"),
+        F.inline(F.array(*base, pair("EXCH_CODE", F.when(key % 3 == 0, F.lit("US")).otherwise(F.lit(" "))))))
+    futures = p.select(
+        F.concat(F.lit("CL"), F.chr(65 + key % 26), (key % 10).cast("string"), F.lit(" Comdty")).alias("ticker"), F.inline(F.array(*base)))
+    ref = stocks.unionByName(futures)
+    return recipes.market_info(ref, ref.select("ticker").distinct())
+
+
+@query("exchange_info", """
+SELECT z.exchange AS ticker, CASE WHEN s.suppkey % 7 = 0 THEN 'XTKS' ELSE z.mic END AS mic, z.exch_code,
+  CASE WHEN s.suppkey % 7 = 0 THEN 'Asia/Tokyo' ELSE z.timezone END AS timezone,
+  CASE CASE WHEN s.suppkey % 7 = 0 THEN 'Asia/Tokyo' ELSE z.timezone END WHEN 'America/New_York' THEN '-04:00' WHEN 'Europe/London' THEN '+01:00' WHEN 'Europe/Paris' THEN '+02:00'
+    WHEN 'Asia/Tokyo' THEN '+09:00' WHEN 'Asia/Hong_Kong' THEN '+08:00' WHEN 'Asia/Shanghai' THEN '+08:00' WHEN 'Australia/Sydney' THEN '+10:00' ELSE '+00:00' END AS utc_offset,
+  CASE WHEN s.suppkey % 7 = 0 THEN 'override' ELSE z.tz_source END AS source, TIMESTAMP '2024-07-01 12:00:00' AS cached_at
+FROM zoned z JOIN (SELECT s_suppkey AS suppkey, concat('X', CAST(s_suppkey AS VARCHAR)) AS exchange FROM supplier) s ON s.exchange = z.exchange""")
+def exchange_info(spark, path):
+    facts = A.exchanges(spark, path).withColumnRenamed("exchange", "ticker")
+    number = F.regexp_extract("ticker", "[0-9]+", 0).cast("bigint")
+    patch = facts.where(number % 7 == 0).select(
+        "ticker", F.lit("XTKS").alias("mic"), F.lit(None).cast("string").alias("exch_code"), F.lit("Asia/Tokyo").alias("timezone"))
+    return recipes.exchange_info(facts, "2024-07-01 12:00:00", patch).drop("sessions")
+
+
+@query("extract_field_value", "SELECT ticker, value FROM ref_long WHERE field = 'SECTOR'")
+def extract_field_value(spark, path):
+    from marketframe.operators.shape import extract_field_value as pick
+
+    return pick(A.ref_long(spark, path), "sector")

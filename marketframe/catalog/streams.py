@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQueryException  # noqa: F401
 
 from marketframe.catalog.registry import query
 from marketframe.catalog.scans import BARS
 from marketframe.catalog.tools import rounded
+from marketframe.operators import aggregate
+from marketframe.session import work_dir
 from marketframe.sources import adapters as A
 from marketframe.sources import store
 from marketframe.streaming import live
@@ -128,3 +129,87 @@ def hist_stream_batches(spark, path):
 def ticks_stream_batches(spark, path):
     rows = _ticks(spark, path).where("type = 'TRADE'").select("ticker", "time", "value", "size")
     return live.run_to_table(rows, "tick-batches")
+
+
+@query("bars_stream_batches", f"SELECT * FROM {BARS}")
+def bars_stream_batches(spark, path):
+    folder = work_dir(spark, "bars-source")
+    aggregate.bars_from_ticks(A.ticks(spark, path), 5).write.parquet(folder)
+    return live.run_to_table(store.read_stream(spark, folder, store.BAR_DDL, files_per_trigger=2), "bar-batches")
+
+
+@query("subscribe_source", "SELECT timestamp, topic, payload FROM (SELECT timestamp, topic, concat('{\"LAST_TRADE\":', last_trade, ',\"SIZE\":', size, CASE WHEN bid IS NOT NULL THEN concat(',\"BID\":\"', bid, '\"') ELSE concat(',\"ASK\":\"', ask, '\"') END, ',\"NESTED\":{\"x\":1},\"LIST\":[1,2],\"MKTDATA_EVENT_TYPE\":\"', etype, '\",\"MKTDATA_EVENT_SUBTYPE\":\"', esub, '\"}') AS payload FROM messages)")
+def subscribe_source(spark, path):
+    return live.run_to_table(A.messages_from(_events(spark, path)).select("timestamp", "topic", "payload"), "subscribe")
+
+
+@query("tick_mode", "SELECT ticker, time, type, value, size, event_id FROM ticks ORDER BY time, event_id LIMIT 1")
+def tick_mode(spark, path):
+    folder = work_dir(spark, "tick-mode")
+    rows = _ticks(spark, path)
+    schema = rows.schema
+    first = lambda batch: batch.orderBy("time", "event_id").limit(1)
+    live.run_with_recovery(lambda: live.write_table(rows, folder, each=first))
+    return live.read_rows(spark, folder, schema)
+
+
+@query("stream_callback", "SELECT type, count(*) AS rows FROM ticks GROUP BY type")
+def stream_callback(spark, path):
+    folder = work_dir(spark, "callback")
+
+    def count_types(batch, batch_id):
+        batch.groupBy("type").count().write.mode("overwrite").parquet(f"{folder}/rows/batch={batch_id}")
+
+    query_ = _ticks(spark, path).writeStream.foreachBatch(live.stream_callback(count_types)).option(
+        "checkpointLocation", f"{folder}/_checkpoints").trigger(availableNow=True).start()
+    query_.awaitTermination()
+    written = spark.read.schema("type string, count long, batch long").parquet(f"{folder}/rows")
+    return written.groupBy("type").agg(F.sum("count").alias("rows"))
+
+
+@query("stream_stats", "SELECT count(*) AS messages, max(time) AS last_message, CAST(0 AS BIGINT) AS late_rows FROM ticks")
+def stream_stats(spark, path):
+    return live.run_with_stats(_ticks(spark, path), "stream-stats", "time")
+
+
+@query("overflow_policy", "SELECT * FROM ticks ORDER BY time, event_id LIMIT 600")
+def overflow_policy(spark, path):
+    """Newest rows above the capacity of a batch are dropped: the policy itself is the limit."""
+    folder = work_dir(spark, "overflow")
+    rows = _ticks(spark, path)
+    schema = rows.schema
+    policy = live.OverflowPolicy("drop_newest", 600)
+    live.run_with_recovery(lambda: live.write_table(rows, folder, each=lambda b: policy.keep(b, ["time", "event_id"])[0]))
+    return live.read_rows(spark, folder, schema)
+
+
+@query("flush_policy", "SELECT * FROM ticks")
+def flush_policy(spark, path):
+    return live.run_to_table(_ticks(spark, path), "flush", flush=live.FlushPolicy(files_per_trigger=1))
+
+
+@query("recovery_policy", "SELECT * FROM ticks")
+def recovery_policy(spark, path):
+    """The first attempt fails before it writes; the restart delivers every row once."""
+    folder = work_dir(spark, "recovery")
+    rows = _ticks(spark, path)
+    schema = rows.schema
+    attempts = []
+
+    def each(batch):
+        attempts.append(1)
+        if len(attempts) == 1:
+            raise RuntimeError("connection lost")
+        return batch
+
+    live.run_with_recovery(lambda: live.write_table(rows, folder, each=each))
+    return live.read_rows(spark, folder, schema)
+
+
+@query("drain", "SELECT * FROM ticks")
+def drain(spark, path):
+    folder = work_dir(spark, "drain")
+    rows = _ticks(spark, path)
+    schema = rows.schema
+    live.drain(live.write_table(rows, folder, flush=live.FlushPolicy(interval="0 seconds")))
+    return live.read_rows(spark, folder, schema)

@@ -277,3 +277,13 @@ def preview_json(df: DataFrame, max_rows: int, max_chars: int, order: Sequence[C
         cols.append(c.alias(field.name))
     top = df.orderBy(*order).limit(max_rows)
     return top.select(F.to_json(F.struct(*cols)).alias("json"), cut.alias("truncated"))
+
+
+def extract_field_value(df: DataFrame, field: str, keys: Sequence[str] = ("ticker",)) -> DataFrame:
+    """One field per key, from a long table (names without case) or a wide one (exact name, then lower case)."""
+    if {"field", "value"} <= set(df.columns):
+        return df.where(F.lower("field") == field.lower()).select(*keys, "value")
+    name = field if field in df.columns else next((c for c in df.columns if c.lower() == field.lower()), None)
+    if name is None:
+        return df.select(*keys, F.lit(None).cast("string").alias("value"))
+    return df.select(*keys, F.col(f"`{name}`").alias("value"))

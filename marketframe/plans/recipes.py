@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketframe import refdata
-from marketframe.operators import aggregate, joins, predicates, scan, shape
+from marketframe.functions import dates
+from marketframe.operators import aggregate, calendars, joins, predicates, scan, shape
 
 
 def turnover(
@@ -109,3 +110,38 @@ def yas(ref: DataFrame, tickers: DataFrame, fields: Sequence[str] = ("YAS_BOND_Y
     for col, value in yas_filter(**params).items():
         rows = rows.where(F.col(col) == value)
     return scan.ref_scan(rows, tickers, fields)
+
+
+def exchange_info(
+    facts: DataFrame, as_of: str, overrides: DataFrame | None = None, cached: DataFrame | None = None
+) -> DataFrame:
+    """Exchange, zone, offset and sessions per ticker.
+
+    ``facts``: ticker, mic, exch_code, country, iana_tz, day_start, day_end.
+    Overrides (ticker, mic, exch_code, timezone) win over cached rows, those
+    over the facts. Sessions follow the resolved codes; the offset is that of
+    ``as_of``.
+    """
+    zoned = joins.timezone_join(facts)
+    names = ["mic", "exch_code", "timezone"]
+    none = zoned.select("ticker", *names).limit(0)
+    found = joins.exchange_resolve(
+        zoned.select("ticker"), overrides if overrides is not None else none, cached if cached is not None else none,
+        zoned.select("ticker", *names), names,
+    )
+    hours = zoned.select("ticker", "day_start", "day_end", "tz_source")
+    rows = calendars.with_sessions(found.join(hours, "ticker"))
+    at = F.lit(as_of).cast("timestamp")
+    origin = F.when(F.col("source") == "source", F.col("tz_source")).otherwise(F.col("source"))
+    return rows.select(
+        "ticker", "mic", "exch_code", "timezone", dates.offset_text(at, F.col("timezone")).alias("utc_offset"),
+        "sessions", origin.alias("source"), at.alias("cached_at"),
+    )
+
+
+def market_info(ref: DataFrame, tickers: DataFrame) -> DataFrame:
+    """Exchange, zone and futures cycle per ticker from its snapshot fields."""
+    fields = ["EXCH_CODE", "ID_MIC_PRIM_EXCH", "IANA_TIME_ZONE", "FUT_GEN_MONTH"]
+    rows = scan.only_tickers(ref, tickers).where(F.upper("field").isin(fields))
+    wide = shape.format_semi_long(rows.withColumn("field", F.upper("field")), ["ticker"], fields)
+    return calendars.infer_venue(wide)

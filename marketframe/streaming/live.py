@@ -257,6 +257,11 @@ def write_table(
     )
 
 
+def read_rows(spark: SparkSession, folder: str, schema) -> DataFrame:
+    """Rows a query has written to a table folder."""
+    return spark.read.schema(schema).parquet(f"{folder}/rows").select(*schema.fieldNames())
+
+
 def read_updates(spark: SparkSession, folder: str, schema, keys: Sequence[str]) -> DataFrame:
     """Newest version of every key of an update-mode table."""
     from marketframe.operators.joins import latest_by
@@ -312,5 +317,22 @@ def run_to_table(
     schema = stream.schema
     run_with_recovery(lambda: write_table(stream, folder, mode, flush))
     if mode == "append":
-        return spark.read.schema(schema).parquet(f"{folder}/rows")
+        return read_rows(spark, folder, schema)
     return read_updates(spark, folder, schema, keys)
+
+
+def run_with_stats(stream: DataFrame, purpose: str, time: str = "timestamp") -> DataFrame:
+    """Write a stream to a table and return one row about the run: messages, last message, late rows.
+
+    The counts come from the query's own progress reports (one row per batch).
+    """
+    spark = stream.sparkSession
+    folder = work_dir(spark, purpose)
+    counts = (F.count(F.lit(1)).alias("n"), F.max(F.unix_micros(time)).alias("t"))
+    query = write_table(stream.observe("stream", *counts), folder)
+    query.awaitTermination()
+    seen = [p.observedMetrics["stream"] for p in query.recentProgress if "stream" in p.observedMetrics]
+    late = sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators)
+    rows = [(sum(r["n"] for r in seen), max((r["t"] for r in seen if r["t"] is not None), default=None), late)]
+    stats = spark.createDataFrame(rows, "messages long, last_message long, late_rows long")
+    return stats.withColumn("last_message", F.timestamp_micros("last_message"))
