@@ -82,15 +82,12 @@ def level_percentages(
     totals = groups.groupBy(key).agg(
         *[F.sum(f"_p{i}").alias(f"_t{i}") for i in range(len(names))], F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi")
     )
-    rows = spread_join(rows, totals, [key], pos)
-    rows = spread_join(rows, groups.drop(*[f"_p{i}" for i in range(len(names))]), [key, "_gid"], pos)
-    for i, v in enumerate(names):
-        rows = rows.withColumn(
-            f"{v}_pct",
-            F.when(is_parent, 100 * F.col(v) / F.nullif(f"_t{i}", F.lit(0.0))).when(
-                is_child & (F.col("_gid") > 0), 100 * F.col(v) / F.nullif(f"_c{i}", F.lit(0.0))
-            ),
-        )
+    # totals meet the small groups first, so the rows are joined only once
+    groups = spread_join(groups.drop(*[f"_p{i}" for i in range(len(names))]), totals, [key], "_lo")
+    rows = spread_join(rows, groups, [key, "_gid"], pos)
+    share = lambda v, i: F.when(is_parent, 100 * F.col(v) / F.nullif(f"_t{i}", F.lit(0.0))).when(
+        is_child & (F.col("_gid") > 0), 100 * F.col(v) / F.nullif(f"_c{i}", F.lit(0.0)))
+    rows = rows.withColumns({f"{v}_pct": share(v, i) for i, v in enumerate(names)})
     return rows.drop("_gid", *[f"_{x}{i}" for x in "tc" for i in range(len(names))])
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,22 +90,36 @@ def fut_ticker_candidates(
     return ranked.where(F.col("_rank") == wanted).select("gen_ticker", "dt", F.col("candidate").alias("contract"), "expiry")
 
 
-def latest_on(points: DataFrame, hist: DataFrame, field: str, lookback: int, keys: Sequence[str]) -> DataFrame:
-    """Latest numeric value of ``contract`` in the days up to ``dt``, per key.
+def latest_of_two(points: DataFrame, hist: DataFrame, field: str, lookback: int) -> DataFrame:
+    """Latest numeric value of the contracts ``first`` and ``second`` in the days up to ``dt``.
 
-    The few look-back days of each point are listed, so history joins by
-    equality on (ticker, date) and no ticker's history meets all its dates.
+    The few look-back days of each point with ``_open`` are listed, so history
+    joins by equality on (contract, date) and no contract's history meets all
+    its dates. Points drop out while unfolding: a filter would be pushed down
+    and work the contract names out a second time.
     """
-    days = points.withColumn("_day", F.explode(F.sequence(F.date_sub("dt", lookback), F.col("dt"))))
     number = values.clean_value(F.col("value").cast("string")).try_cast("double")
     rows = hist.where(F.upper("field") == field.upper()).select(
-        F.col("ticker").alias("contract"), F.col("date").alias("_day"), number.alias("_v")
+        F.col("ticker").alias("_contract"), F.col("date").alias("_day"), number.alias("_v")
     ).where(F.col("_v").isNotNull())
-    return days.join(rows, ["contract", "_day"]).groupBy(*keys).agg(
-        F.max("_day").alias("last_date"), F.max_by("_v", "_day").alias("last_value")
+    keys = ["gen_ticker", "dt", "first", "second"]
+    pair = F.when(F.col("_open"), F.array("first", "second"))
+    both = points.select(*keys, F.posexplode_outer(pair).alias("_rank", "_contract")).where("_rank is not null")
+    days = both.withColumn("_day", F.explode(F.sequence(F.date_sub("dt", lookback), F.col("dt"))))
+    found = days.join(rows, ["_contract", "_day"], "left")
+    seen = lambda rank: F.when((F.col("_rank") == rank) & F.col("_v").isNotNull(), F.col("_day"))
+    return found.groupBy(*keys).agg(
+        F.max(seen(0)).alias("first_date"), F.max_by("_v", seen(0)).alias("first_value"),
+        F.max(seen(1)).alias("second_date"), F.max_by("_v", seen(1)).alias("second_value"),
     )
 
 
+def _settled(points: DataFrame, contract: Column) -> DataFrame:
+    """Points that need no look at history, with their contract."""
+    row = F.when(~F.col("_open"), F.array(F.struct(F.lit(True).alias("_done"), contract.alias("contract"))))
+    return points.select("gen_ticker", "dt", F.inline_outer(row)).where("_done").drop("_done")
+
+
 def active_futures(points: DataFrame, chain: DataFrame, hist: DataFrame, lookback: int = LOOKBACK_DAYS) -> DataFrame:
     """The more active of the first two contracts on each date.
 
@@ -119,35 +131,41 @@ def active_futures(points: DataFrame, chain: DataFrame, hist: DataFrame, lookbac
         "_root", contracts.with_generic_index(F.col("gen_ticker"), 1)
     )
     found = base.join(chain_lists(chain).withColumnRenamed("gen_ticker", "_root"), "_root", "left")
-    live = _live(F.col("dt"))
-    two = found.select(
-        "gen_ticker", "dt", F.try_element_at(live, F.lit(1)).alias("f"), F.try_element_at(live, F.lit(2)).alias("s")
-    )
+    two = found.select("gen_ticker", "dt", F.slice(_live(F.col("dt")), 1, 2).alias("_two"))
+    two = two.select("gen_ticker", "dt", F.get("_two", F.lit(0)).alias("f"), F.get("_two", F.lit(1)).alias("s"))
     early = F.trunc("dt", "month") < F.trunc(F.col("f.expiry"), "month")
-    plain = F.coalesce(early, F.lit(True)) | F.col("s").isNull()
-    compare = two.where(~plain).select(
-        "gen_ticker", "dt", F.posexplode(F.array("f.contract", "s.contract")).alias("_rank", "contract")
-    )
-    volumes = latest_on(compare, hist, "VOLUME", lookback, ["gen_ticker", "dt", "_rank"]).groupBy("gen_ticker", "dt").agg(
-        F.max(F.when(F.col("_rank") == 0, F.col("last_value"))).alias("fv"),
-        F.max(F.when(F.col("_rank") == 1, F.col("last_value"))).alias("sv"),
+    compare = ~F.coalesce(early, F.lit(True)) & F.col("s").isNotNull()
+    two = two.select(
+        "gen_ticker", "dt", F.col("f.contract").alias("first"), F.col("s.contract").alias("second"), compare.alias("_open")
     )
-    out = two.join(volumes, ["gen_ticker", "dt"], "left")
-    front, second = F.col("f.contract"), F.col("s.contract")
-    chosen = aggregate.argmax_volume(front, second, F.col("fv"), F.col("sv"))
-    return out.select("gen_ticker", "dt", F.when(plain, front).otherwise(chosen).alias("contract"))
+    compared = latest_of_two(two, hist, "VOLUME", lookback)
+    chosen = aggregate.argmax_volume(F.col("first"), F.col("second"), F.col("first_value"), F.col("second_value"))
+    return _settled(two, F.col("first")).unionByName(compared.select("gen_ticker", "dt", chosen.alias("contract")))
 
 
 def _cdx_facts(ref: DataFrame) -> DataFrame:
+    """Per generic: series, version and accrual start, with the names of the current and the two earlier series."""
     pick = lambda f: F.max(F.when(F.upper("field") == f, F.col("value")))
     raw = ref.where(F.upper("field").isin("ROLLING_SERIES", "VERSION", "CDS_FIRST_ACCRUAL_START_DATE"))
     wide = raw.groupBy("ticker").agg(
         pick("ROLLING_SERIES").alias("s"), pick("VERSION").alias("v"), pick("CDS_FIRST_ACCRUAL_START_DATE").alias("a")
     )
-    return wide.select(
-        F.col("ticker").alias("gen_ticker"), contracts.parse_series_number(F.col("s")).alias("series"),
+    parsed = wide.select(
+        F.col("ticker").alias("gen_ticker"), contracts.parse_cdx(F.col("ticker")).alias("_p"),
+        contracts.parse_series_number(F.col("s")).alias("series"),
         contracts.parse_series_number(F.col("v")).alias("version"), dates.parse_any_date(F.col("a")).alias("accrual"),
     )
+    name = lambda back: F.when(F.col("series") > back, contracts.build_cdx(F.col("_p"), F.col("series") - back))
+    named = parsed.withColumns({"_now": name(0), "_before": name(1), "_before2": name(2)})
+    return named.withColumn("_versioned", contracts.with_version(F.col("_now"), F.col("version"))).drop("_p", "version")
+
+
+def _cdx_points(points: DataFrame, ref: DataFrame) -> DataFrame:
+    """Points of generic credit indices with the names of their series."""
+    generic = points.where(contracts.parse_cdx(F.col("gen_ticker"))["is_generic"])
+    rows = generic.join(_cdx_facts(ref), "gen_ticker", "left")
+    early = F.coalesce(F.col("dt") < F.col("accrual"), F.lit(False)) & (F.col("series") > 1)
+    return rows.withColumn("_early", F.coalesce(early, F.lit(False)))
 
 
 def cdx_ticker(points: DataFrame, ref: DataFrame, with_version: bool = False) -> DataFrame:
@@ -156,18 +174,9 @@ def cdx_ticker(points: DataFrame, ref: DataFrame, with_version: bool = False) ->
     Before the accrual start of a series above 1 it is the series before,
     without a version. A generic without a readable series gives null.
     """
-    parsed = points.withColumn("_parts", contracts.parse_cdx(F.col("gen_ticker"))).where("_parts.is_generic")
-    rows = parsed.join(_cdx_facts(ref), "gen_ticker", "left")
-    early = F.coalesce(F.col("dt") < F.col("accrual"), F.lit(False)) & (F.col("series") > 1)
-    number = F.when(early, F.col("series") - 1).otherwise(F.col("series"))
-    out = rows.select(
-        "gen_ticker", "dt", "accrual", early.alias("_early"), "version",
-        contracts.build_cdx(F.col("_parts"), number).alias("contract"),
-    )
-    if with_version:
-        versioned = contracts.with_version(F.col("contract"), F.col("version"))
-        out = out.withColumn("contract", F.when(F.col("_early"), F.col("contract")).otherwise(versioned))
-    return out.select("gen_ticker", "dt", "contract", "accrual")
+    current = F.col("_versioned") if with_version else F.col("_now")
+    contract = F.when(F.col("_early"), F.col("_before")).otherwise(current)
+    return _cdx_points(points, ref).select("gen_ticker", "dt", contract.alias("contract"), "accrual")
 
 
 def active_cdx(points: DataFrame, ref: DataFrame, hist: DataFrame, lookback: int = LOOKBACK_DAYS) -> DataFrame:
@@ -176,20 +185,19 @@ def active_cdx(points: DataFrame, ref: DataFrame, hist: DataFrame, lookback: int
     ``ref`` may also hold the accrual start of specific series: before it the
     previous series is the active one.
     """
-    now = cdx_ticker(points, ref).drop("accrual").withColumn("_parts", contracts.parse_cdx(F.col("contract")))
-    number = F.col("_parts.series_num")
-    now = now.withColumn("previous", F.when(number > 1, contracts.build_cdx(F.col("_parts"), number - 1))).drop("_parts")
-    start = _cdx_facts(ref).select(F.col("gen_ticker").alias("contract"), F.col("accrual").alias("_start"))
-    now = now.join(start, "contract", "left")
-    early = F.coalesce(F.col("dt") < F.col("_start"), F.lit(False))
-    both = now.where(F.col("previous").isNotNull() & ~early).select(
-        "gen_ticker", "dt", F.posexplode(F.array("contract", "previous")).alias("_rank", "contract")
+    rows = _cdx_points(points, ref)
+    now = rows.select(
+        "gen_ticker", "dt", F.when(F.col("_early"), F.col("_before")).otherwise(F.col("_now")).alias("first"),
+        F.when(F.col("_early"), F.col("_before2")).otherwise(F.col("_before")).alias("second"),
     )
-    last = latest_on(both, hist, "PX_LAST", lookback, ["gen_ticker", "dt", "_rank"]).groupBy("gen_ticker", "dt").agg(
-        F.max(F.when(F.col("_rank") == 0, F.col("last_date"))).alias("cd"),
-        F.max(F.when(F.col("_rank") == 1, F.col("last_date"))).alias("pd"),
+    start = _cdx_facts(ref).select(F.col("gen_ticker").alias("first"), F.col("accrual").alias("_start"))
+    now = now.join(start, "first", "left")
+    early = F.coalesce(F.col("dt") < F.col("_start"), F.lit(False))
+    two = now.withColumns({"_early": early, "_open": F.col("second").isNotNull() & ~early})
+    settled = _settled(two, F.when(F.col("_early"), F.coalesce("second", "first")).otherwise(F.col("first")))
+    last = latest_of_two(two, hist, "PX_LAST", lookback)
+    older = F.when(F.col("first_date").isNull(), F.col("second_date").isNotNull()).otherwise(
+        F.coalesce(F.col("second_date") > F.col("first_date"), F.lit(False))
     )
-    out = now.join(last, ["gen_ticker", "dt"], "left")
-    older = (F.col("cd").isNull() & F.col("pd").isNotNull()) | (F.col("pd") > F.col("cd"))
-    older = F.col("previous").isNotNull() & (early | F.coalesce(older, F.lit(False)))
-    return out.select("gen_ticker", "dt", F.when(older, F.col("previous")).otherwise(F.col("contract")).alias("contract"))
+    chosen = last.select("gen_ticker", "dt", F.when(older, F.col("second")).otherwise(F.col("first")).alias("contract"))
+    return settled.unionByName(chosen)

@@ -39,13 +39,12 @@ def turnover(
         pick("TURNOVER").alias("direct"),
         (pick("EQY_WEIGHTED_AVG_PX") * pick("VOLUME")).alias("derived"),
     )
-    # semi and anti join against the tickers that have direct rows
-    own = rows.where(F.col("field") == "TURNOVER").select("ticker").distinct()
-    direct = daily.where(F.col("direct").isNotNull()).select("ticker", "date", F.col("direct").alias("value"))
-    derived = joins.missing_tickers(daily, own).where(F.col("derived").isNotNull()).select(
-        "ticker", "date", F.col("derived").alias("value")
-    )
-    both = aggregate.append_rows(direct, derived).withColumn("field", F.lit("TURNOVER"))
+    # the tickers that have rows of their own; the others fall back as a whole
+    own = rows.where(F.col("field") == "TURNOVER").select("ticker").distinct().withColumn("_own", F.lit(True))
+    both = daily.join(own, "ticker", "left").select(
+        "ticker", "date", F.when(F.col("_own"), F.col("direct")).otherwise(F.col("derived")).alias("value"),
+        F.lit("TURNOVER").alias("field"),
+    ).where(F.col("value").isNotNull())
     money = joins.fx_join_long(both, ref, fx, ccy)
     return money.select("ticker", "date", "field", (F.col("value") / factor).alias("value"))
 
