@@ -65,7 +65,8 @@ def active_topics(events: DataFrame) -> DataFrame:
 def event_history(events: DataFrame, keep: int = HISTORY_ROWS) -> DataFrame:
     """The newest events per topic; tasks keep ``keep`` per topic before the shuffle."""
     w = Window.partitionBy("topic").orderBy(F.col("event_time").desc(), F.col("seq").desc())
-    return events.withColumn("age", F.row_number().over(w).cast("bigint")).where(F.col("age") <= keep)
+    newest = events.withColumn("age", F.row_number().over(w)).where(F.col("age") <= keep)
+    return newest.withColumn("age", F.col("age").cast("bigint"))
 
 
 def session_status(events: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Technical studies per ticker, ordered by date.
+"""Technical studies per ticker, ordered by date (daily bars) or time (intraday bars).
 
 Every study works on blocks (see ``series``): a row is null until its
 look-back is full, look-backs count rows, and no ticker is gathered whole in
@@ -38,9 +38,17 @@ def ta_study_params(study: str) -> dict[str, object]:
     return dict(refdata.STUDY_DEFAULTS.get(refdata.STUDY_ALIASES.get(name, name), {}))
 
 
-def _placed(df: DataFrame, order: Sequence[str] = ("date",), bucket: Column | None = None) -> DataFrame:
-    cut = F.year(order[0]) if bucket is None else bucket
-    return series.with_positions(df, [KEY], [F.col(c) for c in order], cut)
+def _axis(df: DataFrame) -> tuple[list[Column], Column]:
+    """Row order and time bucket: daily bars by year, intraday bars by day; ``seq`` breaks ties."""
+    tie = [F.col("seq")] if "seq" in df.columns else []
+    if "date" in df.columns:
+        return [F.col("date"), *tie], F.year("date")
+    return [F.col("time"), *tie], F.to_date("time")
+
+
+def _placed(df: DataFrame) -> DataFrame:
+    order, bucket = _axis(df)
+    return series.with_positions(df, [KEY], order, bucket)
 
 
 def _run(
@@ -288,9 +296,9 @@ def _money_flow() -> Column:
 
 
 def _accumulated(df: DataFrame, name: str) -> DataFrame:
-    return series.with_running(
-        df, [KEY], [F.col("date")], F.year("date"), {"pos": F.lit(1).cast("bigint"), name: _money_flow()}
-    ).withColumn("pos", _pos() - 1)
+    order, bucket = _axis(df)
+    totals = {"pos": F.lit(1).cast("bigint"), name: _money_flow()}
+    return series.with_running(df, [KEY], order, bucket, totals).withColumn("pos", _pos() - 1)
 
 
 def ado(df: DataFrame, name: str = "ado") -> DataFrame:
@@ -439,8 +447,8 @@ def hurst(df: DataFrame, value: str = "close", smallest: int = 8) -> DataFrame:
     """
     def returns(d, w, _):
         return d.withColumn("_r", F.log(F.try_divide(F.col(value), F.lag(value).over(w)))).withColumn("_i", _pos() - 1)
-    base = _run(_placed(df), 1, returns).where(F.col("_i") >= 0).select(KEY, F.col("_i").alias("pos"), "date", "_r")
-    run = series.with_running(base, [KEY], [_pos()], F.year("date"), {"_sum": F.col("_r")})
+    base = _run(_placed(df), 1, returns).where(F.col("_i") >= 0).select(KEY, F.col("_i").alias("pos"), "_r")
+    run = series.with_running(base, [KEY], [_pos()], F.floor(_pos() / series.BLOCK_ROWS), {"_sum": F.col("_r")})
     size = run.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"), F.min("pos").alias("_lo"), F.max("pos").alias("_hi"))
     rows = series.spread_join(run, size, [KEY])
     # 2**40 rows bound the number of doublings, whatever the length

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import functools
 import tempfile
 import uuid
 
@@ -34,13 +34,17 @@ def tune(spark: SparkSession) -> SparkSession:
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only where the
-    setting is absent (tests on one machine) a temporary folder stands in.
+    The cluster names that folder in ``spark.checkpoint.dir``. Only a local
+    master without the setting (tests) gets a temporary folder instead.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="marketframe-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if "://" in base:
-        return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-    return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        base = _local_base()
+    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+@functools.cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="marketframe-")

@@ -215,3 +215,54 @@ def test_fill_forward(spark):
     assert aggregate.fill_forward(df, fill="N").where("value is not null").count() == 3
     assert aggregate.fill_forward(df, days="W").where("weekday(date) >= 5").count() == 0
     assert aggregate.fill_forward(df, end=str(day(410))).agg(F.max("date")).first()[0] == day(410)
+
+
+def test_studies_of_intraday_bars(spark):
+    pdf, df = bars(spark)
+    timed = df.withColumn("time", F.col("date").cast("timestamp") + F.expr("interval 5 minutes")).drop("date")
+    out = studies.smavg(timed, 20).toPandas().sort_values(["ticker", "time"])
+    same(out["smavg"], per_ticker(pdf, lambda g: g["close"].rolling(20).mean()))
+    out = studies.ado(timed).toPandas().sort_values(["ticker", "time"])
+
+    def flow(g):
+        return (((g["close"] - g["low"]) - (g["high"] - g["close"])) / (g["high"] - g["low"]) * g["volume"]).cumsum()
+    same(out["ado"], per_ticker(pdf, flow))
+
+
+def test_ties_follow_seq(spark):
+    df = spark.createDataFrame([("A", D0, i, float(i)) for i in range(6)], "ticker string, date date, seq int, close double")
+    out = studies.momentum(df, 2).orderBy("seq").collect()
+    assert [r.momentum for r in out] == [None, None, 2.0, 2.0, 2.0, 2.0]
+
+
+def test_top_rows_are_cut_before_the_shuffle(spark):
+    from marketframe.operators import predicates, status
+
+    ev = spark.range(10).select(F.timestamp_seconds("id").alias("event_time"), F.col("id").alias("seq"), (F.col("id") % 3).cast("string").alias("topic"))
+    plan = status.event_history(ev, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and plan.index("WindowGroupLimit") != plan.rindex("WindowGroupLimit")
+    text = F.col("id").cast("string")
+    chain = spark.range(10).select(
+        text.alias("id"), text.alias("underlying"), F.to_date(F.timestamp_seconds("id")).alias("expire_dt"), text.alias("put_call"),
+        F.col("id").cast("double").alias("strike_px"), F.lit(3.0).alias("undl_px"))
+    plan = predicates.option_chain(chain, strike="ATM", points=2)._jdf.queryExecution().optimizedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
+def test_cluster_needs_a_shared_folder(monkeypatch):
+    from marketframe.session import work_dir
+
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key, default)
+
+    class Session:
+        def __init__(self, **kw):
+            self.conf = Conf({k.replace("_", "."): v for k, v in kw.items()})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_dir(Session(spark_master="yarn"), "x")
+    shared = Conf({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs://nn/shared/"})
+    session = Session()
+    session.conf = shared
+    assert work_dir(session, "x").startswith("hdfs://nn/shared/x-")
