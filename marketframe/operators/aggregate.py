@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketframe.functions import values
-from marketframe.operators.series import null_safe, spread_join, with_running
+from marketframe.operators.series import spread_join, with_running
 
 
 def bar_columns(time: str = "time", seq: str = "event_id") -> list[Column]:
@@ -72,7 +72,7 @@ def level_percentages(
     names = [values] if isinstance(values, str) else list(values)
     is_parent, is_child = F.col(level) == 1, F.col(level) == 2
     parent = F.when(is_parent, 1).otherwise(0).cast("bigint")
-    rows = with_running(df, [key], [F.col(pos)], F.floor(F.col(pos) / bucket_rows), {"_gid": parent})
+    rows = with_running(df, [key], [F.col(pos)], F.expr(f"{pos} div {bucket_rows}"), {"_gid": parent})
     span = [F.min(pos).alias("_lo"), F.max(pos).alias("_hi")]
     # one aggregate per (ticker, parent) feeds both sums
     groups = rows.groupBy(key, "_gid").agg(
@@ -96,7 +96,7 @@ def level_group_id(
 ) -> DataFrame:
     """Running count of level 1 rows."""
     parent = F.when(F.col(level) == 1, 1).otherwise(0).cast("bigint")
-    return with_running(df, [key], [F.col(pos)], F.floor(F.col(pos) / bucket_rows), {"gid": parent})
+    return with_running(df, [key], [F.col(pos)], F.expr(f"{pos} div {bucket_rows}"), {"gid": parent})
 
 
 def last_write_wins(df: DataFrame, keys: Sequence[str], pos: str, value: str = "value") -> DataFrame:
@@ -151,24 +151,21 @@ def fill_forward(
 
     A day without a point takes the previous value (``P``) or null (``N``).
     Each point spans the days up to the next one, so no calendar join and no
-    window over whole series is needed: a lead per year bucket finds the next
-    date, and the first date of each later bucket closes the last span.
+    window over whole series is needed: the series is cut into year buckets,
+    and each bucket ends with the first date of the next one.
     """
     if days not in ("A", "W") or fill not in ("P", "N"):
         raise ValueError("days must be A or W, fill must be P or N")
     keys = list(keys)
-    points = hist.where(F.col(value).isNotNull()) if fill == "P" else hist
-    points = points.withColumn("_year", F.year("date"))
-    firsts = points.groupBy(*keys, "_year").agg(F.min("date").alias("_first"))
-    nxt = firsts.select(
-        *keys, "_year", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_year")).alias("_next_first")
-    )
-    inside = points.withColumn(
-        "_next", F.lead("date").over(Window.partitionBy(*keys, "_year").orderBy("date"))
-    )
-    spans = null_safe(inside, nxt, [*keys, "_year"])
-    until = F.coalesce("_next", "_next_first")
-    stop = F.coalesce(F.date_sub(until, 1), F.lit(end).cast("date"), F.col("date"))
+    points = (hist.where(F.col(value).isNotNull()) if fill == "P" else hist).select(*keys, "date", value)
+    points = points.withColumn("_year", F.year("date")).withColumn("_end", F.lit(0))
+    firsts = points.groupBy(*keys, "_year").agg(F.min("date").alias("date"))
+    later = F.lead("date").over(Window.partitionBy(*keys).orderBy("_year"))
+    ends = firsts.select(*keys, "_year", later.alias("date"), F.lit(1).alias("_end")).where("date is not null")
+    inside = Window.partitionBy(*keys, "_year").orderBy("_end", "date")
+    merged = points.unionByName(ends, allowMissingColumns=True)
+    spans = merged.withColumn("_next", F.lead("date").over(inside)).where(F.col("_end") == 0)
+    stop = F.coalesce(F.date_sub("_next", 1), F.lit(end).cast("date"), F.col("date"))
     stop = F.greatest(stop, F.col("date"))
     out = spans.withColumn("day", F.explode(F.sequence(F.col("date"), stop)))
     if start is not None:

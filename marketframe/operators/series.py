@@ -36,21 +36,19 @@ def with_running(
     must fit a task: a year for daily rows, an hour or less for ticks.
     """
     combine, neutral = (F.product, F.lit(1.0)) if product else (F.sum, F.lit(0))
-    b = df.withColumns({"_bucket": bucket, **{f"_v_{n}": expr for n, expr in totals.items()}})
-    sums = b.groupBy(*keys, "_bucket").agg(*[combine(F.col(f"_v_{n}")).alias(f"_s_{n}") for n in totals])
+    valued = {f"_v_{n}": F.coalesce(expr, neutral) for n, expr in totals.items()}
+    rows = df.withColumns({"_bucket": bucket, **valued, "_row": F.lit(1)})
+    sums = rows.groupBy(*keys, "_bucket").agg(*[combine(F.col(v)).alias(v) for v in valued])
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(
-        *[F.col(k).alias(f"_r_{k}") for k in (*keys, "_bucket")],
-        *[F.coalesce(combine(F.col(f"_s_{n}")).over(before), neutral).alias(f"_o_{n}") for n in totals],
+    # what went before a bucket enters it as one leading row: no join, one shuffle of the rows
+    heads = sums.select(
+        *keys, "_bucket", *[F.coalesce(combine(F.col(v)).over(before), neutral).alias(v) for v in valued],
+        F.lit(0).alias("_row"),
     )
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    b = b.withColumns({f"_i_{n}": F.coalesce(combine(F.col(f"_v_{n}")).over(inside), neutral) for n in totals})
-    same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in (*keys, "_bucket")]
-    out = b.join(offsets, same).withColumns({
-        n: F.col(f"_o_{n}") * F.col(f"_i_{n}") if product else F.col(f"_o_{n}") + F.col(f"_i_{n}") for n in totals
-    })
-    helpers = [f"_{p}_{n}" for p in "voi" for n in totals]
-    return out.drop("_bucket", *helpers, *[f"_r_{k}" for k in (*keys, "_bucket")])
+    inside = Window.partitionBy(*keys, "_bucket").orderBy("_row", *order).rowsBetween(Window.unboundedPreceding, 0)
+    merged = rows.unionByName(heads, allowMissingColumns=True)
+    run = merged.withColumns({n: combine(F.col(f"_v_{n}")).over(inside) for n in totals})
+    return run.where(F.col("_row") == 1).drop("_bucket", "_row", *valued)
 
 
 def with_positions(
@@ -72,7 +70,7 @@ def in_blocks(
     size = block_rows or max(BLOCK_ROWS, 4 * (before + after))
     if before > size or after > size:
         raise ValueError("look-back longer than a block")
-    blk = F.floor(F.col(pos) / size).cast("bigint")
+    blk = F.expr(f"{pos} div {size}")
     offset = F.col(pos) % size
     homes = [blk]
     if before:
@@ -136,9 +134,7 @@ def spread_join(rows: DataFrame, stats: DataFrame, keys: list[str], pos: str = "
     it is repeated once per block of rows, so each join key stays bounded.
     """
     size = BLOCK_ROWS
-    rows = rows.withColumn("_cell", F.floor(F.col(pos) / size).cast("bigint"))
-    cells = F.sequence(
-        F.floor(F.col("_lo") / size).cast("bigint"), F.floor(F.col("_hi") / size).cast("bigint")
-    )
+    rows = rows.withColumn("_cell", F.expr(f"{pos} div {size}"))
+    cells = F.sequence(F.expr(f"_lo div {size}"), F.expr(f"_hi div {size}"))
     stats = stats.withColumn("_cell", F.explode(cells)).drop("_lo", "_hi")
     return null_safe(rows, stats, [*keys, "_cell"], "left").drop("_cell")

@@ -448,7 +448,7 @@ def hurst(df: DataFrame, value: str = "close", smallest: int = 8) -> DataFrame:
     def returns(d, w, _):
         return d.withColumn("_r", F.log(F.try_divide(F.col(value), F.lag(value).over(w)))).withColumn("_i", _pos() - 1)
     base = _run(_placed(df), 1, returns).where(F.col("_i") >= 0).select(KEY, F.col("_i").alias("pos"), "_r")
-    run = series.with_running(base, [KEY], [_pos()], F.floor(_pos() / series.BLOCK_ROWS), {"_sum": F.col("_r")})
+    run = series.with_running(base, [KEY], [_pos()], F.expr(f"pos div {series.BLOCK_ROWS}"), {"_sum": F.col("_r")})
     size = run.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"), F.min("pos").alias("_lo"), F.max("pos").alias("_hi"))
     rows = series.spread_join(run, size, [KEY])
     # 2**40 rows bound the number of doublings, whatever the length

@@ -131,7 +131,7 @@ def segments(spark: SparkSession, path: str) -> DataFrame:
     order = [F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")]
     # buckets of 4096 order keys: running positions without one task per ticker
     placed = with_running(
-        li, ["k"], order, F.floor(F.col("l_orderkey") / 4096), {"pos": F.lit(1).cast("bigint")}
+        li, ["k"], order, F.expr("l_orderkey div 4096"), {"pos": F.lit(1).cast("bigint")}
     )
     return placed.select(
         _segment_ticker().alias("ticker"), "pos",
