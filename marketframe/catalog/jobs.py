@@ -14,8 +14,8 @@ from marketframe.sources import adapters as A
 UNIVERSE = f"""
 SELECT row_id, ticker, CASE k WHEN 0 THEN 'Index' WHEN 1 THEN 'Index' WHEN 2 THEN 'Equity' WHEN 5 THEN 'Comdty' WHEN 7 THEN ticker ELSE 'Corp' END AS asset,
   CASE k WHEN 0 THEN 'ES' WHEN 1 THEN 'ES' WHEN 2 THEN 'SPY' WHEN 5 THEN 'UX' WHEN 3 THEN regexp_extract(ticker, '^(.+)[0-9]Y', 1)
-    WHEN 4 THEN regexp_extract(ticker, '^(.+)[0-9]Y', 1) WHEN 6 THEN 'CDX EM CDSI GEN ' END AS prefix,
-  CASE WHEN k IN (0, 2) THEN CAST(n AS BIGINT) WHEN k IN (3, 6) THEN 5 WHEN k = 4 THEN 0 END AS index,
+    WHEN 6 THEN 'CDX EM CDSI GEN ' END AS prefix,
+  CASE WHEN k IN (0, 2) THEN CAST(n AS BIGINT) WHEN k IN (3, 6) THEN 5 END AS index,
   CASE WHEN k = 2 THEN 'US' END AS exchange, k IN (1, 5) AS is_specific,
   CASE WHEN k IN (1, 5) THEN o_custkey % 12 + 1 END AS month, CASE k WHEN 1 THEN o_custkey % 100 WHEN 5 THEN CAST(n AS BIGINT) END AS year,
   CASE k WHEN 3 THEN 'CDX IG CDSI' WHEN 4 THEN 'CDX HY CDSI' WHEN 6 THEN 'CDX EM CDSI' END AS cdx_index,

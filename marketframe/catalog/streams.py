@@ -213,3 +213,29 @@ def drain(spark, path):
     schema = rows.schema
     live.drain(live.write_table(rows, folder, flush=live.FlushPolicy(interval="0 seconds")))
     return live.read_rows(spark, folder, schema)
+
+
+@query("live_topic_states", "SELECT topic, state, last_change FROM topic_state")
+def live_topic_states(spark, path):
+    from marketframe.operators import status
+
+    events = A.subscription_events_from(_events(spark, path))
+    return live.run_to_table(status.topic_states(events), "topic-states", "update", ["topic"])
+
+
+@query("live_topic_failures", """SELECT topic AS ticker, detail AS reason, CASE message_type WHEN 'SubscriptionFailure' THEN 'failure' ELSE 'terminated' END AS kind FROM sub_events
+WHERE message_type IN ('SubscriptionFailure', 'SubscriptionTerminated') QUALIFY row_number() OVER (PARTITION BY topic ORDER BY event_time DESC, seq DESC) = 1""")
+def live_topic_failures(spark, path):
+    from marketframe.operators import status
+
+    events = A.subscription_events_from(_events(spark, path))
+    return live.run_to_table(status.topic_failures(events), "topic-failures", "update", ["ticker"])
+
+
+@query("live_stream_metrics", """SELECT topic, count(*) FILTER (WHERE esub <> 'DATALOSS') AS messages_received, count(*) FILTER (WHERE esub = 'DATALOSS') AS data_loss_events,
+max(timestamp) FILTER (WHERE esub <> 'DATALOSS') AS last_message, max(timestamp) FILTER (WHERE esub = 'DATALOSS') AS last_data_loss FROM messages GROUP BY topic""")
+def live_stream_metrics(spark, path):
+    from marketframe.operators import status
+
+    rows = live.live_ticks(A.messages_from(_events(spark, path)), None, ["LAST_TRADE"])
+    return live.run_to_table(status.stream_metrics(rows), "stream-metrics", "update", ["topic"])

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from marketframe import refdata
 
 _CODES = refdata.MONTH_CODES
-_GENERIC = r"^(.+)(\d)\D*$"
+# one index digit from 1 to 9, behind a prefix that does not end in a digit
+_GENERIC = r"^(.*\D)([1-9])\D*$"
 _SPECIFIC = r"^.{2,}[FGHJKMNQUVXZ][0-9]$|^.+[FGHJKMNQUVXZ][0-9]{2}$"
 _TRAILING_3 = r"[0-9]{3}$"
 _CDX = r"^(.*?)\s(GEN|S\d+)\s(?:V(\d+)\s)?(\S+)"

@@ -199,7 +199,7 @@ def instrument_search(
 
 def curve_search(curves: DataFrame, **criteria: str | None) -> DataFrame:
     """Curves that match every criterion given."""
-    allowed = {"country", "currency", "type", "subtype", "curveid", "bbgid"}
+    allowed = {"country", "currency", "type", "subtype", "curveid", "global_id"}
     if set(criteria) - allowed:
         raise ValueError(f"criteria must be among {sorted(allowed)}")
     return curves.where(all_of([F.col(c) == v for c, v in criteria.items() if v is not None]))

@@ -254,27 +254,25 @@ MAX_SAFE_INTEGER = 2**53 - 1
 
 
 def preview_json(df: DataFrame, max_rows: int, max_chars: int, order: Sequence[Column]) -> DataFrame:
-    """The first rows as JSON: long text cut with an ellipsis, unsafe numbers as text.
+    """The first rows as JSON: long text is cut with an ellipsis.
 
-    A top-k report: ``order`` decides which rows are first.
+    Whole numbers beyond 2**53 - 1 and numbers that are not finite appear as
+    text under ``<name>__text``, since JSON readers would not keep them. A
+    top-k report: ``order`` decides which rows are first.
     """
     cols = []
     cut = F.lit(False)
-    for field in df.schema.fields:
-        c, kind = F.col(f"`{field.name}`"), field.dataType.simpleString()
+    for item in df.schema.fields:
+        c, kind = F.col(f"`{item.name}`"), item.dataType.simpleString()
         if kind == "string":
             long = F.length(c) > max_chars
             cut = cut | F.coalesce(long, F.lit(False))
             c = F.when(long, F.concat(F.substring(c, 1, max_chars), F.lit("…"))).otherwise(c)
-        elif kind == "bigint":
-            safe = F.abs(c) <= MAX_SAFE_INTEGER
-            cols.append(F.when(safe, c).alias(field.name))
-            c = F.when(~safe, c.cast("string"))
-            cols.append(c.alias(f"{field.name}__text"))
-            continue
-        elif kind in ("double", "float"):
-            c = F.when(F.isnan(c) | (F.abs(c) == float("inf")), c.cast("string")).otherwise(c.cast("string"))
-        cols.append(c.alias(field.name))
+        elif kind in ("bigint", "double", "float"):
+            safe = F.abs(c) <= MAX_SAFE_INTEGER if kind == "bigint" else ~F.isnan(c) & (F.abs(c) < float("inf"))
+            cols.append(F.when(~safe, c.cast("string")).alias(f"{item.name}__text"))
+            c = F.when(safe, c)
+        cols.append(c.alias(item.name))
     top = df.orderBy(*order).limit(max_rows)
     return top.select(F.to_json(F.struct(*cols)).alias("json"), cut.alias("truncated"))
 

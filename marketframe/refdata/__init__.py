@@ -365,3 +365,14 @@ def rule_map(rules: dict[str, tuple]):
         )
         entries.append(f"'{code}', named_struct({fields})")
     return F.expr("map(" + ", ".join(entries) + ")")
+
+
+def name_frame(spark, which: str):
+    """A fixed name table as a frame: month_codes, dividend_types, dividend_columns, etf_columns, yield_types or country_zones."""
+    tables = {
+        "month_codes": dict(zip(MONTH_CODES, MONTH_NAMES)), "dividend_types": DIVIDEND_TYPES, "dividend_columns": DIVIDEND_COLUMNS,
+        "etf_columns": ETF_COLUMNS, "yield_types": {k: str(v) for k, v in YIELD_TYPES.items()}, "country_zones": COUNTRY_ZONES,
+    }
+    if which not in tables:
+        raise ValueError(f"unknown name table {which!r}; available: {', '.join(tables)}")
+    return spark.createDataFrame(list(tables[which].items()), "key string, value string")

@@ -375,7 +375,10 @@ def messages_from(events: DataFrame) -> DataFrame:
 
 def subscription_events(spark: SparkSession, path: str) -> DataFrame:
     """Events as a subscription log: data, topic, session, admin and service records."""
-    e = table(spark, path, "events")
+    return subscription_events_from(table(spark, path, "events"))
+
+
+def subscription_events_from(e: DataFrame) -> DataFrame:
     key, kind = F.col("event_id"), F.col("event_type")
     pick = lambda names: F.element_at(F.array(*[F.lit(n) for n in names]), (key % len(names) + 1).cast("int"))
     message = (

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketframe.functions import contracts
+from marketframe.operators.scan import date_range, only_tickers
+from marketframe.session import work_dir
 
 BAR_COLUMNS = ["ticker", "time", "open", "high", "low", "close", "volume", "numEvents"]
 BAR_DDL = (
@@ -53,8 +56,6 @@ def bar_cache_write(
     spread = rows.repartition(*CACHE_KEYS, F.pmod(F.xxhash64("ticker"), F.lit(16)))
     out = spread.sortWithinPartitions(*CACHE_KEYS, "ticker", "time")
     if reload and stored is not None:
-        from marketframe.session import work_dir
-
         # the rows read the partitions they replace, so they are written aside first
         aside = work_dir(spark, "bars")
         out.write.parquet(aside)
@@ -66,19 +67,18 @@ def bar_cache_write(
 
 def _stored(spark: SparkSession, path: str) -> DataFrame | None:
     """The stored bars, or None before the first write."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(jvm_path):
-        return None
-    return spark.read.schema(f"{BAR_DDL}, asset string, event string, interval string, date date").parquet(path)
+    try:
+        return spark.read.schema(f"{BAR_DDL}, asset string, event string, interval string, date date").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def bar_cache_read(
     spark: SparkSession, path: str, event: str, interval: str, tickers=None, start=None, end=None
 ) -> DataFrame:
     """Stored bars; event, interval and dates prune folders, tickers are pushed to the files."""
-    from marketframe.operators.scan import date_range, only_tickers
-
     stored = _stored(spark, path)
     if stored is None:
         return spark.createDataFrame([], BAR_DDL)

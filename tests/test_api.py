@@ -62,3 +62,16 @@ def test_handover_is_bounded(md):
         to_client(md.daily("A US Equity"), max_rows=2)
     with pytest.raises(ValueError):
         to_client(md.daily("A US Equity"), "polars")
+
+
+def test_name_tables(spark):
+    from marketframe import refdata
+    from marketframe.operators import studies
+
+    assert dict(map(tuple, refdata.name_frame(spark, "month_codes").collect()))["H"] == "Mar"
+    assert refdata.name_frame(spark, "dividend_types").count() == 10
+    with pytest.raises(ValueError):
+        refdata.name_frame(spark, "other")
+    assert studies.ta_study_params("Stoch")["period_k"] == 14 and "rsi" in studies.ta_studies()
+    with pytest.raises(ValueError, match="available"):
+        studies.study(spark.range(1), "nope")

@@ -77,7 +77,8 @@ def test_parse_ticker(spark):
     assert (p.prefix, p["index"], p.asset, p.exchange) == ("ES", 1, "Index", None)
     p = one(spark, contracts.parse_ticker(lit("SPY2 US Equity")))
     assert (p.prefix, p["index"], p.asset, p.exchange) == ("SPY", 2, "Equity", "US")
-    assert one(spark, contracts.parse_ticker(lit("ES Index"))) is None
+    for bad in ("ES Index", "ES10 Index", "ES0 Index"):
+        assert one(spark, contracts.parse_ticker(lit(bad))) is None
     assert one(spark, contracts.parse_ticker(lit("SPY1 Equity"))) is None
 
 

@@ -291,4 +291,27 @@ def test_bars_order(spark):
 def test_preview_json(spark):
     df = spark.createDataFrame([(1, "abcdef", 2**60, float("nan")), (2, "ab", 5, 1.5)], "k int, s string, n bigint, d double")
     out = [r.json for r in shape.preview_json(df, 2, 3, [F.col("k")]).collect()]
-    assert '"s":"abc…"' in out[0] and '"n__text":"1152921504606846976"' in out[0] and '"d":"NaN"' in out[0]
+    assert '"s":"abc…"' in out[0] and '"n__text":"1152921504606846976"' in out[0] and '"d__text":"NaN"' in out[0]
+    assert '"n":5' in out[1] and '"d":1.5' in out[1]
+
+
+def test_filters_and_columns_reach_the_files(spark, tmp_path):
+    path = str(tmp_path / "hist")
+    spark.createDataFrame([("A", D(2024, 1, 1), "PX_LAST", 1.0, "x")], "ticker string, date date, field string, value double, note string").write.parquet(path)
+    hist = spark.read.parquet(path)
+    plan = scan.hist_scan(hist, ["A", "B"], ["PX_LAST"], "2024-01-01", "2024-02-01")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(date,2024-01-01)" in plan and "In(ticker, [A,B])" in plan and "note" not in plan
+    ticks = spark.createDataFrame([], "ticker string, time timestamp, type string, value double, size bigint, event_id bigint, junk string")
+    ticks.write.parquet(str(tmp_path / "ticks"))
+    scanned = scan.ticks_scan(spark.read.parquet(str(tmp_path / "ticks")), "A", "2024-01-01", "2024-01-02")
+    plan = aggregate.bars_from_ticks(scanned, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(type,TRADE)" in plan and "GreaterThanOrEqual(time" in plan and "junk" not in plan
+
+
+def test_large_lookups_are_not_broadcast_by_hint():
+    import pathlib
+
+    import marketframe
+
+    code = "".join(p.read_text() for p in pathlib.Path(marketframe.__file__).parent.rglob("*.py"))
+    assert "broadcast(" not in code and "crossJoin" not in code and "localCheckpoint" not in code
