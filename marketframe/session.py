@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -32,19 +30,10 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
+    """A fresh folder that the driver and all executors share.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only a local
-    master without the setting (tests) gets a temporary folder instead.
+    The cluster names one in ``spark.checkpoint.dir``; without it the folder
+    lies in the warehouse, which is shared too.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = _local_base()
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-
-
-@functools.cache
-def _local_base() -> str:
-    return tempfile.mkdtemp(prefix="marketframe-")

@@ -10,11 +10,11 @@ from marketframe import tune  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]").appName("tests")
         .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g").getOrCreate()
+        .config("spark.driver.memory", "8g").config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("work"))).getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     return tune(session)
