@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketframe.llm import shards
+from marketframe.llm import decontaminate, shards
 from marketframe.llm.common import table
 from marketframe.session import work_dir
 
@@ -35,5 +35,37 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _leaks_sql() -> str:
+    """The same rule on words instead of hashes: masked words, shifts, best window."""
+    seed = lambda mask, w: "concat_ws(' ', '" + mask + "', " + ", ".join(f"{w}[p + {i + 1}]" for i, b in enumerate(mask) if b == "1") + ")"
+    grams = lambda rel, key: " UNION ALL ".join(
+        f"SELECT {key}, p, {seed(m, 'w')} AS seed FROM (SELECT {key}, w, unnest(range(len(w) - {len(m)} + 1)) AS p FROM {rel} WHERE len(w) >= {len(m)})"
+        for m in decontaminate.MASKS)
+    words = "[x FOR x IN regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+') IF x <> '']"
+    return f"""
+WITH d AS MATERIALIZED (SELECT doc_id, {words} AS w FROM documents),
+b AS MATERIALIZED (SELECT item_id, w FROM (SELECT item_id, {words} AS w FROM benchmark) WHERE len(w) >= {decontaminate.MIN_ITEM}),
+bs AS MATERIALIZED ({grams('b', 'item_id')}),
+ds AS MATERIALIZED ({grams('d', 'doc_id')}),
+hits AS MATERIALIZED (SELECT DISTINCT doc_id, item_id, ds.p - bs.p AS shift FROM ds JOIN bs USING (seed)),
+laid AS MATERIALIZED (SELECT doc_id, item_id, least(len(b.w), {decontaminate.WINDOW}) AS width,
+    [CASE WHEN shift + j >= 0 AND b.w[j + 1] = d.w[shift + j + 1] THEN 1 ELSE 0 END FOR j IN range(len(b.w))] AS equal
+    FROM hits JOIN b USING (item_id) JOIN d USING (doc_id)),
+best AS (SELECT doc_id, item_id, width, list_max([list_sum(list_slice(equal, s + 1, s + width)) FOR s IN range(len(equal) - width + 1)]) AS agreed FROM laid),
+proven AS (SELECT doc_id, string_agg(item_id::VARCHAR, ',' ORDER BY item_id) AS items, count(*) AS n_items
+    FROM (SELECT DISTINCT doc_id, item_id FROM best WHERE agreed >= ceil(width * {decontaminate.AGREE})) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_tokens, n_items IS NOT NULL AS contaminated, coalesce(n_items, 0)::BIGINT AS n_items, coalesce(items, '') AS items
+FROM d LEFT JOIN proven USING (doc_id)"""
+
+
+@query("op4_decontamination", _leaks_sql())
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that each document holds."""
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n = F.size("items").cast("long")
+    return found.select(F.col("id").alias("doc_id"), "n_tokens", (n > 0).alias("contaminated"), n.alias("n_items"),
+                        F.array_join(F.transform("items", lambda x: x.cast("string")), ",").alias("items"))
+
+
 def load() -> tuple[dict, dict]:
     return dict(QUERIES), dict(ORACLES)
