@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketframe.llm import decontaminate, shards
-from marketframe.llm.common import table
+from marketframe.llm import decontaminate, shards, simhash
+from marketframe.llm.common import small_batches, table
 from marketframe.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,5 +67,13 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_join(F.transform("items", lambda x: x.cast("string")), ",").alias("items"))
 
 
+@query("op6_simhash")
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document. No SQL: DuckDB has no XXH64."""
+    small_batches(spark)
+    found = simhash.groups(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), simhash.hex_of(F.col("fp")).alias("fingerprint"), F.col("group").alias("component_id"))
+
+
 def load() -> tuple[dict, dict]:
     return dict(QUERIES), dict(ORACLES)
