@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketframe.llm import decontaminate, shards, simhash
+from marketframe.llm import decontaminate, langid, shards, simhash
 from marketframe.llm.common import small_batches, table
 from marketframe.session import work_dir
 
@@ -75,5 +75,13 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), simhash.hex_of(F.col("fp")).alias("fingerprint"), F.col("group").alias("component_id"))
 
 
+@query("op7_langid")
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document. No SQL: a trained model."""
+    small_batches(spark)
+    found = langid.identify(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "held_out", F.col("lang").alias("lang_pred"), "score")
+
+
 def load() -> tuple[dict, dict]:
     return dict(QUERIES), dict(ORACLES)
