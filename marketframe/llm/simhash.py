@@ -257,3 +257,83 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
     group = named.groupBy("root").agg(F.min("first").alias("group"))
     of_point = named.join(group.withColumnRenamed("root", "r"), F.col("root") == F.col("r")).select(F.col("fp").alias("p"), "group")
     return marked.join(of_point, F.col("fp") == F.col("p")).select("id", "fp", "group")
+
+
+def _marks(width: int, seeds: tuple[int, ...]):
+    """Arrow-batched function text -> (fingerprints of single words, one of shingles, distinct 32-bit shingle hashes)."""
+    import pandas as pd
+
+    @pandas_udf("words array<long>, near long, shingles array<int>")
+    def marks(texts):
+        out = []
+        for t in texts:
+            shingles = shingle_hashes(t, width)
+            kept = np.unique((shingles >> np.uint64(32)).astype(np.uint32)).view(np.int32)
+            out.append(([majority(shingle_hashes(t, 1, s)) for s in seeds], majority(shingles), kept))
+        return pd.DataFrame(out, columns=["words", "near", "shingles"])
+    return marks
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similar: float = 0.8,
+                    seeds: tuple[int, ...] = (42, 43), most: int = MAX_BITS, max_run: int = MAX_RUN) -> DataFrame:
+    """Groups of documents whose shingle sets are alike: (id, node, group, n_links); node names the exact text.
+
+    Candidates are texts whose fingerprints over single words differ in at most
+    ``most`` bits, for any of several hash seeds: an edited word changes one
+    feature there, not ``width`` of them. Within a run of equal variants the
+    links of a minimum spanning forest, by the fingerprint over shingles, are
+    kept, and every link is verified: the sets of ``width``-word shingles must
+    have a Jaccard similarity of ``similar`` or more. Exact copies are one node.
+    """
+    rows = pick(docs, id=id_col, text=text_col).withColumn("node", F.xxhash64(F.coalesce("text", F.lit(""))))
+    ids = rows.groupBy("node").agg(F.min("id").alias("first"))
+    marked = rows.withColumn("m", _marks(width, seeds)(F.col("text"))).select("id", "node", "m.*")
+    marked = stored(marked, "near-marks")
+    once = marked.select("node", "words", "near").groupBy("node").agg(
+        F.min("near").alias("near"), *[F.min(F.col("words")[i]).alias(f"fp{i}") for i in range(len(seeds))])
+    once = stored(once, "near-points")
+    pairs = None
+    for i in range(len(seeds)):
+        found = links(once.select(F.col(f"fp{i}").alias("fp"), "near", "node"), most, max_run, labelled=True)
+        pairs = found if pairs is None else pairs.unionByName(found)
+    pairs = stored(pairs.distinct(), "near-pairs")
+
+    named = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = marked.select("node", "id", "shingles").join(ids.join(named, "node").select("node", F.col("first").alias("id")), ["node", "id"])
+    sets = stored(sets.dropDuplicates(["node"]).select("node", "shingles"), "near-sets")
+    both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+    common = F.size(F.array_intersect("sa", "sb"))
+    alike = both.where(common >= F.lit(similar) * (F.size("sa") + F.size("sb") - common)).select("a", "b")
+    alike = stored(alike, "near-links")
+    roots = components(alike)
+    named = ids.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+    group = named.groupBy("root").agg(F.min("first").alias("group"))
+    of_node = named.join(group.withColumnRenamed("root", "r"), F.col("root") == F.col("r")).select(F.col("node").alias("n"), "group", "root")
+    return marked.select("id", "node").join(of_node, F.col("node") == F.col("n")).select("id", "node", "group", "root")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The document with the smallest id of each group of near-duplicates; all columns kept.
+
+    A group whose ids are all null keeps one of its rows.
+    """
+    names = docs.columns
+    found = stored(near_duplicates(docs, id_col, text_col, **options), "near-groups")
+    # one (id, text) per group stays: that of the smallest id, the smallest text name on ties
+    best = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("best"), F.count(F.lit(1)).alias("n"))
+    best = best.select("root", F.col("best.id").alias("best_id"), F.col("best.node").alias("best_node"))
+    judged = found.join(best, "root")
+    stays = F.col("id").eqNullSafe(F.col("best_id")) & (F.col("node") == F.col("best_node"))
+    gone = judged.where(~stays).select(F.col("id").alias("_id"), F.col("node").alias("_node")).distinct()
+    again = judged.where(stays).groupBy("id", "node").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("id").alias("_id"), F.col("node").alias("_node"))
+
+    flat = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+    node = F.xxhash64(F.coalesce(F.col(f"_c{names.index(text_col)}"), F.lit("")))
+    flat = flat.withColumn("_at", node)
+    on = F.col(f"_c{names.index(id_col)}").eqNullSafe(F.col("_id")) & (F.col("_at") == F.col("_node"))
+    left = flat.join(gone, on, "left_anti")
+    if not again.isEmpty():  # rows that repeat both id and text: one of them
+        again = stored(again, "near-repeated")
+        repeated = left.join(again, on, "left_semi").dropDuplicates([f"_c{names.index(id_col)}", "_at"])
+        left = left.join(again, on, "left_anti").unionByName(repeated)
+    return left.drop("_at").toDF(*names)
