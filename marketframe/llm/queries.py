@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketframe.llm import decontaminate, langid, mixing, shards, simhash
+from marketframe.llm import chat, decontaminate, langid, licenses, mixing, shards, simhash
 from marketframe.llm.common import small_batches, table
 from marketframe.session import work_dir
 
@@ -125,5 +125,27 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), *mixing.DIMENSIONS, "tokens", (F.floor(F.col("p") * 1e6 + 0.5) / 1e6).alias("p"), "drawn")
 
 
+@query("op5_licenses")
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence findings of every document. No SQL: expressions are parsed."""
+    small_batches(spark)
+    return licenses.license_scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query("op9_chat", """
+WITH turns AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+prefixes AS MATERIALIZED (SELECT conv_id, row_number() OVER w AS n, string_agg(md5(role) || md5(text), '') OVER w AS prefix
+    FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text ROWS UNBOUNDED PRECEDING)),
+whole AS MATERIALIZED (SELECT conv_id, max(n) AS n_turns, arg_max(prefix, n) AS prefix FROM prefixes GROUP BY conv_id),
+kept AS (SELECT min(conv_id) AS conv_id, count(*) AS n_copies FROM whole
+    WHERE prefix NOT IN (SELECT p.prefix FROM prefixes p JOIN whole w ON p.conv_id IS NOT DISTINCT FROM w.conv_id WHERE p.n < w.n_turns) GROUP BY prefix)
+SELECT k.conv_id, w.n_turns::BIGINT AS n_turns, n_copies::BIGINT AS n_copies,
+    string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>', chr(10) ORDER BY turn NULLS LAST, role, text) AS text
+FROM kept k JOIN whole w ON k.conv_id IS NOT DISTINCT FROM w.conv_id JOIN turns t ON k.conv_id IS NOT DISTINCT FROM t.conv_id GROUP BY ALL""")
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal conversations, rendered."""
+    return chat.chat_texts(table(spark, sf_dir, "conversations")).withColumnRenamed("id", "conv_id")
+
+
 def load() -> tuple[dict, dict]:
     return dict(QUERIES), dict(ORACLES)
