@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketframe.llm import chat, decontaminate, langid, licenses, mixing, shards, simhash
+from marketframe.llm import chat, decontaminate, langid, licenses, mixing, pii, shards, simhash
 from marketframe.llm.common import small_batches, table
 from marketframe.session import work_dir
 
@@ -147,5 +147,13 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_texts(table(spark, sf_dir, "conversations")).withColumnRenamed("id", "conv_id")
 
 
+@query("op1_pii")
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and disclosing terms of every document. No SQL: matches are checked digit by digit."""
+    small_batches(spark)
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone", "base_sha256", pii.spans_text(F.col("spans")).alias("spans"))
+
+
 def load() -> tuple[dict, dict]:
     return dict(QUERIES), dict(ORACLES)
