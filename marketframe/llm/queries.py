@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketframe.llm import chat, decontaminate, langid, licenses, mixing, pii, shards, simhash
+from marketframe.llm import chat, decontaminate, langid, licenses, mixing, pii, shards, simhash, topk
 from marketframe.llm.common import small_batches, table
 from marketframe.session import work_dir
 
@@ -155,5 +155,17 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone", "base_sha256", pii.spans_text(F.col("spans")).alias("spans"))
 
 
+@query("op3_topk", """
+WITH v AS MATERIALIZED (SELECT vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""")
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest inner products of every twentieth vector with all others."""
+    found = topk.top_k(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def load() -> tuple[dict, dict]:
     return dict(QUERIES), dict(ORACLES)
