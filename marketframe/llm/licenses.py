@@ -134,7 +134,7 @@ def evaluate(expression: str) -> tuple[list[str], float]:
             names.append(step)
             stack.append((limit_of(step), True))
             continue
-        (right, plain), (left, _) = stack.pop(), stack.pop()
+        (right, _), (left, plain) = stack.pop(), stack.pop()
         if step == "with":
             if not plain:
                 return ["unreadable"], LIMITS["unreadable"]

@@ -275,7 +275,7 @@ def _marks(width: int, seeds: tuple[int, ...]):
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similar: float = 0.8,
-                    seeds: tuple[int, ...] = (42, 43), most: int = MAX_BITS, max_run: int = MAX_RUN) -> DataFrame:
+                    seeds: tuple[int, ...] = (42, 43, 44), most: int = MAX_BITS, max_run: int = MAX_RUN) -> DataFrame:
     """Groups of documents whose shingle sets are alike: (id, node, group, n_links); node names the exact text.
 
     Candidates are texts whose fingerprints over single words differ in at most
