@@ -7,7 +7,7 @@ shorter stands unchanged in the longer, shifted by no more than the edits
 before it allow. So every line is indexed by (length, number, text) of its
 segments and probes with the few substrings that can match a segment of a line
 as long or up to EDITS shorter. Equal keys meet in a hash join; candidates are
-verified by edit distance computed in a band of EDITS around the diagonal.
+verified along the band of diagonals that EDITS edits can reach.
 
 Only DataFrame functions. Equal lines are one row before anything is joined,
 and line texts are shuffled once: index, probes and both sides of the
@@ -29,10 +29,12 @@ from marketframe.llm.common import pick, text_or_empty
 
 EDITS, LEAST = 2, 20
 BLANKS = " \t\r\x0b\f"
+# Counts of these letters, modulo 16, tell most candidates apart: an edit changes them by two together at most.
+LETTERS = "enaitr"
 
 
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Non-blank lines with a 96-bit name: (id, line_no, line, h1, h2). Line numbers count from 0, blank lines too."""
+    """Non-blank lines with two hashes: (id, line_no, line, h1, h2). Line numbers count from 0, blank lines too."""
     rows = pick(docs, id=id_col, text=text_col)
     rows = rows.select("id", F.posexplode(F.split(text_or_empty("text"), "\n")).alias("line_no", "raw"))
     rows = rows.select("id", "line_no", F.btrim("raw", F.lit(BLANKS)).alias("line")).where("line <> ''")
@@ -57,46 +59,103 @@ def index_keys(line: Column, edits: int) -> Column:
 
 
 def probe_keys(line: Column, edits: int, least: int) -> Column:
-    """Keys of all substrings that can be a segment of an indexed line; null where that line would be too short."""
+    """Keys of all substrings that can be a segment of an indexed line; null where that line would be too short.
+
+    Lines of equal length probe each other, so of two opposite shifts one will do.
+    """
     keys = []
     for shorter in range(edits + 1):
         length = F.length(line) - shorter
         for i in range(edits + 1):
             start, size = _segment(length, i, edits + 1)
             # edits before the segment shift it by at most i, those after it by at most the rest
-            for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + (edits - i)) + 1):
+            for shift in range(max(-i if shorter else 0, shorter - (edits - i)), min(i, shorter + (edits - i)) + 1):
                 fits = (length >= least) & (start + shift >= 0) & (start + shift + size <= F.length(line))
                 keys.append(F.when(fits, _key(length, i, line, start + shift, size)))
     return F.array(*keys)
 
 
+def letter_counts(line: Column) -> Column:
+    """Counts of ``LETTERS`` modulo 16, four bits each."""
+    packed = F.lit(0)
+    for i, letter in enumerate(LETTERS):
+        count = (F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))) % 16
+        packed = packed.bitwiseOR(F.shiftleft(count, 4 * i))
+    return packed
+
+
+def may_be_close(a: Column, b: Column, edits: int) -> Column:
+    """False only where letter counts prove more than ``edits`` edits."""
+    apart = F.lit(0)
+    for i in range(len(LETTERS)):
+        nibble = lambda c: F.shiftright(c, 4 * i).bitwiseAND(F.lit(15))  # noqa: B023, E731
+        gap = F.abs(nibble(a) - nibble(b))
+        apart = apart + F.least(gap, F.lit(16) - gap)
+    return apart <= 2 * edits
+
+
+def within(a: Column, b: Column, edits: int) -> Column:
+    """Whether two texts are within ``edits`` edits.
+
+    Only the diagonals of the band are followed: for each number of edits and
+    each diagonal, how far ``a`` is matched at most. Equal stretches are passed
+    by comparing substrings in doubling steps, largest first, so a pair costs a
+    few passes over its text however long it is.
+    """
+    n, m = F.length(a), F.length(b)
+    unreached = F.lit(-(1 << 30))
+    most = F.floor(F.log2(F.least(n, m) + 1)).cast("int")
+    steps = F.transform(F.sequence(F.lit(0), most), lambda k: F.pow(F.lit(2.0), most - k).cast("int"))
+
+    def run(start: Column, d: Column | int) -> Column:
+        """The end of the equal stretch that begins at ``start`` of a and ``start + d`` of b."""
+        equal = lambda at, step: F.substring(a, at + 1, step) == F.substring(b, at + d + 1, step)
+        return F.aggregate(steps, start, lambda at, step: F.when((at >= 0) & (at + d >= 0) & (at + step <= n) & (at + d + step <= m) & equal(at, step), at + step).otherwise(at))
+
+    def edited(reached: Column) -> Column:
+        """One edit more: a character replaced, one more in a, or one more in b."""
+        def best(at: Column, k: Column) -> Column:
+            one_more_in_b, one_more_in_a = F.get(reached, k - 1), F.get(reached, k + 1) + 1
+            start = F.least(F.greatest(at + 1, one_more_in_b, one_more_in_a), n, m - (k - edits))
+            return run(start, k - edits)
+        return F.transform(reached, best)
+
+    first = F.transform(F.sequence(F.lit(0), F.lit(2 * edits)), lambda k: F.when(k == edits, run(F.lit(0), 0)).otherwise(unreached))
+    last = F.aggregate(F.sequence(F.lit(0), F.lit(edits)), first, lambda reached, e: F.when(e > 0, edited(reached)).otherwise(reached))
+    return F.coalesce(F.get(last, m - n + edits) >= n, F.lit(False))
+
+
 def near_lines(lines: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
-    """Links between different lines within ``edits`` edits: (a1, a2, b1, b2), a the indexed, shorter or equal one."""
-    texts = lines.groupBy("h1", "h2").agg(F.first("line").alias("line"))
+    """Links between different lines within ``edits`` edits: (a, b), a the indexed, shorter or equal one."""
+    texts = lines.groupBy("h1").agg(F.first(F.struct("line", letter_counts(F.col("line")).alias("counts"))).alias("m")).select("h1", "m.*")
     long = texts.where(F.length("line") >= least)
-    indexed = long.select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.explode(index_keys(F.col("line"), edits)).alias("key"))
-    probing = long.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.explode(probe_keys(F.col("line"), edits, least)).alias("key")).where(F.col("key").isNotNull())
-    other = (F.col("a1") != F.col("b1")) | (F.col("a2") != F.col("b2"))
-    pairs = indexed.join(probing, "key").where(other).select("a1", "a2", "b1", "b2").distinct()
-    pairs = pairs.join(texts.toDF("a1", "a2", "line_a"), ["a1", "a2"]).join(texts.toDF("b1", "b2", "line_b"), ["b1", "b2"])
-    close = F.levenshtein("line_a", "line_b", edits)
-    return pairs.where((close >= 0) & (close <= edits)).select("a1", "a2", "b1", "b2")
+    keyed = lambda name, keys: long.select(F.col("h1").alias(name), F.col("counts").alias(f"counts_{name}"), F.explode(keys).alias("key"))
+    indexed, probing = keyed("a", index_keys(F.col("line"), edits)), keyed("b", probe_keys(F.col("line"), edits, least)).where(F.col("key").isNotNull())
+    pairs = indexed.join(probing, "key").where((F.col("a") != F.col("b")) & may_be_close(F.col("counts_a"), F.col("counts_b"), edits))
+    pairs = pairs.select("a", "b").distinct()
+    pairs = pairs.join(texts.select(F.col("h1").alias("a"), F.col("line").alias("line_a")), "a")
+    pairs = pairs.join(texts.select(F.col("h1").alias("b"), F.col("line").alias("line_b")), "b")
+    return pairs.where(within(F.col("line_a"), F.col("line_b"), edits)).select("a", "b")
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least: int = LEAST) -> DataFrame:
-    """Every non-blank line and whether an earlier one is equal (repeated) or close (near): (id, line_no, repeated, near)."""
+    """Every non-blank line and whether an earlier one is equal (repeated) or close (near): (id, line_no, repeated, near).
+
+    Lines meet by a 64-bit name; a second hash keeps lines apart that share it.
+    """
     lines = lines_of(docs, id_col, text_col)
-    place = F.struct(F.col("id").isNull().alias("none"), "id", "line_no")
-    first = lines.groupBy("h1", "h2").agg(F.min(place).alias("first"))
-    links = near_lines(lines, edits, least)
-    links = links.join(first.toDF("a1", "a2", "first_a"), ["a1", "a2"]).join(first.toDF("b1", "b2", "first_b"), ["b1", "b2"])
+    none = F.col("id").isNull().alias("none")
+    first = lines.groupBy("h1").agg(F.min(F.struct(none, "id", "line_no", "h2")).alias("first"))
+    first = first.select("h1", F.struct("first.none", "first.id", "first.line_no").alias("first"), F.col("first.h2").alias("first_h2"))
+    place = lambda name: first.select(F.col("h1").alias(name), F.col("first").alias(f"first_{name}"))
+    links = near_lines(lines, edits, least).join(place("a"), "a").join(place("b"), "b")
     # of each link the line that comes first later is the near one; lines that come first at one place (rows that share an id) both stay
-    a_later = F.col("first_a") > F.col("first_b")
-    later = links.where(F.col("first_a") != F.col("first_b")).select(F.when(a_later, F.col("a1")).otherwise(F.col("b1")).alias("h1"), F.when(a_later, F.col("a2")).otherwise(F.col("b2")).alias("h2"))
-    later = later.distinct().withColumn("near", F.lit(True))
-    known = first.join(later, ["h1", "h2"], "left").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
-    joined = lines.select("id", "line_no", "h1", "h2").join(known, ["h1", "h2"])
-    return joined.select("id", "line_no", (place != F.col("first")).alias("repeated"), "near")
+    later = links.where(F.col("first_a") != F.col("first_b")).select(F.when(F.col("first_a") > F.col("first_b"), F.col("a")).otherwise(F.col("b")).alias("h1"))
+    known = first.join(later.distinct().withColumn("near", F.lit(True)), "h1", "left")
+    joined = lines.select("id", "line_no", "h1", "h2").join(known, "h1")
+    same = F.col("h2") == F.col("first_h2")
+    repeated = same & (F.struct(none, "id", "line_no") != F.col("first"))
+    return joined.select("id", "line_no", repeated.alias("repeated"), (same & F.coalesce("near", F.lit(False))).alias("near"))
 
 
 def per_document(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
