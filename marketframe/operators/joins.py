@@ -20,17 +20,25 @@ def security_field_scaffold(ref: DataFrame, tickers: DataFrame, fields: Sequence
 
 
 def currency_lookup(ref: DataFrame, pos: str | None = None) -> DataFrame:
-    """Currency per ticker: trimmed, blanks dropped, the later row wins."""
+    """Currency per ticker: trimmed, blanks dropped, the later row wins.
+
+    ``pos`` (by default a column of that name, where there is one) orders the
+    rows; without it a ticker with two different currencies is an error.
+    """
+    pos = pos or ("pos" if "pos" in ref.columns else None)
     rows = ref.where(F.upper("field") == "CRNCY").withColumn("crncy", F.trim("value")).where(F.col("crncy") != "")
-    last = F.max_by("crncy", pos) if pos else F.max("crncy")
-    return rows.groupBy("ticker").agg(last.alias("crncy"))
+    if pos:
+        return rows.groupBy("ticker").agg(F.max_by("crncy", pos).alias("crncy"))
+    doubled = F.raise_error(F.concat(F.lit("several currencies and no position: "), F.col("ticker")))
+    ends = rows.groupBy("ticker").agg(F.min("crncy").alias("_first"), F.max("crncy").alias("_last"))
+    return ends.select("ticker", F.when(F.col("_first") == F.col("_last"), F.col("_last")).otherwise(doubled).alias("crncy"))
 
 
-def fx_terms(ref: DataFrame, target: str) -> DataFrame:
+def fx_terms(ref: DataFrame, target: str, pos: str | None = None) -> DataFrame:
     """Per ticker: currency, pair, factor and whether a conversion is needed."""
     ccy, to = F.col("crncy"), F.lit(target)
     needs = ~currency.same_currency(ccy, to)
-    return currency_lookup(ref).select(
+    return currency_lookup(ref, pos).select(
         "ticker", "crncy",
         F.when(needs, currency.fx_pair(ccy, to)).alias("pair"),
         F.when(needs, currency.fx_factor(ccy)).otherwise(F.lit(1.0)).alias("factor"),
@@ -38,9 +46,9 @@ def fx_terms(ref: DataFrame, target: str) -> DataFrame:
     )
 
 
-def fx_requirements(ref: DataFrame, target: str) -> DataFrame:
+def fx_requirements(ref: DataFrame, target: str, pos: str | None = None) -> DataFrame:
     """Distinct pairs the conversion of a table needs."""
-    return fx_terms(ref, target).where("needs_conversion").select("pair").distinct()
+    return fx_terms(ref, target, pos).where("needs_conversion").select("pair").distinct()
 
 
 def currencies_needing_conversion(currencies: DataFrame, target: str, col: str = "crncy") -> DataFrame:

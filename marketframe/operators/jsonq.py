@@ -77,9 +77,9 @@ _GRID = (
 
 
 def search_grid_header(df: DataFrame, json_col: str) -> list[str]:
-    """Column names: display units, else the names of the first row; ``ticker`` if there is nothing.
+    """Column names of all documents: display units, else the names of a document's first row; ``ticker`` if there is nothing.
 
-    The header is one list, read from the first document that has one.
+    Documents may have different headers; names keep the order of their first place.
     """
     doc = F.from_json(json_col, _GRID)
     units = F.transform(
@@ -90,8 +90,8 @@ def search_grid_header(df: DataFrame, json_col: str) -> list[str]:
     inner = F.get_json_object(first_row, "$.resultsRow")
     names = F.json_object_keys(F.coalesce(inner, first_row))
     header = F.when(F.size(units) > 0, units).otherwise(names)
-    row = df.select(header.alias("h")).where(F.size("h") > 0).limit(1).first()
-    return list(row["h"]) if row else ["ticker"]
+    places = df.select(F.posexplode(header).alias("at", "name")).groupBy("name").agg(F.min("at").alias("at"))
+    return [r["name"] for r in places.orderBy("at", "name").collect()] or ["ticker"]  # as many as there are fields
 
 
 def search_grid(df: DataFrame, json_col: str, keys: Sequence[str] = (), header: Sequence[str] | None = None) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import datetime
+import decimal
+import math
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -211,6 +215,21 @@ def govt_search(govts: DataFrame, query: str, partial: bool = True) -> DataFrame
     return govts.where(t.startswith(query.upper()) if partial else t == query.upper())
 
 
+def sql_literal(value: object) -> str:
+    """A typed SQL literal; anything but plain values is refused."""
+    if value is None or isinstance(value, bool):
+        return {None: "NULL", True: "TRUE", False: "FALSE"}[value]
+    if isinstance(value, (int, float, decimal.Decimal)):
+        return str(value) if math.isfinite(value) else f"DOUBLE('{value}')"
+    if isinstance(value, datetime.datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, datetime.date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    raise TypeError(f"no literal for {type(value).__name__}")
+
+
 class Screens:
     """Named, saved predicates over a snapshot table."""
 
@@ -226,10 +245,8 @@ class Screens:
         """Rows that meet a saved screen; ``:name`` markers take the parameters."""
         if (group, name) not in self._saved:
             raise ValueError(f"no screen {name!r} in {group!r}; saved: {sorted(self._saved)}")
-        text = self._saved[(group, name)]
-        for key, value in params.items():
-            literal = "'" + value.replace("'", "''") + "'" if isinstance(value, str) else str(value)
-            text = text.replace(f":{key}", literal)
+        # whole names, in one pass: a value is never read for markers again
+        text = re.sub(r"(?<!:):([A-Za-z_]\w*)", lambda m: sql_literal(params[m[1]]) if m[1] in params else m[0], self._saved[(group, name)])
         if as_of is not None:
             df = df.where(F.col("date") == F.lit(as_of).cast("date"))
         return df.where(F.expr(text))

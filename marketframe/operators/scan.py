@@ -36,6 +36,16 @@ def request_grid(tickers: DataFrame, fields: Sequence[str]) -> DataFrame:
     return tickers.select("ticker", F.posexplode(names).alias("pos", "field"))
 
 
+def last_of(field: str, pos: str | None) -> Column:
+    """Aggregate: the value of a field's last row by position; without positions each cell has one row."""
+    value = F.when(F.col("field") == field, F.col("value"))
+    return F.max_by(value, F.when(F.col("field") == field, F.col(pos))) if pos else F.max(value)
+
+
+def position(df: DataFrame) -> str | None:
+    return "pos" if "pos" in df.columns else None
+
+
 def ref_scan(
     ref: DataFrame, tickers: DataFrame, fields: Sequence[str], as_of=None, include_errors: bool = False
 ) -> DataFrame:
@@ -52,7 +62,7 @@ def ref_scan(
         value = lambda f: F.max_by(F.when(F.col("field") == f, F.col("value")),
                                    F.when(F.col("field") == f, F.col("date")))
     else:
-        value = lambda f: F.max(F.when(F.col("field") == f, F.col("value")))
+        value = lambda f: last_of(f, position(known))
     # one partial aggregate per ticker instead of a grid and a join
     wide = known.groupBy("ticker").agg(*[value(f).alias(f"v{i}") for i, f in enumerate(names)])
     rows = F.array(*[
@@ -88,14 +98,15 @@ def hist_scan(
 ) -> DataFrame:
     """Per ticker and date present, one row per requested field; null where absent.
 
-    Without ``start`` the range begins eight weeks before ``end``.
+    Without ``start`` the range begins eight weeks before ``end``. Where rows
+    carry a position ``pos``, the last row of a cell counts.
     """
     names = _field_list(fields)
     if end is not None and start is None:
         hist = hist.where(F.col("date") >= F.date_sub(F.lit(end).cast("date"), 56))
     known = date_range(only_tickers(hist, tickers), start, end)
     wide = known.groupBy("ticker", "date").agg(*[
-        F.max(F.when(F.col("field") == f, F.col("value"))).alias(f"v{i}") for i, f in enumerate(names)
+        last_of(f, position(known)).alias(f"v{i}") for i, f in enumerate(names)
     ])
     rows = F.array(*[
         F.struct(F.lit(f).alias("field"), F.col(f"v{i}").alias("value")) for i, f in enumerate(names)
@@ -106,10 +117,15 @@ def hist_scan(
 ADJUSTMENTS = {"split": ("split",), "dvd": ("cash",), "all": ("split", "cash")}
 
 
+VOLUME_FIELDS = ("VOLUME", "PX_VOLUME")
+
+
 def hist_adjust(hist: DataFrame, actions: DataFrame, adjust: str = "all", value: str = "value") -> DataFrame:
     """Prices times the factors of all corporate actions strictly after their date.
 
-    ``actions``: ticker, date, kind (split or cash), factor. Both tables merge
+    ``actions``: ticker, date, kind (split or cash), factor. Of long history
+    (with a column ``field``) price fields (``PX_…``) are multiplied, volumes are
+    divided by the split factors, and all other fields stay. Both tables merge
     into one ordered series cut into year buckets, so neither a range join nor
     a whole ticker in one task is needed.
     """
@@ -119,14 +135,20 @@ def hist_adjust(hist: DataFrame, actions: DataFrame, adjust: str = "all", value:
 
     wanted = actions.where(F.col("kind").isin(*ADJUSTMENTS[adjust]))
     # newest first: an action of the same day comes after the price and does not count
-    events = wanted.select("ticker", "date", F.lit(1).alias("_kind"), F.col("factor").alias("_factor"))
-    prices = hist.withColumn("_kind", F.lit(0)).withColumn("_factor", F.lit(1.0))
+    split = F.when(F.col("kind") == "split", F.col("factor")).otherwise(F.lit(1.0))
+    events = wanted.select("ticker", "date", F.lit(1).alias("_kind"), F.col("factor").alias("_factor"), split.alias("_split"))
+    prices = hist.withColumns({"_kind": F.lit(0), "_factor": F.lit(1.0), "_split": F.lit(1.0)})
     merged = prices.unionByName(events, allowMissingColumns=True)
-    run = with_running(
-        merged, ["ticker"], [F.col("date").desc(), F.col("_kind")], -F.year("date"), {"_after": F.col("_factor")}, product=True
-    )
-    adjusted = run.where(F.col("_kind") == 0).withColumn(value, F.col(value) * F.col("_after"))
-    return adjusted.drop("_kind", "_factor", "_after")
+    totals = {"_after": F.col("_factor")}
+    if "field" in hist.columns:
+        totals["_after_split"] = F.col("_split")
+    run = with_running(merged, ["ticker"], [F.col("date").desc(), F.col("_kind")], -F.year("date"), totals, product=True)
+    new = F.col(value) * F.col("_after")
+    if "field" in hist.columns:
+        name = F.upper("field")
+        new = (F.when(name.isin(*VOLUME_FIELDS), F.col(value) / F.col("_after_split"))
+               .when(name.startswith("PX_"), new).otherwise(F.col(value)))
+    return run.where(F.col("_kind") == 0).withColumn(value, new).drop("_kind", "_factor", "_split", "_after", "_after_split")
 
 
 def bulk_scan(bulk: DataFrame, tickers: Tickers, field: str, rows: str = "rows") -> DataFrame:
@@ -140,13 +162,19 @@ def bars_scan(
 ) -> DataFrame:
     """Bars of one whole day or of an explicit time range."""
     if dt is not None:
-        start, end = f"{dt} 00:00:00", f"{dt} 23:59:59"
-    if start is None or end is None:
+        out = whole_days(only_tickers(bars, tickers), dt, dt)
+    elif start is None or end is None:
         raise ValueError("either dt, or both start and end, are required")
-    out = time_range(only_tickers(bars, tickers), start, end)
+    else:
+        out = time_range(only_tickers(bars, tickers), start, end)
     return out.where(F.col("type") == typ) if "type" in bars.columns else out
 
 
+def whole_days(df: DataFrame, first, last, col: str = "time") -> DataFrame:
+    """Rows from the beginning of the first day up to, not including, the day after the last."""
+    return df.where((F.col(col) >= F.lit(str(first)).cast("timestamp")) & (F.col(col) < F.date_add(F.lit(str(last)).cast("date"), 1).cast("timestamp")))
+
+
 def time_range(df: DataFrame, start, end, col: str = "time") -> DataFrame:
     return df.where(F.col(col).between(F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")))
 
@@ -166,14 +194,14 @@ def quotes_scan(
 
     A date range spans whole days. ``as_of`` stands for the current time.
     """
-    if start is not None and end is not None:
-        lo, hi = F.lit(f"{start} 00:00:00").cast("timestamp"), F.lit(f"{end} 23:59:59").cast("timestamp")
+    if (start is None) != (end is None):
+        raise ValueError("give both start and end, or neither")
+    known = only_tickers(ticks, tickers).where(F.col("type").isin(list(event_types)))
+    if start is not None:
+        known = whole_days(known, start, end)
     else:
         hi = F.lit(as_of).cast("timestamp")
-        lo = dates.date_offset(F.lit(date_offset or "-2d"), hi)
-    known = only_tickers(ticks, tickers).where(
-        F.col("time").between(lo, hi) & F.col("type").isin(list(event_types))
-    )
+        known = known.where(F.col("time").between(dates.date_offset(F.lit(date_offset or "-2d"), hi), hi))
     optional = [F.col(c) if c in ticks.columns else F.lit(None).cast("string").alias(c) for c in extras]
     return known.select("ticker", "time", "type", "value", "size", *optional)
 

@@ -70,9 +70,11 @@ def format_semi_long(
     map side, and no job to find the pivot values.
     """
     types = types or {}
+    ordered = "pos" in df.columns and "pos" not in keys  # then the last row of a cell wins
     cols = []
     for f in fields:
-        value = F.max(F.when(F.col("field") == f, F.col("value")))
+        cell = F.when(F.col("field") == f, F.col("value"))
+        value = F.max_by(cell, F.when(F.col("field") == f, F.col("pos"))) if ordered else F.max(cell)
         kind = types.get(f)
         cols.append((value.try_cast(values.SPARK_TYPES[kind]) if kind else value).alias(f))
     return df.groupBy(*keys).agg(*cols)
@@ -155,37 +157,30 @@ def rename_etf_columns(df: DataFrame) -> DataFrame:
     return apply_column_renames(df, refdata.ETF_COLUMNS)
 
 
-def header_name(text: str) -> str:
+def header_name(text: Column) -> Column:
     """Column name of a period header: ``FY 2023`` becomes ``fy2023``."""
-    name = text.strip().lower()
-    for sep in " -/.":
-        name = name.replace(sep, "_")
-    while "__" in name:
-        name = name.replace("__", "_")
-    return name.replace("_20", "20").strip("_")
+    joined = F.regexp_replace(F.lower(F.trim(text)), r"[ \-/._]+", "_")
+    return F.btrim(F.replace(joined, F.lit("_20"), F.lit("20")), F.lit("_"))
 
 
 def earning_header_rename(data: DataFrame, header: DataFrame) -> DataFrame:
-    """Rename ``X Value`` (or ``X``) by the text under ``X Header`` in the one-row header table."""
-    named = [c for c in header.columns if c not in ("ticker", "field")]
-    if not named:
+    """Rename ``X Value`` (or ``X``) by the text under ``X Header`` in the header table.
+
+    The header becomes a relation (column, name), one row per column; of equal
+    names the leftmost column keeps it, and no name of the data is taken twice.
+    """
+    own = [c for c in data.columns if c not in ("ticker", "field")]
+    sources = {c: c.removesuffix(" Value") + " Header" for c in own}
+    cells = [F.struct(F.lit(i).alias("at"), F.lit(c).alias("column"), F.col(f"`{h}`").cast("string").alias("text"))
+             for i, (c, h) in enumerate(sources.items()) if h in header.columns]
+    if not cells:
         return data
-    # first non-blank text per column: one row, whatever the size of the table
-    first = header.agg(*[
-        F.first(F.when(F.trim(F.col(f"`{c}`").cast("string")) != "", F.col(f"`{c}`").cast("string")), True).alias(c)
-        for c in named
-    ]).first()
-    used = {c.lower() for c in data.columns}
-    pairs = {}
-    for c in data.columns:
-        if c in ("ticker", "field"):
-            continue
-        text = dict(zip(named, first)).get((c[: -len(" Value")] if c.endswith(" Value") else c) + " Header")
-        name = header_name(text) if text else ""
-        if name and name != c.lower() and name not in used:
-            pairs[c] = name
-            used.add(name)
-    return data.withColumnsRenamed(pairs)
+    melted = header.select(F.inline(F.array(*cells))).where(F.trim("text") != "")
+    texts = melted.groupBy("at", "column").agg(F.first("text").alias("text"))
+    named = texts.select("at", "column", header_name(F.col("text")).alias("name")).where(
+        (F.col("name") != "") & ~F.col("name").isin([c.lower() for c in data.columns]))
+    kept = named.groupBy("name").agg(F.min_by("column", "at").alias("column"))
+    return data.withColumnsRenamed({r["column"]: r["name"] for r in kept.collect()})  # at most one row per column
 
 
 QUOTE_ORDER = ["ticker", "time", "type", "value", "size"]
