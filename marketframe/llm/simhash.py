@@ -34,7 +34,7 @@ from pyspark.sql.functions import pandas_udf
 
 from marketframe.llm.common import pick, stored
 
-SEED, MAX_BITS, MAX_RUN = 42, 3, 4096
+SEED, MAX_BITS, MAX_RUN, LONG_WORD = 42, 3, 4096, 5
 CHUNK = 1 << 16
 # Shingle fingerprints of texts alike by 0.8 differ in 9.6 of 64 bits on average, in more than 20 once in ten thousand pairs.
 NEAR_BITS = 20
@@ -263,28 +263,47 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
     return marked.join(of_point, F.col("fp") == F.col("p")).select("id", "fp", "group")
 
 
-def _marks(width: int, seeds: tuple[int, ...]):
-    """Arrow-batched function text -> (fingerprints of single words, one of shingles, distinct 32-bit shingle hashes)."""
+def telling_words(text: str | None) -> np.ndarray:
+    """Hashes of the words of ``LONG_WORD`` or more bytes, repeats included; of all words where there are few long ones."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    long = [w for w in words if len(w) >= LONG_WORD]
+    kept = long if len(long) * 4 >= len(words) else words
+    digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(w, SEED) for w in kept), np.uint64, len(kept))
+
+
+def remixed(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Another hash of the same features: a multiplicative mix, different for each ``n`` (unchanged for 0)."""
+    if not n:
+        return hashes
+    x = (hashes ^ np.uint64(0x9E3779B97F4A7C15 * n % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(29))
+
+
+def _marks(width: int, prints: int):
+    """Arrow-batched function text -> (fingerprints of telling words, one of shingles, distinct 32-bit shingle hashes)."""
     import pandas as pd
 
     @pandas_udf("words array<long>, near long, shingles array<int>")
     def marks(texts):
         out = []
         for t in texts:
-            shingles = shingle_hashes(t, width)
+            shingles, words = shingle_hashes(t, width), telling_words(t)
             kept = np.unique((shingles >> np.uint64(32)).astype(np.uint32)).view(np.int32)
-            out.append(([majority(shingle_hashes(t, 1, s)) for s in seeds], majority(shingles), kept))
+            out.append(([majority(remixed(words, n)) for n in range(prints)], majority(shingles), kept))
         return pd.DataFrame(out, columns=["words", "near", "shingles"])
     return marks
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similar: float = 0.8,
-                    seeds: tuple[int, ...] = (42, 43, 44), most: int = MAX_BITS, max_run: int = MAX_RUN) -> DataFrame:
+                    prints: int = 3, most: int = MAX_BITS, max_run: int = MAX_RUN) -> DataFrame:
     """Groups of documents whose shingle sets are alike: (id, node, group, n_links); node names the exact text.
 
     Candidates are texts whose fingerprints over single words differ in at most
-    ``most`` bits, for any of several hash seeds: an edited word changes one
-    feature there, not ``width`` of them. Within a run of equal variants the
+    ``most`` bits, for any of ``prints`` hashes: an edited word changes one
+    feature there, not ``width`` of them. Short words are left out, as they make
+    all texts of a language alike. Within a run of equal variants the
     links of a minimum spanning forest, by the fingerprint over shingles, are
     kept where that fingerprint differs in at most ``NEAR_BITS`` bits, and every
     link is verified: the sets of ``width``-word shingles must
@@ -292,13 +311,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = pick(docs, id=id_col, text=text_col).withColumn("node", F.xxhash64(F.coalesce("text", F.lit(""))))
     ids = rows.groupBy("node").agg(F.min("id").alias("first"))
-    marked = rows.withColumn("m", _marks(width, seeds)(F.col("text"))).select("id", "node", "m.*")
+    marked = rows.withColumn("m", _marks(width, prints)(F.col("text"))).select("id", "node", "m.*")
     marked = stored(marked, "near-marks")
     once = marked.select("node", "words", "near").groupBy("node").agg(
-        F.min("near").alias("near"), *[F.min(F.col("words")[i]).alias(f"fp{i}") for i in range(len(seeds))])
+        F.min("near").alias("near"), *[F.min(F.col("words")[i]).alias(f"fp{i}") for i in range(prints)])
     once = stored(once, "near-points")
     pairs = None
-    for i in range(len(seeds)):
+    for i in range(prints):
         found = links(once.select(F.col(f"fp{i}").alias("fp"), "near", "node"), most, max_run, labelled=True)
         pairs = found if pairs is None else pairs.unionByName(found)
     pairs = stored(pairs.distinct(), "near-pairs")
