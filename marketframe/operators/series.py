@@ -59,6 +59,11 @@ def with_positions(
     return out.withColumn(pos, F.col(pos) - 1)
 
 
+def block_length(before: int, after: int = 0, block_rows: int | None = None) -> int:
+    """Rows of a block: the length asked for, or the usual one, but no shorter than its look-back or look-ahead."""
+    return max(block_rows or max(BLOCK_ROWS, 4 * (before + after)), before, after, 1)
+
+
 def in_blocks(
     df: DataFrame, keys: list[str], before: int, after: int = 0, pos: str = "pos", block_rows: int | None = None
 ) -> DataFrame:
@@ -67,9 +72,7 @@ def in_blocks(
     Adds ``_blk`` and ``_own``; rows with ``_own`` false are copies that only
     feed a window and must be dropped after it (``own_rows``).
     """
-    size = block_rows or max(BLOCK_ROWS, 4 * (before + after))
-    if before > size or after > size:
-        raise ValueError("look-back longer than a block")
+    size = block_length(before, after, block_rows)
     blk = F.expr(f"{pos} div {size}")
     offset = F.col(pos) % size
     homes = [blk]
@@ -89,42 +92,55 @@ def block_window(keys: list[str], pos: str = "pos"):
     return Window.partitionBy(*keys, "_blk").orderBy(pos)
 
 
-# A contribution below this share of the result is lost in a double anyway.
-_NEGLIGIBLE = 1e-30
-
-
-def memory_rows(decay: float) -> int:
-    """Rows after which a past value no longer moves ``y = decay*y + b``."""
-    return 0 if decay <= 0 else math.ceil(math.log(_NEGLIGIBLE) / math.log(decay))
-
+# Weights within a cell stay between exp(-RANGE) and exp(RANGE); what has decayed by exp(-VANISHED) is zero in a double.
+RANGE, VANISHED = 280 * math.log(10), 345 * math.log(10)
 
-def recurrence_block(decays: list[float], before: int) -> int:
-    """Block length for which the weights of the recurrences stay in range.
 
-    Weights run from decay**-n to decay**n around the middle of a block; with
-    the copied rows on one side a block of 2n - 2*before rows is safe while
-    decay**-n stays below 1e290.
-    """
-    limit = min(2 * 290 * math.log(10) / -math.log(d) for d in decays if d > 0)
-    size = int(limit) - 2 * before - 2
-    if size < max(before, 1):
-        raise ValueError("these periods differ too much for one pass; compute them one by one")
-    return min(size, BLOCK_ROWS)
-
-
-def linear_recurrence(b: Column, decay: float, block_rows: int, window, pos: str = "pos") -> Column:
-    """``y[i] = decay*y[i-1] + b[i]`` inside a block, as one running sum.
-
-    y[i] = decay**i * sum(b[j] * decay**-j); exponents are taken around the
-    middle of the block so that neither power leaves the range of a double.
+def smoothed(
+    df: DataFrame, keys: list[str], terms: dict[str, tuple[Column, float]], block_rows: int, pos: str = "pos"
+) -> DataFrame:
+    """Add ``y[i] = decay*y[i-1] + b[i]`` over whole series for each name -> (b, decay) in ``terms``; a null b counts as 0.
+
+    ``df`` is cut into blocks; rows copied into a block get null. A block is cut
+    into cells short enough that y[i] = decay**i * sum(b[j] * decay**-j) stays
+    in the range of a double. The value at the end of each cell is a plain
+    aggregate; folded along the cells of a series it gives the value every cell
+    starts from, which enters the cell as one leading row. Nothing is cut off:
+    the fold looks back until a value has decayed below the smallest double.
     """
-    if decay <= 0:
-        return b
-    centre = F.col("_blk") * block_rows + F.lit(block_rows // 2)
-    power = (F.col(pos) - centre).cast("double")
-    weighted = b * F.pow(F.lit(decay), -power)
-    run = window.rowsBetween(Window.unboundedPreceding, 0)
-    return F.sum(weighted).over(run) * F.pow(F.lit(decay), power)
+    df = df.withColumns({n: b for n, (b, decay) in terms.items() if decay <= 0})
+    decays = {n: decay for n, (_, decay) in terms.items() if decay > 0}
+    if not decays:
+        return df
+    slowest = min(-math.log(d) for d in decays.values())
+    cell = min(block_rows, *[int(2 * RANGE / -math.log(d)) for d in decays.values()])
+    # the last cell of a block may be shorter, but never two in a row
+    reach = math.ceil(VANISHED / slowest / cell) * 2
+
+    values = {n: F.when(F.col("_own"), F.coalesce(terms[n][0], F.lit(0.0))).otherwise(0.0) for n in decays}
+    offset = F.col(pos) % block_rows
+    rows = df.withColumns({f"_b_{n}": v for n, v in values.items()}).withColumns({
+        "_cell": F.floor(offset / cell), "_power": (offset % cell - cell // 2).cast("double"), "_row": F.lit(1)})
+    length = F.least(F.lit(cell), F.lit(block_rows) - F.col("_cell") * cell)
+    left = length - 1 - offset % cell
+    ends = rows.where("_own").groupBy(*keys, "_blk", "_cell").agg(
+        *[F.sum(F.col(f"_b_{n}") * F.pow(F.lit(d), left)).alias(f"_b_{n}") for n, d in decays.items()])
+    earlier = Window.partitionBy(*keys).orderBy("_blk", "_cell").rowsBetween(-reach, -1)
+
+    def start(n: str, decay: float) -> Column:
+        cells = F.collect_list(F.struct(F.col(f"_b_{n}").alias("end"), length.alias("length"))).over(earlier)
+        return F.aggregate(cells, F.lit(0.0), lambda y, c: y * F.pow(F.lit(decay), c["length"]) + c["end"]).alias(f"_b_{n}")
+
+    heads = ends.select(*keys, "_blk", "_cell", F.lit(-1.0 - cell // 2).alias("_power"), F.lit(0).alias("_row"),
+                        *[start(n, d) for n, d in decays.items()])
+    inside = Window.partitionBy(*keys, "_blk", "_cell").orderBy("_row", pos).rowsBetween(Window.unboundedPreceding, 0)
+
+    def value(n: str, decay: float) -> Column:
+        run = F.sum(F.col(f"_b_{n}") * F.pow(F.lit(decay), -F.col("_power"))).over(inside)
+        return F.when(F.col("_own"), run * F.pow(F.lit(decay), F.col("_power")))
+
+    merged = rows.unionByName(heads, allowMissingColumns=True).withColumns({n: value(n, d) for n, d in decays.items()})
+    return merged.where(F.col("_row") == 1).drop("_cell", "_power", "_row", *[f"_b_{n}" for n in decays])
 
 
 def spread_join(rows: DataFrame, stats: DataFrame, keys: list[str], pos: str = "pos") -> DataFrame:

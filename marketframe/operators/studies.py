@@ -2,9 +2,8 @@
 
 Every study works on blocks (see ``series``): a row is null until its
 look-back is full, look-backs count rows, and no ticker is gathered whole in
-one task. Smoothings of the form ``y = a*y + b`` run as one weighted running
-sum inside a block; the rows copied in front of a block are as many as still
-move the result in double precision.
+one task. Smoothings of the form ``y = a*y + b`` run as weighted running sums
+inside a block, to which the end state of the blocks before is carried.
 """
 
 from __future__ import annotations
@@ -52,13 +51,10 @@ def _placed(df: DataFrame) -> DataFrame:
 
 
 def _run(
-    placed: DataFrame, before: int, build: Callable, after: int = 0, decays: Sequence[float] = (),
-    block_rows: int | None = None,
+    placed: DataFrame, before: int, build: Callable, after: int = 0, block_rows: int | None = None,
 ) -> DataFrame:
     """Cut into blocks, add the study's columns, keep each row once."""
-    decays = [d for d in decays if d > 0]
-    before += sum(series.memory_rows(d) for d in decays)
-    size = block_rows or (series.recurrence_block(decays, before) if decays else max(series.BLOCK_ROWS, 4 * (before + after)))
+    size = series.block_length(before, after, block_rows)
     blocks = series.in_blocks(placed, [KEY], before, after, block_rows=size)
     return series.own_rows(build(blocks, series.block_window([KEY]), size)).drop("pos")
 
@@ -71,25 +67,21 @@ def _full(value: Column, n: int) -> Column:
     return F.when(_pos() >= n - 1, value)
 
 
-def _decay(n: int) -> float:
-    return 1 - 2 / (n + 1)
+def _ema(df: DataFrame, size: int, first: int = 0, **terms: tuple[str, int]) -> DataFrame:
+    """EMA with alpha 2/(n+1), seeded with the value at position ``first``, for each name = (column, n)."""
+    def term(x: str, n: int) -> tuple[Column, float]:
+        alpha = 2 / (n + 1)
+        return F.when(_pos() == first, F.col(x)).when(_pos() > first, alpha * F.col(x)), 1 - alpha
+    return series.smoothed(df, [KEY], {out: term(x, n) for out, (x, n) in terms.items()}, size)
 
 
-def _ema(df: DataFrame, x: str, n: int, w, size: int, out: str, first: int = 0) -> DataFrame:
-    """EMA with alpha 2/(n+1), seeded with the value at position ``first``."""
-    alpha = 2 / (n + 1)
-    seeded = F.when(_pos() == first, F.col(x)).when(_pos() > first, alpha * F.col(x)).otherwise(0.0)
-    return df.withColumn(out, series.linear_recurrence(F.coalesce(seeded, F.lit(0.0)), _decay(n), size, w))
-
-
-def _wilder(df: DataFrame, x: str, n: int, w, size: int, out: str, first: int = 1) -> DataFrame:
-    """Mean of the first n values from ``first`` on, then (prev*(n-1) + x)/n; null before."""
+def _wilder(df: DataFrame, n: int, w, size: int, first: int = 1, **terms: str) -> DataFrame:
+    """Mean of the first n values from ``first`` on, then (prev*(n-1) + x)/n, null before, for each name = column."""
     start = first + n - 1
-    mean = F.avg(x).over(_rows(w, n))
-    b = F.when(_pos() == start, F.col("_mean")).when(_pos() > start, F.col(x) / n).otherwise(0.0)
-    df = df.withColumn("_mean", mean)
-    smooth = series.linear_recurrence(F.coalesce(b, F.lit(0.0)), (n - 1) / n, size, w)
-    return df.withColumn(out, F.when(_pos() >= start, smooth)).drop("_mean")
+    df = df.withColumns({f"_mean_{out}": F.avg(x).over(_rows(w, n)) for out, x in terms.items()})
+    b = {out: F.when(_pos() == start, F.col(f"_mean_{out}")).when(_pos() > start, F.col(x) / n) for out, x in terms.items()}
+    df = series.smoothed(df, [KEY], {out: (value, (n - 1) / n) for out, value in b.items()}, size)
+    return df.withColumns({out: F.when(_pos() >= start, F.col(out)) for out in terms}).drop(*[f"_mean_{out}" for out in terms])
 
 
 def smavg(df: DataFrame, period: int = 20, value: str = "close", name: str = "smavg", **kw) -> DataFrame:
@@ -99,9 +91,9 @@ def smavg(df: DataFrame, period: int = 20, value: str = "close", name: str = "sm
 
 def emavg(df: DataFrame, period: int = 20, value: str = "close", name: str = "emavg", **kw) -> DataFrame:
     def build(d, w, size):
-        d = _ema(d, value, period, w, size, "_e")
+        d = _ema(d, size, _e=(value, period))
         return d.withColumn(name, _full(F.col("_e"), period)).drop("_e")
-    return _run(_placed(df), 0, build, decays=[_decay(period)], **kw)
+    return _run(_placed(df), 0, build, **kw)
 
 
 def wmavg(df: DataFrame, period: int = 20, value: str = "close", name: str = "wmavg", **kw) -> DataFrame:
@@ -128,24 +120,22 @@ def rsi(df: DataFrame, period: int = 14, value: str = "close", name: str = "rsi"
         d = d.withColumn("_c", change).withColumn("_g", F.greatest("_c", F.lit(0.0)))
         d = d.withColumn("_l", F.when(F.col("_c").isNotNull(), F.greatest(-F.col("_c"), F.lit(0.0))))
         d = d.withColumn("_g", F.when(F.col("_c").isNotNull(), F.col("_g")))
-        d = _wilder(d, "_g", period, w, size, "_ag")
-        d = _wilder(d, "_l", period, w, size, "_al")
+        d = _wilder(d, period, w, size, _ag="_g", _al="_l")
         strength = F.when(F.col("_al") == 0, 100.0).otherwise(100 - 100 / (1 + F.col("_ag") / F.col("_al")))
         return d.withColumn(name, F.when(F.col("_al").isNotNull(), strength)).drop("_c", "_g", "_l", "_ag", "_al")
-    return _run(_placed(df), period + 1, build, decays=[(period - 1) / period], **kw)
+    return _run(_placed(df), period + 1, build, **kw)
 
 
 def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, value: str = "close", **kw) -> DataFrame:
     if not fast < slow:
         raise ValueError("fast must be shorter than slow")
     def build(d, w, size):
-        d = _ema(d, value, fast, w, size, "_f")
-        d = _ema(d, value, slow, w, size, "_s")
+        d = _ema(d, size, _f=(value, fast), _s=(value, slow))
         d = d.withColumn("macd", _full(F.col("_f") - F.col("_s"), slow))
-        d = _ema(d, "macd", signal, w, size, "_g", first=slow - 1)
+        d = _ema(d, size, first=slow - 1, _g=("macd", signal))
         d = d.withColumn("macd_signal", _full(F.col("_g"), slow + signal - 1))
         return d.withColumn("macd_hist", F.col("macd") - F.col("macd_signal")).drop("_f", "_s", "_g")
-    return _run(_placed(df), 0, build, decays=[_decay(fast), _decay(slow), _decay(signal)], **kw)
+    return _run(_placed(df), 0, build, **kw)
 
 
 def mao(df: DataFrame, short: int, long: int, value: str = "close", name: str = "mao", **kw) -> DataFrame:
@@ -190,10 +180,10 @@ def atr(df: DataFrame, period: int = 14, ma_type: str = "Simple", name: str = "a
         d = d.withColumn("_tr", true_range(w))
         return d.withColumn(name, _full(F.avg("_tr").over(_rows(w, period)), period)).drop("_tr")
     def wilder(d, w, size):
-        return _wilder(d.withColumn("_tr", true_range(w)), "_tr", period, w, size, name, first=0).drop("_tr")
+        return _wilder(d.withColumn("_tr", true_range(w)), period, w, size, first=0, **{name: "_tr"}).drop("_tr")
     if ma_type == "Simple":
         return _run(_placed(df), period, simple, **kw)
-    return _run(_placed(df), period + 1, wilder, decays=[(period - 1) / period], **kw)
+    return _run(_placed(df), period + 1, wilder, **kw)
 
 
 def kltn(
@@ -201,14 +191,14 @@ def kltn(
 ) -> DataFrame:
     """EMA of the close with bands of k mean true ranges."""
     def build(d, w, size):
-        d = _ema(d, "close", period, w, size, "_e").withColumn("_tr", true_range(w))
+        d = _ema(d, size, _e=("close", period)).withColumn("_tr", true_range(w))
         d = d.withColumn("_atr", F.avg("_tr").over(_rows(w, atr_period)))
         n = max(period, atr_period)
         d = d.withColumn("kltn_mid", _full(F.col("_e"), n))
         d = d.withColumn("kltn_upper", F.col("kltn_mid") + width * F.col("_atr"))
         d = d.withColumn("kltn_lower", F.col("kltn_mid") - width * F.col("_atr"))
         return d.drop("_e", "_tr", "_atr")
-    return _run(_placed(df), atr_period + 1, build, decays=[_decay(period)], **kw)
+    return _run(_placed(df), atr_period + 1, build, **kw)
 
 
 def mae(df: DataFrame, period: int = 20, pct: float = 0.05, value: str = "close", **kw) -> DataFrame:
@@ -229,17 +219,15 @@ def dmi(df: DataFrame, period: int = 14, **kw) -> DataFrame:
         plus = F.when((F.col("_u") > F.col("_d")) & (F.col("_u") > 0), F.col("_u")).otherwise(0.0)
         minus = F.when((F.col("_d") > F.col("_u")) & (F.col("_d") > 0), F.col("_d")).otherwise(0.0)
         d = d.withColumn("_p", F.when(moved, plus)).withColumn("_m", F.when(moved, minus))
-        for x in ("_p", "_m", "_tr"):
-            d = _wilder(d, x, period, w, size, f"{x}s")
+        d = _wilder(d, period, w, size, _ps="_p", _ms="_m", _trs="_tr")
         range_ = F.nullif("_trs", F.lit(0.0))
         d = d.withColumn("plus_di", 100 * F.col("_ps") / range_).withColumn("minus_di", 100 * F.col("_ms") / range_)
         both = F.nullif(F.col("plus_di") + F.col("minus_di"), F.lit(0.0))
         dx = F.coalesce(100 * F.abs(F.col("plus_di") - F.col("minus_di")) / both, F.lit(0.0))
         d = d.withColumn("_dx", F.when(_pos() >= period, dx))
-        d = _wilder(d, "_dx", period, w, size, "adx", first=period)
+        d = _wilder(d, period, w, size, first=period, adx="_dx")
         return d.drop("_u", "_d", "_tr", "_p", "_m", "_ps", "_ms", "_trs", "_dx")
-    a = (period - 1) / period
-    return _run(_placed(df), 2 * period + 1, build, decays=[a, a], **kw)
+    return _run(_placed(df), 2 * period + 1, build, **kw)
 
 
 def tas(
@@ -309,10 +297,9 @@ def ado(df: DataFrame, name: str = "ado") -> DataFrame:
 def chko(df: DataFrame, fast: int = 3, slow: int = 10, name: str = "chko", **kw) -> DataFrame:
     """Fast minus slow EMA of accumulation/distribution."""
     def build(d, w, size):
-        d = _ema(d, "_ad", fast, w, size, "_f")
-        d = _ema(d, "_ad", slow, w, size, "_s")
+        d = _ema(d, size, _f=("_ad", fast), _s=("_ad", slow))
         return d.withColumn(name, _full(F.col("_f") - F.col("_s"), slow)).drop("_ad", "_f", "_s")
-    return _run(_accumulated(df, "_ad"), 0, build, decays=[_decay(fast), _decay(slow)], **kw)
+    return _run(_accumulated(df, "_ad"), 0, build, **kw)
 
 
 def goc(df: DataFrame, conversion: int = 9, base: int = 26, span: int = 52, **kw) -> DataFrame:

@@ -35,5 +35,8 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     The cluster names one in ``spark.checkpoint.dir``; without it the folder
     lies in the warehouse, which is shared too.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+    base, warehouse = spark.conf.get("spark.checkpoint.dir", None), spark.conf.get("spark.sql.warehouse.dir", None)
+    if not base and not warehouse:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    base = base or warehouse.rstrip("/") + "/_work"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

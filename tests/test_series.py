@@ -266,3 +266,42 @@ def test_cluster_needs_a_shared_folder(monkeypatch):
     session = Session()
     session.conf = shared
     assert work_dir(session, "x").startswith("hdfs://nn/shared/x-")
+
+
+def halted(spark, moving, n):
+    """One series that moves, rests for the remaining rows, and ends with one move."""
+    rng = np.random.default_rng(3)
+    close = 100 * np.exp(np.cumsum(rng.normal(0, 0.02, moving)))
+    close = np.concatenate((close, np.full(n - moving - 1, close[-1]), [close[-1] * 1.01]))
+    half = np.where(np.arange(n) < moving, 0.01, 0.0)
+    pdf = pd.DataFrame({"ticker": "T0", "date": [D0 + datetime.timedelta(days=i) for i in range(n)],
+                        "high": close * (1 + half * rng.uniform(0, 1, n)), "low": close * (1 - half * rng.uniform(0, 1, n)), "close": close})
+    return pdf, spark.createDataFrame(pdf, "ticker string, date date, high double, low double, close double").repartition(5)
+
+
+@pytest.mark.parametrize("block", [None, 300, 1100])
+def test_smoothings_after_a_rest(spark, block):
+    """Ratios of two decayed means keep their value however long a series rests, in any block length."""
+    pdf, df = halted(spark, 100, 3000)
+    kw = {} if block is None else {"block_rows": block}
+    change = np.diff(pdf["close"].to_numpy(), prepend=np.nan)
+    up, down = wilder(np.maximum(change, 0), 14), wilder(np.maximum(-change, 0), 14)
+    same(result(studies.rsi(df, **kw), "rsi")["rsi"], pd.Series(100 - 100 / (1 + up / down)))
+
+    h, lo, c = (pdf[x].to_numpy() for x in ("high", "low", "close"))
+    u, d = np.diff(h, prepend=np.nan), -np.diff(lo, prepend=np.nan)
+    prev = np.concatenate(([np.nan], c[:-1]))
+    tr = np.fmax.reduce([h - lo, np.abs(h - prev), np.abs(lo - prev)])
+    plus = wilder(np.where((u > d) & (u > 0), u, 0.0), 14) / wilder(tr, 14) * 100
+    minus = wilder(np.where((d > u) & (d > 0), d, 0.0), 14) / wilder(tr, 14) * 100
+    got = result(studies.dmi(df, 14, **kw), "plus_di", "minus_di", "adx")
+    same(got["plus_di"], pd.Series(plus))
+    same(got["adx"], pd.Series(wilder(100 * np.abs(plus - minus) / (plus + minus), 14, first=14)))
+
+
+def test_periods_far_apart(spark):
+    pdf, df = halted(spark, 2500, 3000)
+    c = pdf["close"].to_numpy()
+    want = ema(c, 2) - ema(c, 200)
+    want[:199] = np.nan
+    np.testing.assert_allclose(result(studies.macd(df, 2, 200, 9), "macd")["macd"].to_numpy(), want, rtol=1e-7, atol=1e-9)
