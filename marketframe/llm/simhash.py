@@ -10,7 +10,10 @@ A run gives the edges of a spanning forest, never all its pairs. A run of more
 than ``MAX_RUN`` members is never gathered: its members are dealt again by the
 variants of the other segment, cut into two halves of 16 bits of which again
 one differs in at most one bit. What still meets then agrees in all but 17
-bits, so the second level is bounded by the width of a fingerprint.
+bits, so the second level is bounded by the width of a fingerprint. Runs of
+labelled points, whose links are verified later, are cut into pieces instead:
+each is tied to the member closest to the majority of the piece, which enters
+the next piece too.
 
 Groups are the connected components of the links, found by star contraction
 with every round written to the shared folder.
@@ -40,6 +43,8 @@ CHUNK = 1 << 16
 NEAR_BITS = 20
 # In short runs every pair is compared; in longer ones a spanning forest is grown.
 SHORT_RUN = 8
+# Runs of labelled points that are this long are tied to leaders instead.
+LONG_RUN = 2048
 
 
 def shingle_hashes(text: str | None, width: int, seed: int = SEED) -> np.ndarray:
@@ -119,8 +124,27 @@ def _forest(fp: np.ndarray, near: np.ndarray, most: int) -> list[tuple[int, int]
     return edges
 
 
-def _run_edges(key: np.ndarray, fp: np.ndarray, near: np.ndarray, node: np.ndarray, most: int) -> tuple[list, list]:
-    """Links of whole runs of equal keys, given in key order."""
+def _leader_edges(fp: np.ndarray, near: np.ndarray, most: int) -> tuple[list[tuple[int, int]], int]:
+    """Edges (leader, member) by closeness of ``near``, a forest of the leaders, and the first leader.
+
+    The leader is the member closest to the majority of what is left; all within
+    ``NEAR_BITS`` bits are tied to it: for a large group of copies one pass.
+    """
+    left, leaders, edges = np.arange(len(near)), [], []
+    while len(left):
+        centre = np.uint64(majority(near[left]) % (1 << 64))
+        lead = int(left[np.bitwise_count(near[left] ^ centre).argmin()])
+        close = np.bitwise_count(near[left] ^ near[lead]) <= NEAR_BITS
+        edges += [(lead, j) for j in left[close].tolist() if j != lead]
+        leaders.append(lead)
+        left = left[~close]
+    at = np.array(leaders)
+    edges += [(leaders[i], leaders[j]) for i, j in _forest(fp[at], near[at], most)]
+    return edges, leaders[0]
+
+
+def _run_edges(key: np.ndarray, fp: np.ndarray, near: np.ndarray, node: np.ndarray, most: int, long_run: int | None = None) -> tuple[list, list]:
+    """Links of whole runs of equal keys, given in key order; runs of ``long_run`` points or more are tied to leaders."""
     starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     sizes = np.diff(np.concatenate((starts, [len(key)])))
     size_at = np.repeat(sizes, sizes)
@@ -134,7 +158,10 @@ def _run_edges(key: np.ndarray, fp: np.ndarray, near: np.ndarray, node: np.ndarr
         a.append(node[at])
         b.append(node[at + lag])
     for s, n in zip(starts[sizes > SHORT_RUN].tolist(), sizes[sizes > SHORT_RUN].tolist()):
-        found = _forest(fp[s: s + n], near[s: s + n], most)
+        if long_run is not None and n >= long_run:
+            found = _leader_edges(fp[s: s + n], near[s: s + n], most)[0]
+        else:
+            found = _forest(fp[s: s + n], near[s: s + n], most)
         if found:
             i, j = np.array(found).T
             a.append(node[s + i])
@@ -149,7 +176,7 @@ def _links_of(most: int, max_run: int | None, labelled: bool) -> Callable[[Itera
         return pa.RecordBatch.from_arrays([as_long(x) for x in (a, b, fp, near, key)], names=["a", "b", "fp", "near", "key"])
 
     def linked(rows):
-        a, b = _run_edges(rows[0], rows[1].view(np.uint64), rows[2].view(np.uint64), rows[3], most)
+        a, b = _run_edges(rows[0], rows[1].view(np.uint64), rows[2].view(np.uint64), rows[3], most, min(LONG_RUN, max_run) if labelled else None)
         if a and sum(map(len, a)):
             a, b = np.concatenate(a), np.concatenate(b)
             pairs = np.unique(np.stack((np.maximum(a, b), np.minimum(a, b))), axis=1)
@@ -176,7 +203,13 @@ def _links_of(most: int, max_run: int | None, labelled: bool) -> Callable[[Itera
             last = int(np.searchsorted(rows[0] == rows[0][-1], True))
             done, held = [x[:last] for x in rows], [x[last:] for x in rows]
             yield from finished(done)
-            if max_run is not None and len(held[0]) > max_run:
+            if labelled:
+                while len(held[0]) > max_run:  # piece by piece, tied together by the leader of the piece before
+                    piece, rest = [x[:max_run] for x in held], [x[max_run:] for x in held]
+                    yield from linked(piece)
+                    lead = _leader_edges(piece[1].view(np.uint64), piece[2].view(np.uint64), most)[1]
+                    held = [np.concatenate((x[lead: lead + 1], y)) for x, y in zip(piece, rest)]
+            elif max_run is not None and len(held[0]) > max_run:
                 yield batch_of(held[3], None, held[1], held[2], held[0])
                 passing, held = held[0][0], None
         if held is not None:
@@ -184,7 +217,7 @@ def _links_of(most: int, max_run: int | None, labelled: bool) -> Callable[[Itera
 
     def finished(rows):
         """Links of whole runs; those over the limit are passed on."""
-        if max_run is not None and len(rows[0]):
+        if max_run is not None and not labelled and len(rows[0]):
             starts = np.flatnonzero(np.concatenate(([True], rows[0][1:] != rows[0][:-1])))
             sizes = np.diff(np.concatenate((starts, [len(rows[0])])))
             if (sizes > max_run).any():

@@ -492,3 +492,21 @@ def test_pipeline(spark):
 
 def decontaminated_words(t):
     return " ".join(re.findall(r"[^\W_]+", text(t).lower()))
+
+
+def test_near_copies_in_runs_longer_than_a_piece(spark):
+    """A group of copies far larger than a piece stays one group; other texts stay alone."""
+    rng = random.Random(11)
+    words = lambda n: ["".join(rng.choices("abcdefghij", k=7)) for _ in range(n)]
+    base, rows = words(300), []
+    for i in range(400):
+        copy = list(base)
+        copy[rng.randrange(300)] = f"changed{i}"
+        rows.append((i, " ".join(copy)))
+    rows += [(1000 + i, " ".join(words(300))) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = simhash.near_duplicates(docs, max_run=16).toPandas()
+    copies = found[found["id"] < 1000]["root"].value_counts()
+    assert copies.iloc[0] >= 0.95 * 400
+    assert found[found["id"] >= 1000]["root"].nunique() == 50
+    assert not set(found[found["id"] >= 1000]["root"]) & set(copies.index)
