@@ -6,8 +6,9 @@ into EDITS + 1 segments; if two lines are that close, one segment of the
 shorter stands unchanged in the longer, shifted by no more than the edits
 before it allow. So every line is indexed by (length, number, text) of its
 segments and probes with the few substrings that can match a segment of a line
-as long or up to EDITS shorter. Equal keys meet in a hash join; candidates are
-verified along the band of diagonals that EDITS edits can reach.
+as long or up to EDITS shorter. Equal keys meet in a join; candidates that
+letter counts do not tell apart are verified by a bit-parallel automaton over
+the band of diagonals that EDITS edits can reach.
 
 Only DataFrame functions. Equal lines are one row before anything is joined,
 and line texts are shuffled once: index, probes and both sides of the
@@ -22,6 +23,8 @@ each; null ids come last; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +33,7 @@ from marketframe.llm.common import pick, text_or_empty
 EDITS, LEAST = 2, 20
 BLANKS = " \t\r\x0b\f"
 # Counts of these letters, modulo 16, tell most candidates apart: an edit changes them by two together at most.
-LETTERS = "enaitr"
+LETTERS = "enaitrsodluhcmpg"
 
 
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -77,16 +80,16 @@ def probe_keys(line: Column, edits: int, least: int) -> Column:
 
 def letter_counts(line: Column) -> Column:
     """Counts of ``LETTERS`` modulo 16, four bits each."""
-    packed = F.lit(0)
+    packed = F.lit(0).cast("long")
     for i, letter in enumerate(LETTERS):
         count = (F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))) % 16
-        packed = packed.bitwiseOR(F.shiftleft(count, 4 * i))
+        packed = packed.bitwiseOR(F.shiftleft(count.cast("long"), 4 * i))
     return packed
 
 
 def may_be_close(a: Column, b: Column, edits: int) -> Column:
     """False only where letter counts prove more than ``edits`` edits."""
-    apart = F.lit(0)
+    apart = F.lit(0).cast("long")
     for i in range(len(LETTERS)):
         nibble = lambda c: F.shiftright(c, 4 * i).bitwiseAND(F.lit(15))  # noqa: B023, E731
         gap = F.abs(nibble(a) - nibble(b))
@@ -94,35 +97,60 @@ def may_be_close(a: Column, b: Column, edits: int) -> Column:
     return apart <= 2 * edits
 
 
-def within(a: Column, b: Column, edits: int) -> Column:
-    """Whether two texts are within ``edits`` edits.
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, the value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
 
-    Only the diagonals of the band are followed: for each number of edits and
-    each diagonal, how far ``a`` is matched at most. Equal stretches are passed
-    by comparing substrings in doubling steps, largest first, so a pair costs a
-    few passes over its text however long it is.
-    """
-    n, m = F.length(a), F.length(b)
-    unreached = F.lit(-(1 << 30))
-    most = F.floor(F.log2(F.least(n, m) + 1)).cast("int")
+
+def without_prefix(a: Column, b: Column) -> Column:
+    """Both texts without what they begin with alike, as lists of characters: a struct (a, b)."""
+    least = F.least(F.length(a), F.length(b))
+    most = F.floor(F.log2(least + 1)).cast("int")
     steps = F.transform(F.sequence(F.lit(0), most), lambda k: F.pow(F.lit(2.0), most - k).cast("int"))
+    equal = lambda at, step: F.substring(a, at + 1, step) == F.substring(b, at + 1, step)
+    alike = F.aggregate(steps, F.lit(0), lambda at, step: F.when((at + step <= least) & equal(at, step), at + step).otherwise(at))
+    letters = lambda c, at: F.filter(F.split(F.substring(c, at + 1, F.length(c)), ""), lambda x: x != "")
+    return bound(alike, lambda at: F.struct(letters(a, at).alias("a"), letters(b, at).alias("b")))
 
-    def run(start: Column, d: Column | int) -> Column:
-        """The end of the equal stretch that begins at ``start`` of a and ``start + d`` of b."""
-        equal = lambda at, step: F.substring(a, at + 1, step) == F.substring(b, at + d + 1, step)
-        return F.aggregate(steps, start, lambda at, step: F.when((at >= 0) & (at + d >= 0) & (at + step <= n) & (at + d + step <= m) & equal(at, step), at + step).otherwise(at))
-
-    def edited(reached: Column) -> Column:
-        """One edit more: a character replaced, one more in a, or one more in b."""
-        def best(at: Column, k: Column) -> Column:
-            one_more_in_b, one_more_in_a = F.get(reached, k - 1), F.get(reached, k + 1) + 1
-            start = F.least(F.greatest(at + 1, one_more_in_b, one_more_in_a), n, m - (k - edits))
-            return run(start, k - edits)
-        return F.transform(reached, best)
-
-    first = F.transform(F.sequence(F.lit(0), F.lit(2 * edits)), lambda k: F.when(k == edits, run(F.lit(0), 0)).otherwise(unreached))
-    last = F.aggregate(F.sequence(F.lit(0), F.lit(edits)), first, lambda reached, e: F.when(e > 0, edited(reached)).otherwise(reached))
-    return F.coalesce(F.get(last, m - n + edits) >= n, F.lit(False))
+
+def within(a: Column, b: Column, edits: int) -> Column:
+    """Whether two texts are within ``edits`` (0 to 3) edits: a banded bit-parallel automaton.
+
+    After i characters of ``a``, bit d + edits of field e says that e edits can
+    make them the first i + d characters of ``b``. All fields and diagonals of
+    the band lie in one long and take a character in a few bit operations. What
+    both texts begin with is passed over first, and a pair whose bits are all
+    gone costs nothing more.
+    """
+    if not 0 <= edits <= 3:
+        raise ValueError("the fields of 0 to 3 edits fit into 64 bits")
+    width, field = 2 * edits + 1, 3 * edits + 2
+    each = sum(1 << field * e for e in range(edits + 1))
+    band = F.lit(each * ((1 << width) - 1)).cast("long")
+
+    def added(state: Column) -> Column:
+        """Characters of b put in: one diagonal and one edit further, up to the last field."""
+        reached = state
+        for t in range(1, edits + 1):
+            reached = reached.bitwiseOR(F.shiftleft(state, t * (field + 1)).bitwiseAND(band))
+        return reached
+
+    def close(rest: Column) -> Column:
+        def taken(state: Column, i: Column) -> Column:
+            equal = F.lit(0)
+            for p in range(width):
+                equal = equal + F.when(F.get(rest["b"], i + (p - edits)) == F.get(rest["a"], i), F.lit(1 << p)).otherwise(F.lit(0))
+            now = added(state)
+            replaced = F.shiftleft(now, field)
+            kept = now.bitwiseAND(equal * F.lit(each).cast("long"))
+            return F.when(state == 0, state).otherwise(kept.bitwiseOR(replaced).bitwiseOR(F.shiftright(replaced, 1)).bitwiseAND(band))
+        n, m = F.size(rest["a"]), F.size(rest["b"])
+        start = F.lit(1 << edits).cast("long")
+        state = F.when(n == 0, start).otherwise(F.aggregate(F.sequence(F.lit(0), n - 1), start, taken))
+        return F.call_function("shiftright", added(state), m - n + edits).bitwiseAND(F.lit(each).cast("long")) != 0
+
+    far = F.abs(F.length(a) - F.length(b)) > edits
+    return F.coalesce(F.when(far, False).otherwise(bound(without_prefix(a, b), close)), F.lit(False))
 
 
 def near_lines(lines: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
