@@ -56,25 +56,24 @@ def _key(length: Column, i: int, line: Column, start: Column, size: Column) -> C
     return F.xxhash64(length, F.lit(i), F.substring(line, start + 1, size))
 
 
-def index_keys(line: Column, edits: int) -> Column:
-    length = F.length(line)
+def index_keys(line: Column, length: Column, edits: int) -> Column:
     return F.array(*[_key(length, i, line, *_segment(length, i, edits + 1)) for i in range(edits + 1)])
 
 
-def probe_keys(line: Column, edits: int, least: int) -> Column:
+def probe_keys(line: Column, size: Column, edits: int, least: int) -> Column:
     """Keys of all substrings that can be a segment of an indexed line; null where that line would be too short.
 
     Lines of equal length probe each other, so of two opposite shifts one will do.
     """
     keys = []
     for shorter in range(edits + 1):
-        length = F.length(line) - shorter
+        length = size - shorter
         for i in range(edits + 1):
-            start, size = _segment(length, i, edits + 1)
+            start, width = _segment(length, i, edits + 1)
             # edits before the segment shift it by at most i, those after it by at most the rest
             for shift in range(max(-i if shorter else 0, shorter - (edits - i)), min(i, shorter + (edits - i)) + 1):
-                fits = (length >= least) & (start + shift >= 0) & (start + shift + size <= F.length(line))
-                keys.append(F.when(fits, _key(length, i, line, start + shift, size)))
+                fits = (length >= least) & (start + shift >= 0) & (start + shift + width <= size)
+                keys.append(F.when(fits, _key(length, i, line, start + shift, width)))
     return F.array(*keys)
 
 
@@ -82,7 +81,7 @@ def letter_counts(line: Column) -> Column:
     """Counts of ``LETTERS`` modulo 16, four bits each."""
     packed = F.lit(0).cast("long")
     for i, letter in enumerate(LETTERS):
-        count = (F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))) % 16
+        count = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))) % 16
         packed = packed.bitwiseOR(F.shiftleft(count.cast("long"), 4 * i))
     return packed
 
@@ -155,10 +154,10 @@ def within(a: Column, b: Column, edits: int) -> Column:
 
 def near_lines(lines: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
     """Links between different lines within ``edits`` edits: (a, b), a the indexed, shorter or equal one."""
-    texts = lines.groupBy("h1").agg(F.first(F.struct("line", letter_counts(F.col("line")).alias("counts"))).alias("m")).select("h1", "m.*")
-    long = texts.where(F.length("line") >= least)
+    texts = lines.groupBy("h1").agg(F.first(F.struct("line", F.length("line").alias("size"), letter_counts(F.col("line")).alias("counts"))).alias("m")).select("h1", "m.*")
+    long = texts.where(F.col("size") >= least)
     keyed = lambda name, keys: long.select(F.col("h1").alias(name), F.col("counts").alias(f"counts_{name}"), F.explode(keys).alias("key"))
-    indexed, probing = keyed("a", index_keys(F.col("line"), edits)), keyed("b", probe_keys(F.col("line"), edits, least)).where(F.col("key").isNotNull())
+    indexed, probing = keyed("a", index_keys(F.col("line"), F.col("size"), edits)), keyed("b", probe_keys(F.col("line"), F.col("size"), edits, least)).where(F.col("key").isNotNull())
     pairs = indexed.join(probing, "key").where((F.col("a") != F.col("b")) & may_be_close(F.col("counts_a"), F.col("counts_b"), edits))
     pairs = pairs.select("a", "b").distinct()
     pairs = pairs.join(texts.select(F.col("h1").alias("a"), F.col("line").alias("line_a")), "a")
