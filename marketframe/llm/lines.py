@@ -32,7 +32,7 @@ from marketframe.llm.common import pick, text_or_empty
 
 EDITS, LEAST = 2, 20
 BLANKS = " \t\r\x0b\f"
-# Counts of these letters, modulo 16, tell most candidates apart: an edit changes them by two together at most.
+# Counts of these letters, modulo 4, tell most candidates apart: an edit changes them by two together at most.
 LETTERS = "enaitrsodluhcmpg"
 
 
@@ -44,55 +44,55 @@ def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return rows.withColumns({"h1": F.xxhash64("line"), "h2": F.hash("line")})
 
 
-def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
-    """Start (from 0) and size of segment ``i``: even parts, the longer ones last."""
-    short = F.floor(length / parts).cast("int")
-    longer = length % parts
-    before = F.greatest(F.lit(i) - (F.lit(parts) - longer), F.lit(0))
-    return short * i + before, short + F.when(F.lit(i) >= F.lit(parts) - longer, 1).otherwise(0)
+def _key(line: Column, length: Column, i: Column, shift: Column | int, parts: int) -> tuple[Column, Column, Column]:
+    """Key of segment ``i`` of a line of ``length``, looked up ``shift`` further; its start (from 0) and its end.
 
-
-def _key(length: Column, i: int, line: Column, start: Column, size: Column) -> Column:
-    return F.xxhash64(length, F.lit(i), F.substring(line, start + 1, size))
+    Segments are even parts, the longer ones last.
+    """
+    short, longer = F.floor(length / parts).cast("int"), length % parts
+    start = short * i + F.greatest(i - (F.lit(parts) - longer), F.lit(0)) + shift
+    size = short + F.when(i >= F.lit(parts) - longer, 1).otherwise(0)
+    return F.xxhash64(length, i, F.substring(line, start + 1, size)), start, start + size
 
 
-def index_keys(line: Column, length: Column, edits: int) -> Column:
-    return F.array(*[_key(length, i, line, *_segment(length, i, edits + 1)) for i in range(edits + 1)])
+def index_keys(lines: DataFrame, edits: int, *kept: Column) -> DataFrame:
+    """A row per segment of every line: (key, …kept)."""
+    cut = lines.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(edits))))
+    return cut.select(_key(F.col("line"), F.col("size"), F.col("i"), 0, edits + 1)[0].alias("key"), *kept)
 
 
-def probe_keys(line: Column, size: Column, edits: int, least: int) -> Column:
-    """Keys of all substrings that can be a segment of an indexed line; null where that line would be too short.
+def probe_keys(lines: DataFrame, edits: int, least: int, *kept: Column) -> DataFrame:
+    """A row per substring that can be a segment of an indexed line of ``least`` characters or more: (key, …kept).
 
     Lines of equal length probe each other, so of two opposite shifts one will do.
     """
-    keys = []
+    places = []
     for shorter in range(edits + 1):
-        length = size - shorter
         for i in range(edits + 1):
-            start, width = _segment(length, i, edits + 1)
             # edits before the segment shift it by at most i, those after it by at most the rest
             for shift in range(max(-i if shorter else 0, shorter - (edits - i)), min(i, shorter + (edits - i)) + 1):
-                fits = (length >= least) & (start + shift >= 0) & (start + shift + width <= size)
-                keys.append(F.when(fits, _key(length, i, line, start + shift, width)))
-    return F.array(*keys)
+                places.append(F.struct(F.lit(shorter).alias("shorter"), F.lit(i).alias("i"), F.lit(shift).alias("shift")))
+    cut = lines.withColumn("at", F.explode(F.array(*places))).withColumn("length", F.col("size") - F.col("at.shorter"))
+    key, start, end = _key(F.col("line"), F.col("length"), F.col("at.i"), F.col("at.shift"), edits + 1)
+    return cut.where((F.col("length") >= least) & (start >= 0) & (end <= F.col("size"))).select(key.alias("key"), *kept)
 
 
 def letter_counts(line: Column) -> Column:
-    """Counts of ``LETTERS`` modulo 16, four bits each."""
-    packed = F.lit(0).cast("long")
+    """Counts of ``LETTERS`` modulo 4, two bits each."""
+    packed = F.lit(0)
     for i, letter in enumerate(LETTERS):
-        count = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))) % 16
-        packed = packed.bitwiseOR(F.shiftleft(count.cast("long"), 4 * i))
+        count = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))) % 4
+        packed = packed.bitwiseOR(F.shiftleft(count, 2 * i))
     return packed
 
 
 def may_be_close(a: Column, b: Column, edits: int) -> Column:
     """False only where letter counts prove more than ``edits`` edits."""
-    apart = F.lit(0).cast("long")
+    apart = F.lit(0)
     for i in range(len(LETTERS)):
-        nibble = lambda c: F.shiftright(c, 4 * i).bitwiseAND(F.lit(15))  # noqa: B023, E731
+        nibble = lambda c: F.shiftright(c, 2 * i).bitwiseAND(F.lit(3))  # noqa: B023, E731
         gap = F.abs(nibble(a) - nibble(b))
-        apart = apart + F.least(gap, F.lit(16) - gap)
+        apart = apart + F.least(gap, F.lit(4) - gap)
     return apart <= 2 * edits
 
 
@@ -156,8 +156,8 @@ def near_lines(lines: DataFrame, edits: int = EDITS, least: int = LEAST) -> Data
     """Links between different lines within ``edits`` edits: (a, b), a the indexed, shorter or equal one."""
     texts = lines.groupBy("h1").agg(F.first(F.struct("line", F.length("line").alias("size"), letter_counts(F.col("line")).alias("counts"))).alias("m")).select("h1", "m.*")
     long = texts.where(F.col("size") >= least)
-    keyed = lambda name, keys: long.select(F.col("h1").alias(name), F.col("counts").alias(f"counts_{name}"), F.explode(keys).alias("key"))
-    indexed, probing = keyed("a", index_keys(F.col("line"), F.col("size"), edits)), keyed("b", probe_keys(F.col("line"), F.col("size"), edits, least)).where(F.col("key").isNotNull())
+    named = lambda name: (F.col("h1").alias(name), F.col("counts").alias(f"counts_{name}"))
+    indexed, probing = index_keys(long, edits, *named("a")), probe_keys(long, edits, least, *named("b"))
     pairs = indexed.join(probing, "key").where((F.col("a") != F.col("b")) & may_be_close(F.col("counts_a"), F.col("counts_b"), edits))
     pairs = pairs.select("a", "b").distinct()
     pairs = pairs.join(texts.select(F.col("h1").alias("a"), F.col("line").alias("line_a")), "a")
