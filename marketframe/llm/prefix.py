@@ -1,0 +1,158 @@
+"""Every pair of sets with a Jaccard similarity of ``similar`` or more shares a key: prefix filter.
+
+The elements of all sets are put into one order, rare ones first. Two sets of
+``n`` and ``m`` elements that are alike by ``t`` share ``ceil(t * max(n, m))``
+of them, so the first ``n - ceil(t * n) + 1`` elements of the one and as many of
+the other have an element in common. Sets meet by these elements. At the first
+one they share, no more than the shorter rest can be common, and sizes must be
+within ``t`` of each other; nothing else is left out, whatever the order is.
+
+The order comes from counts of all elements in a table of ``2 ** TABLE_BITS``
+places: it decides how many pairs meet, never which similar ones do. Elements
+counted ``HOT`` times or more are split by the sizes of their sets.
+
+Sets carry a label; pairs with the same label are known to be connected and are
+not given again. Empty sets meet by a key of their own.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+TABLE_BITS, PIECES, HOT = 20, 256, 4096
+SHORT_RUN, BLOCK = 8, 1 << 20
+SLACK = 1e-9
+
+
+def _places(elements: np.ndarray) -> np.ndarray:
+    return elements.view(np.uint32) >> np.uint32(32 - TABLE_BITS)
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Elements of all sets, one after the other, and the size of each set."""
+    sizes = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.ascontiguousarray(column.flatten().to_numpy(zero_copy_only=False), dtype=np.int32), sizes
+
+
+def levels(sets: DataFrame, column: str = "shingles") -> np.ndarray:
+    """For each place of the table twice the binary logarithm of its count, as bytes."""
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << TABLE_BITS, np.int64)
+        for batch in batches:
+            total += np.bincount(_places(_flat(batch.column(0))[0]), minlength=1 << TABLE_BITS)
+        for i, piece in enumerate(total.reshape(PIECES, -1)):
+            if piece.any():
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([piece.tobytes()], pa.binary())], names=["piece", "counts"])
+
+    def summed(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum([np.frombuffer(x, np.int64) for x in rows["counts"]], axis=0)
+        return pd.DataFrame({"piece": [int(key[0])], "level": [np.ceil(2 * np.log2(total + 1)).astype(np.uint8).tobytes()]})
+
+    found = sets.select(column).mapInArrow(counted, "piece int, counts binary")
+    out = np.zeros((PIECES, (1 << TABLE_BITS) // PIECES), np.uint8)
+    for r in found.groupBy("piece").applyInPandas(summed, "piece int, level binary").collect():  # a megabyte at most
+        out[r["piece"]] = np.frombuffer(bytes(r["level"]), np.uint8)
+    return out.reshape(-1)
+
+
+def prefixes(sets: DataFrame, level: np.ndarray, similar: float) -> DataFrame:
+    """The keys of each set (node, label, shingles): (key, label, node, n, pos, home)."""
+    hot, width = int(np.ceil(2 * np.log2(HOT))), max(-np.log(similar), 1e-3) * (1 + SLACK)
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, label = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            elements, n = _flat(batch.column(2))
+            of = np.repeat(np.arange(len(n)), n)
+            high = level[_places(elements)]
+            order = np.lexsort((elements, high, of))
+            pos = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+            kept = pos < np.repeat(n - np.ceil(similar * n - SLACK).astype(np.int64) + 1, n)
+            order, of, pos = order[kept], of[kept], pos[kept]
+            key, home = elements[order].view(np.uint32).astype(np.int64) << 12, np.ones(len(of), bool)
+            # sizes of one class and the next: similar sets of the next class visit this one
+            split = high[order] >= hot
+            size_class = np.floor(np.log(n[of]) / width).astype(np.int64) + 1
+            none = np.flatnonzero(n == 0)
+            cols = [
+                np.concatenate((np.where(split, key + size_class, key), (key + size_class + 1)[split], np.full(len(none), -1))),
+                np.concatenate((of, of[split], none)), np.concatenate((pos, pos[split], np.zeros(len(none), np.int64))),
+                np.concatenate((home, ~home[split], np.ones(len(none), bool))),
+            ]
+            at = cols[1]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cols[0], pa.int64()), pa.array(label[at], pa.int64()), pa.array(node[at], pa.int64()), pa.array(n[at], pa.int32()),
+                 pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.bool_())], names=["key", "label", "node", "n", "pos", "home"])
+
+    return sets.select("node", "label", "shingles").mapInArrow(keyed, "key long, label long, node long, n int, pos int, home boolean")
+
+
+def _possible(rows: list[np.ndarray], i: np.ndarray, j: np.ndarray, similar: float) -> np.ndarray:
+    """Whether the sets at i and j, whose first common element this may be, can be alike."""
+    _, label, node, n, pos, home = rows
+    a, b = n[i], n[j]
+    rest = np.minimum(a - pos[i], b - pos[j])
+    return ((label[i] != label[j]) & (home[i] | home[j]) & (np.minimum(a, b) >= similar * np.maximum(a, b) - SLACK)
+            & (rest >= similar / (1 + similar) * (a + b) - SLACK))
+
+
+def _pairs(rows: list[np.ndarray], similar: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i, j) of whole runs of equal keys; all of them, in blocks."""
+    key, label = rows[0], rows[1]
+    starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    sizes = np.diff(np.concatenate((starts, [len(key)])))
+    size_at = np.repeat(sizes, sizes)
+    for lag in range(1, SHORT_RUN):
+        i = np.flatnonzero((key[lag:] == key[:-lag]) & (size_at[lag:] <= SHORT_RUN))
+        i = i[_possible(rows, i, i + lag, similar)]
+        yield i, i + lag
+    for s, size in zip(starts[sizes > SHORT_RUN].tolist(), sizes[sizes > SHORT_RUN].tolist()):
+        names, inverse, counts = np.unique(label[s: s + size], return_inverse=True, return_counts=True)
+        if len(names) == 1:
+            continue
+        # members of the most frequent label need not meet each other
+        most = inverse == counts.argmax()
+        rest, order = s + np.flatnonzero(~most), np.concatenate((s + np.flatnonzero(~most), s + np.flatnonzero(most)))
+        step = max(1, BLOCK // size)
+        for k in range(0, len(rest), step):
+            i, j = np.meshgrid(np.arange(k, min(k + step, len(rest))), np.arange(k + 1, size), indexing="ij")
+            later = j > i
+            i, j = order[i[later]], order[j[later]]
+            ok = _possible(rows, i, j, similar)
+            yield i[ok], j[ok]
+
+
+def candidates(sets: DataFrame, similar: float, column: str = "shingles") -> DataFrame:
+    """Pairs (a, b), a > b, of sets (node, label, shingles) with different labels: all that are alike by ``similar``, and others."""
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def given(rows):
+            for i, j in _pairs(rows, similar):
+                if len(i):
+                    a, b = rows[2][i], rows[2][j]
+                    pairs = np.unique(np.stack((np.maximum(a, b), np.minimum(a, b))), axis=1)
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in pairs], names=["a", "b"])
+
+        held: list[list[np.ndarray]] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            if rows[0][0] == rows[0][-1] and held and held[-1][0][-1] == rows[0][0]:
+                held.append(rows)  # the run goes on
+                continue
+            rows = [np.concatenate(x) for x in zip(*held, rows)] if held else rows
+            last = int(np.searchsorted(rows[0], rows[0][-1]))
+            yield from given([x[:last] for x in rows]) if last else ()
+            held = [[x[last:] for x in rows]]
+        if held:
+            yield from given([np.concatenate(x) for x in zip(*held)])
+
+    keys = prefixes(sets, levels(sets, column), similar)
+    dealt = keys.repartition("key").sortWithinPartitions("key")
+    return dealt.mapInArrow(met, "a long, b long").where("a <> b").distinct()

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 from pyspark.sql.functions import pandas_udf
 
+from marketframe.llm import prefix
 from marketframe.llm.common import pick, stored
 
 SEED, MAX_BITS, MAX_RUN, LONG_WORD = 42, 3, 4096, 5
@@ -333,14 +334,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     prints: int = 3, most: int = MAX_BITS, max_run: int = MAX_RUN) -> DataFrame:
     """Groups of documents whose shingle sets are alike: (id, node, group, n_links); node names the exact text.
 
-    Candidates are texts whose fingerprints over single words differ in at most
-    ``most`` bits, for any of ``prints`` hashes: an edited word changes one
-    feature there, not ``width`` of them. Short words are left out, as they make
-    all texts of a language alike. Within a run of equal variants the
-    links of a minimum spanning forest, by the fingerprint over shingles, are
-    kept where that fingerprint differs in at most ``NEAR_BITS`` bits, and every
-    link is verified: the sets of ``width``-word shingles must
-    have a Jaccard similarity of ``similar`` or more. Exact copies are one node.
+    Two texts are linked when their sets of ``width``-word shingles have a
+    Jaccard similarity of ``similar`` or more; groups are the connected
+    components of all such links. Exact copies are one node.
+
+    The first candidates are texts whose fingerprints over single words differ
+    in at most ``most`` bits, for any of ``prints`` hashes: an edited word
+    changes one feature there, not ``width`` of them. Short words are left out,
+    as they make all texts of a language alike. Within a run of equal variants
+    the links of a minimum spanning forest, by the fingerprint over shingles,
+    are tried where that fingerprint differs in at most ``NEAR_BITS`` bits.
+    These candidates miss pairs, so they only tie most texts together early:
+    an exact prefix filter then gives every pair that can be alike and is not
+    yet connected. Links of both kinds are verified on the shingles.
     """
     rows = pick(docs, id=id_col, text=text_col).withColumn("node", F.xxhash64(F.coalesce("text", F.lit(""))))
     ids = rows.groupBy("node").agg(F.min("id").alias("first"))
@@ -355,14 +361,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         pairs = found if pairs is None else pairs.unionByName(found)
     pairs = stored(pairs.distinct(), "near-pairs")
 
-    named = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = marked.select("node", "id", "shingles").join(ids.join(named, "node").select("node", F.col("first").alias("id")), ["node", "id"])
-    sets = stored(sets.dropDuplicates(["node"]).select("node", "shingles"), "near-sets")
-    both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    alike = both.where(common >= F.lit(similar) * (F.size("sa") + F.size("sb") - common)).select("a", "b")
-    alike = stored(alike, "near-links")
-    roots = components(alike)
+    of_first = (F.col("node") == F.col("n")) & F.col("id").eqNullSafe(F.col("first"))
+    sets = marked.select("node", "id", "shingles").join(ids.select(F.col("node").alias("n"), "first"), of_first, "left_semi")
+    sets = stored(sets.select("node", "shingles").dropDuplicates(["node"]), "near-sets")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        named = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        some = sets.join(named, "node", "left_semi")
+        both = pairs.join(some.toDF("a", "sa"), "a").join(some.toDF("b", "sb"), "b")
+        common = F.size(F.array_intersect("sa", "sb"))
+        return both.where(common >= F.lit(similar) * (F.size("sa") + F.size("sb") - common)).select("a", "b")
+
+    alike = stored(verified(pairs), "near-links")
+    labels = components(alike).toDF("node", "root")
+    labelled = sets.join(labels, "node", "left").select("node", F.coalesce("root", "node").alias("label"), "shingles")
+    more = stored(prefix.candidates(labelled, similar), "near-prefix-pairs")
+    roots = components(alike.unionByName(verified(more)))
     named = ids.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     group = named.groupBy("root").agg(F.min("first").alias("group"))
     of_node = named.join(group.withColumnRenamed("root", "r"), F.col("root") == F.col("r")).select(F.col("node").alias("n"), "group", "root")

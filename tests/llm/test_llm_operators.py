@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 import check
 import corpus_pipeline
-from marketframe.llm import chat, decontaminate, langid, licenses, lines, mixing, pii, queries, shards, simhash, topk
+from marketframe.llm import chat, decontaminate, langid, licenses, lines, mixing, pii, prefix, queries, shards, simhash, topk
 
 SMALL = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -196,6 +196,42 @@ def test_near_duplicates_are_verified(spark):
     assert missed <= 0.05 * sum(alike(a, b) for a, b in itertools.combinations(sets, 2))
 
 
+def exact_groups(rows):
+    """The connected components of all pairs alike by 0.8, and those pairs."""
+    sets = {i: shingles(t) for i, t, *_ in rows}
+    alike = lambda a, b: 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])
+    return roots_of(sorted(sets), alike), [p for p in itertools.combinations(sorted(sets), 2) if alike(*p)]
+
+
+def test_near_duplicates_lose_no_pair(spark):
+    """Cut ends, added passages of other texts and replaced words, one altered copy of each text."""
+    r, rows = random.Random(21), []
+    for g in range(150):
+        words = prose(r.randrange(25, 300), 2000 + g).split()
+        n, other = len(words), prose(300, 5000 + g).split()
+        copy = {0: words[: n - n // 10], 1: words[: n - n * 18 // 100], 2: words + other[: n * 18 // 100], 3: other[: n // 8] + words,
+                4: words[: n // 2] + ["replaced"] + words[n // 2 + 1:]}[g % 5]
+        rows += [(2 * g, " ".join(words), "en", "a", 0), (2 * g + 1, " ".join(copy), "en", "a", 0)]
+    want, pairs = exact_groups(rows)
+    assert len(pairs) > 120
+    assert {x["id"]: x["group"] for x in simhash.near_duplicates(frame(spark, rows)).collect()} == want
+
+
+def test_prefix_candidates_hold_every_similar_pair(spark, monkeypatch):
+    monkeypatch.setattr(prefix, "HOT", 8)
+    r, sets = np.random.default_rng(5), [[], [], [7], [7]]
+    for _ in range(60):
+        base = r.choice(400, r.integers(1, 60), replace=False) * 10_000_019 % (1 << 31)
+        for _ in range(4):
+            sets.append(sorted({int(x) for x in base[r.random(len(base)) > 0.06]} | {int(x) for x in r.integers(0, 1 << 31, r.integers(0, 3))}))
+    df = spark.createDataFrame([(i, i // 3 * 3, s) for i, s in enumerate(sets)], "node long, label long, shingles array<int>").repartition(4)
+    for similar in (0.5, 0.8, 1.0):
+        got = {(x["a"], x["b"]) for x in prefix.candidates(df, similar).collect()}
+        like = lambda a, b: len(set(a) & set(b)) >= similar * len(set(a) | set(b))  # noqa: B023, E731
+        want = {(j, i) for i, j in itertools.combinations(range(len(sets)), 2) if i // 3 != j // 3 and like(sets[i], sets[j])}
+        assert want <= got and all(a // 3 != b // 3 for a, b in got)
+
+
 # personal data
 
 
