@@ -13,7 +13,9 @@ one differs in at most one bit. What still meets then agrees in all but 17
 bits, so the second level is bounded by the width of a fingerprint. Runs of
 labelled points, whose links are verified later, are cut into pieces instead:
 each is tied to the member closest to the majority of the piece, which enters
-the next piece too.
+the next piece too. The links that are left out of a run, of whatever size, are
+no loss there: after verification every pair that can be alike and is not
+connected meets again in the prefix filter, without thinning.
 
 Groups are the connected components of the links, found by star contraction
 with every round written to the shared folder.
