@@ -21,7 +21,9 @@ from __future__ import annotations
 
 import dataclasses
 import json
+import logging
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,9 @@ from marketframe.llm.common import keep_ids, pick, stored, text_or_empty
 
 OTHER = "other"
 ROUNDS = 50
+# Bounded raking: most rounds, the miss of a share that counts as met, and halvings of the total where targets are infeasible.
+BOUNDED_ROUNDS, TOLERANCE, HALVINGS = 300, 1e-4, 12
+LOG = logging.getLogger(__name__)
 # First rule that matches names a document's topic; plain substrings.
 TOPICS = (("license", ("License", "reserved", "Copyright")), ("contact", ("@", "+1 (")), ("table", (" | ",)), ("noise", ("%%%", "$$$", "###", "&&&", "***")))
 DIMENSIONS = ("source", "lang", "topic")
@@ -85,25 +90,120 @@ def rake(cells: dict[tuple, int], targets: Targets, total: float, rounds: int =
     return fitted
 
 
-def mix(docs: DataFrame, targets: Targets, keep: float, seed: str = "mix", rounds: int = ROUNDS, **columns: str) -> DataFrame:
-    """Cell, calibrated probability and draw of every document: (id, source, lang, topic, tokens, p, drawn).
+def _filled(caps: np.ndarray, free: np.ndarray, goal: float) -> float:
+    """Factor x for which the sum of min(caps, x * free) is ``goal``; infinite where all caps together are no more."""
+    if caps.sum() <= goal:
+        return np.inf
+    at = caps / free
+    order = np.argsort(at)
+    held = np.concatenate(([0.0], np.cumsum(caps[order])[:-1]))
+    rest = np.cumsum(free[order][::-1])[::-1]
+    x = (goal - held) / rest
+    return float(x[np.flatnonzero(x <= at[order])[0]])
+
 
-    ``keep`` is the share of all tokens the mixture should hold; a cell asked
-    for more than it has is kept whole (probability one).
+def _bounded(had: np.ndarray, members: list[list[tuple[np.ndarray, float]]], total: float, rounds: int) -> tuple[np.ndarray, float]:
+    """Raking in which no cell exceeds its tokens, and the largest miss of a category as a share of the total."""
+    factors = [np.ones(len(had)) for _ in members]
+    fitted = had
+    for _ in range(rounds):
+        for i, groups in enumerate(members):
+            others = np.prod([f for k, f in enumerate(factors) if k != i], axis=0) * had
+            for at, share in groups:
+                factors[i][at] = min(_filled(had[at], others[at], share * total), 1e30) if share > 0 else 0.0
+            fitted = np.minimum(had, others * factors[i])
+        miss = max((abs(fitted[at].sum() / total - share) for groups in members for at, share in groups), default=0.0)
+        if miss < 1e-9:
+            break
+    return fitted, miss
+
+
+def rake_bounded(cells: dict[tuple, int], targets: Targets, total: float, rounds: int = BOUNDED_ROUNDS) -> dict[tuple, float]:
+    """Calibrated tokens of every cell, none above what it holds: what a full cell cannot give, others of its categories do.
+
+    Where no such cells meet the targets, the total is lowered to the largest
+    at which they are met within ``TOLERANCE``; targets that no total meets
+    are approached at the total asked for.
     """
-    rows = stored(cells_of(docs, targets, **columns), "mix-cells")
+    names = sorted(c for c, n in cells.items() if n > 0)
+    had = np.array([float(cells[c]) for c in names])
+    if not names or total <= 0:
+        return dict.fromkeys(names, 0.0)
+    members = []
+    for i, dim in enumerate(DIMENSIONS):
+        of = np.array([c[i] for c in names])
+        goal = {k: getattr(targets, dim).get(k, 0.0) for k in sorted(set(of.tolist()))}
+        whole = sum(goal.values())
+        if whole > 0:
+            members.append([(np.flatnonzero(of == k), g / whole) for k, g in goal.items()])
+    # a cell of a category that should have nothing has nothing in the other dimensions either
+    out = np.zeros(len(names), bool)
+    for groups in members:
+        for at, share in groups:
+            out[at] |= share <= 0
+    had = np.where(out, 1e-300, had)
+    most = min([total] + [had[at].sum() / share for groups in members for at, share in groups if share > 0])
+    fitted, miss = _bounded(had, members, most, rounds)
+    low, high = 0.0, most
+    if miss > TOLERANCE:
+        for _ in range(HALVINGS):
+            middle = (low + high) / 2
+            tried, miss = _bounded(had, members, middle, rounds)
+            if miss <= TOLERANCE:
+                low, fitted = middle, tried
+            else:
+                high = middle
+        if not low:
+            fitted = _bounded(had, members, total, rounds)[0]
+    return {c: float(n) for c, n in zip(names, np.where(out, 0.0, fitted))}
+
+
+def shares(fitted: dict[tuple, float], targets: Targets) -> list[tuple[str, str, float, float]]:
+    """(dimension, category, target share, achieved share) of calibrated tokens; targets without tokens are shared out among the others."""
+    whole = sum(fitted.values())
+    out = []
+    for i, dim in enumerate(DIMENSIONS):
+        wanted = getattr(targets, dim)
+        present = sorted({c[i] for c in fitted})
+        goals = sum(wanted.get(k, 0.0) for k in present)
+        for k in present if goals else ():
+            got = sum(n for c, n in fitted.items() if c[i] == k)
+            out.append((dim, k, wanted.get(k, 0.0) / goals, got / whole if whole else 0.0))
+    return out
+
+
+def _chances(rows: DataFrame, targets: Targets, keep: float, rounds: int, bounded: bool) -> Column:
+    """Probability of the cell of each row, a literal table."""
     sums = rows.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")).collect()  # at most the product of the categories
     cells = {tuple(r[d] for d in DIMENSIONS): r["tokens"] for r in sums}
-    fitted = rake(cells, targets, keep * sum(cells.values()), rounds)
+    total = keep * sum(cells.values())
+    fitted = rake_bounded(cells, targets, total) if bounded else rake(cells, targets, total, rounds)
+    if bounded and sum(fitted.values()) < total * (1 - TOLERANCE):
+        missed = ", ".join(f"{d} {k} {want:.4f} {got:.4f}" for d, k, want, got in shares(fitted, targets))
+        LOG.warning("mixture holds %.0f of %.0f tokens asked for; category, target and achieved share: %s", sum(fitted.values()), total, missed)
     chance = {c: min(1.0, fitted[c] / n) if n else 1.0 for c, n in cells.items()}
-    key = F.concat_ws("\x1f", *DIMENSIONS)
     table = F.from_json(F.lit(json.dumps({"\x1f".join(c): p for c, p in chance.items()})), "map<string,double>")
+    return table[F.concat_ws("\x1f", *DIMENSIONS)]
+
+
+def mix(docs: DataFrame, targets: Targets, keep: float, seed: str = "mix", rounds: int = ROUNDS, bounded: bool = False, **columns: str) -> DataFrame:
+    """Cell, calibrated probability and draw of every document: (id, source, lang, topic, tokens, p, drawn).
+
+    ``keep`` is the share of all tokens the mixture should hold. A cell asked
+    for more than it has is kept whole (probability one); only with ``bounded``
+    do other cells make up for it, else targets and total are missed.
+    """
+    rows = stored(cells_of(docs, targets, **columns), "mix-cells")
+    rows = rows.withColumn("p", _chances(rows, targets, keep, rounds, bounded))
     # 32 bits of a checksum of the id decide the draw
     draw = F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("id").cast("string"), F.lit("")))), 1, 8), 16, 10).cast("long")
-    return rows.withColumn("p", table[key]).withColumn("drawn", draw < F.col("p") * F.lit(float(1 << 32)))
+    return rows.withColumn("drawn", draw < F.col("p") * F.lit(float(1 << 32)))
 
 
 def sampled(docs: DataFrame, targets: Targets, keep: float, id_col: str = "doc_id", **options) -> DataFrame:
-    """The drawn documents, all columns kept; documents that share an id are drawn if any of them is."""
-    found = mix(docs, targets, keep, id_col=id_col, **options)
+    """The drawn documents, all columns kept; documents that share an id are drawn if any of them is.
+
+    No cell is asked for more than it has (``rake_bounded``).
+    """
+    found = mix(docs, targets, keep, id_col=id_col, **{"bounded": True} | options)
     return keep_ids(docs, found.where("drawn").select("id"), id_col)

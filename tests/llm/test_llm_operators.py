@@ -306,6 +306,26 @@ def test_mixing(spark, none):
     assert mixing.mix(none, goals, 0.3).count() == 0 and mixing.sampled(none, goals, 0.3).count() == 0
 
 
+def test_capped_probabilities_meet_the_targets(spark):
+    """Small cells are asked for more than they hold: others of their categories make up for it."""
+    r = random.Random(19)
+    rows = [(i, prose(r.randrange(20, 60), i), "en" if i % 4 < 2 else "de", "a" if i % 2 else "b", 0) for i in range(800)]
+    goals = mixing.Targets({"a": 0.6, "b": 0.4}, {"en": 0.4, "de": 0.6}, {"general": 1.0})
+    for keep, least in ((0.74, 0.74), (0.95, 0.8)):  # the second is infeasible: half of all tokens are not enough for 60 % of 95 %
+        kept = {}
+        for x in mixing.mix(frame(spark, rows), goals, keep, bounded=True).collect():
+            assert 0 <= x["p"] <= 1
+            for c in (x["source"], x["lang"], "all", "had"):
+                kept[c] = kept.get(c, 0.0) + x["tokens"] * (1 if c == "had" else x["p"])
+        assert kept["all"] >= (least - 0.01) * kept["had"]
+        for k, share in (goals.source | goals.lang).items():
+            assert abs(kept[k] / kept["all"] - share) < 1e-3
+    cells = {("a", "en", "g"): 900, ("a", "de", "g"): 10, ("b", "en", "g"): 500, ("b", "de", "g"): 500}
+    fitted = mixing.rake_bounded(cells, mixing.Targets({"a": 0.5, "b": 0.5}, {"en": 0.5, "de": 0.5}, {}), 1000)
+    assert all(fitted[c] <= n + 1e-6 for c, n in cells.items()) and sum(fitted.values()) == pytest.approx(1000, rel=1e-3)
+    assert all(abs(want - got) < 1e-3 for _, _, want, got in mixing.shares(fitted, mixing.Targets({"a": 0.5, "b": 0.5}, {"en": 0.5, "de": 0.5}, {})))
+
+
 # search
 
 
