@@ -1,17 +1,19 @@
 """Information-theoretic sanitisation of personal data.
 
 E-mail addresses, IP addresses, card and phone numbers are found by pattern.
-Each distinct value is a protected entity. Words near an entity are terms; the
-corpus tells how much a term gives away: with document counts,
+Each distinct value is a protected entity. All words of a document outside its
+spans are terms of all its entities, however far off they stand; the corpus
+tells how much a term gives away: with document counts,
 
     PMI(t, e) = log(N · n(t, e) / (n(t) · n(e))),   IC(e) = log(N / n(e)),
 
 and PMI / IC is the share of the entity's information that the term discloses
 (one: the term occurs with this entity only). Terms above ``REMOVE`` are
-removed, those above ``GENERALISE`` are replaced by their class.
+removed, those above ``GENERALISE`` are replaced by their class, at every place
+in every document that holds the entity.
 
 Counts cover all documents. One pass of Arrow-batched pattern search writes
-compact rows (spans, entities, terms); all counting and joining is on those.
+compact rows (spans, entities, places of terms); all counting and joining is on those.
 
 Defined results: null and empty texts have no spans; rows that repeat id and
 text get equal results; an entity in every document has nothing left to
@@ -35,7 +37,8 @@ from marketframe.llm.common import pick, stored, text_or_empty
 
 # Order decides between spans that start together; the last two are the method's.
 KINDS = ("email", "ip", "card", "phone", "remove", "generalise")
-NEAR_WORDS = 8
+# A hot entity's terms are dealt to so many keys.
+SALTS = 16
 REMOVE, GENERALISE = 0.9, 0.7
 
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -111,12 +114,8 @@ def entity_of(kind: int, value: str) -> int:
     return xxhash.xxh64_intdigest(f"{KINDS[kind]}:{plain}".encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def terms_near(text: str, spans: list[Span], near: int = NEAR_WORDS) -> list[tuple[int, str | None, int, int, int]]:
-    """(entity, term, start, end, 1 if new in this text) of the words around each entity; the entity itself has term null."""
-    starts, words = [], []
-    for m in WORD.finditer(text):
-        starts.append(m.start())
-        words.append((m.group().lower(), m.start(), m.end()))
+def terms_of(text: str, spans: list[Span]) -> tuple[list[int], list[tuple[str, int, int]]]:
+    """The distinct entities, and (term, start, end) of every word outside the spans."""
     taken, reach = [], 0  # spans in order, and how far any span up to here reaches
     for a, _, b in spans:
         reach = max(reach, b)
@@ -127,21 +126,12 @@ def terms_near(text: str, spans: list[Span], near: int = NEAR_WORDS) -> list[tup
         i = bisect.bisect_left(begins, b)
         return not i or taken[i - 1][1] <= a
 
-    out, seen = [], set()
-    for a, kind, b in spans:
-        entity = entity_of(kind, text[a:b])
-        out.append((entity, None, a, b, int((entity, None) not in seen)))
-        seen.add((entity, None))
-        first, last = bisect.bisect_left(starts, a), bisect.bisect_left(starts, b)
-        for word, s, e in words[max(0, first - near): first] + words[last: last + near]:
-            if len(word) > 1 and free(s, e):
-                out.append((entity, word, s, e, int((entity, word) not in seen)))
-                seen.add((entity, word))
-    return out
+    places = [(m.group().lower(), m.start(), m.end()) for m in WORD.finditer(text)]
+    return sorted({entity_of(kind, text[a:b]) for a, kind, b in spans}), [x for x in places if len(x[0]) > 1 and free(x[1], x[2])]
 
 
 BASE_FIELDS = ("n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base array<struct<start:int,kind:int,stop:int>>, "
-               "near array<struct<entity:long,term:string,start:int,stop:int,fresh:int>>")
+               "entities array<long>, places array<struct<term:string,start:int,stop:int>>")
 
 
 def base_scanner():
@@ -153,8 +143,9 @@ def base_scanner():
         spans = base_spans(text)
         counts = [sum(k == kind for _, k, _ in spans) for kind in range(4)]
         as_rows = [{"start": a, "kind": k, "stop": b} for a, k, b in spans]
-        near = [dict(zip(("entity", "term", "start", "stop", "fresh"), x)) for x in terms_near(text, spans)] if spans else []
-        return (*counts, hashlib.sha256(joined(spans).encode()).hexdigest(), as_rows, near)
+        entities, places = terms_of(text, spans) if spans else ([], [])
+        places = [dict(zip(("term", "start", "stop"), x)) for x in places]
+        return (*counts, hashlib.sha256(joined(spans).encode()).hexdigest(), as_rows, entities, places)
 
     @pandas_udf(BASE_FIELDS)
     def scanned(texts: pd.Series) -> pd.DataFrame:
@@ -168,12 +159,21 @@ def term_counts(texts: DataFrame) -> DataFrame:
     return texts.select(F.explode(words).alias("word")).where(F.length("word") > 1).groupBy("word").agg(F.count(F.lit(1)).alias("n_t"))
 
 
-def disclosing(near: DataFrame, texts: DataFrame, remove: float = REMOVE, generalise: float = GENERALISE) -> DataFrame:
+def held(base: DataFrame) -> DataFrame:
+    """Each entity of each document with each of its terms: (id, at, entity, term)."""
+    some = base.where(F.size("entities") > 0)
+    each = some.select("id", "at", "entities", F.explode(F.array_distinct(F.transform("places", lambda x: x["term"]))).alias("term"))
+    return each.select("id", "at", F.explode("entities").alias("entity"), "term")
+
+
+def disclosing(base: DataFrame, texts: DataFrame, remove: float = REMOVE, generalise: float = GENERALISE) -> DataFrame:
     """Terms that give an entity away: (entity, term, share, kind)."""
     total = texts.count()
-    joint = near.groupBy("entity", "term").agg(F.sum("fresh").alias("n_te"))
-    entities = joint.where(F.col("term").isNull()).select(F.col("entity").alias("e"), F.col("n_te").alias("n_e"))
-    pairs = joint.where(F.col("term").isNotNull()).join(entities, F.col("entity") == F.col("e")).select("entity", "term", "n_te", "n_e")
+    joint = held(base).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te"))
+    entities = base.select(F.explode("entities").alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("n_e"))
+    entities = entities.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = joint.withColumn("salt", F.pmod(F.hash("term"), F.lit(SALTS)))
+    pairs = salted.join(entities, (F.col("entity") == F.col("e")) & (F.col("salt") == F.col("s"))).select("entity", "term", "n_te", "n_e")
     pairs = pairs.where(F.lit(total) > F.col("n_e"))  # else nothing is left to disclose
     counted = pairs.join(term_counts(texts), F.col("term") == F.col("word"), "left")
     n_t = F.greatest(F.coalesce("n_t", "n_te"), "n_te")
@@ -190,15 +190,16 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = pick(docs, id=id_col, text=text_col)
     base = rows.select("id", F.xxhash64(text_or_empty("text")).alias("at"), base_scanner()(F.col("text")).alias("b")).select("id", "at", "b.*")
     base = stored(base, "pii-base")
-    near = base.select("id", "at", F.explode("near").alias("x")).select("id", "at", "x.*")
-    risky = stored(disclosing(near, rows.select("text"), remove, generalise), "pii-terms")
-    found = near.where(F.col("term").isNotNull()).join(risky.select("entity", "term", "kind"), ["entity", "term"])
-    # a word near several entities takes the stricter treatment
-    found = found.groupBy("id", "at", "start").agg(F.min("kind").alias("kind"), F.min("stop").alias("stop"))
-    found = found.groupBy(F.col("id").alias("of"), F.col("at").alias("of_text")).agg(F.collect_list(F.struct("start", "kind", "stop")).alias("more"))
-    whole = base.drop("near").join(found, F.col("id").eqNullSafe(F.col("of")) & (F.col("at") == F.col("of_text")), "left")
-    spans = F.array_sort(F.concat("base", F.coalesce("more", F.array().cast("array<struct<start:int,kind:int,stop:int>>"))))
-    return whole.drop("of", "of_text").withColumn("spans", spans).drop("more")
+    risky = stored(disclosing(base, rows.select("text"), remove, generalise), "pii-terms")
+    found = held(base).join(risky.select("entity", "term", "kind"), ["entity", "term"])
+    # a word that discloses several entities takes the stricter treatment
+    found = found.groupBy("id", "at", "term").agg(F.min("kind").alias("kind"))
+    found = found.groupBy(F.col("id").alias("of"), F.col("at").alias("of_text")).agg(F.map_from_entries(F.collect_list(F.struct("term", "kind"))).alias("kinds"))
+    whole = base.join(found, F.col("id").eqNullSafe(F.col("of")) & (F.col("at") == F.col("of_text")), "left")
+    told = F.transform("places", lambda x: F.struct(x["start"].alias("start"), F.try_element_at(F.col("kinds"), x["term"]).alias("kind"), x["stop"].alias("stop")))
+    more = F.when(F.col("kinds").isNotNull(), F.filter(told, lambda x: x["kind"].isNotNull()))
+    spans = F.array_sort(F.concat("base", F.coalesce(more, F.array().cast("array<struct<start:int,kind:int,stop:int>>"))))
+    return whole.withColumn("spans", spans).drop("of", "of_text", "entities", "places", "kinds")
 
 
 def spans_text(spans: Column) -> Column:

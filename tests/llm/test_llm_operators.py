@@ -283,6 +283,34 @@ def test_personal_data(spark, none):
     assert pii.personal_data(none).count() == 0
 
 
+def test_terms_far_from_a_value_are_found_everywhere(spark):
+    name = "zorblax"
+    rows = [(i, f"{name} {prose(30, i)} me@x.org {prose(30, i + 500)} {name.upper()} end", "en", "a", 0) for i in range(3)]
+    rows += [(9, f"{prose(30, 8)} me@x.org and you@y.org", "en", "a", 0), (None, f"you@y.org {prose(20, 9)}", "en", "a", 0)]
+    rows += [(10 + i, prose(400, 700 + i), "en", "a", 0) for i in range(40)]
+    got = {r["id"]: [tuple(s) for s in r["spans"]] for r in pii.personal_data(frame(spark, rows)).collect()}
+    total = len(rows)
+    for i, t, *_ in rows:
+        base = plain_spans(t)
+        values = {t[a:b] for a, _, b in base}
+        want = [tuple(x) for x in base]
+        outside = lambda m: not any(a < m.end() and m.start() < b for a, _, b in base)  # noqa: B023, E731
+        for m in re.finditer(r"[^\W_]+", t):
+            if not outside(m):
+                continue
+            best = 0
+            for v in values:
+                with_v = [x for _, x, *_ in rows if v in x]
+                n_t = sum(m[0].lower() in re.findall(r"[^\W_]+", x.lower()) for _, x, *_ in rows)
+                n_te = sum(m[0].lower() in re.findall(r"[^\W_]+", x.lower()) for x in with_v)
+                best = max(best, 1 - np.log(n_t / n_te) / np.log(total / len(with_v)))
+            if best >= 0.7 and len(m[0]) > 1:
+                want.append((m.start(), 4 if best >= 0.9 else 5, m.end()))
+        assert got[i] == sorted(want)
+    first = rows[0][1]
+    assert {(0, 4, 7), (first.index("ZORBLAX"), 4, first.index("ZORBLAX") + 7)} <= set(got[0])
+
+
 # mixing
 
 
