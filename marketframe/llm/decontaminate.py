@@ -10,8 +10,9 @@ Only DataFrame functions; tokens travel as 64-bit hashes.
 
 Defined results: null and empty texts have no tokens and no hits; items of
 fewer than ``MIN_ITEM`` tokens are too common to prove anything and never
-match; equal items each count; a null document id is an ordinary value; an
-empty benchmark leaves every document clean.
+match; equal items each count; documents are told apart by id and text, so
+that one which shares its id, or has none, is judged by its own text; an empty
+benchmark leaves every document clean.
 """
 
 from __future__ import annotations
@@ -34,6 +35,10 @@ def tokens_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text_or_empty(text)), r"[^\p{L}\p{N}]+"), "")
 
 
+def name_of(text: Column) -> Column:
+    return F.xxhash64(text_or_empty(text))
+
+
 def hashed(tokens: Column) -> Column:
     return F.transform(tokens, lambda t: F.xxhash64(t))
 
@@ -63,7 +68,7 @@ def agreement(item: Column, doc: Column, shift: Column, window: int = WINDOW) ->
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
           item_text: str = "text", masks: tuple[str, ...] = MASKS, window: int = WINDOW, agree: float = AGREE) -> DataFrame:
-    """One row per document: (id, n_tokens, items), the sorted ids of the items whose passages it holds.
+    """One row per document: (id, at, n_tokens, items), ``at`` the name of its text and items the sorted ids of the items whose passages it holds.
 
     Two passes over the documents. The first looks every masked hash up among
     the items' hashes (sent to all executors when few, by count; else joined by
@@ -74,7 +79,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     test = test.where(F.size("words") >= MIN_ITEM)
     longest = max(map(len, masks))
     short = sorted(r[0] for r in test.where(F.size("words") < longest).select(F.size("words")).distinct().collect())  # few lengths below the longest mask
-    corpus = pick(docs, id=id_col, text=text_col).select("id", hashed(tokens_of(F.col("text"))).alias("words"))
+    corpus = pick(docs, id=id_col, text=text_col).select("id", name_of(F.col("text")).alias("at"), hashed(tokens_of(F.col("text"))).alias("words"))
 
     spans = min(map(len, masks))
     wanted = seeds(test, "words", masks, spans)
@@ -86,22 +91,22 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     wanted = wanted.select("seed", "item", F.col("pos").alias("item_pos")).distinct()
     if wanted.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS:
         wanted = F.broadcast(wanted)
-    hits = found.select("id", "pos", "seed").join(wanted, "seed").select("id", "item", (F.col("pos") - F.col("item_pos")).alias("shift"))
+    hits = found.select("id", "at", "pos", "seed").join(wanted, "seed").select("id", "at", "item", (F.col("pos") - F.col("item_pos")).alias("shift"))
     lain = hits.distinct().join(test.withColumnRenamed("item", "of"), F.col("item").eqNullSafe(F.col("of")))
-    lain = lain.groupBy(F.col("id").alias("hit_id")).agg(F.collect_list(F.struct("item", "shift", F.col("words").alias("item_words"))).alias("lain"))
+    lain = lain.groupBy(F.col("id").alias("hit_id"), F.col("at").alias("hit_at")).agg(F.collect_list(F.struct("item", "shift", F.col("words").alias("item_words"))).alias("lain"))
 
-    both = corpus.join(lain, F.col("id").eqNullSafe(F.col("hit_id")), "left")
+    both = corpus.join(lain, F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("at") == F.col("hit_at")), "left")
     need = lambda item: F.ceil(F.least(F.size(item), F.lit(window)) * F.lit(agree))
     proven = F.filter("lain", lambda x: agreement(x["item_words"], F.col("words"), x["shift"], window) >= need(x["item_words"]))
     ids = F.array_sort(F.array_distinct(F.transform(F.coalesce(proven, F.array()), lambda x: x["item"])))
-    return both.select("id", F.size("words").cast("long").alias("n_tokens"), ids.alias("items"))
+    return both.select("id", "at", F.size("words").cast("long").alias("n_tokens"), ids.alias("items"))
 
 
 def remove_leaked(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """Documents that hold no item; all columns kept. Documents that share an id go together."""
+    """Documents that hold no item; all columns kept. Documents that share an id are judged each by its own text."""
     found = leaks(docs, items, id_col, text_col, **options)
-    leaked = found.where(F.size("items") > 0).select("id")
+    leaked = found.where(F.size("items") > 0).select("id", "at")
     names = docs.columns
     flat = docs.toDF(*[f"_c{i}" for i in range(len(names))])
-    on = F.col(f"_c{names.index(id_col)}").eqNullSafe(F.col("_leaked"))
-    return flat.join(leaked.toDF("_leaked").distinct(), on, "left_anti").toDF(*names)
+    on = F.col(f"_c{names.index(id_col)}").eqNullSafe(F.col("_leaked")) & (name_of(F.col(f"_c{names.index(text_col)}")) == F.col("_leaked_at"))
+    return flat.join(leaked.toDF("_leaked", "_leaked_at").distinct(), on, "left_anti").toDF(*names)

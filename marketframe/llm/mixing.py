@@ -13,8 +13,9 @@ lists' lengths, and only they reach the driver.
 Defined results: a null or empty text has no tokens and is drawn like any
 document of its cell; a cell without tokens keeps probability zero unless it
 has such documents only, which stay (probability one); targets of categories
-that have no tokens are shared out among the others; equal ids are drawn
-alike; an empty table gives an empty result.
+that have no tokens are shared out among the others; rows of equal id draw the
+same number and are kept or not by their own cells, those without an id draw by
+their texts; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,12 +23,13 @@ from __future__ import annotations
 import dataclasses
 import json
 import logging
+from collections.abc import Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketframe.llm.common import keep_ids, pick, stored, text_or_empty
+from marketframe.llm.common import pick, stored, text_or_empty
 
 OTHER = "other"
 ROUNDS = 50
@@ -63,14 +65,15 @@ def token_count(text: Column) -> Column:
 
 
 def cells_of(docs: DataFrame, targets: Targets, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-             lang_col: str = "lang") -> DataFrame:
-    """Cell and tokens of every document: (id, source, lang, topic, tokens)."""
-    rows = pick(docs, id=id_col, text=text_col, source=source_col, lang=lang_col)
+             lang_col: str = "lang", kept: Sequence[str] = ()) -> DataFrame:
+    """Cell and tokens of every document: (id, source, lang, topic, tokens, lot); the lot decides its draw. Columns ``kept`` stay."""
+    rows = pick(docs, id=id_col, text=text_col, source=source_col, lang=lang_col, **{c: c for c in kept})
     text = text_or_empty("text")
     listed = lambda c, known: F.when(c.isin(list(known)), c).otherwise(F.lit(OTHER))
     return rows.select(
         "id", listed(F.col("source"), targets.source).alias("source"), listed(F.col("lang"), targets.lang).alias("lang"),
-        listed(topic_of(text), targets.topic).alias("topic"), token_count(text).alias("tokens"))
+        listed(topic_of(text), targets.topic).alias("topic"), token_count(text).alias("tokens"),
+        F.coalesce(F.col("id").cast("string"), F.concat(F.lit("text "), F.md5(text))).alias("lot"), *kept)
 
 
 def rake(cells: dict[tuple, int], targets: Targets, total: float, rounds: int = ROUNDS) -> dict[tuple, float]:
@@ -186,6 +189,12 @@ def _chances(rows: DataFrame, targets: Targets, keep: float, rounds: int, bounde
     return table[F.concat_ws("\x1f", *DIMENSIONS)]
 
 
+def _drawn(seed: str) -> Column:
+    """Whether 32 bits of a checksum of the lot fall below the probability."""
+    draw = F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.col("lot"))), 1, 8), 16, 10).cast("long")
+    return draw < F.col("p") * F.lit(float(1 << 32))
+
+
 def mix(docs: DataFrame, targets: Targets, keep: float, seed: str = "mix", rounds: int = ROUNDS, bounded: bool = False, **columns: str) -> DataFrame:
     """Cell, calibrated probability and draw of every document: (id, source, lang, topic, tokens, p, drawn).
 
@@ -195,15 +204,18 @@ def mix(docs: DataFrame, targets: Targets, keep: float, seed: str = "mix", round
     """
     rows = stored(cells_of(docs, targets, **columns), "mix-cells")
     rows = rows.withColumn("p", _chances(rows, targets, keep, rounds, bounded))
-    # 32 bits of a checksum of the id decide the draw
-    draw = F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("id").cast("string"), F.lit("")))), 1, 8), 16, 10).cast("long")
-    return rows.withColumn("drawn", draw < F.col("p") * F.lit(float(1 << 32)))
+    return rows.withColumn("drawn", _drawn(seed)).drop("lot")
 
 
-def sampled(docs: DataFrame, targets: Targets, keep: float, id_col: str = "doc_id", **options) -> DataFrame:
-    """The drawn documents, all columns kept; documents that share an id are drawn if any of them is.
+def sampled(docs: DataFrame, targets: Targets, keep: float, id_col: str = "doc_id", seed: str = "mix", rounds: int = ROUNDS, bounded: bool = True,
+            **columns: str) -> DataFrame:
+    """The drawn documents, all columns kept; each row is decided by its own cell and lot.
 
     No cell is asked for more than it has (``rake_bounded``).
     """
-    found = mix(docs, targets, keep, id_col=id_col, **{"bounded": True} | options)
-    return keep_ids(docs, found.where("drawn").select("id"), id_col)
+    names = docs.columns
+    flat = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+    named = {"text_col": "text", "source_col": "source", "lang_col": "lang"} | columns
+    cell = cells_of(flat, targets, f"_c{names.index(id_col)}", **{k: f"_c{names.index(c)}" for k, c in named.items()}, kept=flat.columns)
+    rows = cell.withColumn("p", _chances(cell, targets, keep, rounds, bounded))
+    return rows.where(_drawn(seed)).select(*flat.columns).toDF(*names)

@@ -104,6 +104,28 @@ def test_leaks_of_empty_tables(spark, odd, none):
     assert decontaminate.remove_leaked(odd, bench).count() == len(ODD)
 
 
+def test_leaks_are_told_apart_by_id_and_text(spark):
+    item = prose(30, 10)
+    tested = [(None, "a " + item), (None, prose(40, 1)), (None, None), (5, "b " + item), (5, prose(40, 2))]
+    docs = frame(spark, [(i, t, "en", "a", 0) for i, t in tested])
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert sorted((str(r["id"]), r["n_tokens"], r["items"]) for r in decontaminate.leaks(docs, bench).collect()) == [
+        ("5", 31, [1]), ("5", 40, []), ("None", 0, []), ("None", 31, [1]), ("None", 40, [])]
+    kept = decontaminate.remove_leaked(docs, bench).collect()
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in kept) == sorted((str(i), str(t)) for i, t in tested if item not in text(t))
+
+
+def test_sampling_decides_each_document(spark):
+    """Documents without an id are drawn one by one, and those that share an id by their own cells."""
+    rows = [(None, prose(20, i), "en", "a", 0) for i in range(300)] + [(i, prose(20, i), "en", s, 0) for i in range(100) for s in ("b", "c")]
+    goals = mixing.Targets({"a": 0.6, "b": 0.1, "c": 0.3}, {"en": 1.0}, {"general": 1.0})
+    docs = frame(spark, rows)
+    got = mixing.sampled(docs, goals, 0.3)
+    assert got.columns == docs.columns
+    kept = [r["source"] for r in got.collect()]
+    assert 60 <= kept.count("a") <= 120 and kept.count("b") <= 30 and 25 <= kept.count("c") <= 65
+
+
 # simhash
 
 
