@@ -4,7 +4,9 @@ Fixed masks select some token positions of a short span and ignore the others.
 Equal masked hashes of test items and documents are hits; around each hit the
 whole item is laid beside the document, and the item counts as leaked when some
 window of it agrees in most positions. A substituted token falls into ignored
-positions of some mask, so it does not hide a passage.
+positions of some mask, so it does not hide a passage. Masks are added for
+short items and bare windows until every placement of as many substitutions as
+verification allows leaves some mask whole.
 
 Only DataFrame functions; tokens travel as 64-bit hashes.
 
@@ -17,6 +19,10 @@ benchmark leaves every document clean.
 
 from __future__ import annotations
 
+import itertools
+import math
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +32,8 @@ from marketframe.llm.common import pick, text_or_empty
 MASKS = ("11101011", "110110011", "10110100101")
 # Items shorter than the longest mask need masks of their own length.
 MIN_ITEM, WINDOW, AGREE = 5, 13, 0.8
+# Positions an added mask compares at least where the tolerance lets it; most placements that are enumerated.
+LEAST_COMPARED, PLACEMENTS = 6, 100_000
 # Most seeds that are sent to every executor (24 bytes each); more are joined by a shuffle.
 BROADCAST_SEEDS = 500_000
 
@@ -43,6 +51,32 @@ def hashed(tokens: Column) -> Column:
     return F.transform(tokens, lambda t: F.xxhash64(t))
 
 
+def _needed(size: int, agree: float) -> int:
+    """Positions of a span that must agree."""
+    return math.ceil(size * agree)
+
+
+def missed(size: int, masks: Sequence[str], agree: float = AGREE) -> list[set[int]]:
+    """Placements of all allowed substitutions in a span of ``size`` tokens that leave no mask whole anywhere in it."""
+    spots = {frozenset(at + i for i, bit in enumerate(m) if bit == "1") for m in masks for at in range(size - len(m) + 1)}
+    return [set(p) for p in itertools.combinations(range(size), size - _needed(size, agree)) if not any(s.isdisjoint(p) for s in spots)]
+
+
+def more_masks(size: int, masks: Sequence[str], agree: float = AGREE) -> tuple[str, ...]:
+    """Masks that, with ``masks``, miss no placement of the allowed substitutions."""
+    wrong = size - _needed(size, agree)
+    if math.comb(size, wrong) > PLACEMENTS:  # of wrong + 1 pieces one has no substitution
+        return ("1" * (size // (wrong + 1)),)
+    left, added = missed(size, masks, agree), []
+    while left:
+        ignored = set(left[0])
+        while len(ignored) < size - LEAST_COMPARED:
+            ignored.add(max(set(range(size)) - ignored, key=lambda i: sum(p <= ignored | {i} for p in left) + 0.01 * sum(i in p for p in left)))
+        added.append("".join("0" if i in ignored else "1" for i in range(size)).strip("0"))  # its span only: a text may end before the item does
+        left = [p for p in left if not p <= ignored]
+    return tuple(added)
+
+
 def _seed(mask: str, tokens: str, pos: Column) -> Column:
     """Hash of the compared positions, null where the span leaves the text."""
     compared = [F.get(F.col(tokens), pos + i) for i, bit in enumerate(mask) if bit == "1"]
@@ -78,16 +112,22 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     test = pick(items, item=item_col, text=item_text).select("item", hashed(tokens_of(F.col("text"))).alias("words"))
     test = test.where(F.size("words") >= MIN_ITEM)
     longest = max(map(len, masks))
-    short = sorted(r[0] for r in test.where(F.size("words") < longest).select(F.size("words")).distinct().collect())  # few lengths below the longest mask
+    sizes = sorted(r[0] for r in test.where(F.size("words") < window).select(F.size("words")).distinct().collect())  # few lengths below the window
     corpus = pick(docs, id=id_col, text=text_col).select("id", name_of(F.col("text")).alias("at"), hashed(tokens_of(F.col("text"))).alias("words"))
 
     spans = min(map(len, masks))
     wanted = seeds(test, "words", masks, spans)
     found = seeds(corpus, "words", masks, spans)
-    for n in short:  # items below the longest mask: all their tokens, and all but one
-        own = tuple("1" * i + "0" + "1" * (n - i - 1) for i in range(n)) + ("1" * n,)
-        wanted = wanted.unionByName(seeds(test.where(F.size("words") == n), "words", own, n))
-        found = found.unionByName(seeds(corpus, "words", own, n))
+    for n in sizes:  # items below the longest mask: all their tokens, and all but one; and what else their tolerance needs
+        own = tuple(("1" * i + "0" + "1" * (n - i - 1)).strip("0") for i in range(n)) + ("1" * n,) if n < longest else ()
+        if own := own + more_masks(n, masks + own, agree):
+            least = min(map(len, own))
+            wanted = wanted.unionByName(seeds(test.where(F.size("words") == n), "words", own, least))
+            found = found.unionByName(seeds(corpus, "words", own, least))
+    if bare := more_masks(window, masks, agree):  # windows of longer items
+        least = min(map(len, bare))
+        wanted = wanted.unionByName(seeds(test.where(F.size("words") >= window), "words", bare, least))
+        found = found.unionByName(seeds(corpus, "words", bare, least))
     wanted = wanted.select("seed", "item", F.col("pos").alias("item_pos")).distinct()
     if wanted.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS:
         wanted = F.broadcast(wanted)

@@ -115,6 +115,29 @@ def test_leaks_are_told_apart_by_id_and_text(spark):
     assert sorted((str(r["doc_id"]), str(r["text"])) for r in kept) == sorted((str(i), str(t)) for i, t in tested if item not in text(t))
 
 
+def test_seeds_miss_no_tolerated_placement(spark):
+    """All placements of two substitutions in items of 10 to 13 tokens and in a bare window of a longer one."""
+    spans = {n: prose(n, 400 + n).split() for n in (10, 11, 12, 13)} | {40: prose(40, 440).split()}
+    rows, want = [], []
+    for n, words in spans.items():
+        part = words[20: 33] if n == 40 else words
+        for k in (2, 3):
+            for p in itertools.combinations(range(len(part)), k):
+                rows.append((len(rows), " ".join("other" if i in p else w for i, w in enumerate(part)), "en", "a", 0))
+                want.append([n] if k == 2 else [])
+        for front, end, i in itertools.product(range(3), range(3), range(-1, len(part))):  # the text begins or ends within the passage
+            cut = ["other" if k == i else w for k, w in enumerate(part)][front: len(part) - end]
+            if front + end and front + end + ("other" in cut) <= 2:
+                rows.append((len(rows), " ".join(cut), "en", "a", 0))
+                want.append([n])
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in spans.items()], "item_id long, text string")
+    got = {r["id"]: r["items"] for r in decontaminate.leaks(frame(spark, rows), bench).collect()}
+    assert [got[i] for i in range(len(rows))] == want
+    for n in range(5, 21):
+        own = tuple("1" * i + "0" + "1" * (n - i - 1) for i in range(n)) if n < 11 else ()
+        assert not decontaminate.missed(n, decontaminate.MASKS + own + decontaminate.more_masks(n, decontaminate.MASKS + own))
+
+
 def test_sampling_decides_each_document(spark):
     """Documents without an id are drawn one by one, and those that share an id by their own cells."""
     rows = [(None, prose(20, i), "en", "a", 0) for i in range(300)] + [(i, prose(20, i), "en", s, 0) for i in range(100) for s in ("b", "c")]
