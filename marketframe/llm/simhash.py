@@ -10,12 +10,7 @@ A run gives the edges of a spanning forest, never all its pairs. A run of more
 than ``MAX_RUN`` members is never gathered: its members are dealt again by the
 variants of the other segment, cut into two halves of 16 bits of which again
 one differs in at most one bit. What still meets then agrees in all but 17
-bits, so the second level is bounded by the width of a fingerprint. Runs of
-labelled points, whose links are verified later, are cut into pieces instead:
-each is tied to the member closest to the majority of the piece, which enters
-the next piece too. The links that are left out of a run, of whatever size, are
-no loss there: after verification every pair that can be alike and is not
-connected meets again in the prefix filter, without thinning.
+bits, so the second level is bounded by the width of a fingerprint.
 
 Groups are the connected components of the links, found by star contraction
 with every round written to the shared folder.
@@ -37,17 +32,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 from pyspark.sql.functions import pandas_udf
 
-from marketframe.llm import prefix
 from marketframe.llm.common import pick, stored
 
-SEED, MAX_BITS, MAX_RUN, LONG_WORD = 42, 3, 4096, 5
+SEED, MAX_BITS, MAX_RUN = 42, 3, 4096
 CHUNK = 1 << 16
-# Shingle fingerprints of texts alike by 0.8 differ in 9.6 of 64 bits on average, in more than 20 once in ten thousand pairs.
-NEAR_BITS = 20
 # In short runs every pair is compared; in longer ones a spanning forest is grown.
 SHORT_RUN = 8
-# Runs of labelled points that are this long are tied to leaders instead.
-LONG_RUN = 2048
 
 
 def shingle_hashes(text: str | None, width: int, seed: int = SEED) -> np.ndarray:
@@ -107,154 +97,101 @@ def second_variants(over: DataFrame) -> DataFrame:
     return at.select(F.xxhash64("key", "_w", half).alias("key"), *kept)
 
 
-def _forest(fp: np.ndarray, near: np.ndarray, most: int) -> list[tuple[int, int]]:
-    """Edges (i, j) of a minimum spanning forest of the pairs within ``most`` bits, weighted by the (at most ``NEAR_BITS``) bits ``near`` differs in."""
-    n = len(fp)
-    best, parent = np.full(n, 255, np.uint8), np.full(n, -1, np.int64)
-    left = np.ones(n, bool)
+def _forest(fp: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Edges (i, j) of a minimum spanning forest of the pairs within ``most`` bits."""
+    best, parent = np.full(len(fp), 255, np.uint8), np.full(len(fp), -1, np.int64)
+    left = np.ones(len(fp), bool)
     edges = []
-    for _ in range(n):
+    for _ in range(len(fp)):
         rest = np.flatnonzero(left)
         i = int(rest[best[rest].argmin()])
         if best[i] < 255:
             edges.append((int(parent[i]), i))
         left[i] = False
         rest = rest[rest != i]
-        weight = np.bitwise_count(near[rest] ^ near[i])
-        weight[(np.bitwise_count(fp[rest] ^ fp[i]) > most) | (weight > NEAR_BITS)] = 255
+        weight = np.bitwise_count(fp[rest] ^ fp[i])
+        weight[weight > most] = 255
         closer = weight < best[rest]
         best[rest[closer]], parent[rest[closer]] = weight[closer], i
     return edges
 
 
-def _leader_edges(fp: np.ndarray, near: np.ndarray, most: int) -> tuple[list[tuple[int, int]], int]:
-    """Edges (leader, member) by closeness of ``near``, a forest of the leaders, and the first leader.
-
-    The leader is the member closest to the majority of what is left; all within
-    ``NEAR_BITS`` bits are tied to it: for a large group of copies one pass.
-    """
-    left, leaders, edges = np.arange(len(near)), [], []
-    while len(left):
-        centre = np.uint64(majority(near[left]) % (1 << 64))
-        lead = int(left[np.bitwise_count(near[left] ^ centre).argmin()])
-        close = np.bitwise_count(near[left] ^ near[lead]) <= NEAR_BITS
-        edges += [(lead, j) for j in left[close].tolist() if j != lead]
-        leaders.append(lead)
-        left = left[~close]
-    at = np.array(leaders)
-    edges += [(leaders[i], leaders[j]) for i, j in _forest(fp[at], near[at], most)]
-    return edges, leaders[0]
-
-
-def _run_edges(key: np.ndarray, fp: np.ndarray, near: np.ndarray, node: np.ndarray, most: int, long_run: int | None = None) -> tuple[list, list]:
-    """Links of whole runs of equal keys, given in key order; runs of ``long_run`` points or more are tied to leaders."""
+def _run_links(key: np.ndarray, fp: np.ndarray, most: int) -> np.ndarray:
+    """Links (larger, smaller) of whole runs of equal keys, given in key order."""
     starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     sizes = np.diff(np.concatenate((starts, [len(key)])))
     size_at = np.repeat(sizes, sizes)
-    a, b = [], []
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for lag in range(1, SHORT_RUN):
-        same = (key[lag:] == key[:-lag]) & (size_at[lag:] <= SHORT_RUN)
-        at = np.flatnonzero(same)
-        if not len(at):
-            break
-        at = at[(np.bitwise_count(fp[at] ^ fp[at + lag]) <= most) & (np.bitwise_count(near[at] ^ near[at + lag]) <= NEAR_BITS)]
-        a.append(node[at])
-        b.append(node[at + lag])
+        at = np.flatnonzero((key[lag:] == key[:-lag]) & (size_at[lag:] <= SHORT_RUN))
+        at = at[np.bitwise_count(fp[at] ^ fp[at + lag]) <= most]
+        a.append(at)
+        b.append(at + lag)
     for s, n in zip(starts[sizes > SHORT_RUN].tolist(), sizes[sizes > SHORT_RUN].tolist()):
-        if long_run is not None and n >= long_run:
-            found = _leader_edges(fp[s: s + n], near[s: s + n], most)[0]
-        else:
-            found = _forest(fp[s: s + n], near[s: s + n], most)
-        if found:
+        if found := _forest(fp[s: s + n], most):
             i, j = np.array(found).T
-            a.append(node[s + i])
-            b.append(node[s + j])
-    return a, b
-
-
-def _links_of(most: int, max_run: int | None, labelled: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Streams over sorted runs; yields links (a, b, key null), and members of long runs as (a=node, fp, near, key)."""
-    def batch_of(a, b, fp, near, key):
-        as_long = lambda x: pa.array(x, pa.int64()) if x is not None else pa.nulls(len(a), pa.int64())
-        return pa.RecordBatch.from_arrays([as_long(x) for x in (a, b, fp, near, key)], names=["a", "b", "fp", "near", "key"])
-
-    def linked(rows):
-        a, b = _run_edges(rows[0], rows[1].view(np.uint64), rows[2].view(np.uint64), rows[3], most, min(LONG_RUN, max_run) if labelled else None)
-        if a and sum(map(len, a)):
-            a, b = np.concatenate(a), np.concatenate(b)
-            pairs = np.unique(np.stack((np.maximum(a, b), np.minimum(a, b))), axis=1)
-            pairs = pairs[:, pairs[0] != pairs[1]]
-            if pairs.shape[1]:
-                yield batch_of(pairs[0], pairs[1], None, None, None)
+            a.append(s + i)
+            b.append(s + j)
+    a, b = (fp.view(np.int64)[np.concatenate(x)] for x in (a, b))
+    pairs = np.unique(np.stack((np.maximum(a, b), np.minimum(a, b))), axis=1)
+    return pairs[:, pairs[0] != pairs[1]]
+
+
+def _links_of(most: int, max_run: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Streams over sorted runs; yields links (a, b, key null), and members of long runs as (a=fp, b null, key)."""
+    def passed_on(fp, key):
+        return pa.RecordBatch.from_arrays([pa.array(fp), pa.nulls(len(fp), pa.int64()), pa.array(key)], names=["a", "b", "key"])
+
+    def finished(key, fp):
+        """Links of whole runs; those over the limit are passed on."""
+        if max_run is not None and len(key):
+            starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            sizes = np.diff(np.concatenate((starts, [len(key)])))
+            over = np.repeat(sizes > max_run, sizes)
+            if over.any():
+                yield passed_on(fp[over], key[over])
+                key, fp = key[~over], fp[~over]
+        if len(key) and (pairs := _run_links(key, fp.view(np.uint64), most)).shape[1]:
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), pa.nulls(pairs.shape[1], pa.int64())], names=["a", "b", "key"])
 
     def run(batches):
-        held, passing = None, None
+        held, passing = (np.zeros(0, np.int64), np.zeros(0, np.int64)), None
         for batch in batches:
-            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)]
-            rows = [cols[0], cols[1], *(cols[2:] if labelled else (cols[1], cols[1]))]
+            key, fp = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
             if passing is not None:  # members of a run that is already too long
-                n = int(np.searchsorted(rows[0] != passing, True))
+                n = int(np.searchsorted(key != passing, True))
                 if n:
-                    yield batch_of(rows[3][:n], None, rows[1][:n], rows[2][:n], rows[0][:n])
-                    rows = [x[n:] for x in rows]
-                if len(rows[0]):
+                    yield passed_on(fp[:n], key[:n])
+                    key, fp = key[n:], fp[n:]
+                if len(key):
                     passing = None
-            if not len(rows[0]):
+            if not len(key):
                 continue
-            if held is not None:
-                rows = [np.concatenate(x) for x in zip(held, rows)]
-            last = int(np.searchsorted(rows[0] == rows[0][-1], True))
-            done, held = [x[:last] for x in rows], [x[last:] for x in rows]
-            yield from finished(done)
-            if labelled:
-                while len(held[0]) > max_run:  # piece by piece, tied together by the leader of the piece before
-                    piece, rest = [x[:max_run] for x in held], [x[max_run:] for x in held]
-                    yield from linked(piece)
-                    lead = _leader_edges(piece[1].view(np.uint64), piece[2].view(np.uint64), most)[1]
-                    held = [np.concatenate((x[lead: lead + 1], y)) for x, y in zip(piece, rest)]
-            elif max_run is not None and len(held[0]) > max_run:
-                yield batch_of(held[3], None, held[1], held[2], held[0])
-                passing, held = held[0][0], None
-        if held is not None:
-            yield from finished(held)
-
-    def finished(rows):
-        """Links of whole runs; those over the limit are passed on."""
-        if max_run is not None and not labelled and len(rows[0]):
-            starts = np.flatnonzero(np.concatenate(([True], rows[0][1:] != rows[0][:-1])))
-            sizes = np.diff(np.concatenate((starts, [len(rows[0])])))
-            if (sizes > max_run).any():
-                over = np.repeat(sizes > max_run, sizes)
-                yield batch_of(rows[3][over], None, rows[1][over], rows[2][over], rows[0][over])
-                rows = [x[~over] for x in rows]
-        if len(rows[0]):
-            yield from linked(rows)
+            key, fp = np.concatenate((held[0], key)), np.concatenate((held[1], fp))
+            last = int(np.searchsorted(key == key[-1], True))
+            yield from finished(key[:last], fp[:last])
+            held = key[last:], fp[last:]
+            if max_run is not None and len(held[0]) > max_run:
+                yield passed_on(held[1], held[0])
+                passing, held = held[0][0], (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        yield from finished(*held)
     return run
 
 
-def links(points: DataFrame, most: int = MAX_BITS, max_run: int = MAX_RUN, labelled: bool = False) -> DataFrame:
-    """Links (a, b), a > b, that connect all points within ``most`` (at most 3) bits of each other.
-
-    ``points`` has a column fp; with ``labelled`` also near (a second
-    fingerprint that may differ in ``NEAR_BITS`` bits, and by which the closest
-    links are preferred) and node (what the links name); else the links name
-    fingerprints.
-    """
+def links(points: DataFrame, most: int = MAX_BITS, max_run: int = MAX_RUN) -> DataFrame:
+    """Links (a, b), a > b, that connect all fingerprints (column fp) within ``most`` (at most 3) bits of each other."""
     if not 0 <= most <= 3:
         raise ValueError("two segments with one wildcard find up to 3 differing bits")
-    kept = ["fp", "near", "node"] if labelled else ["fp"]
-    schema = "a long, b long, fp long, near long, key long"
 
     def met(rows: DataFrame, limit: int | None) -> DataFrame:
-        dealt = rows.select("key", *kept).repartition("key").sortWithinPartitions("key", *kept)
-        return dealt.mapInArrow(_links_of(most, limit, labelled), schema)
+        dealt = rows.select("key", "fp").repartition("key").sortWithinPartitions("key", "fp")
+        return dealt.mapInArrow(_links_of(most, limit), "a long, b long, key long")
 
-    first = stored(met(variants(points.select(*kept)), max_run), "simhash-runs")
+    first = stored(met(variants(points.select("fp")), max_run), "simhash-runs")
     pairs = first.where(F.col("key").isNull()).select("a", "b")
     over = first.where(F.col("key").isNotNull())
     if not over.isEmpty():
-        over = over.select("key", "fp", "near", F.col("a").alias("node")).select("key", *kept)
-        pairs = pairs.unionByName(met(second_variants(over), None).select("a", "b"))
+        pairs = pairs.unionByName(met(second_variants(over.select("key", F.col("a").alias("fp"))), None).select("a", "b"))
     return pairs.distinct()
 
 
@@ -288,125 +225,40 @@ def components(pairs: DataFrame) -> DataFrame:
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, most: int = MAX_BITS,
            max_run: int = MAX_RUN) -> DataFrame:
-    """Fingerprint and group of every document: (id, fp, group), the group named by its smallest id."""
+    """Fingerprint and group of every document: (id, name, fp, root, group), one row for each of ``docs``.
+
+    ``name`` is a hash of the text; ``root`` names the component, ``group`` is
+    the smallest id in it.
+    """
     rows = pick(docs, id=id_col, text=text_col)
-    marked = stored(rows.select("id", fingerprint_of(width)(F.col("text")).alias("fp")), "fingerprints")
+    marked = stored(rows.select("id", F.xxhash64("text").alias("name"), fingerprint_of(width)(F.col("text")).alias("fp")), "fingerprints")
     points = stored(marked.groupBy("fp").agg(F.min("id").alias("first")), "distinct-fingerprints")
     roots = components(links(points, most, max_run))
     named = points.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     group = named.groupBy("root").agg(F.min("first").alias("group"))
-    of_point = named.join(group.withColumnRenamed("root", "r"), F.col("root") == F.col("r")).select(F.col("fp").alias("p"), "group")
-    return marked.join(of_point, F.col("fp") == F.col("p")).select("id", "fp", "group")
-
-
-def telling_words(text: str | None) -> np.ndarray:
-    """Hashes of the words of ``LONG_WORD`` or more bytes, repeats included; of all words where there are few long ones."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    long = [w for w in words if len(w) >= LONG_WORD]
-    kept = long if len(long) * 4 >= len(words) else words
-    digest = xxhash.xxh64_intdigest
-    return np.fromiter((digest(w, SEED) for w in kept), np.uint64, len(kept))
-
-
-def remixed(hashes: np.ndarray, n: int) -> np.ndarray:
-    """Another hash of the same features: a multiplicative mix, different for each ``n`` (unchanged for 0)."""
-    if not n:
-        return hashes
-    x = (hashes ^ np.uint64(0x9E3779B97F4A7C15 * n % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(29))
-
-
-def _marks(width: int, prints: int):
-    """Arrow-batched function text -> (fingerprints of telling words, one of shingles, distinct 32-bit shingle hashes)."""
-    import pandas as pd
-
-    @pandas_udf("words array<long>, near long, shingles array<int>")
-    def marks(texts):
-        out = []
-        for t in texts:
-            shingles, words = shingle_hashes(t, width), telling_words(t)
-            kept = np.unique((shingles >> np.uint64(32)).astype(np.uint32)).view(np.int32)
-            out.append(([majority(remixed(words, n)) for n in range(prints)], majority(shingles), kept))
-        return pd.DataFrame(out, columns=["words", "near", "shingles"])
-    return marks
-
-
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similar: float = 0.8,
-                    prints: int = 3, most: int = MAX_BITS, max_run: int = MAX_RUN) -> DataFrame:
-    """Groups of documents whose shingle sets are alike: (id, node, group, n_links); node names the exact text.
-
-    Two texts are linked when their sets of ``width``-word shingles have a
-    Jaccard similarity of ``similar`` or more; groups are the connected
-    components of all such links. Exact copies are one node.
-
-    The first candidates are texts whose fingerprints over single words differ
-    in at most ``most`` bits, for any of ``prints`` hashes: an edited word
-    changes one feature there, not ``width`` of them. Short words are left out,
-    as they make all texts of a language alike. Within a run of equal variants
-    the links of a minimum spanning forest, by the fingerprint over shingles,
-    are tried where that fingerprint differs in at most ``NEAR_BITS`` bits.
-    These candidates miss pairs, so they only tie most texts together early:
-    an exact prefix filter then gives every pair that can be alike and is not
-    yet connected. Links of both kinds are verified on the shingles.
-    """
-    rows = pick(docs, id=id_col, text=text_col).withColumn("node", F.xxhash64(F.coalesce("text", F.lit(""))))
-    ids = rows.groupBy("node").agg(F.min("id").alias("first"))
-    marked = rows.withColumn("m", _marks(width, prints)(F.col("text"))).select("id", "node", "m.*")
-    marked = stored(marked, "near-marks")
-    once = marked.select("node", "words", "near").groupBy("node").agg(
-        F.min("near").alias("near"), *[F.min(F.col("words")[i]).alias(f"fp{i}") for i in range(prints)])
-    once = stored(once, "near-points")
-    pairs = None
-    for i in range(prints):
-        found = links(once.select(F.col(f"fp{i}").alias("fp"), "near", "node"), most, max_run, labelled=True)
-        pairs = found if pairs is None else pairs.unionByName(found)
-    pairs = stored(pairs.distinct(), "near-pairs")
-
-    of_first = (F.col("node") == F.col("n")) & F.col("id").eqNullSafe(F.col("first"))
-    sets = marked.select("node", "id", "shingles").join(ids.select(F.col("node").alias("n"), "first"), of_first, "left_semi")
-    sets = stored(sets.select("node", "shingles").dropDuplicates(["node"]), "near-sets")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        named = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        some = sets.join(named, "node", "left_semi")
-        both = pairs.join(some.toDF("a", "sa"), "a").join(some.toDF("b", "sb"), "b")
-        common = F.size(F.array_intersect("sa", "sb"))
-        return both.where(common >= F.lit(similar) * (F.size("sa") + F.size("sb") - common)).select("a", "b")
-
-    alike = stored(verified(pairs), "near-links")
-    labels = components(alike).toDF("node", "root")
-    labelled = sets.join(labels, "node", "left").select("node", F.coalesce("root", "node").alias("label"), "shingles")
-    more = stored(prefix.candidates(labelled, similar), "near-prefix-pairs")
-    roots = components(alike.unionByName(verified(more)))
-    named = ids.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
-    group = named.groupBy("root").agg(F.min("first").alias("group"))
-    of_node = named.join(group.withColumnRenamed("root", "r"), F.col("root") == F.col("r")).select(F.col("node").alias("n"), "group", "root")
-    return marked.select("id", "node").join(of_node, F.col("node") == F.col("n")).select("id", "node", "group", "root")
+    of_point = named.join(group.withColumnRenamed("root", "r"), F.col("root") == F.col("r")).select(F.col("fp").alias("p"), "root", "group")
+    return marked.join(of_point, F.col("fp") == F.col("p")).select("id", "name", "fp", "root", "group")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates; all columns kept.
+    """One document of each group, the one with the smallest id; all columns kept.
 
-    A group whose ids are all null keeps one of its rows.
+    Of texts that share that id the one whose name is smallest stays, of rows
+    that repeat both id and text one; a group whose ids are all null keeps one
+    of its rows. Null and empty texts have names of their own but one
+    fingerprint, so one of them stays.
     """
     names = docs.columns
-    found = stored(near_duplicates(docs, id_col, text_col, **options), "near-groups")
-    # one (id, text) per group stays: that of the smallest id, the smallest text name on ties
-    best = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("best"), F.count(F.lit(1)).alias("n"))
-    best = best.select("root", F.col("best.id").alias("best_id"), F.col("best.node").alias("best_node"))
-    judged = found.join(best, "root")
-    stays = F.col("id").eqNullSafe(F.col("best_id")) & (F.col("node") == F.col("best_node"))
-    gone = judged.where(~stays).select(F.col("id").alias("_id"), F.col("node").alias("_node")).distinct()
-    again = judged.where(stays).groupBy("id", "node").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("id").alias("_id"), F.col("node").alias("_node"))
+    found = stored(groups(docs, id_col, text_col, **options).groupBy("root", "id", "name").agg(F.count(F.lit(1)).alias("n")), "simhash-groups")
+    best = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "name", "n")).alias("best"))
+    stays = stored(best.select(F.col("best.id").alias("_id"), F.col("best.name").alias("_name"), F.col("best.n").alias("_n")), "simhash-first")
 
     flat = docs.toDF(*[f"_c{i}" for i in range(len(names))])
-    node = F.xxhash64(F.coalesce(F.col(f"_c{names.index(text_col)}"), F.lit("")))
-    flat = flat.withColumn("_at", node)
-    on = F.col(f"_c{names.index(id_col)}").eqNullSafe(F.col("_id")) & (F.col("_at") == F.col("_node"))
-    left = flat.join(gone, on, "left_anti")
-    if not again.isEmpty():  # rows that repeat both id and text: one of them
-        again = stored(again, "near-repeated")
-        repeated = left.join(again, on, "left_semi").dropDuplicates([f"_c{names.index(id_col)}", "_at"])
-        left = left.join(again, on, "left_anti").unionByName(repeated)
+    own, text = (f"_c{names.index(c)}" for c in (id_col, text_col))
+    flat = flat.withColumn("_at", F.xxhash64(text))
+    on = F.col(own).eqNullSafe(F.col("_id")) & (F.col("_at") == F.col("_name"))
+    once, often = stays.where("_n = 1"), stays.where("_n > 1")
+    left = flat.join(once, on, "left_semi")
+    if not often.isEmpty():  # rows that repeat both id and text: one of them
+        left = left.unionByName(flat.join(often, on, "left_semi").dropDuplicates([own, "_at"]))
     return left.drop("_at").toDF(*names)
