@@ -25,7 +25,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near-duplicates: five-word shingles, similarity 0.8 or more."""
+    """Keep one document of each SimHash group: three-word shingles, fingerprints linked at three or fewer differing bits."""
     small_batches(spark)
     return simhash.one_of_each(docs)
 
