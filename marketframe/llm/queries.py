@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketframe.llm import chat, decontaminate, langid, licenses, lines, mixing, pii, shards, simhash, topk
+from marketframe.llm import chat, decontaminate, langid, licenses, lines, mixing, packing, pii, rtree, shards, simhash, topk, whitening
 from marketframe.llm.common import small_batches, table
 from marketframe.session import work_dir
 
@@ -186,5 +186,38 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id").withColumn("dropped", F.array_join(F.transform("dropped", lambda n: n.cast("string")), ","))
 
 
+@query("op11_whitening")
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight whitened components of every vector. No SQL: eigenvectors."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@query("op12_packing")
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 2,048 tokens. No SQL: a tokenizer."""
+    import public_tokenizers
+
+    small_batches(spark)
+    found = packing.packed(table(spark, sf_dir, "documents"), str(public_tokenizers.path("word_bpe_49k.json")))
+    return found.select(F.col("id").alias("doc_id"), "piece", "start", "length", F.col("crc").alias("ids_crc32"), F.col("sequence").alias("sequence_id"), "offset")
+
+
+@query("op13_hard_negatives", """
+WITH v AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS MATERIALIZED (SELECT q.vec_id AS anchor_id, c.vec_id, q.label = c.label AS alike, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM (SELECT DISTINCT * FROM v WHERE vec_id % 100 = 0) q JOIN v c ON q.vec_id <> c.vec_id),
+p AS (SELECT anchor_id, vec_id, score FROM s WHERE alike QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+    FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.alike AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10""")
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten hard negatives for each of five positives of every hundredth vector; the label of every seventh is moved on by one first."""
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return rtree.hard_negatives(vectors.select("vec_id", "embedding", moved.alias("label")), lambda i: i % 100 == 0)
+
+
 def load() -> tuple[dict, dict]:
     return dict(QUERIES), dict(ORACLES)
