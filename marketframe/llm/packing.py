@@ -17,7 +17,8 @@ holds a third of all rows is therefore many small groups.
 
 Tokens of a text are those of its blank-separated parts one after the other, as
 the tokenizer drops white space and nothing in it reaches across; parts recur,
-so each task remembers the ids of those it has met (up to ``CACHE_BYTES``).
+so each worker remembers the ids of those it met lately (up to ``CACHE_BYTES``
+twice, more only while one document needs it).
 
 Defined results: a null text counts as empty and is the end mark alone; a null
 id is kept; repeated rows are documents of their own and get slots of their
@@ -28,7 +29,11 @@ result.
 
 from __future__ import annotations
 
+import array
 import bisect
+import functools
+import re
+import sys
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -42,35 +47,55 @@ from marketframe.llm.shards import looked_up
 
 SIZE, END = 2048, 0
 CACHE_BYTES = 1 << 26
-BUCKET_ROWS, MOST_BUCKETS = 1024, 1 << 16
+PLAIN, WORDS = re.compile(rb"[a-z]+[!-&(-/:-@\\[-`{-~]*"), re.compile(r"[a-z]+|[^a-z]+")
+BUCKET_ROWS, MOST_BUCKETS = 512, 1 << 16
 PIECES = "id {id}, piece int, start long, length long, crc long, lot long"
 
 
+class _Ids(dict):
+    """Ids of text parts, worked out when first asked for; those of an older table move on when met again."""
+
+    def __init__(self, ids_of: Callable[[bytes], bytes], older: dict[bytes, bytes]):
+        super().__init__()
+        self.ids_of, self.older, self.held = ids_of, older, 0
+
+    def __missing__(self, part: bytes) -> bytes:
+        ids = self.older.get(part)
+        if ids is None:
+            ids = self.ids_of(part)
+        self[part] = ids
+        self.held += len(part) + len(ids) + 150
+        return ids
+
+
+@functools.cache
 def encoder(path: str) -> Callable[[bytes], bytes]:
-    """Function text -> its ids, 4 bytes each, the lowest first."""
+    """Function text -> its ids, 4 bytes each, the lowest first; a worker keeps it from task to task."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    known: dict[bytes, bytes] = {}
-    held = 0
+
+    bpe = tokenizer.model
+
+    def ids_of(part: bytes) -> bytes:
+        if PLAIN.fullmatch(part):  # a word and what stands behind it: both known to the vocabulary as they are
+            found = [token.id for word in WORDS.findall(part.decode()) for token in bpe.tokenize(word)]
+        else:
+            found = tokenizer.encode(part.decode("utf-8", "replace"), add_special_tokens=False).ids
+        ids = array.array("I", found)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
+    known = _Ids(ids_of, {})
 
     def encode(text: bytes) -> bytes:
-        nonlocal held
-        parts = text.split()
-        try:
-            return b"".join(map(known.__getitem__, parts))
-        except KeyError:
-            pass
-        if held > CACHE_BYTES:
-            known.clear()
-            held = 0
-        for part in set(parts):
-            if part not in known:
-                ids = tokenizer.encode(part.decode("utf-8", "replace"), add_special_tokens=False).ids
-                known[part] = np.array(ids, "<u4").tobytes()
-                held += len(part) + len(known[part]) + 200
-        return b"".join(map(known.__getitem__, parts))
+        nonlocal known
+        if known.held > CACHE_BYTES:  # what is met again moves on, the rest is forgotten
+            known.older = {}
+            known = _Ids(ids_of, known)
+        return b"".join(map(known.__getitem__, text.lower().split()))
     return encode
 
 
