@@ -6,54 +6,62 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketframe.functions import contracts, dates, values
-from marketframe.operators import aggregate, joins
+from marketframe.operators import aggregate, asof, series
 
 LOOKBACK_DAYS = 10
 
 
-def chain_lists(chain: DataFrame) -> DataFrame:
-    """One row per generic root with its contracts in order of expiry.
+def _counted(points: DataFrame, chain: DataFrame, root: str) -> DataFrame:
+    """Points and contracts of each root as one series: ``_run`` counts the contracts that have expired by a row's date, its own included.
 
-    A root has at most a few contracts per calendar month, so the list is
-    bounded by the calendar and not by the size of any table.
+    ``_own`` is 1 for contracts. The count is an order statistic: totals of the
+    date buckets before, plus the order within the bucket; no root is gathered.
     """
     distinct = chain.groupBy("gen_ticker", "contract").agg(F.max("last_trade_date").alias("expiry"))
-    return distinct.groupBy("gen_ticker").agg(
-        F.sort_array(F.collect_list(F.struct("expiry", "contract"))).alias("contracts")
-    )
+    live = distinct.where("expiry IS NOT NULL AND gen_ticker IS NOT NULL").select(
+        F.col("gen_ticker").alias("_root"), F.col("contract").alias("_contract"), F.col("expiry").alias("_day"), F.lit(1).alias("_own"))
+    rows = points.withColumns({"_root": F.col(root), "_day": F.col("dt"), "_own": F.lit(0)}).unionByName(live, allowMissingColumns=True)
+    # a contract that expires on a date is gone on it
+    order = [F.col("_day"), F.col("_own").desc(), F.col("_contract")]
+    return series.with_running(rows, ["_root"], order, asof.day_bucket(F.col("_day")), {"_run": F.col("_own")})
+
 
+def _numbered(counted: DataFrame, n: int | Column, ranks: int = 1) -> DataFrame:
+    """Points with ``_c0``, ``_c1``, …: contract and expiry of the n-th contract after their date and of those after it.
 
-def _live(date: Column) -> Column:
-    """Contracts that expire strictly after a date."""
-    return F.filter("contracts", lambda c: c["expiry"] > date)
+    A contract meets its points by root and number.
+    """
+    places = F.explode(F.sequence(F.lit(0), F.lit(ranks - 1)))
+    contracts_ = counted.where("_own = 1").withColumn("_rank", places).withColumn("_number", F.col("_run") - F.col("_rank"))
+    points = counted.where("_own = 0").withColumn("_number", F.when(F.col("_day").isNotNull() & (n >= 1), F.col("_run") + n))
+    both = points.unionByName(contracts_, allowMissingColumns=True)
+    of = Window.partitionBy("_root", "_number")
+    named = {f"_c{k}": F.max(F.when(F.col("_rank") == k, F.struct(F.col("_contract").alias("contract"), F.col("_day").alias("expiry")))).over(of) for k in range(ranks)}
+    known = F.col("_root").isNotNull() & F.col("_number").isNotNull()
+    found = both.withColumns(named).where("_own = 0")
+    return found.withColumns({c: F.when(known, F.col(c)) for c in named})
 
 
 def nth_contract(points: DataFrame, chain: DataFrame, n: int | Column = 1) -> DataFrame:
     """The n-th contract by expiry after each point's date; null where the chain is too short.
 
-    ``points``: gen_ticker, dt. Each point looks into its root's short list, so
-    the chain is never multiplied by the dates.
+    ``points``: gen_ticker, dt.
     """
-    rank = F.lit(n) if isinstance(n, int) else n
-    found = points.join(chain_lists(chain), "gen_ticker", "left")
-    live = _live(F.col("dt"))
-    pick = F.try_element_at(live, rank.cast("int"))
-    return found.select(
-        *points.columns, rank.cast("int").alias("n"),
-        pick["contract"].alias("contract"), pick["expiry"].alias("expiry"),
-    )
+    rank = (F.lit(n) if isinstance(n, int) else n).cast("int")
+    found = _numbered(_counted(points.withColumn("n", rank), chain, "gen_ticker"), F.col("n"))
+    return found.select(*points.columns, "n", F.col("_c0.contract").alias("contract"), F.col("_c0.expiry").alias("expiry"))
+
+
+def _roots(points: DataFrame) -> DataFrame:
+    """Generic points with the name of their root and the number of the contract they ask for."""
+    generic = points.where(~contracts.is_specific_contract(F.col("gen_ticker")))
+    return generic.withColumns({"_n": contracts.contract_index(F.col("gen_ticker")) + 1, "_of": contracts.with_generic_index(F.col("gen_ticker"), 1)})
 
 
 def fut_ticker(points: DataFrame, chain: DataFrame) -> DataFrame:
     """Contract of a generic ticker on a date, from its chain: the index digit picks the n-th."""
-    index = contracts.contract_index(F.col("gen_ticker")) + 1
-    generic = points.where(~contracts.is_specific_contract(F.col("gen_ticker"))).withColumn("_n", index).withColumn(
-        "_root", contracts.with_generic_index(F.col("gen_ticker"), 1)
-    )
-    lists = chain_lists(chain).withColumnRenamed("gen_ticker", "_root")
-    found = generic.join(lists, "_root", "left")
-    pick = F.try_element_at(_live(F.col("dt")), F.col("_n"))
-    return found.select(*points.columns, pick["contract"].alias("contract"), pick["expiry"].alias("expiry"))
+    found = _numbered(_counted(_roots(points), chain, "_of"), F.col("_n"))
+    return found.select(*points.columns, F.col("_c0.contract").alias("contract"), F.col("_c0.expiry").alias("expiry"))
 
 
 def futures_candidates(points: DataFrame, freq: str = "monthly", as_of=None, count: Column | None = None) -> DataFrame:
@@ -91,33 +99,24 @@ def fut_ticker_candidates(
 
 
 def latest_of_two(points: DataFrame, hist: DataFrame, field: str, lookback: int) -> DataFrame:
-    """Latest numeric value of the contracts ``first`` and ``second`` in the days up to ``dt``.
+    """Points with the latest numeric value of the contracts ``first`` and ``second`` in the days up to ``dt``, null without ``_open``.
 
-    The few look-back days of each point with ``_open`` are listed, so history
-    joins by equality on (contract, date) and no contract's history meets all
-    its dates. Points drop out while unfolding: a filter would be pushed down
-    and work the contract names out a second time.
+    An open point looks up two rows as of its date, any other passes through as
+    one. Of a doubled cell the last row by ``pos`` counts, or the largest value
+    without positions.
     """
     number = values.clean_value(F.col("value").cast("string")).try_cast("double")
-    rows = hist.where(F.upper("field") == field.upper()).select(
-        F.col("ticker").alias("_contract"), F.col("date").alias("_day"), number.alias("_v")
-    ).where(F.col("_v").isNotNull())
-    keys = ["gen_ticker", "dt", "first", "second"]
-    pair = F.when(F.col("_open"), F.array("first", "second"))
-    both = points.select(*keys, F.posexplode_outer(pair).alias("_rank", "_contract")).where("_rank is not null")
-    days = both.withColumn("_day", F.explode(F.sequence(F.date_sub("dt", lookback), F.col("dt"))))
-    found = days.join(rows, ["_contract", "_day"], "left")
-    seen = lambda rank: F.when((F.col("_rank") == rank) & F.col("_v").isNotNull(), F.col("_day"))
+    rows = hist.where(F.upper("field") == field.upper()).withColumn("_v", number).where(F.col("_v").isNotNull())
+    cell = F.max_by("_v", "pos") if "pos" in hist.columns else F.max("_v")
+    cells = rows.groupBy(F.col("ticker").alias("_contract"), F.col("date").alias("_seen")).agg(cell.alias("_v"))
+    keys = points.columns
+    # a point without a contract has a key of its own, so that null is no hot key
+    pair = F.when(F.col("_open"), F.array("first", "second")).otherwise(F.array(F.coalesce("first", "gen_ticker")))
+    both = points.select(*keys, F.posexplode(pair).alias("_rank", "_contract"))
+    found = asof.as_of(both, cells, "_contract", "dt", ["_v"], lookback, value_day="_seen", at="_seen")
+    of = lambda c, rank: F.max(F.when(F.col("_open") & (F.col("_rank") == rank), F.col(c)))
     return found.groupBy(*keys).agg(
-        F.max(seen(0)).alias("first_date"), F.max_by("_v", seen(0)).alias("first_value"),
-        F.max(seen(1)).alias("second_date"), F.max_by("_v", seen(1)).alias("second_value"),
-    )
-
-
-def _settled(points: DataFrame, contract: Column) -> DataFrame:
-    """Points that need no look at history, with their contract."""
-    row = F.when(~F.col("_open"), F.array(F.struct(F.lit(True).alias("_done"), contract.alias("contract"))))
-    return points.select("gen_ticker", "dt", F.inline_outer(row)).where("_done").drop("_done")
+        of("_seen", 0).alias("first_date"), of("_v", 0).alias("first_value"), of("_seen", 1).alias("second_date"), of("_v", 1).alias("second_value"))
 
 
 def active_futures(points: DataFrame, chain: DataFrame, hist: DataFrame, lookback: int = LOOKBACK_DAYS) -> DataFrame:
@@ -125,22 +124,16 @@ def active_futures(points: DataFrame, chain: DataFrame, hist: DataFrame, lookbac
 
     Before the month in which the front contract expires it is the front one;
     from then on the one with the larger latest volume of the look-back, the
-    front one on a tie or without volumes.
+    front one on a tie or without volumes. One row per distinct point.
     """
-    base = points.where(~contracts.is_specific_contract(F.col("gen_ticker"))).withColumn(
-        "_root", contracts.with_generic_index(F.col("gen_ticker"), 1)
-    )
-    found = base.join(chain_lists(chain).withColumnRenamed("gen_ticker", "_root"), "_root", "left")
-    two = found.select("gen_ticker", "dt", F.slice(_live(F.col("dt")), 1, 2).alias("_two"))
-    two = two.select("gen_ticker", "dt", F.get("_two", F.lit(0)).alias("f"), F.get("_two", F.lit(1)).alias("s"))
-    early = F.trunc("dt", "month") < F.trunc(F.col("f.expiry"), "month")
-    compare = ~F.coalesce(early, F.lit(True)) & F.col("s").isNotNull()
-    two = two.select(
-        "gen_ticker", "dt", F.col("f.contract").alias("first"), F.col("s.contract").alias("second"), compare.alias("_open")
-    )
+    base = _roots(points.select("gen_ticker", "dt").distinct())
+    two = _numbered(_counted(base, chain, "_of"), F.lit(1), ranks=2)
+    early = F.trunc("dt", "month") < F.trunc("_c0.expiry", "month")
+    compare = ~F.coalesce(early, F.lit(True)) & F.col("_c1").isNotNull()
+    two = two.select("gen_ticker", "dt", F.col("_c0.contract").alias("first"), F.col("_c1.contract").alias("second"), compare.alias("_open"))
     compared = latest_of_two(two, hist, "VOLUME", lookback)
     chosen = aggregate.argmax_volume(F.col("first"), F.col("second"), F.col("first_value"), F.col("second_value"))
-    return _settled(two, F.col("first")).unionByName(compared.select("gen_ticker", "dt", chosen.alias("contract")))
+    return compared.select("gen_ticker", "dt", F.when(F.col("_open"), chosen).otherwise(F.col("first")).alias("contract"))
 
 
 def _cdx_facts(ref: DataFrame) -> DataFrame:
@@ -193,11 +186,11 @@ def active_cdx(points: DataFrame, ref: DataFrame, hist: DataFrame, lookback: int
     start = _cdx_facts(ref).select(F.col("gen_ticker").alias("first"), F.col("accrual").alias("_start"))
     now = now.join(start, "first", "left")
     early = F.coalesce(F.col("dt") < F.col("_start"), F.lit(False))
-    two = now.withColumns({"_early": early, "_open": F.col("second").isNotNull() & ~early})
-    settled = _settled(two, F.when(F.col("_early"), F.coalesce("second", "first")).otherwise(F.col("first")))
-    last = latest_of_two(two, hist, "PX_LAST", lookback)
+    two = now.select("gen_ticker", "dt", "first", "second", early.alias("_early"), (F.col("second").isNotNull() & ~early).alias("_open"))
+    last = latest_of_two(two.distinct(), hist, "PX_LAST", lookback)
     older = F.when(F.col("first_date").isNull(), F.col("second_date").isNotNull()).otherwise(
         F.coalesce(F.col("second_date") > F.col("first_date"), F.lit(False))
     )
-    chosen = last.select("gen_ticker", "dt", F.when(older, F.col("second")).otherwise(F.col("first")).alias("contract"))
-    return settled.unionByName(chosen)
+    settled = F.when(F.col("_early"), F.coalesce("second", "first")).otherwise(F.col("first"))
+    chosen = F.when(F.col("_open"), F.when(older, F.col("second")).otherwise(F.col("first"))).otherwise(settled)
+    return last.select("gen_ticker", "dt", chosen.alias("contract"))
