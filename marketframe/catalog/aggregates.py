@@ -89,6 +89,15 @@ def latest_point(spark, path):
     return rounded(out, "value")
 
 
+@query("latest_points", """WITH pts AS (SELECT DISTINCT ticker, last_day(date + 60) AS dt FROM hist_long WHERE field = 'VOLUME')
+SELECT p.ticker, p.dt, CASE WHEN v.date >= p.dt - 120 THEN v.date END AS date, CASE WHEN v.date >= p.dt - 120 THEN round(v.value, 6) END AS value
+FROM pts p ASOF LEFT JOIN (SELECT * FROM hist_long WHERE field = 'PX_LAST') v ON v.ticker = p.ticker AND p.dt >= v.date""")
+def latest_points(spark, path):
+    hist = A.hist_long(spark, path)
+    points = hist.where("field = 'VOLUME'").select("ticker", F.last_day(F.date_add("date", 60)).alias("dt")).distinct()
+    return rounded(aggregate.latest_points(points, hist, "px_last", 120), "value")
+
+
 @query("first_seen_distinct", f"SELECT field, min(pos) AS first_pos FROM {POSITIONED} p GROUP BY field")
 def first_seen_distinct(spark, path):
     return aggregate.first_seen_distinct(_positioned(spark, path), "field", "pos")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketframe.functions import values
+from marketframe.operators.asof import as_of
 from marketframe.operators.series import spread_join, with_running
 
 
@@ -120,6 +121,18 @@ def latest_point(hist: DataFrame, field: str, end: Column, lookback: int, pos: s
     return rows.groupBy("ticker").agg(F.max("date").alias("date"), F.max_by("_n", order).alias("value"))
 
 
+def latest_points(points: DataFrame, hist: DataFrame, field: str, lookback: int, pos: str | None = None) -> DataFrame:
+    """Latest dated numeric value of each point's ticker up to its ``dt``: ``points`` with date and value, null where there is none.
+
+    Of a doubled cell the last row by ``pos`` counts, or the largest value
+    without positions.
+    """
+    number = values.clean_value(F.col("value").cast("string")).try_cast("double")
+    rows = hist.where(F.upper("field") == field.upper()).withColumn("_n", number).where(F.col("_n").isNotNull() & ~F.isnan("_n"))
+    cells = rows.groupBy("ticker", F.col("date").alias("_seen")).agg((F.max_by("_n", pos) if pos else F.max("_n")).alias("value"))
+    return as_of(points, cells, "ticker", "dt", ["value"], lookback, value_day="_seen", at="date")
+
+
 def first_seen_distinct(df: DataFrame, col: str, pos: str) -> DataFrame:
     """Distinct values with the position of their first appearance."""
     return df.groupBy(col).agg(F.min(pos).alias("first_pos"))

@@ -8,12 +8,18 @@ inside a block, to which the end state of the blocks before is carried.
 
 from __future__ import annotations
 
+import dataclasses
+import math
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from marketframe import refdata
 from marketframe.operators import series
@@ -424,38 +430,192 @@ def ptps(df: DataFrame, step: float = 0.02, cap: float = 0.20, block_rows: int =
     return finish(spark.read.schema(schema).parquet(*[f"{folder}/round={i}" for i in range(rounds)]))
 
 
-def hurst(df: DataFrame, value: str = "close", smallest: int = 8) -> DataFrame:
+HURST_BLOCK, HURST_FAN = 1 << 16, 1 << 12
+_HURST_NODE = "count long, sum double, mean double, m2 double, upper array<struct<x: double, y: double>>, lower array<struct<x: double, y: double>>"
+
+
+def _hull(x: np.ndarray, y: np.ndarray, sign: int) -> np.ndarray:
+    """Places of the corners of the upper (sign 1) or lower (-1) hull of points in order of x.
+
+    A point on or under the line between its neighbours is no corner; all such
+    points are left out at once, again and again.
+    """
+    at = np.arange(len(x))
+    while len(at) > 2:
+        a, b, c = at[:-2], at[1:-1], at[2:]
+        corner = sign * ((x[b] - x[a]) * (y[c] - y[a]) - (y[b] - y[a]) * (x[c] - x[a])) < 0
+        if corner.all():
+            break
+        at = at[np.concatenate(([True], corner, [True]))]
+    return at
+
+
+@dataclasses.dataclass
+class _Chunk:
+    """Summary of ``n`` returns in a row: enough to give their rescaled range, and to be joined with the next ``n``.
+
+    The range is that of the partial sums less a straight line. Whatever the
+    line, it is reached at corners of the hulls of (number, partial sum).
+    """
+    n: int
+    count: int
+    sum: float
+    mean: float
+    m2: float
+    upper: np.ndarray
+    lower: np.ndarray
+
+    @staticmethod
+    def of(returns: np.ndarray) -> _Chunk:
+        known = returns[~np.isnan(returns)]
+        x, y = np.arange(1.0, len(returns) + 1), np.cumsum(np.nan_to_num(returns))
+        mean = known.mean() if len(known) else 0.0
+        hulls = [np.column_stack((x, y))[_hull(x, y, sign)] for sign in (1, -1)]
+        return _Chunk(len(returns), len(known), float(y[-1]), float(mean), float(((known - mean) ** 2).sum()), *hulls)
+
+    def and_next(self, other: _Chunk) -> _Chunk:
+        count = self.count + other.count
+        gap = other.mean - self.mean
+        mean = self.mean + gap * other.count / count if count else 0.0
+        m2 = self.m2 + other.m2 + (gap * gap * self.count * other.count / count if count else 0.0)
+        hulls = []
+        for sign, a, b in ((1, self.upper, other.upper), (-1, self.lower, other.lower)):
+            both = np.concatenate((a, b + (self.n, self.sum)))
+            hulls.append(both[_hull(both[:, 0], both[:, 1], sign)])
+        return _Chunk(self.n + other.n, count, self.sum + other.sum, mean, m2, *hulls)
+
+    def rescaled_range(self) -> float:
+        drift = self.sum / self.n
+        spread = math.sqrt(self.m2 / self.count) if self.count else 0.0
+        high = (self.upper[:, 1] - drift * self.upper[:, 0]).max()
+        low = (self.lower[:, 1] - drift * self.lower[:, 0]).min()
+        return (high - low) / spread if spread else math.nan
+
+
+def _ranges(returns: np.ndarray, n: int) -> np.ndarray:
+    """Rescaled ranges of all full chunks of ``n`` returns; nan where they do not vary."""
+    chunks = returns[: len(returns) // n * n].reshape(-1, n)
+    known = ~np.isnan(chunks)
+    filled = np.where(known, chunks, 0.0)
+    sums = filled.cumsum(axis=1)
+    walk = sums - sums[:, -1:] / n * np.arange(1, n + 1)
+    count = np.maximum(known.sum(axis=1), 1)
+    mean = filled.sum(axis=1) / count
+    spread = np.sqrt((np.where(known, chunks - mean[:, None], 0.0) ** 2).sum(axis=1) / count)
+    return np.where(spread > 0, (walk.max(axis=1) - walk.min(axis=1)) / np.where(spread > 0, spread, 1.0), np.nan)
+
+
+def _groups(batches: Iterator[pa.RecordBatch], *by: str) -> Iterator[pa.Table]:
+    """Whole groups of equal ``by`` from batches sorted by them; a group may span batches."""
+    held, at = [], None
+    for batch in batches:
+        # numbers of the groups' names within the batch, null a name like any other
+        codes = [batch.column(c).dictionary_encode(null_encoding="encode").indices.to_numpy() for c in by]
+        change = np.flatnonzero(np.any([c[1:] != c[:-1] for c in codes], axis=0)) + 1
+        for a, b in zip([0, *change.tolist()], [*change.tolist(), batch.num_rows]):
+            if a == b:
+                continue
+            name = tuple(batch.column(c)[a].as_py() for c in by)
+            if held and name != at:
+                yield pa.Table.from_batches(held)
+                held = []
+            at = name
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _chunk_rows(rows: list[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    if rows:
+        yield from pa.Table.from_pylist(rows, schema).to_batches()
+
+
+def _node(chunk: _Chunk, **place) -> dict:
+    corners = lambda h: [{"x": x, "y": y} for x, y in h.tolist()]
+    return place | {"n": chunk.n, "count": chunk.count, "sum": chunk.sum, "mean": chunk.mean, "m2": chunk.m2, "upper": corners(chunk.upper), "lower": corners(chunk.lower)}
+
+
+def _total(n: int, ranges: Sequence[float], **place) -> dict:
+    found = [r for r in ranges if r == r]
+    return place | {"n": n, "total": float(sum(found)), "found": len(found)}
+
+
+def _block_levels(block: int, smallest: int, schema: pa.Schema):
+    """Blocks of returns -> totals of their chunk lengths, and a summary where a block is full."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for table in _groups(batches, KEY, "_blk"):
+            own = table["_own"].to_numpy() & (table["_i"].to_numpy() >= 0)
+            returns = table["_r"].to_numpy()[own].astype(float)
+            place = {KEY: table[KEY][0].as_py(), "_blk": table["_blk"][0].as_py()}
+            rows.append(place | {"n": 0, "total": 0.0, "found": len(returns)})
+            n = smallest
+            while n <= min(block, len(returns)):
+                rows.append(_total(n, _ranges(returns, n).tolist(), **place))
+                n *= 2
+            if len(returns) == block:
+                rows.append(_node(_Chunk.of(returns), **place))
+            if len(rows) > 1000:
+                yield from _chunk_rows(rows, schema)
+                rows = []
+        yield from _chunk_rows(rows, schema)
+    return run
+
+
+def _merged_levels(fan: int, schema: pa.Schema):
+    """Totals pass; summaries of up to ``fan`` neighbours give totals of the doubled lengths, and a summary where all are there."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        summaries = []
+        for batch in batches:
+            is_total = batch.column("upper").is_null()
+            yield batch.filter(is_total).select(schema.names)
+            summaries.append(batch.filter(pc.invert(is_total)))
+        rows = []
+        for table in _groups(iter(summaries), KEY, "_up"):
+            place, nodes = {KEY: table[KEY][0].as_py(), "_blk": table["_up"][0].as_py()}, {}
+            for row in table.to_pylist():
+                hulls = [np.array([(p["x"], p["y"]) for p in row[c]]) for c in ("upper", "lower")]
+                nodes[row["_blk"] % fan] = _Chunk(row["n"], row["count"], row["sum"], row["mean"], row["m2"], *hulls)
+            width = fan
+            while width > 1 and nodes:
+                nodes, width = {k // 2: nodes[k].and_next(nodes[k + 1]) for k in nodes if k % 2 == 0 and k + 1 in nodes}, width // 2
+                if nodes:
+                    rows.append(_total(next(iter(nodes.values())).n, [c.rescaled_range() for c in nodes.values()], **place))
+            rows += [_node(c, **place) for c in nodes.values()]
+        yield from _chunk_rows(rows, schema)
+    return run
+
+
+def hurst(df: DataFrame, value: str = "close", smallest: int = 8, block: int = HURST_BLOCK, fan: int = HURST_FAN) -> DataFrame:
     """Rescaled-range exponent per ticker of its log returns.
 
     For chunk lengths n = 8, 16, 32, ... up to half the series, the mean of
     range over deviation of all full chunks; the exponent is the slope of its
-    logarithm on log n. Ranges come from running totals, so a chunk of any
-    length is an ordinary grouped maximum and minimum.
+    logarithm on log n. Every length is worked out once: those up to ``block``
+    rows (a power of two times ``smallest``) in the task that holds the block,
+    longer ones from summaries of the chunks half as long, ``fan`` of them at a
+    time. Two such rounds reach ``block * fan * fan`` rows, 2**40 as it stands.
     """
-    def returns(d, w, _):
-        return d.withColumn("_r", F.log(F.try_divide(F.col(value), F.lag(value).over(w)))).withColumn("_i", _pos() - 1)
-    base = _run(_placed(df), 1, returns).where(F.col("_i") >= 0).select(KEY, F.col("_i").alias("pos"), "_r")
-    run = series.with_running(base, [KEY], [_pos()], F.expr(f"pos div {series.BLOCK_ROWS}"), {"_sum": F.col("_r")})
-    size = run.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"), F.min("pos").alias("_lo"), F.max("pos").alias("_hi"))
-    rows = series.spread_join(run, size, [KEY])
-    # 2**40 rows bound the number of doublings, whatever the length
-    powers = F.array(*[F.lit(smallest * 2**k).cast("bigint") for k in range(40)])
-    lengths = F.filter(powers, lambda n: n <= F.col("_n") / 2)
-    rows = rows.withColumn("n", F.explode(lengths)).withColumn("chunk", F.floor(_pos() / F.col("n")))
-    rows = rows.where((F.col("chunk") + 1) * F.col("n") <= F.col("_n"))
-    chunk = rows.groupBy(KEY, "n", "chunk").agg(
-        F.min_by(F.col("_sum") - F.col("_r"), "pos").alias("_start"), F.max_by("_sum", "pos").alias("_end"),
-        F.stddev_pop("_r").alias("_sd"), F.min("pos").alias("_lo"), F.max("pos").alias("_hi"),
-    )
-    joined = series.spread_join(rows.drop("_n"), chunk, [KEY, "n", "chunk"])
-    step = _pos() - F.col("chunk") * F.col("n") + 1
-    mean = (F.col("_end") - F.col("_start")) / F.col("n")
-    joined = joined.withColumn("_dev", F.col("_sum") - F.col("_start") - step * mean)
-    ratio = joined.groupBy(KEY, "n", "chunk").agg(
-        ((F.max("_dev") - F.min("_dev")) / F.nullif(F.max("_sd"), F.lit(0.0))).alias("_rs")
-    )
-    by_length = ratio.groupBy(KEY, "n").agg(F.avg("_rs").alias("_rs")).where(F.col("_rs") > 0)
-    return by_length.groupBy(KEY).agg(F.regr_slope(F.log("_rs"), F.log("n")).alias("hurst"))
+    if block % smallest or (block // smallest) & (block // smallest - 1) or fan & (fan - 1):
+        raise ValueError("block must be a power of two times smallest, fan a power of two")
+    # returns are numbered from 0: the first row has none
+    placed = _placed(df).withColumn("_i", _pos() - 1).select(KEY, "_i", F.col(value).alias("_x"))
+    blocks = series.in_blocks(placed, [KEY], 1, pos="_i", block_rows=block)
+    w = series.block_window([KEY], "_i")
+    returns = blocks.withColumn("_r", F.log(F.try_divide("_x", F.lag("_x").over(w)))).select(KEY, "_blk", "_i", "_own", "_r")
+    key_type = df.schema[KEY].dataType.simpleString()
+    ddl = f"{KEY} {key_type}, _blk long, n long, total double, found long, {_HURST_NODE}"
+    schema = to_arrow_schema(T._parse_datatype_string(ddl))
+    levels = returns.sortWithinPartitions(KEY, "_blk", "_i").mapInArrow(_block_levels(block, smallest, schema), ddl)
+    for _ in range(2):
+        near = levels.withColumn("_up", F.expr(f"_blk div {fan}")).repartition(KEY, "_up").sortWithinPartitions(KEY, "_up")
+        levels = near.mapInArrow(_merged_levels(fan, schema), ddl)
+    totals = levels.where("upper IS NULL").groupBy(KEY, "n").agg(F.sum("total").alias("_total"), F.sum("found").alias("_found"))
+    # length 0 stands for the number of returns; a ticker has one row per length
+    size = F.max(F.when(F.col("n") == 0, F.col("_found"))).over(Window.partitionBy(KEY))
+    means = totals.withColumn("_n", size).where((F.col("n") > 0) & (F.col("n") * 2 <= F.col("_n")) & (F.col("_found") > 0))
+    means = means.withColumn("_rs", F.col("_total") / F.col("_found")).where("_rs > 0")
+    return means.groupBy(KEY).agg(F.regr_slope(F.log("_rs"), F.log("n")).alias("hurst"))
 
 
 STUDIES: dict[str, Callable[..., DataFrame]] = {

@@ -177,6 +177,55 @@ def test_hurst_of_short_series_is_null(spark):
     assert 0 < out["T0"] < 1 and out["T1"] is None
 
 
+def plain_hurst(close, smallest=8):
+    with np.errstate(all="ignore"):
+        r = np.log(close[1:] / close[:-1])
+    x, y, n = [], [], smallest
+    while n <= len(r) / 2:
+        found = []
+        for i in range(len(r) // n):
+            c = np.nan_to_num(r[i * n: (i + 1) * n])
+            sd = np.nanstd(r[i * n: (i + 1) * n])
+            walk = np.cumsum(c - c.sum() / n)
+            if sd > 0:
+                found.append((walk.max() - walk.min()) / sd)
+        if found and np.mean(found) > 0:
+            x.append(np.log(n))
+            y.append(np.log(np.mean(found)))
+        n *= 2
+    return np.polyfit(x, y, 1)[0] if len(x) > 1 else None
+
+
+@pytest.mark.parametrize("block, fan", [(1 << 16, 1 << 12), (16, 4), (64, 8), (8, 16)])
+def test_hurst_over_levels(spark, block, fan):
+    """Lengths within a block, from summaries of blocks, and from summaries of summaries."""
+    pdf, df = bars(spark, (2100, 700, 129, 40, 9, 1))
+    flat = spark.createDataFrame([("FLAT", D0 + datetime.timedelta(days=i), 1.0, 1.0, 5.0, 1.0) for i in range(300)], df.schema)
+    got = {r.ticker: r.hurst for r in studies.hurst(df.unionByName(flat), block=block, fan=fan).collect()}
+    for ticker, g in pdf.groupby("ticker"):
+        longest = block * fan * fan
+        want = plain_hurst(g["close"].to_numpy())
+        if len(g) <= longest:
+            assert got.get(ticker) == pytest.approx(want, rel=1e-9) if want is not None else got.get(ticker) is None
+    assert got.get("FLAT") is None
+
+
+def test_hull_corners_give_every_extreme():
+    r = np.random.default_rng(3)
+    for n in (1, 2, 3, 50, 2000):
+        x, y = np.arange(1.0, n + 1), np.cumsum(r.normal(size=n))
+        for slope in r.normal(size=20):
+            for sign in (1, -1):
+                at = studies._hull(x, y, sign)
+                assert (sign * (y - slope * x)).max() == (sign * (y - slope * x))[at].max()
+
+
+def test_hurst_reads_each_level_once(spark):
+    _, df = bars(spark, (50,))
+    plan = studies.hurst(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 10
+
+
 def test_hist_adjust_counts_later_actions_only(spark):
     hist = spark.createDataFrame([("A", D0, 10.0), ("A", D0 + datetime.timedelta(days=700), 10.0)], "ticker string, date date, value double")
     acts = spark.createDataFrame(
