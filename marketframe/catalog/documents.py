@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from marketframe.catalog.registry import query
 from marketframe.operators import jsonq
 from marketframe.sources import adapters as A
@@ -12,7 +14,16 @@ SELECT o_orderkey AS doc_id, 0::INTEGER AS pos, concat('A', CAST(o_orderkey AS V
 UNION ALL SELECT o_orderkey, 1, '', CAST(o_orderkey AS DOUBLE), NULL FROM orders
 UNION ALL SELECT o_orderkey, 2, concat('C', CAST(o_orderkey AS VARCHAR)), NULL, NULL FROM orders""")
 def json_query_result(spark, path):
-    return jsonq.json_query_result(A.json_results(spark, path), "json", ["px", "nm"], ["doc_id"])
+    return jsonq.json_query_result(A.json_results(spark, path), "json", keys=["doc_id"])
+
+
+@query("json_query_values", """
+SELECT o_orderkey AS doc_id, i::INTEGER AS pos, CASE i WHEN 0 THEN concat('A', o_orderkey) WHEN 1 THEN '' ELSE concat('C', o_orderkey) END AS ticker, n.name,
+  CASE WHEN n.name = 'nm' THEN CASE i WHEN 0 THEN o_orderpriority END ELSE CASE i WHEN 0 THEN CAST(o_custkey::DOUBLE AS VARCHAR) WHEN 1 THEN CAST(o_orderkey::DOUBLE AS VARCHAR) END END AS value
+FROM orders, generate_series(0, 2) g(i), (VALUES ('px'), ('nm')) n(name)""")
+def json_query_values(spark, path):
+    rows = jsonq.json_query_values(A.json_results(spark, path), "json", ["doc_id"])
+    return rows.withColumn("value", F.try_variant_get("value", "$", "string"))
 
 
 @query("json_query_errors", """
@@ -40,4 +51,4 @@ SELECT doc_id, substr(t.fullkey, 3) AS path, CASE t.type WHEN 'NULL' THEN 'null'
   CASE WHEN t.type IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN CAST(CAST(t.atom AS VARCHAR) AS DOUBLE) END AS value_num
 FROM {TREE} d, json_tree(d.json) t WHERE t.type NOT IN ('OBJECT', 'ARRAY')""")
 def flatten_tree(spark, path):
-    return jsonq.flatten_tree(A.tree_documents(spark, path), "json", ["doc_id"], max_depth=6)
+    return jsonq.flatten_tree(A.tree_documents(spark, path), "json", ["doc_id"])

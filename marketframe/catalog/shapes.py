@@ -152,7 +152,7 @@ SELECT event_id AS doc_id, CAST(0 AS BIGINT) AS idx, event_type AS type, regexp_
   CAST(NULL AS VARCHAR) AS "brokerBuyCode" FROM events
 UNION ALL SELECT event_id, 1, 'BID', NULL, concat('B', CAST(event_id AS VARCHAR)) FROM events""")
 def reshape_flat_quotes(spark, path):
-    flat = jsonq.flatten_tree(A.tree_documents(spark, path), "json", ["doc_id"], max_depth=6)
+    flat = jsonq.flatten_tree(A.tree_documents(spark, path), "json", ["doc_id"])
     return shape.reshape_flat_quotes(flat, ["doc_id"], ["type", "size", "brokerBuyCode"])
 
 

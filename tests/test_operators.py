@@ -1,6 +1,8 @@
 """Operators on the published sample inputs."""
 
 import datetime
+import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -175,11 +177,34 @@ def test_flat_quotes(spark):
     assert rows(out) == [("T", 0, "2024-01-01T10:00:00", "BID", "123.45", "1000", "ABCD", None)]
 
 
-def test_flatten_refuses_deeper_documents(spark):
-    df = spark.createDataFrame([(1, '{"a":{"b":{"c":1}}}')], "id int, j string")
-    assert [r.path for r in jsonq.flatten_tree(df, "j", ["id"], 3).collect()] == ["a.b.c"]
-    with pytest.raises(Exception, match="deeper"):
-        jsonq.flatten_tree(df, "j", ["id"], 2).collect()
+def leaves(v, path=""):
+    if isinstance(v, dict):
+        return [x for k, c in v.items() for x in leaves(c, f"{path}.{k}" if path else k)]
+    if isinstance(v, list):
+        return [x for i, c in enumerate(v) for x in leaves(c, f"{path}[{i}]")]
+    kind = "null" if v is None else "boolean" if isinstance(v, bool) else "number" if isinstance(v, (int, float)) else "string"
+    text = None if v is None else str(v).lower() if isinstance(v, bool) else str(v)
+    return [(path, kind, text, float(v) if kind == "number" else None)]
+
+
+@pytest.mark.parametrize("joined", [6, 2, 0])
+def test_flatten_documents_of_any_depth(spark, joined):
+    r = random.Random(joined)
+
+    def document(depth):
+        if depth == 0 or r.random() < 0.1:
+            return r.choice([None, True, False, 7, -3, 2.5, "", "x", 'q"u\\o{te}, [y]: 1', "é\n\t☃", {}, []])
+        n = r.randrange(1, 3)
+        return {r.choice(["a", "b c", 'k"\\', "é", "x.y"]) + str(i): document(depth - 1) for i in range(n)} if r.random() < 0.5 else [document(depth - 1) for _ in range(n)]
+
+    docs = [document(r.randrange(16)) for _ in range(60)] + [{"a": 1}, 5, "text", [], {}, [[[[[[[[[[]]]]]]]]]], [[[[[[[list(range(1500))]]]]]]]]
+    nested = 1
+    for i in range(14):
+        nested = {"a": nested} if i % 2 else [nested, {}]
+    docs.append(nested)
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)] + [(-1, None)], "id int, j string").repartition(3)
+    got = sorted(map(tuple, jsonq.flatten_tree(df, "j", ["id"], joined).collect()), key=str)
+    assert got == sorted([(i, *x) for i, d in enumerate(docs) for x in leaves(d)], key=str)
 
 
 def test_json_results_number_rule(spark):
@@ -188,6 +213,20 @@ def test_json_results_number_rule(spark):
     assert rows(out.drop("pos")) == [("", None, None), ("x", 1.0, "t"), ("z", 2.0, None)]
 
 
+def test_json_results_are_named_and_typed_by_the_document(spark):
+    docs = [(1, '{"results":{"a":{"idColumn":{"values":["x"]},"valuesColumn":{"values":["n/a"]}},"b":{"valuesColumn":{"values":[1,2]}}}}'),
+            (2, '{"results":{"c":{"valuesColumn":{"values":["t"]}},"a":{"idColumn":{"values":["y","z"]},"valuesColumn":{"values":[2.5,"bad"]}}}}'), (3, '{"results":{}}'), (4, None)]
+    df = spark.createDataFrame(docs, "id int, j string")
+    assert jsonq.result_columns(df, "j") == {"a": "variant", "c": "string", "b": "double"}
+    out = jsonq.json_query_result(df, "j", keys=["id"])
+    assert out.columns == ["id", "pos", "ticker", "a", "c", "b"]
+    got = rows(out.withColumn("a", F.to_json("a")))
+    assert got == [(1, 0, "x", '"n/a"', None, 1.0), (1, 1, "", None, None, 2.0), (2, 0, "y", "2.5", "t", None), (2, 1, "z", None, None, None)]
+    long = jsonq.json_query_values(df, "j", ["id"]).withColumn("value", F.to_json("value"))
+    assert rows(long) == [(1, 0, "x", "a", '"n/a"'), (1, 0, "x", "b", "1.0"), (1, 1, "", "a", None), (1, 1, "", "b", "2.0"),
+                          (2, 0, "y", "a", "2.5"), (2, 0, "y", "c", '"t"'), (2, 1, "z", "a", None), (2, 1, "z", "c", None)]
+
+
 def test_json_errors_are_fatal_without_results(spark):
     df = spark.createDataFrame([('{"results":{},"responseExceptions":[{"message":"m","node":"n"}]}',), ('{"results":{"a":1},"responseExceptions":[]}',)], "j string")
     assert rows(jsonq.json_query_errors(df, "j")) == [("m (in n)", True)]
