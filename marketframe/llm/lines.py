@@ -1,24 +1,26 @@
 """Line dedup by a segment-partition edit join.
 
 A line is dropped when the same line, or one within ``EDITS`` character edits,
-stands earlier in the corpus (by document id, then line number). Lines are cut
-into EDITS + 1 segments; if two lines are that close, one segment of the
-shorter stands unchanged in the longer, shifted by no more than the edits
+stands earlier in the corpus (by document id, then text, then line number).
+Lines are cut into EDITS + 1 segments; if two lines are that close, one segment
+of the shorter stands unchanged in the longer, shifted by no more than the edits
 before it allow. So every line is indexed by (length, number, text) of its
 segments and probes with the few substrings that can match a segment of a line
 as long or up to EDITS shorter. Equal keys meet in a join; candidates that
 letter counts do not tell apart are verified by a bit-parallel automaton over
 the band of diagonals that EDITS edits can reach.
 
-Only DataFrame functions. Equal lines are one row before anything is joined,
-and line texts are shuffled once: index, probes and both sides of the
-verification read the same exchange.
+Only DataFrame functions. Keys are hashes worked out where a line is read, so
+equal lines become one row of numbers before anything is joined; texts are
+shuffled for lines in candidate pairs alone. Up to ``BROADCAST_ROWS`` names of
+such lines, counted, are sent to the tasks that read the lines; more are joined.
 
 Defined results: lines are compared without blanks around them; blank lines
 are neither counted nor dropped; lines shorter than ``LEAST`` characters are
 compared for equality only; null and empty texts have no lines; rows that share
-an id are one document, so a line at the same place of each counts as first in
-each; null ids come last; an empty table gives an empty result.
+an id, or have none, are told apart by their texts, and rows that repeat both
+are one document, so a line at the same place of each counts as first in each;
+null ids come last; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,53 +30,50 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketframe.llm.common import pick, text_or_empty
+from marketframe.llm.common import pick, stored, text_or_empty
 
 EDITS, LEAST = 2, 20
+BROADCAST_ROWS = 200_000
 BLANKS = " \t\r\x0b\f"
 # Counts of these letters, modulo 4, tell most candidates apart: an edit changes them by two together at most.
 LETTERS = "enaitrsodluhcmpg"
 
 
+def text_name(text: Column) -> Column:
+    """60 bits of a checksum: tells documents that share an id apart; null and empty texts are one."""
+    return F.conv(F.substring(F.md5(F.coalesce(text, F.lit(""))), 1, 15), 16, 10).cast("long")
+
+
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Non-blank lines with two hashes: (id, line_no, line, h1, h2). Line numbers count from 0, blank lines too."""
+    """Non-blank lines with two hashes: (id, name, line_no, line, h1, h2). Line numbers count from 0, blank lines too."""
     rows = pick(docs, id=id_col, text=text_col)
-    rows = rows.select("id", F.posexplode(F.split(text_or_empty("text"), "\n")).alias("line_no", "raw"))
-    rows = rows.select("id", "line_no", F.btrim("raw", F.lit(BLANKS)).alias("line")).where("line <> ''")
+    rows = rows.select("id", text_name(F.col("text")).alias("name"), F.posexplode(F.split(text_or_empty("text"), "\n")).alias("line_no", "raw"))
+    rows = rows.select("id", "name", "line_no", F.btrim("raw", F.lit(BLANKS)).alias("line")).where("line <> ''")
     return rows.withColumns({"h1": F.xxhash64("line"), "h2": F.hash("line")})
 
 
-def _key(line: Column, length: Column, i: Column, shift: Column | int, parts: int) -> tuple[Column, Column, Column]:
-    """Key of segment ``i`` of a line of ``length``, looked up ``shift`` further; its start (from 0) and its end.
+def _key(line: Column, size: Column, shorter: int, i: int, shift: int, parts: int, least: int) -> Column:
+    """Key of the substring that can be segment ``i`` of a line ``shorter`` characters shorter, ``shift`` further on; null where there is none.
 
     Segments are even parts, the longer ones last.
     """
+    length = size - shorter
     short, longer = F.floor(length / parts).cast("int"), length % parts
-    start = short * i + F.greatest(i - (F.lit(parts) - longer), F.lit(0)) + shift
-    size = short + F.when(i >= F.lit(parts) - longer, 1).otherwise(0)
-    return F.xxhash64(length, i, F.substring(line, start + 1, size)), start, start + size
-
-
-def index_keys(lines: DataFrame, edits: int, *kept: Column) -> DataFrame:
-    """A row per segment of every line: (key, …kept)."""
-    cut = lines.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(edits))))
-    return cut.select(_key(F.col("line"), F.col("size"), F.col("i"), 0, edits + 1)[0].alias("key"), *kept)
+    start = short * i + F.greatest(longer - (parts - i), F.lit(0)) + shift
+    width = short + F.when(longer >= parts - i, 1).otherwise(0)
+    there = (length >= least) & (start >= 0) & (start + width <= size)
+    return F.when(there, F.xxhash64(length, F.lit(i), F.substring(line, start + 1, width)))
 
 
-def probe_keys(lines: DataFrame, edits: int, least: int, *kept: Column) -> DataFrame:
-    """A row per substring that can be a segment of an indexed line of ``least`` characters or more: (key, …kept).
-
-    Lines of equal length probe each other, so of two opposite shifts one will do.
-    """
-    places = []
+def probes(edits: int) -> list[tuple[int, int, int]]:
+    """(shorter, segment, shift) of all substrings to look up. Lines of equal length probe each other, so of two opposite shifts one will do."""
+    out = []
     for shorter in range(edits + 1):
         for i in range(edits + 1):
             # edits before the segment shift it by at most i, those after it by at most the rest
             for shift in range(max(-i if shorter else 0, shorter - (edits - i)), min(i, shorter + (edits - i)) + 1):
-                places.append(F.struct(F.lit(shorter).alias("shorter"), F.lit(i).alias("i"), F.lit(shift).alias("shift")))
-    cut = lines.withColumn("at", F.explode(F.array(*places))).withColumn("length", F.col("size") - F.col("at.shorter"))
-    key, start, end = _key(F.col("line"), F.col("length"), F.col("at.i"), F.col("at.shift"), edits + 1)
-    return cut.where((F.col("length") >= least) & (start >= 0) & (end <= F.col("size"))).select(key.alias("key"), *kept)
+                out.append((shorter, i, shift))
+    return out
 
 
 def letter_counts(line: Column) -> Column:
@@ -152,48 +151,68 @@ def within(a: Column, b: Column, edits: int) -> Column:
     return F.coalesce(F.when(far, False).otherwise(bound(without_prefix(a, b), close)), F.lit(False))
 
 
+def candidate_pairs(lines: DataFrame, edits: int, least: int) -> DataFrame:
+    """Pairs of names (a, b) of different lines that share a key and whose letter counts may be close."""
+    rows = lines.withColumn("size", F.length("line")).where(F.col("size") >= least)
+    key = lambda *place: _key(F.col("line"), F.col("size"), *place, edits + 1, least)
+    indexed = {f"i{i}": key(0, i, 0) for i in range(edits + 1)}
+    probing = {f"p{n}": key(*place) for n, place in enumerate(probes(edits))}
+    numbers = rows.select("h1", letter_counts(F.col("line")).alias("counts"), *[c.alias(n) for n, c in (indexed | probing).items()])
+    # equal lines have equal numbers
+    once = numbers.groupBy("h1").agg(*[F.max(c).alias(c) for c in numbers.columns[1:]])
+
+    def met(names: dict, line: str) -> DataFrame:
+        return once.select(F.explode(F.array_compact(F.array(*names))).alias("key"), F.col("h1").alias(line), F.col("counts").alias(f"counts_{line}"))
+
+    pairs = met(indexed, "a").join(met(probing, "b"), "key")
+    return pairs.where((F.col("a") != F.col("b")) & may_be_close(F.col("counts_a"), F.col("counts_b"), edits)).select("a", "b").distinct()
+
+
 def near_lines(lines: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
     """Links between different lines within ``edits`` edits: (a, b), a the indexed, shorter or equal one."""
-    texts = lines.groupBy("h1").agg(F.first(F.struct("line", F.length("line").alias("size"), letter_counts(F.col("line")).alias("counts"))).alias("m")).select("h1", "m.*")
-    long = texts.where(F.col("size") >= least)
-    named = lambda name: (F.col("h1").alias(name), F.col("counts").alias(f"counts_{name}"))
-    indexed, probing = index_keys(long, edits, *named("a")), probe_keys(long, edits, least, *named("b"))
-    pairs = indexed.join(probing, "key").where((F.col("a") != F.col("b")) & may_be_close(F.col("counts_a"), F.col("counts_b"), edits))
-    pairs = pairs.select("a", "b").distinct()
+    pairs = stored(candidate_pairs(lines, edits, least), "line-pairs")
+    named = stored(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), "line-names")
+    wanted = F.broadcast(named) if named.count() <= BROADCAST_ROWS else named
+    texts = lines.select("h1", "line").join(wanted, "h1", "left_semi").groupBy("h1").agg(F.first("line").alias("line"))
     pairs = pairs.join(texts.select(F.col("h1").alias("a"), F.col("line").alias("line_a")), "a")
     pairs = pairs.join(texts.select(F.col("h1").alias("b"), F.col("line").alias("line_b")), "b")
     return pairs.where(within(F.col("line_a"), F.col("line_b"), edits)).select("a", "b")
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least: int = LEAST) -> DataFrame:
-    """Every non-blank line and whether an earlier one is equal (repeated) or close (near): (id, line_no, repeated, near).
+    """Every non-blank line and whether an earlier one is equal (repeated) or close (near): (id, name, line_no, repeated, near).
 
     Lines meet by a 64-bit name; a second hash keeps lines apart that share it.
     """
     lines = lines_of(docs, id_col, text_col)
-    none = F.col("id").isNull().alias("none")
-    first = lines.groupBy("h1").agg(F.min(F.struct(none, "id", "line_no", "h2")).alias("first"))
-    first = first.select("h1", F.struct("first.none", "first.id", "first.line_no").alias("first"), F.col("first.h2").alias("first_h2"))
-    place = lambda name: first.select(F.col("h1").alias(name), F.col("first").alias(f"first_{name}"))
-    links = near_lines(lines, edits, least).join(place("a"), "a").join(place("b"), "b")
-    # of each link the line that comes first later is the near one; lines that come first at one place (rows that share an id) both stay
+    place = [F.col("id").isNull().alias("none"), "id", "name", "line_no"]
+    first = lines.groupBy("h1").agg(F.min(F.struct(*place, "h2")).alias("first"))
+    first = first.select("h1", F.struct("first.none", "first.id", "first.name", "first.line_no").alias("first"), F.col("first.h2").alias("first_h2"))
+    placed = lambda name: first.select(F.col("h1").alias(name), F.col("first").alias(f"first_{name}"))
+    links = near_lines(lines, edits, least).join(placed("a"), "a").join(placed("b"), "b")
+    # of each link the line that comes first later is the near one; lines that come first at one place (rows that share an id and a text) both stay
     later = links.where(F.col("first_a") != F.col("first_b")).select(F.when(F.col("first_a") > F.col("first_b"), F.col("a")).otherwise(F.col("b")).alias("h1"))
     known = first.join(later.distinct().withColumn("near", F.lit(True)), "h1", "left")
-    joined = lines.select("id", "line_no", "h1", "h2").join(known, "h1")
+    joined = lines.select("id", "name", "line_no", "h1", "h2").join(known, "h1")
     same = F.col("h2") == F.col("first_h2")
-    repeated = same & (F.struct(none, "id", "line_no") != F.col("first"))
-    return joined.select("id", "line_no", repeated.alias("repeated"), (same & F.coalesce("near", F.lit(False))).alias("near"))
+    repeated = same & (F.struct(*place) != F.col("first"))
+    return joined.select("id", "name", "line_no", repeated.alias("repeated"), (same & F.coalesce("near", F.lit(False))).alias("near"))
 
 
 def per_document(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row per document id: (id, n_lines, n_repeated, n_near, dropped), dropped the sorted numbers of its dropped lines."""
-    found = dropped_lines(docs, id_col, text_col, **options).groupBy("id").agg(
+    """One row per document: (id, name, n_lines, n_repeated, n_near, dropped), dropped the sorted numbers of its dropped lines.
+
+    ``name`` tells documents that share an id apart.
+    """
+    found = dropped_lines(docs, id_col, text_col, **options).groupBy("id", "name").agg(
         F.count(F.lit(1)).alias("n_lines"), F.count_if("repeated").alias("n_repeated"), F.count_if(F.col("near") & ~F.col("repeated")).alias("n_near"),
         F.array_sort(F.collect_set(F.when(F.col("repeated") | F.col("near"), F.col("line_no")))).alias("dropped"))
-    ids = pick(docs, id=id_col).distinct().withColumnRenamed("id", "of")
-    whole = ids.join(found, F.col("of").eqNullSafe(F.col("id")), "left")
+    rows = pick(docs, id=id_col, text=text_col)
+    ids = rows.select(F.col("id").alias("of"), text_name(F.col("text")).alias("named")).distinct()
+    whole = ids.join(found, F.col("of").eqNullSafe(F.col("id")) & (F.col("named") == F.col("name")), "left")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    return whole.select(F.col("of").alias("id"), zero("n_lines"), zero("n_repeated"), zero("n_near"), F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
+    return whole.select(F.col("of").alias("id"), F.col("named").alias("name"), zero("n_lines"), zero("n_repeated"), zero("n_near"),
+                        F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -201,8 +220,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     names = docs.columns
     flat = docs.toDF(*[f"_c{i}" for i in range(len(names))])
     i, t = (f"_c{names.index(c)}" for c in (id_col, text_col))
-    cut = per_document(docs, id_col, text_col, **options).where(F.size("dropped") > 0).select("id", "dropped")
-    flat = flat.join(cut, F.col(i).eqNullSafe(F.col("id")), "left")
+    cut = per_document(docs, id_col, text_col, **options).where(F.size("dropped") > 0).select("id", "name", "dropped")
+    flat = flat.withColumn("_name", text_name(F.col(t))).join(cut, F.col(i).eqNullSafe(F.col("id")) & (F.col("_name") == F.col("name")), "left")
     kept = F.filter(F.split(F.col(t), "\n"), lambda line, n: ~F.array_contains("dropped", n))
     text = F.when(F.col("dropped").isNull(), F.col(t)).otherwise(F.array_join(kept, "\n"))
-    return flat.withColumn(t, text).drop("id", "dropped").toDF(*names)
+    return flat.withColumn(t, text).drop("id", "name", "_name", "dropped").toDF(*names)

@@ -168,22 +168,23 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("op8_line_dedup", f"""
-WITH l AS MATERIALIZED (SELECT doc_id, n AS line_no, trim(raw, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS line
-    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, unnest(range(len(string_split(text, chr(10))))) AS n FROM documents)),
+WITH t AS MATERIALIZED (SELECT DISTINCT doc_id, text, ('0x' || substr(md5(coalesce(text, '')), 1, 15))::BIGINT AS name FROM documents),
+l AS MATERIALIZED (SELECT row(doc_id IS NULL, coalesce(doc_id, 0), name) AS doc, n AS line_no, trim(raw, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS line
+    FROM (SELECT doc_id, name, unnest(string_split(text, chr(10))) AS raw, unnest(range(len(string_split(text, chr(10))))) AS n FROM t)),
 w AS MATERIALIZED (SELECT * FROM l WHERE line <> ''),
-first AS MATERIALIZED (SELECT line, length(line) AS size, min(row(doc_id, line_no)) AS place FROM w GROUP BY line),
+first AS MATERIALIZED (SELECT line, length(line) AS size, min(row(doc, line_no)) AS place FROM w GROUP BY line),
 near AS MATERIALIZED (SELECT DISTINCT b.line FROM first a JOIN (SELECT *, unnest(range(size - {lines.EDITS}, size + {lines.EDITS} + 1)) AS other FROM first) b
     ON a.size = b.other AND a.place < b.place
     WHERE a.size >= {lines.LEAST} AND b.size >= {lines.LEAST} AND levenshtein(a.line, b.line) <= {lines.EDITS}),
-marked AS (SELECT doc_id, line_no, place <> row(doc_id, line_no) AS repeated, line IN (SELECT line FROM near) AS near FROM w JOIN first USING (line)),
-found AS (SELECT doc_id, count(*) AS n_lines, count_if(repeated) AS n_repeated, count_if(near AND NOT repeated) AS n_near,
-    string_agg(line_no::VARCHAR, ',' ORDER BY line_no) FILTER (repeated OR near) AS dropped FROM marked GROUP BY doc_id)
+marked AS (SELECT doc, line_no, place <> row(doc, line_no) AS repeated, line IN (SELECT line FROM near) AS near FROM w JOIN first USING (line)),
+found AS (SELECT doc, count(*) AS n_lines, count_if(repeated) AS n_repeated, count_if(near AND NOT repeated) AS n_near,
+    string_agg(line_no::VARCHAR, ',' ORDER BY line_no) FILTER (repeated OR near) AS dropped FROM marked GROUP BY doc)
 SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_repeated, 0)::BIGINT AS n_repeated, coalesce(n_near, 0)::BIGINT AS n_near, coalesce(dropped, '') AS dropped
-FROM (SELECT DISTINCT doc_id FROM documents) LEFT JOIN found USING (doc_id)""")
+FROM (SELECT DISTINCT doc_id, name FROM t) t LEFT JOIN found ON found.doc = row(t.doc_id IS NULL, coalesce(t.doc_id, 0), t.name)""")
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated and nearly repeated lines of every document."""
-    found = lines.per_document(table(spark, sf_dir, "documents"))
-    return found.withColumnRenamed("id", "doc_id").withColumn("dropped", F.array_join(F.transform("dropped", lambda n: n.cast("string")), ","))
+    """Repeated and nearly repeated lines of every document; texts that share an id have rows of their own."""
+    found = lines.per_document(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id").drop("name")
+    return found.withColumn("dropped", F.array_join(F.transform("dropped", lambda n: n.cast("string")), ","))
 
 
 @query("op11_whitening")

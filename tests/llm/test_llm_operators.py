@@ -463,7 +463,7 @@ def test_within(spark):
         assert sorted((x["a"], x["b"]) for x in got) == sorted(want)
 
 
-def test_lines(spark, odd, none):
+def test_lines(spark, odd, none, monkeypatch):
     r = random.Random(6)
     stock = [prose(r.randrange(3, 9), 300 + i) for i in range(30)] + ["short", "é" * 25]
     rows = []
@@ -475,29 +475,41 @@ def test_lines(spark, odd, none):
                 k = r.randrange(len(line) + 1)
                 line[k: k + r.randrange(2)] = r.choice(["", "q", "é"])
             got.append("".join(line) + r.choice(["", " ", "\r"]))
-        rows.append((r.choice([i, i, 5]) if i else None, "\n".join(got), "en", "a", 0))
+        rows.append((r.choice([i, i, 5, None]) if i else None, "\n".join(got), "en", "a", 0))
+    rows += rows[10:14]
     rows += [(900, None, "en", "a", 0), (901, "", "en", "a", 0), (902, "\n\n", "en", "a", 0), (903, LONG, "en", "a", 0), (904, LONG[:-1], "en", "a", 0)]
     docs = frame(spark, rows)
 
-    place = lambda i, n: (i is None, i or 0, n)
+    named = lambda t: int(hashlib.md5(text(t).encode()).hexdigest()[:15], 16)
+    place = lambda i, t, n: (i is None, i or 0, named(t), n)
     first, all_lines = {}, []
     for i, t, *_ in rows:
         for n, line in enumerate(text(t).split("\n")):
             if line := line.strip(lines.BLANKS):
-                all_lines.append((i, n, line))
-                first[line] = min(first.get(line, place(i, n)), place(i, n))
+                all_lines.append((i, t, n, line))
+                first[line] = min(first.get(line, place(i, t, n)), place(i, t, n))
     close = lambda a, b: (a[:-1] == b or b[:-1] == a) if max(len(a), len(b)) > 1000 else distance(a, b) <= 2
     near = {b for a, b in itertools.permutations(first, 2) if min(len(a), len(b)) >= lines.LEAST and abs(len(a) - len(b)) <= 2 and first[a] < first[b] and close(a, b)}
-    want = sorted((str(i), n, first[x] != place(i, n), x in near) for i, n, x in all_lines)
-    assert sorted((str(x["id"]), x["line_no"], x["repeated"], x["near"]) for x in lines.dropped_lines(docs).collect()) == want
-    assert sum(w[3] for w in want) > 5
-    assert lines.per_document(docs).count() == len({r[0] for r in rows})
+    want = sorted((str(i), named(t), n, first[x] != place(i, t, n), x in near) for i, t, n, x in all_lines)
+    assert sorted((str(x["id"]), x["name"], x["line_no"], x["repeated"], x["near"]) for x in lines.dropped_lines(docs).collect()) == want
+    assert sum(w[4] for w in want) > 5
+    monkeypatch.setattr(lines, "BROADCAST_ROWS", 0)
+    assert sorted((str(x["id"]), x["name"], x["line_no"], x["repeated"], x["near"]) for x in lines.dropped_lines(docs).collect()) == want
+    assert lines.per_document(docs).count() == len({(r[0], text(r[1])) for r in rows})
     kept = lines.deduplicated(docs)
     assert kept.columns == docs.columns and kept.count() == len(rows)
     assert {r["text"] for r in kept.where("doc_id = 904").collect()} == {""}
     assert lines.per_document(none).count() == 0 and lines.deduplicated(odd).count() == len(ODD)
 
 
+def test_lines_of_documents_that_share_an_id_or_have_none(spark):
+    """No line that stands nowhere else is lost."""
+    rows = [(None, "only here in the first one\nand this line too, first", "en", "a", 0), (None, "something else altogether\nsecond text without id", "en", "a", 0),
+            (5, "one text under the id five", "en", "a", 0), (5, "another text of the same id", "en", "a", 0), (9, "said once\nsaid twice by number nine\nsaid twice by number nine", "en", "a", 0)]
+    kept = sorted(r["text"] for r in lines.deduplicated(frame(spark, rows)).collect())
+    assert kept == sorted([t for _, t, *_ in rows[:4]] + ["said once\nsaid twice by number nine"])
+
+
 # chat
 
 
