@@ -35,8 +35,8 @@ from marketframe.llm.common import pick, stored, text_or_empty
 EDITS, LEAST = 2, 20
 BROADCAST_ROWS = 200_000
 BLANKS = " \t\r\x0b\f"
-# Counts of these letters, modulo 4, tell most candidates apart: an edit changes them by two together at most.
-LETTERS = "enaitrsodluhcmpg"
+# Counts of these letters, modulo 16, tell most candidates apart: an edit changes them by two together at most.
+LETTERS = "eani"
 
 
 def text_name(text: Column) -> Column:
@@ -47,7 +47,8 @@ def text_name(text: Column) -> Column:
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Non-blank lines with two hashes: (id, name, line_no, line, h1, h2). Line numbers count from 0, blank lines too."""
     rows = pick(docs, id=id_col, text=text_col)
-    rows = rows.select("id", text_name(F.col("text")).alias("name"), F.posexplode(F.split(text_or_empty("text"), "\n")).alias("line_no", "raw"))
+    rows = rows.select("id", "text", text_name(F.col("text")).alias("name"))  # once a document, not once a line
+    rows = rows.select("id", "name", F.posexplode(F.split(text_or_empty("text"), "\n")).alias("line_no", "raw"))
     rows = rows.select("id", "name", "line_no", F.btrim("raw", F.lit(BLANKS)).alias("line")).where("line <> ''")
     return rows.withColumns({"h1": F.xxhash64("line"), "h2": F.hash("line")})
 
@@ -77,11 +78,11 @@ def probes(edits: int) -> list[tuple[int, int, int]]:
 
 
 def letter_counts(line: Column) -> Column:
-    """Counts of ``LETTERS`` modulo 4, two bits each."""
+    """Counts of ``LETTERS`` modulo 16, four bits each."""
     packed = F.lit(0)
     for i, letter in enumerate(LETTERS):
-        count = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))) % 4
-        packed = packed.bitwiseOR(F.shiftleft(count, 2 * i))
+        count = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))) % 16
+        packed = packed.bitwiseOR(F.shiftleft(count, 4 * i))
     return packed
 
 
@@ -89,9 +90,9 @@ def may_be_close(a: Column, b: Column, edits: int) -> Column:
     """False only where letter counts prove more than ``edits`` edits."""
     apart = F.lit(0)
     for i in range(len(LETTERS)):
-        nibble = lambda c: F.shiftright(c, 2 * i).bitwiseAND(F.lit(3))  # noqa: B023, E731
+        nibble = lambda c: F.shiftright(c, 4 * i).bitwiseAND(F.lit(15))  # noqa: B023, E731
         gap = F.abs(nibble(a) - nibble(b))
-        apart = apart + F.least(gap, F.lit(4) - gap)
+        apart = apart + F.least(gap, F.lit(16) - gap)
     return apart <= 2 * edits
 
 
@@ -161,10 +162,11 @@ def candidate_pairs(lines: DataFrame, edits: int, least: int) -> DataFrame:
     # equal lines have equal numbers
     once = numbers.groupBy("h1").agg(*[F.max(c).alias(c) for c in numbers.columns[1:]])
 
-    def met(names: dict, line: str) -> DataFrame:
-        return once.select(F.explode(F.array_compact(F.array(*names))).alias("key"), F.col("h1").alias(line), F.col("counts").alias(f"counts_{line}"))
-
-    pairs = met(indexed, "a").join(met(probing, "b"), "key")
+    # both sides of the join unfold the same rows, so that these are shuffled once
+    each = [F.struct(F.lit(n in indexed).alias("index"), F.col(n).alias("key")) for n in (*indexed, *probing)]
+    keys = once.select("h1", "counts", F.inline(F.array(*each))).where("key IS NOT NULL")
+    side = lambda index, line: keys.where(F.col("index") == index).select("key", F.col("h1").alias(line), F.col("counts").alias(f"counts_{line}"))
+    pairs = side(True, "a").join(side(False, "b"), "key")
     return pairs.where((F.col("a") != F.col("b")) & may_be_close(F.col("counts_a"), F.col("counts_b"), edits)).select("a", "b").distinct()
 
 
