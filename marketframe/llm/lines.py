@@ -36,7 +36,7 @@ EDITS, LEAST = 2, 20
 BROADCAST_ROWS = 200_000
 BLANKS = " \t\r\x0b\f"
 # Counts of these letters, modulo 16, tell most candidates apart: an edit changes them by two together at most.
-LETTERS = "eani"
+LETTERS = "enaitrso"
 
 
 def text_name(text: Column) -> Column:
@@ -44,13 +44,24 @@ def text_name(text: Column) -> Column:
     return F.conv(F.substring(F.md5(F.coalesce(text, F.lit(""))), 1, 15), 16, 10).cast("long")
 
 
-def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Non-blank lines with two hashes: (id, name, line_no, line, h1, h2). Line numbers count from 0, blank lines too."""
+def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", marked: bool = False) -> DataFrame:
+    """Non-blank lines with two hashes: (id, name, line_no, line, h1, h2). Line numbers count from 0, blank lines too.
+
+    ``marked`` adds a row with line number -1 and no line for each document.
+    """
     rows = pick(docs, id=id_col, text=text_col)
     rows = rows.select("id", "text", text_name(F.col("text")).alias("name"))  # once a document, not once a line
-    rows = rows.select("id", "name", F.posexplode(F.split(text_or_empty("text"), "\n")).alias("line_no", "raw"))
-    rows = rows.select("id", "name", "line_no", F.btrim("raw", F.lit(BLANKS)).alias("line")).where("line <> ''")
-    return rows.withColumns({"h1": F.xxhash64("line"), "h2": F.hash("line")})
+    parts = F.split(text_or_empty("text"), "\n")
+    parts = F.concat(parts, F.array(F.lit(None).cast("string"))) if marked else parts
+    rows = rows.select("id", "name", F.posexplode(parts).alias("line_no", "raw"))
+    rows = rows.select("id", "name", "line_no", F.btrim("raw", F.lit(BLANKS)).alias("line"))
+    if not marked:
+        rows = rows.where("line <> ''")
+        return rows.withColumns({"h1": F.xxhash64("line"), "h2": F.hash("line")})
+    mark = F.col("line").isNull()
+    rows = rows.where(mark | (F.col("line") != "")).withColumn("line_no", F.when(mark, -1).otherwise(F.col("line_no")))
+    # documents' own rows lie apart, not under the hash of a null
+    return rows.withColumns({"h1": F.when(mark, F.xxhash64("id", "name")).otherwise(F.xxhash64("line")), "h2": F.hash("line")})
 
 
 def _key(line: Column, size: Column, shorter: int, i: int, shift: int, parts: int, least: int) -> Column:
@@ -79,10 +90,10 @@ def probes(edits: int) -> list[tuple[int, int, int]]:
 
 def letter_counts(line: Column) -> Column:
     """Counts of ``LETTERS`` modulo 16, four bits each."""
-    packed = F.lit(0)
+    packed = F.lit(0).cast("long")
     for i, letter in enumerate(LETTERS):
         count = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))) % 16
-        packed = packed.bitwiseOR(F.shiftleft(count, 4 * i))
+        packed = packed.bitwiseOR(F.shiftleft(count.cast("long"), 4 * i))
     return packed
 
 
@@ -156,17 +167,16 @@ def candidate_pairs(lines: DataFrame, edits: int, least: int) -> DataFrame:
     """Pairs of names (a, b) of different lines that share a key and whose letter counts may be close."""
     rows = lines.withColumn("size", F.length("line")).where(F.col("size") >= least)
     key = lambda *place: _key(F.col("line"), F.col("size"), *place, edits + 1, least)
-    indexed = {f"i{i}": key(0, i, 0) for i in range(edits + 1)}
-    probing = {f"p{n}": key(*place) for n, place in enumerate(probes(edits))}
-    numbers = rows.select("h1", letter_counts(F.col("line")).alias("counts"), *[c.alias(n) for n, c in (indexed | probing).items()])
+    places = {f"k{n}": place for n, place in enumerate(probes(edits))}
+    numbers = rows.select("h1", letter_counts(F.col("line")).alias("counts"), *[key(*place).alias(n) for n, place in places.items()])
     # equal lines have equal numbers
     once = numbers.groupBy("h1").agg(*[F.max(c).alias(c) for c in numbers.columns[1:]])
 
-    # both sides of the join unfold the same rows, so that these are shuffled once
-    each = [F.struct(F.lit(n in indexed).alias("index"), F.col(n).alias("key")) for n in (*indexed, *probing)]
+    # a line's own segments are among the substrings; both sides of the join unfold the same rows, so that these are shuffled once
+    each = [F.struct(F.lit(shorter == shift == 0).alias("own"), F.col(n).alias("key")) for n, (shorter, _, shift) in places.items()]
     keys = once.select("h1", "counts", F.inline(F.array(*each))).where("key IS NOT NULL")
-    side = lambda index, line: keys.where(F.col("index") == index).select("key", F.col("h1").alias(line), F.col("counts").alias(f"counts_{line}"))
-    pairs = side(True, "a").join(side(False, "b"), "key")
+    named = lambda rows, line: rows.select("key", F.col("h1").alias(line), F.col("counts").alias(f"counts_{line}"))
+    pairs = named(keys.where("own"), "a").join(named(keys, "b"), "key")
     return pairs.where((F.col("a") != F.col("b")) & may_be_close(F.col("counts_a"), F.col("counts_b"), edits)).select("a", "b").distinct()
 
 
@@ -181,8 +191,8 @@ def near_lines(lines: DataFrame, edits: int = EDITS, least: int = LEAST) -> Data
     return pairs.where(within(F.col("line_a"), F.col("line_b"), edits)).select("a", "b")
 
 
-def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least: int = LEAST) -> DataFrame:
-    """Every non-blank line and whether an earlier one is equal (repeated) or close (near): (id, name, line_no, repeated, near).
+def judged_lines(docs: DataFrame, id_col: str, text_col: str, edits: int, least: int) -> DataFrame:
+    """Every non-blank line and whether an earlier one is equal (repeated) or close (near), and a row with line number -1 for each document.
 
     Lines meet by a 64-bit name; a second hash keeps lines apart that share it.
     """
@@ -195,26 +205,26 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # of each link the line that comes first later is the near one; lines that come first at one place (rows that share an id and a text) both stay
     later = links.where(F.col("first_a") != F.col("first_b")).select(F.when(F.col("first_a") > F.col("first_b"), F.col("a")).otherwise(F.col("b")).alias("h1"))
     known = first.join(later.distinct().withColumn("near", F.lit(True)), "h1", "left")
-    joined = lines.select("id", "name", "line_no", "h1", "h2").join(known, "h1")
-    same = F.col("h2") == F.col("first_h2")
+    joined = lines_of(docs, id_col, text_col, marked=True).select("id", "name", "line_no", "h1", "h2").join(known, "h1", "left")
+    same = (F.col("h2") == F.col("first_h2")) & (F.col("line_no") >= 0)
     repeated = same & (F.struct(*place) != F.col("first"))
     return joined.select("id", "name", "line_no", repeated.alias("repeated"), (same & F.coalesce("near", F.lit(False))).alias("near"))
 
 
-def per_document(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least: int = LEAST) -> DataFrame:
+    """Every non-blank line and whether an earlier one is equal (repeated) or close (near): (id, name, line_no, repeated, near)."""
+    return judged_lines(docs, id_col, text_col, edits, least).where("line_no >= 0")
+
+
+def per_document(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least: int = LEAST) -> DataFrame:
     """One row per document: (id, name, n_lines, n_repeated, n_near, dropped), dropped the sorted numbers of its dropped lines.
 
     ``name`` tells documents that share an id apart.
     """
-    found = dropped_lines(docs, id_col, text_col, **options).groupBy("id", "name").agg(
-        F.count(F.lit(1)).alias("n_lines"), F.count_if("repeated").alias("n_repeated"), F.count_if(F.col("near") & ~F.col("repeated")).alias("n_near"),
-        F.array_sort(F.collect_set(F.when(F.col("repeated") | F.col("near"), F.col("line_no")))).alias("dropped"))
-    rows = pick(docs, id=id_col, text=text_col)
-    ids = rows.select(F.col("id").alias("of"), text_name(F.col("text")).alias("named")).distinct()
-    whole = ids.join(found, F.col("of").eqNullSafe(F.col("id")) & (F.col("named") == F.col("name")), "left")
-    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    return whole.select(F.col("of").alias("id"), F.col("named").alias("name"), zero("n_lines"), zero("n_repeated"), zero("n_near"),
-                        F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
+    gone = F.col("repeated") | F.col("near")
+    return judged_lines(docs, id_col, text_col, edits, least).groupBy("id", "name").agg(
+        F.count_if(F.col("line_no") >= 0).alias("n_lines"), F.count_if("repeated").alias("n_repeated"),
+        F.count_if(F.col("near") & ~F.col("repeated")).alias("n_near"), F.array_sort(F.collect_set(F.when(gone, F.col("line_no")))).alias("dropped"))
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
