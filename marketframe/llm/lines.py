@@ -36,7 +36,7 @@ EDITS, LEAST = 2, 20
 BROADCAST_ROWS = 200_000
 BLANKS = " \t\r\x0b\f"
 # Counts of these letters, modulo 16, tell most candidates apart: an edit changes them by two together at most.
-LETTERS = "enaitrso"
+LETTERS = "enaitrsodluh"
 
 
 def text_name(text: Column) -> Column:
