@@ -35,8 +35,8 @@ from marketframe.llm.common import pick, stored, text_or_empty
 EDITS, LEAST = 2, 20
 BROADCAST_ROWS = 200_000
 BLANKS = " \t\r\x0b\f"
-# Counts of these letters, modulo 16, tell most candidates apart: an edit changes them by two together at most.
-LETTERS = "enaitrsodluh"
+# Counts of these letters, modulo 4, tell most candidates apart: an edit changes them by two together at most.
+LETTERS = "enaitrsodluhcmpg"
 
 
 def text_name(text: Column) -> Column:
@@ -88,22 +88,23 @@ def probes(edits: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def letter_counts(line: Column) -> Column:
-    """Counts of ``LETTERS`` modulo 16, four bits each."""
-    packed = F.lit(0).cast("long")
+def with_letter_counts(rows: DataFrame) -> DataFrame:
+    """A column ``counts``: counts of ``LETTERS`` in ``line`` modulo 4, two bits each. A letter that is counted is taken out, so that the next one looks through less."""
+    rest = [F.col("line"), *[F.col(f"_without{i}") for i in range(len(LETTERS))]]
+    packed, columns = F.lit(0), rows.columns
     for i, letter in enumerate(LETTERS):
-        count = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))) % 16
-        packed = packed.bitwiseOR(F.shiftleft(count.cast("long"), 4 * i))
-    return packed
+        rows = rows.withColumn(f"_without{i}", F.replace(rest[i], F.lit(letter), F.lit("")))
+        packed = packed.bitwiseOR(F.shiftleft((F.octet_length(rest[i]) - F.octet_length(rest[i + 1])) % 4, 2 * i))
+    return rows.select(*columns, packed.alias("counts"))
 
 
 def may_be_close(a: Column, b: Column, edits: int) -> Column:
     """False only where letter counts prove more than ``edits`` edits."""
     apart = F.lit(0)
     for i in range(len(LETTERS)):
-        nibble = lambda c: F.shiftright(c, 4 * i).bitwiseAND(F.lit(15))  # noqa: B023, E731
+        nibble = lambda c: F.shiftright(c, 2 * i).bitwiseAND(F.lit(3))  # noqa: B023, E731
         gap = F.abs(nibble(a) - nibble(b))
-        apart = apart + F.least(gap, F.lit(16) - gap)
+        apart = apart + F.least(gap, F.lit(4) - gap)
     return apart <= 2 * edits
 
 
@@ -165,10 +166,10 @@ def within(a: Column, b: Column, edits: int) -> Column:
 
 def candidate_pairs(lines: DataFrame, edits: int, least: int) -> DataFrame:
     """Pairs of names (a, b) of different lines that share a key and whose letter counts may be close."""
-    rows = lines.withColumn("size", F.length("line")).where(F.col("size") >= least)
+    rows = with_letter_counts(lines.select("h1", "line", F.length("line").alias("size")).where(F.col("size") >= least))
     key = lambda *place: _key(F.col("line"), F.col("size"), *place, edits + 1, least)
     places = {f"k{n}": place for n, place in enumerate(probes(edits))}
-    numbers = rows.select("h1", letter_counts(F.col("line")).alias("counts"), *[key(*place).alias(n) for n, place in places.items()])
+    numbers = rows.select("h1", "counts", *[key(*place).alias(n) for n, place in places.items()])
     # equal lines have equal numbers
     once = numbers.groupBy("h1").agg(*[F.max(c).alias(c) for c in numbers.columns[1:]])
 
