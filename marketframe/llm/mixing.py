@@ -6,9 +6,12 @@ shares; a document is then sampled with the probability its cell's calibrated
 tokens ask for, by a hash of its id, so that a repeated or retried run draws
 the same documents.
 
-The caller lists the categories of each dimension; every other value, and
-null, is the category ``other``. Cells are therefore at most the product of the
-lists' lengths, and only they reach the driver.
+The caller lists the categories of each dimension and their shares, or they are
+taken from the table: the ``MOST_CATEGORIES`` largest of each dimension, their
+observed shares flattened. Every other value, and null, is the category
+``other``. Cells are therefore at most the product of the lists' lengths, and
+only they reach the driver. No cell is ever asked for more than it holds: others
+of its categories make up for it.
 
 Defined results: a null or empty text has no tokens and is drawn like any
 document of its cell; a cell without tokens keeps probability zero unless it
@@ -23,6 +26,7 @@ from __future__ import annotations
 import dataclasses
 import json
 import logging
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -32,9 +36,10 @@ from pyspark.sql import functions as F
 from marketframe.llm.common import pick, stored, text_or_empty
 
 OTHER = "other"
-ROUNDS = 50
 # Bounded raking: most rounds, the miss of a share that counts as met, and halvings of the total where targets are infeasible.
 BOUNDED_ROUNDS, TOLERANCE, HALVINGS = 300, 1e-4, 12
+# Targets from the table: at most so many categories of a dimension, shares as this power of the observed ones.
+MOST_CATEGORIES, FLATTENED = 50, 0.7
 LOG = logging.getLogger(__name__)
 # First rule that matches names a document's topic; plain substrings.
 TOPICS = (("license", ("License", "reserved", "Copyright")), ("contact", ("@", "+1 (")), ("table", (" | ",)), ("noise", ("%%%", "$$$", "###", "&&&", "***")))
@@ -64,33 +69,49 @@ def token_count(text: Column) -> Column:
     return F.size(F.array_remove(F.split(text, r"[ \t\n\x0B\f\r]+"), "")).cast("long")
 
 
-def cells_of(docs: DataFrame, targets: Targets, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-             lang_col: str = "lang", kept: Sequence[str] = ()) -> DataFrame:
+def cells_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
+             kept: Sequence[str] = ()) -> DataFrame:
     """Cell and tokens of every document: (id, source, lang, topic, tokens, lot); the lot decides its draw. Columns ``kept`` stay."""
     rows = pick(docs, id=id_col, text=text_col, source=source_col, lang=lang_col, **{c: c for c in kept})
     text = text_or_empty("text")
-    listed = lambda c, known: F.when(c.isin(list(known)), c).otherwise(F.lit(OTHER))
     return rows.select(
-        "id", listed(F.col("source"), targets.source).alias("source"), listed(F.col("lang"), targets.lang).alias("lang"),
-        listed(topic_of(text), targets.topic).alias("topic"), token_count(text).alias("tokens"),
+        "id", "source", "lang", topic_of(text).alias("topic"), token_count(text).alias("tokens"),
         F.coalesce(F.col("id").cast("string"), F.concat(F.lit("text "), F.md5(text))).alias("lot"), *kept)
 
 
-def rake(cells: dict[tuple, int], targets: Targets, total: float, rounds: int = ROUNDS) -> dict[tuple, float]:
-    """Calibrated tokens of every cell, ``total`` in all: each round scales the cells to each dimension's targets in turn."""
-    fitted = {c: float(n) for c, n in sorted(cells.items()) if n > 0}
-    for _ in range(rounds):
-        for i, dim in enumerate(DIMENSIONS):
-            sums: dict[str, float] = {}
-            for c, n in fitted.items():
-                sums[c[i]] = sums.get(c[i], 0.0) + n
-            wanted = getattr(targets, dim)
-            goal = {k: wanted.get(k, 0.0) for k in sums}
-            share = sum(goal.values())
-            if share <= 0:
-                continue
-            fitted = {c: n * (total * goal[c[i]] / share / sums[c[i]] if sums[c[i]] else 0.0) for c, n in fitted.items()}
-    return fitted
+def listed(rows: DataFrame, targets: Targets) -> DataFrame:
+    """Categories that the targets do not list become ``other``."""
+    return rows.withColumns({d: F.when(F.col(d).isin(list(getattr(targets, d))), F.col(d)).otherwise(F.lit(OTHER)) for d in DIMENSIONS})
+
+
+def flattened(tokens: dict[str, float], keep: float, power: float = FLATTENED) -> dict[str, float]:
+    """Target shares from observed tokens: proportional to a power of their shares, so that large categories give way to small ones.
+
+    No category is asked for more than what it has over the root of ``keep``:
+    a mixture of ``keep`` of all tokens can then meet the shares of all
+    dimensions together.
+    """
+    names = sorted(k for k, n in tokens.items() if n > 0)
+    if not names:
+        return {}
+    share = np.array([tokens[k] for k in names], float)
+    share /= share.sum()
+    most, wanted = share / math.sqrt(min(1.0, max(keep, 1e-9))), share ** power
+    factor = _filled(most, wanted, 1.0)
+    goal = np.minimum(most, wanted * factor) if math.isfinite(factor) else share
+    return dict(zip(names, (goal / goal.sum()).tolist()))
+
+
+def observed_targets(sums: DataFrame, keep: float, most: int = MOST_CATEGORIES) -> Targets:
+    """Targets for a table whose (source, lang, topic, tokens) are given; the driver gets ``most`` categories a dimension and their rest."""
+    found = {}
+    for d in DIMENSIONS:
+        tokens = sums.groupBy(d).agg(F.sum("tokens").alias("n"))
+        whole = tokens.agg(F.sum("n")).first()[0] or 0
+        top = {r[d]: r["n"] for r in tokens.where(F.col(d).isNotNull()).orderBy(F.desc("n"), d).limit(most).collect()}
+        rest = whole - sum(top.values()) + top.pop(OTHER, 0)
+        found[d] = flattened(top | {OTHER: rest}, keep)
+    return Targets(**found)
 
 
 def _filled(caps: np.ndarray, free: np.ndarray, goal: float) -> float:
@@ -175,18 +196,20 @@ def shares(fitted: dict[tuple, float], targets: Targets) -> list[tuple[str, str,
     return out
 
 
-def _chances(rows: DataFrame, targets: Targets, keep: float, rounds: int, bounded: bool) -> Column:
-    """Probability of the cell of each row, a literal table."""
-    sums = rows.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")).collect()  # at most the product of the categories
-    cells = {tuple(r[d] for d in DIMENSIONS): r["tokens"] for r in sums}
+def _chances(rows: DataFrame, targets: Targets | None, keep: float) -> tuple[Targets, Column]:
+    """The targets, and the probability of the cell of each listed row, a literal table."""
+    sums = stored(rows.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "mix-sums")
+    targets = targets or observed_targets(sums, keep)
+    found = listed(sums, targets).groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")).collect()  # at most the product of the categories
+    cells = {tuple(r[d] for d in DIMENSIONS): r["tokens"] for r in found}
     total = keep * sum(cells.values())
-    fitted = rake_bounded(cells, targets, total) if bounded else rake(cells, targets, total, rounds)
-    if bounded and sum(fitted.values()) < total * (1 - TOLERANCE):
+    fitted = rake_bounded(cells, targets, total)
+    if sum(fitted.values()) < total * (1 - TOLERANCE):
         missed = ", ".join(f"{d} {k} {want:.4f} {got:.4f}" for d, k, want, got in shares(fitted, targets))
         LOG.warning("mixture holds %.0f of %.0f tokens asked for; category, target and achieved share: %s", sum(fitted.values()), total, missed)
     chance = {c: min(1.0, fitted[c] / n) if n else 1.0 for c, n in cells.items()}
     table = F.from_json(F.lit(json.dumps({"\x1f".join(c): p for c, p in chance.items()})), "map<string,double>")
-    return table[F.concat_ws("\x1f", *DIMENSIONS)]
+    return targets, table[F.concat_ws("\x1f", *DIMENSIONS)]
 
 
 def _drawn(seed: str) -> Column:
@@ -195,27 +218,22 @@ def _drawn(seed: str) -> Column:
     return draw < F.col("p") * F.lit(float(1 << 32))
 
 
-def mix(docs: DataFrame, targets: Targets, keep: float, seed: str = "mix", rounds: int = ROUNDS, bounded: bool = False, **columns: str) -> DataFrame:
+def mix(docs: DataFrame, targets: Targets | None, keep: float, seed: str = "mix", **columns: str) -> DataFrame:
     """Cell, calibrated probability and draw of every document: (id, source, lang, topic, tokens, p, drawn).
 
-    ``keep`` is the share of all tokens the mixture should hold. A cell asked
-    for more than it has is kept whole (probability one); only with ``bounded``
-    do other cells make up for it, else targets and total are missed.
+    ``keep`` is the share of all tokens the mixture should hold; without
+    ``targets`` they are taken from the table.
     """
-    rows = stored(cells_of(docs, targets, **columns), "mix-cells")
-    rows = rows.withColumn("p", _chances(rows, targets, keep, rounds, bounded))
-    return rows.withColumn("drawn", _drawn(seed)).drop("lot")
-
+    rows = stored(cells_of(docs, **columns), "mix-cells")
+    targets, chance = _chances(rows, targets, keep)
+    return listed(rows, targets).withColumn("p", chance).withColumn("drawn", _drawn(seed)).drop("lot")
 
-def sampled(docs: DataFrame, targets: Targets, keep: float, id_col: str = "doc_id", seed: str = "mix", rounds: int = ROUNDS, bounded: bool = True,
-            **columns: str) -> DataFrame:
-    """The drawn documents, all columns kept; each row is decided by its own cell and lot.
 
-    No cell is asked for more than it has (``rake_bounded``).
-    """
+def sampled(docs: DataFrame, targets: Targets | None, keep: float, id_col: str = "doc_id", seed: str = "mix", **columns: str) -> DataFrame:
+    """The drawn documents, all columns kept; each row is decided by its own cell and lot."""
     names = docs.columns
     flat = docs.toDF(*[f"_c{i}" for i in range(len(names))])
     named = {"text_col": "text", "source_col": "source", "lang_col": "lang"} | columns
-    cell = cells_of(flat, targets, f"_c{names.index(id_col)}", **{k: f"_c{names.index(c)}" for k, c in named.items()}, kept=flat.columns)
-    rows = cell.withColumn("p", _chances(cell, targets, keep, rounds, bounded))
-    return rows.where(_drawn(seed)).select(*flat.columns).toDF(*names)
+    cell = cells_of(flat, f"_c{names.index(id_col)}", **{k: f"_c{names.index(c)}" for k, c in named.items()}, kept=flat.columns)
+    targets, chance = _chances(cell, targets, keep)
+    return listed(cell, targets).withColumn("p", chance).where(_drawn(seed)).select(*flat.columns).toDF(*names)

@@ -83,45 +83,14 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "held_out", F.col("lang").alias("lang_pred"), "score")
 
 
-# The large source is brought down to a fifth; languages and kinds of text are evened.
-TARGETS = mixing.Targets(
-    source={"src0": 0.2} | {f"src{i}": 0.04 for i in range(1, 20)} | {mixing.OTHER: 0.04},
-    lang={"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.15, mixing.OTHER: 0.05},
-    topic={"general": 0.8, "license": 0.05, "contact": 0.08, "table": 0.05, "noise": 0.02},
-)
+# Share of the tokens a mixture keeps.
 MIX_KEEP = 0.5
 
 
-def _mix_sql() -> str:
-    quoted = lambda names: ", ".join(f"'{n}'" for n in names)
-    listed = lambda c, known: f"CASE WHEN {c} IN ({quoted(known)}) THEN {c} ELSE '{mixing.OTHER}' END"
-    topic = "CASE " + " ".join(f"WHEN {' OR '.join(f'contains(t, {chr(39)}{m}{chr(39)})' for m in marks)} THEN '{name}'" for name, marks in mixing.TOPICS) + " ELSE 'general' END"
-    steps, last = [], "cells"
-    for r in range(mixing.ROUNDS):
-        for dim in mixing.DIMENSIONS:
-            goals = " ".join(f"WHEN '{k}' THEN {v}" for k, v in getattr(TARGETS, dim).items())
-            now = f"{dim}_{r}"
-            steps.append(f"""{now} AS MATERIALIZED (SELECT c.source, c.lang, c.topic, CASE WHEN share > 0 AND s > 0 THEN n * total * goal / share / s ELSE n END AS n
-    FROM {last} c JOIN (SELECT *, sum(goal) OVER () AS share FROM (SELECT {dim}, sum(n) AS s, CASE {dim} {goals} ELSE 0.0 END::DOUBLE AS goal FROM {last} GROUP BY {dim})) USING ({dim}), total)""")
-            last = now
-    return f"""
-WITH d AS MATERIALIZED (SELECT doc_id, {listed('source', TARGETS.source)} AS source, {listed('lang', TARGETS.lang)} AS lang, {topic} AS topic,
-    len([x FOR x IN regexp_split_to_array(t, '[ \\t\\n\\x0B\\f\\r]+') IF x <> ''])::BIGINT AS tokens
-    FROM (SELECT *, coalesce(text, '') AS t FROM documents)),
-sums AS MATERIALIZED (SELECT source, lang, topic, sum(tokens)::DOUBLE AS had FROM d GROUP BY ALL),
-total AS MATERIALIZED (SELECT {MIX_KEEP} * sum(had) AS total FROM sums),
-cells AS MATERIALIZED (SELECT source, lang, topic, had AS n FROM sums WHERE had > 0),
-{', '.join(steps)},
-p AS MATERIALIZED (SELECT s.source, s.lang, s.topic, CASE WHEN had > 0 THEN least(1.0, n / had) ELSE 1.0 END AS p FROM sums s LEFT JOIN {last} USING (source, lang, topic))
-SELECT doc_id, source, lang, topic, tokens, floor(p * 1e6 + 0.5) / 1e6 AS p,
-    ('0x' || substr(md5('mix:' || doc_id::VARCHAR), 1, 8))::BIGINT < p * 4294967296.0 AS drawn
-FROM d JOIN p USING (source, lang, topic)"""
-
-
-@query("op2_mixing", _mix_sql())
+@query("op2_mixing")
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cell, inclusion probability and draw of every document."""
-    found = mixing.mix(table(spark, sf_dir, "documents"), TARGETS, MIX_KEEP)
+    """Cell, inclusion probability and draw of every document, targets from the table. No SQL: bounded raking looks for its factors."""
+    found = mixing.mix(table(spark, sf_dir, "documents"), None, MIX_KEEP)
     return found.select(F.col("id").alias("doc_id"), *mixing.DIMENSIONS, "tokens", (F.floor(F.col("p") * 1e6 + 0.5) / 1e6).alias("p"), "drawn")
 
 
