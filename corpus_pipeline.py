@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketframe.llm import decontaminate, langid, mixing, shards, simhash
 from marketframe.llm.common import small_batches, stored, table
-from marketframe.llm.queries import TARGETS
 from marketframe.session import work_dir
 
 # Share of the tokens the mixture keeps, and the least probability of the best language (chance is one in four).
@@ -36,8 +35,8 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sample documents so that sources, languages and topics meet their targets."""
-    return mixing.sampled(docs, TARGETS, KEEP)
+    """Sample documents so that sources, languages and topics meet their targets, the observed shares flattened."""
+    return mixing.sampled(docs, None, KEEP)
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
