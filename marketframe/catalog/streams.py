@@ -45,6 +45,12 @@ def live_all_fields(spark, path):
         pick("ASK").alias("ask"), F.size("fields").alias("n_fields"))
 
 
+@query("live_field_table", """SELECT timestamp, topic AS topic, last_trade AS "LAST_TRADE", size AS "SIZE", bid AS "BID", ask AS "ASK",
+etype AS "MKTDATA_EVENT_TYPE", esub AS "MKTDATA_EVENT_SUBTYPE" FROM messages""")
+def live_field_table(spark, path):
+    return live.run_to_field_table(live.live_all_fields(A.messages_from(_events(spark, path))), "live-field-table")
+
+
 @query("live_bars", f"SELECT * FROM {BARS}")
 def live_bars(spark, path):
     return live.run_to_table(live.live_bars(_ticks(spark, path), 5), "live-bars", "update", ["ticker", "time"])
@@ -111,9 +117,8 @@ def dedup_ticks(spark, path):
 def topic_control_join(spark, path):
     from marketframe.operators import status
 
-    control = status.active_topics(A.subscription_events(spark, path)).select("topic")
     rows = A.messages_from(_events(spark, path)).select("timestamp", "topic", "event_id")
-    return live.run_to_table(live.with_active_topics(rows, control), "topic-control")
+    return live.run_controlled(rows, "topic-control", lambda session: status.active_topics(A.subscription_events(session, path)))
 
 
 @query("hist_stream_batches", """SELECT concat('O', CAST(o_orderkey AS VARCHAR)) AS ticker, CAST(o_orderdate AS DATE) AS date, o_totalprice AS px_last FROM orders""")

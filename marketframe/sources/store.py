@@ -42,7 +42,10 @@ def bar_cache_write(
         rows = rows.join(ended, ["ticker", "date"], "left_semi")
     stored = _stored(spark, path)
     if stored is not None:
-        kept = stored
+        # only folders of the assets and days at hand are read
+        span = rows.agg(F.min("date").alias("first"), F.max("date").alias("last"), F.collect_set("asset").alias("assets")).first()
+        kept = stored.where((F.col("event") == event) & (F.col("interval") == interval) & F.col("asset").isin(span["assets"]))
+        kept = date_range(kept, span["first"], span["last"]) if span["first"] else kept.limit(0)
         if reload:
             # rewrite the touched days: other tickers' rows of those days stay
             touched = rows.select(*CACHE_KEYS).distinct()

@@ -9,6 +9,7 @@ key and task.
 from __future__ import annotations
 
 import logging
+import threading
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -18,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from marketframe.operators.aggregate import bar_columns, clock_between
 from marketframe.session import work_dir
+from marketframe.streaming import tables
 
 log = logging.getLogger(__name__)
 
@@ -97,24 +99,23 @@ def live_session_bars(ticks: DataFrame, gap: str = "30 minutes", watermark: str
     )
 
 
-def _latest(rows: DataFrame, keys: Sequence[str], time: str, values: Sequence[str], watermark: str | None) -> DataFrame:
-    if watermark:
-        rows = rows.withWatermark(time, watermark)
-    best = rows.groupBy(*keys).agg(F.max_by(F.struct(time, *values), F.col(time)).alias("_r"))
+def _latest(rows: DataFrame, keys: Sequence[str], time: str, values: Sequence[str], seq: str | None) -> DataFrame:
+    """Latest row per key; of one instant the row with the largest ``seq``, else with the largest values."""
+    order = F.struct(time, *([seq] if seq else []), *values)
+    best = rows.groupBy(*keys).agg(F.max(order).alias("_r"))
     return best.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in (time, *values)])
 
 
-def live_depth(book: DataFrame) -> DataFrame:
+def live_depth(book: DataFrame, seq: str | None = None) -> DataFrame:
     """Current order book: the latest row per (topic, side, level), for update mode."""
-    return _latest(book, ["topic", "side", "level"], "time", ["price", "size"], None)
+    return _latest(book, ["topic", "side", "level"], "time", ["price", "size"], seq)
 
 
-def live_chains(members: DataFrame, kind: str = "OPTIONS") -> DataFrame:
+def live_chains(members: DataFrame, kind: str = "OPTIONS", seq: str | None = None) -> DataFrame:
     """Current chain membership: the latest action per (underlying, member)."""
     if kind not in ("OPTIONS", "FUTURES"):
         raise ValueError("kind must be OPTIONS or FUTURES")
-    rows = members.where(F.col("kind") == kind)
-    return _latest(rows, ["underlying", "member"], "time", ["action"], None)
+    return _latest(members.where(F.col("kind") == kind), ["underlying", "member"], "time", ["action"], seq)
 
 
 def latest_quote(ticks: DataFrame) -> DataFrame:
@@ -224,36 +225,47 @@ def tick_mode(batch: DataFrame, order: Sequence[str]) -> dict[str, object] | Non
     return row.asDict() if row else None
 
 
-def with_active_topics(batch: DataFrame, control: DataFrame) -> DataFrame:
-    """Rows of a batch whose topic is active now (control table: topic)."""
-    return batch.join(control.select("topic"), "topic", "left_semi")
+def with_active_topics(batch: DataFrame, control: DataFrame | Callable[[SparkSession], DataFrame]) -> DataFrame:
+    """Rows of a batch whose topic is active now (control table: topic). A function is asked again for every batch."""
+    table = control(batch.sparkSession) if callable(control) else control
+    return batch.join(table.select("topic"), "topic", "left_semi").select(*batch.columns)
+
+
+def run_controlled(
+    stream: DataFrame, purpose: str, control: Callable[[SparkSession], DataFrame], flush: FlushPolicy | None = None
+) -> DataFrame:
+    """Process a stream, each batch with the topics that are active when it runs: a topic added or removed counts from the next batch on."""
+    spark, folder, schema = stream.sparkSession, work_dir(stream.sparkSession, purpose), stream.schema
+    run_with_recovery(lambda: write_table(stream, folder, flush=flush, each=lambda batch: with_active_topics(batch, control)))
+    return read_rows(spark, folder, schema)
 
 
 def write_table(
     stream: DataFrame, folder: str, mode: str = "append", flush: FlushPolicy | None = None,
-    each: Callable[[DataFrame], DataFrame] | None = None,
+    each: Callable[[DataFrame], DataFrame] | None = None, keys: Sequence[str] = (),
 ) -> StreamingQuery:
     """Start a query that writes its rows to a table folder.
 
     Append mode uses the exactly-once file sink. Update mode writes every
     batch to its own folder, replaced as a whole if the batch is repeated;
-    ``read_updates`` returns the newest row per key.
+    with ``keys`` batches are compacted now and then, so that the table stays
+    as large as it has keys. ``read_updates`` returns the newest row per key.
     """
-    trigger = (flush or FlushPolicy()).trigger()
-    checkpoint = f"{folder}/_checkpoints"
     if mode == "append" and each is None:
         return (
             stream.writeStream.format("parquet").outputMode("append")
-            .option("checkpointLocation", checkpoint).option("path", f"{folder}/rows").trigger(**trigger).start()
+            .option("checkpointLocation", f"{folder}/_checkpoints").option("path", f"{folder}/rows")
+            .trigger(**(flush or FlushPolicy()).trigger()).start()
         )
+    if keys and each is None:
+        return _each_batch(stream, folder, tables.upserting(folder, stream.schema, keys), mode, flush)
+    return _each_batch(stream, folder, lambda batch, n: tables.write_batch(each(batch) if each else batch, folder, n), mode, flush)
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        rows = each(batch) if each else batch
-        rows.write.mode("overwrite").parquet(f"{folder}/rows/batch={batch_id}")
 
+def _each_batch(stream: DataFrame, folder: str, sink: Callable[[DataFrame, int], None], mode: str = "append", flush: FlushPolicy | None = None) -> StreamingQuery:
     return (
         stream.writeStream.foreachBatch(sink).outputMode(mode)
-        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
+        .option("checkpointLocation", f"{folder}/_checkpoints").trigger(**(flush or FlushPolicy()).trigger()).start()
     )
 
 
@@ -264,12 +276,14 @@ def read_rows(spark: SparkSession, folder: str, schema) -> DataFrame:
 
 def read_updates(spark: SparkSession, folder: str, schema, keys: Sequence[str]) -> DataFrame:
     """Newest version of every key of an update-mode table."""
-    from marketframe.operators.joins import latest_by
+    return tables.read_updates(spark, folder, schema, keys)
 
-    names = [f.name for f in schema.fields]
-    full = schema.add("batch", "long") if "batch" not in names else schema
-    rows = spark.read.schema(full).parquet(f"{folder}/rows")
-    return latest_by(rows, keys, [F.col("batch")]).select(*names)
+
+def run_to_field_table(stream: DataFrame, purpose: str, flush: FlushPolicy | None = None) -> DataFrame:
+    """Process messages of ``live_all_fields`` into a table with a column per field; one that first comes in a later batch is null before."""
+    spark, folder = stream.sparkSession, work_dir(stream.sparkSession, purpose)
+    run_with_recovery(lambda: _each_batch(stream, folder, tables.widening(folder), flush=flush))
+    return tables.read_widened(spark, folder)
 
 
 def drain(query: StreamingQuery, discard: bool = False) -> None:
@@ -315,24 +329,56 @@ def run_to_table(
     spark = stream.sparkSession
     folder = work_dir(spark, purpose)
     schema = stream.schema
-    run_with_recovery(lambda: write_table(stream, folder, mode, flush))
+    run_with_recovery(lambda: write_table(stream, folder, mode, flush, keys=keys))
     if mode == "append":
         return read_rows(spark, folder, schema)
     return read_updates(spark, folder, schema, keys)
 
 
-def run_with_stats(stream: DataFrame, purpose: str, time: str = "timestamp") -> DataFrame:
+class _LateRows(StreamingQueryListener):
+    """Rows that one query dropped as too late, over all its batches."""
+
+    def __init__(self) -> None:
+        self.late: dict[str, int] = {}
+        self.ended: set[str] = set()
+        self.told = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        return None
+
+    def onQueryProgress(self, event) -> None:
+        run = str(event.progress.runId)
+        self.late[run] = self.late.get(run, 0) + sum(s.numRowsDroppedByWatermark for s in event.progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        return None
+
+    def onQueryTerminated(self, event) -> None:
+        with self.told:
+            self.ended.add(str(event.runId))
+            self.told.notify_all()
+
+    def of(self, run: str, seconds: float = 60) -> int:
+        """The count of a run, once all its reports are in."""
+        with self.told:
+            self.told.wait_for(lambda: run in self.ended, seconds)
+        return self.late.get(run, 0)
+
+
+def run_with_stats(stream: DataFrame, purpose: str, time: str = "timestamp", flush: FlushPolicy | None = None) -> DataFrame:
     """Write a stream to a table and return one row about the run: messages, last message, late rows.
 
-    The counts come from the query's own progress reports (one row per batch).
+    Messages are counted by the sink, batch by batch beside the rows, so a
+    repeated batch counts once and no report can be forgotten. Late rows come
+    from the reports of this run.
     """
-    spark = stream.sparkSession
-    folder = work_dir(spark, purpose)
-    counts = (F.count(F.lit(1)).alias("n"), F.max(F.unix_micros(time)).alias("t"))
-    query = write_table(stream.observe("stream", *counts), folder)
-    query.awaitTermination()
-    seen = [p.observedMetrics["stream"] for p in query.recentProgress if "stream" in p.observedMetrics]
-    late = sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators)
-    rows = [(sum(r["n"] for r in seen), max((r["t"] for r in seen if r["t"] is not None), default=None), late)]
-    stats = spark.createDataFrame(rows, "messages long, last_message long, late_rows long")
-    return stats.withColumn("last_message", F.timestamp_micros("last_message"))
+    spark, folder = stream.sparkSession, work_dir(stream.sparkSession, purpose)
+    reports = _LateRows()
+    spark.streams.addListener(reports)
+    try:
+        query = _each_batch(stream, folder, tables.counting(folder, time), flush=flush)
+        query.awaitTermination()
+        late = reports.of(str(query.runId))
+    finally:
+        spark.streams.removeListener(reports)
+    return tables.read_counts(spark, folder).withColumn("late_rows", F.lit(late).cast("long"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from marketframe.operators import aggregate
 from marketframe.sources import store
-from marketframe.streaming import live
+from marketframe.streaming import live, tables
 
 SCHEMA = "ticker string, time timestamp, type string, value double, size bigint, event_id bigint"
 
@@ -187,3 +187,81 @@ def test_batches(spark):
     assert sizes == [1000, 1000, 500]
     with pytest.raises(ValueError):
         next(store.batches(ticks(spark, 1), "ref"))
+
+
+def test_counts_do_not_depend_on_remembered_reports(spark, tmp_path):
+    path = str(tmp_path / "ticks")
+    ticks(spark, 80).repartitionByRange(8, "time").write.parquet(path)
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        row = live.run_with_stats(stream(spark, path), "stats", "time", FLUSH).first()
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+    assert (row["messages"], row["last_message"], row["late_rows"]) == (80, ticks(spark, 80).agg(F.max("time")).first()[0], 0)
+
+
+def test_update_tables_stay_as_large_as_their_keys(spark, tmp_path, monkeypatch):
+    path, folder_ = str(tmp_path / "ticks"), str(tmp_path / "table")
+    ticks(spark, 900).repartitionByRange(11, "time").write.parquet(path)
+    quotes = live.latest_quote(stream(spark, path))
+    sink = tables.upserting(folder_, quotes.schema, ["ticker", "type"], every=3)
+    live._each_batch(quotes, folder_, sink, "update", FLUSH).awaitTermination()
+    want = rows(ticks(spark, 900).groupBy("ticker", "type").agg(F.max_by("value", F.struct("time", "event_id")), F.max("time")))
+    assert rows(live.read_updates(spark, folder_, quotes.schema, ["ticker", "type"])) == want
+    versions, batches = tables.committed(spark, f"{folder_}/base", "version"), tables.committed(spark, f"{folder_}/rows", "batch")
+    assert len(versions) == 2 and len(batches) <= 6 and min(batches) > versions[0]
+    # a compaction that is repeated after a failure changes nothing
+    tables.compact(spark, folder_, quotes.schema, ["ticker", "type"], versions[-1])
+    assert rows(live.read_updates(spark, folder_, quotes.schema, ["ticker", "type"])) == want
+    assert tables.committed(spark, f"{folder_}/nowhere", "version") == []
+
+
+def test_fields_that_come_later_are_columns(spark, tmp_path):
+    path = str(tmp_path / "messages")
+    payloads = [('{"BID":1,"NESTED":{"x":1}}',), ('{"BID":2}',), ('{"ASK":"3","bid":4,"topic":"own"}',), ('{"BID":5,"LATE":true}',)]
+    for i, p in enumerate(payloads):
+        spark.createDataFrame([(datetime.datetime(2024, 1, 1, 0, i), f"T{i}", *p)], "timestamp timestamp, topic string, payload string").coalesce(1).write.mode("append").parquet(path)
+    messages = store.read_stream(spark, path, "timestamp timestamp, topic string, payload string", 1)
+    out = live.run_to_field_table(live.live_all_fields(messages), "fields", FLUSH)
+    assert sorted(out.columns) == ["ASK", "BID", "LATE", "TOPIC_field", "timestamp", "topic"]
+    got = {r["topic"]: (r["BID"], r["ASK"], r["LATE"], r["TOPIC_field"]) for r in out.collect()}
+    assert got == {"T0": ("1", None, None, None), "T1": ("2", None, None, None), "T2": ("4", "3", None, "own"), "T3": ("5", None, "true", None)}
+
+
+def test_topics_are_asked_for_every_batch(spark, tmp_path):
+    path = str(tmp_path / "ticks")
+    for part in range(3):
+        ticks(spark, 30).where(F.col("event_id") % 3 == part).withColumn("ticker", F.lit("A")).coalesce(1).write.mode("append").parquet(path)
+    asked = []
+
+    def control(session):
+        asked.append(1)
+        return session.createDataFrame([("A",)] if len(asked) != 2 else [("B",)], "topic string")  # removed for the second batch
+
+    rows_ = stream(spark, path).withColumnRenamed("ticker", "topic")
+    out = live.run_controlled(rows_, "control", control, FLUSH)
+    assert len(asked) == 3 and out.count() == 20
+
+
+def test_updates_of_one_instant_are_defined(spark):
+    at = datetime.datetime(2024, 1, 1)
+    book = spark.createDataFrame([("T", "BID", 1, at, 5.0, 10, 2), ("T", "BID", 1, at, 9.0, 1, 1), ("T", "ASK", 1, at, 7.0, 3, 1)], "topic string, side string, level int, time timestamp, price double, size bigint, seq int")
+    price = lambda df: {r["side"]: r["price"] for r in df.collect()}
+    assert price(live.live_depth(book, "seq")) == {"BID": 5.0, "ASK": 7.0} and price(live.live_depth(book)) == {"BID": 9.0, "ASK": 7.0}
+
+
+def test_appending_bars_reads_touched_days_only(spark, tmp_path, monkeypatch):
+    path, plans = str(tmp_path / "cache"), []
+    day = lambda d: spark.createDataFrame([("A US Equity", datetime.datetime(2024, 1, d, 9), 1.0, 1.0, 1.0, 1.0, float(d), 1)], store.BAR_DDL)
+    for d in (2, 3, 4):
+        store.bar_cache_write(day(d), path, "TRADE", "5m", as_of="2024-02-01")
+    span = store.date_range
+    monkeypatch.setattr(store, "date_range", lambda df, *a, **k: plans.append(span(df, *a, **k)) or plans[-1])
+    store.bar_cache_write(day(3), path, "TRADE", "5m", as_of="2024-02-01")
+    monkeypatch.setattr(store, "date_range", span)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    filters = plans[0]._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert filters.count("2024-01-03") == 2 and "Equity" in filters, filters
+    assert sorted(r["volume"] for r in store.bar_cache_read(spark, path, "TRADE", "5m").collect()) == [2.0, 3.0, 4.0]
