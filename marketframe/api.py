@@ -82,11 +82,16 @@ class MarketData:
         period: str | None = None, fill: str | None = None, days: str = "W", ccy: str | None = None,
         adjust: str | None = None, actions: DataFrame | None = None,
     ) -> DataFrame:
-        """Daily history, optionally adjusted, converted, sampled by period or filled over days."""
-        rows = self._need("history")
+        """Daily history, optionally adjusted, converted, sampled by period or filled over days.
+
+        The range is cut first, so that only its rows are adjusted; days before
+        the first point of the range are filled from the last one before it.
+        """
+        rows = scan.hist_scan(self._need("history"), tickers, fields, start, end)
+        if fill == "P" and start is not None:
+            rows = rows.unionByName(scan.last_before(self._need("history"), tickers, fields, start))
         if adjust is not None:
-            rows = scan.hist_adjust(rows, actions, adjust)
-        rows = scan.hist_scan(rows, tickers, fields, start, end)
+            rows = scan.hist_adjust(rows, scan.only_tickers(actions, tickers), adjust)
         if ccy is not None:
             rows = joins.fx_join_long(rows, self._need("snapshot"), self._need("fx"), ccy)
         if fill is not None:
@@ -104,7 +109,7 @@ class MarketData:
     ) -> DataFrame:
         """Intraday bars built from ticks; the range and tickers reach the tick scan first."""
         if dt is not None:
-            start, end = f"{dt} 00:00:00", f"{dt} 23:59:59"
+            start, end = f"{dt} 00:00:00", f"{dt} 23:59:59.999999"
         if start is None or end is None:
             raise ValueError("either dt, or both start and end, are required")
         rows = scan.ticks_scan(self._need("ticks"), tickers, start, end, [typ])

@@ -24,7 +24,7 @@ def bars_from_ticks_seconds(spark, path):
 
 
 @query("vwap", """SELECT ticker, round(sum(value * size) / nullif(sum(size), 0), 6) AS vwap, CAST(sum(size) AS BIGINT) AS volume,
-round(sum(value * size), 6) AS turnover FROM ticks WHERE type = 'TRADE' AND strftime(time, '%H:%M') BETWEEN '09:30' AND '16:00' GROUP BY ticker""")
+round(sum(value * size), 6) AS turnover FROM ticks WHERE type = 'TRADE' AND CAST(time AS TIME) BETWEEN TIME '09:30:00' AND TIME '16:00:00' GROUP BY ticker""")
 def vwap(spark, path):
     return rounded(aggregate.vwap(A.ticks(spark, path), "09:30", "16:00"), "vwap", "turnover")
 

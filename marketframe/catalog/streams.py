@@ -75,7 +75,7 @@ def live_session_bars(spark, path):
 
 
 @query("live_vwap", """SELECT ticker, CAST(time AS DATE) AS date, round(sum(value * size) / nullif(sum(size), 0), 6) AS vwap, CAST(sum(size) AS BIGINT) AS volume
-FROM ticks WHERE type = 'TRADE' AND strftime(time, '%H:%M') BETWEEN '08:00' AND '18:00' GROUP BY ticker, CAST(time AS DATE)""")
+FROM ticks WHERE type = 'TRADE' AND CAST(time AS TIME) BETWEEN TIME '08:00:00' AND TIME '18:00:00' GROUP BY ticker, CAST(time AS DATE)""")
 def live_vwap(spark, path):
     out = live.run_to_table(live.live_vwap(_ticks(spark, path), "08:00", "18:00"), "live-vwap", "update", ["ticker", "date"])
     return rounded(out, "vwap")

@@ -43,13 +43,17 @@ def bars_from_ticks(
 
 
 def clock_between(time: Column, start: str | None, end: str | None) -> Column:
-    """Time of day within [start, end] given as HH:MM; a window may cross midnight."""
-    clock = F.date_format(time, "HH:mm")
+    """Time of day within [start, end] given as HH:MM or HH:MM:SS, both instants included; a window may cross midnight."""
+    def micros(clock: str) -> int:
+        parts = [int(p) for p in clock.split(":")]
+        return sum(p * unit for p, unit in zip(parts, (3_600_000_000, 60_000_000, 1_000_000)))
+
+    clock = F.unix_micros(time.cast("timestamp")) - F.unix_micros(F.date_trunc("day", time.cast("timestamp")))
     if start is None or end is None:
-        return F.lit(True) if start is None and end is None else (clock >= start if start else clock <= end)
-    if start <= end:
-        return clock.between(start, end)
-    return (clock >= start) | (clock <= end)
+        return F.lit(True) if start is None and end is None else (clock >= micros(start) if start else clock <= micros(end))
+    if micros(start) <= micros(end):
+        return clock.between(micros(start), micros(end))
+    return (clock >= micros(start)) | (clock <= micros(end))
 
 
 def vwap(

@@ -114,18 +114,28 @@ def hist_scan(
     return wide.select("ticker", "date", F.inline(rows))
 
 
+def last_before(hist: DataFrame, tickers: Tickers, fields: Sequence[str], start) -> DataFrame:
+    """Per ticker and field the last point with a value before ``start``: one row a series, combined on the map side."""
+    early = only_tickers(hist, tickers).where((F.col("date") < F.lit(start).cast("date")) & F.col("field").isin(_field_list(fields)) & F.col("value").isNotNull())
+    order = F.struct("date", position(early)) if position(early) else F.col("date")
+    last = early.groupBy("ticker", "field").agg(F.max("date").alias("date"), F.max_by("value", order).alias("value"))
+    return last.select("ticker", "date", "field", "value")
+
+
 ADJUSTMENTS = {"split": ("split",), "dvd": ("cash",), "all": ("split", "cash")}
 
 
 VOLUME_FIELDS = ("VOLUME", "PX_VOLUME")
+# A price has PX or PRICE as one of the words of its name.
+PRICE_NAME = "(^|_)(PX|PRICE)(_|$)"
 
 
 def hist_adjust(hist: DataFrame, actions: DataFrame, adjust: str = "all", value: str = "value") -> DataFrame:
     """Prices times the factors of all corporate actions strictly after their date.
 
     ``actions``: ticker, date, kind (split or cash), factor. Of long history
-    (with a column ``field``) price fields (``PX_…``) are multiplied, volumes are
-    divided by the split factors, and all other fields stay. Both tables merge
+    (with a column ``field``) price fields (``PRICE_NAME``) are multiplied, volumes
+    are divided by the split factors, and all other fields stay. Both tables merge
     into one ordered series cut into year buckets, so neither a range join nor
     a whole ticker in one task is needed.
     """
@@ -147,7 +157,7 @@ def hist_adjust(hist: DataFrame, actions: DataFrame, adjust: str = "all", value:
     if "field" in hist.columns:
         name = F.upper("field")
         new = (F.when(name.isin(*VOLUME_FIELDS), F.col(value) / F.col("_after_split"))
-               .when(name.startswith("PX_"), new).otherwise(F.col(value)))
+               .when(name.rlike(PRICE_NAME), new).otherwise(F.col(value)))
     return run.where(F.col("_kind") == 0).withColumn(value, new).drop("_kind", "_factor", "_split", "_after", "_after_split")
 
 

@@ -230,9 +230,15 @@ def reshape_flat_quotes(flat: DataFrame, keys: Sequence[str], fields: Sequence[s
 def resolve_field_types(
     fields: DataFrame, overrides: dict[str, str], catalog: DataFrame, default: str = "string"
 ) -> DataFrame:
-    """Type per field: override, else catalog, else default; names compare without case."""
-    known = catalog.select(F.upper("field").alias("_key"), values.engine_type(F.col("type")).alias("_type"))
-    out = fields.join(known.dropDuplicates(["_key"]), F.upper(fields["field"]) == F.col("_key"), "left")
+    """Type per field: override, else catalog, else default; names compare without case.
+
+    Of a field the catalog has twice the last row by ``pos`` counts, without
+    positions the type that comes first in order.
+    """
+    kind = values.engine_type(F.col("type"))
+    one = F.max_by(kind, "pos") if "pos" in catalog.columns else F.min(kind)
+    known = catalog.groupBy(F.upper("field").alias("_key")).agg(one.alias("_type"))
+    out = fields.join(known, F.upper(fields["field"]) == F.col("_key"), "left")
     kind = F.coalesce(F.col("_type"), F.lit(default))
     if overrides:
         pairs = [F.lit(x) for name, t in overrides.items() for x in (name.upper(), t)]

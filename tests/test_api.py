@@ -55,6 +55,21 @@ def test_bars_and_request(md):
         md.portfolio("X", ["a"])
 
 
+def test_whole_days_and_days_before_the_first_point(spark, md):
+    late = spark.createDataFrame([("A US Equity", datetime.datetime(2024, 1, 2, 23, 59, 59, 500_000), "TRADE", 9.0, 1, 1)], md.ticks.schema)
+    assert MarketData(spark, ticks=late).bars("A US Equity", dt="2024-01-02").count() == 1
+    filled = md.daily("A US Equity", start="2024-01-05", end="2024-01-10", fill="P", days="A").orderBy("date").collect()
+    assert [(r.date.day, r.value) for r in filled] == [(5, 30.0), (6, 30.0), (7, 30.0), (8, 30.0), (9, 90.0), (10, 90.0)]
+
+
+def test_adjusted_range(spark):
+    hist = spark.createDataFrame([("A", D(2024, 1, d), f, 10.0) for d in (2, 3) for f in ("PX_LAST", "EQY_WEIGHTED_AVG_PX", "VOLUME", "PE_RATIO")], "ticker string, date date, field string, value double")
+    actions = spark.createDataFrame([("A", D(2024, 1, 3), "split", 0.5), ("B", D(2024, 1, 9), "split", 0.1)], "ticker string, date date, kind string, factor double")
+    got = MarketData(spark, history=hist).daily("A", ["PX_LAST", "EQY_WEIGHTED_AVG_PX", "VOLUME", "PE_RATIO"], "2024-01-01", "2024-01-31", adjust="all", actions=actions).collect()
+    assert {(r.field, r.value) for r in got if r.date.day == 2} == {("PX_LAST", 5.0), ("EQY_WEIGHTED_AVG_PX", 5.0), ("VOLUME", 20.0), ("PE_RATIO", 10.0)}
+    assert {r.value for r in got if r.date.day == 3} == {10.0}
+
+
 def test_handover_is_bounded(md):
     assert len(to_client(md.daily("A US Equity"))) == 3
     assert to_client(md.daily("A US Equity"), "arrow").num_rows == 3

@@ -227,6 +227,23 @@ def test_json_results_are_named_and_typed_by_the_document(spark):
                           (2, 0, "y", "a", "2.5"), (2, 0, "y", "c", '"t"'), (2, 1, "z", "a", None), (2, 1, "z", "c", None)]
 
 
+def test_clock_ends_at_its_instant(spark):
+    at = lambda *t: datetime.datetime(2024, 1, 2, *t)
+    df = spark.createDataFrame([(t,) for t in (at(9, 29, 59), at(9, 30), at(15, 59, 59, 999_999), at(16, 0), at(16, 0, 0, 1), at(16, 0, 59), at(23, 0))], "time timestamp")
+    kept = lambda *w: df.where(aggregate.clock_between(F.col("time"), *w)).count()
+    assert (kept("09:30", "16:00"), kept(None, "16:00"), kept("16:00", None), kept("22:00", "09:30"), kept("16:00:00", "16:00:59"), kept(None, None)) == (3, 4, 4, 3, 3, 7)
+
+
+def test_all_unknown_fields_are_named_and_doubled_types_decided(spark):
+    fields = spark.createDataFrame([(f"F{i}",) for i in range(40)], "field string")
+    catalog = spark.createDataFrame([("f0", "Double", 1), ("F0", "String", 0), ("F1", "Date", 2)], "field string, type string, pos int")
+    with pytest.raises(ValueError) as e:
+        joins.validate_fields(fields, catalog)
+    assert all(f"F{i}" in str(e.value) for i in range(2, 40))
+    kinds = {r.field: r.type for r in shape.resolve_field_types(fields.limit(2), {}, catalog.repartition(3)).collect()}
+    assert kinds == {"F0": "float64", "F1": "date32"}
+
+
 def test_json_errors_are_fatal_without_results(spark):
     df = spark.createDataFrame([('{"results":{},"responseExceptions":[{"message":"m","node":"n"}]}',), ('{"results":{"a":1},"responseExceptions":[]}',)], "j string")
     assert rows(jsonq.json_query_errors(df, "j")) == [("m (in n)", True)]
