@@ -35,12 +35,22 @@ class Template:
     between: str = "\n"
 
 
+# Hashes are gathered in pages of so many, so that a turn does not copy all before it.
+PAGE = 128
+
+
 def rolling(turns: Column) -> Column:
     """Hashes of the prefixes of one, two, … turns; each covers the one before it and the turn."""
     def longer(done: Column, t: Column) -> Column:
-        before = F.coalesce(F.get(done, F.size(done) - 1), F.lit(""))
-        return F.array_append(done, F.md5(F.concat_ws("\x1f", before, F.md5(t["role"]), F.md5(t["text"]))))
-    return F.aggregate(turns, F.array().cast("array<string>"), longer)
+        now = F.md5(F.concat_ws("\x1f", done["last"], F.md5(t["role"]), F.md5(t["text"])))
+        full = F.size(done["page"]) >= PAGE
+        return F.struct(
+            now.alias("last"), F.when(full, F.array(now)).otherwise(F.array_append(done["page"], now)).alias("page"),
+            F.when(full, F.array_append(done["pages"], done["page"])).otherwise(done["pages"]).alias("pages"))
+
+    none = lambda kind, name: F.array().cast(kind).alias(name)
+    start = F.struct(F.lit("").alias("last"), none("array<string>", "page"), none("array<array<string>>", "pages"))
+    return F.aggregate(turns, start, longer, lambda done: F.flatten(F.array_append(done["pages"], done["page"])))
 
 
 def render(turns: Column, template: Template = Template()) -> Column:

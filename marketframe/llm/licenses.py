@@ -1,9 +1,10 @@
 """License scans: Aho-Corasick phrase search and a small licence-expression evaluator.
 
 A text is lower-cased (A-Z) and reduced to its words; one automaton finds all
-notice phrases as runs of whole words in a single pass. Identifier tags
-(``SPDX-License-Identifier: …``) are read from the text and their expression is
-evaluated by a shunting-yard parser with the precedences WITH > AND > OR.
+notice phrases and identifier tags (``SPDX-License-Identifier: …``) as runs of
+whole words in a single pass. The expression behind a tag, to the end of its
+line, is evaluated by a shunting-yard parser with the precedences WITH > AND >
+OR; what follows WITH is an exception, no licence.
 
 The score says how restrictive a document is, 0 (no or no limiting licence) to
 1: OR takes the mildest choice, AND the strictest duty, an exception softens
@@ -45,8 +46,9 @@ LIMITS = {
     "mpl": 0.4, "epl": 0.4, "lgpl": 0.5, "cc-by-sa": 0.5, "gpl": 0.7, "agpl": 0.8, "cc-by-nd": 0.8, "cc-by-nc": 0.9, "reserved": 1.0, "unreadable": 1.0,
 }
 UNKNOWN_LIMIT, EXCEPTION = 0.6, 0.2
-# A tag's expression ends with its line.
-TAG = re.compile(r"spdx-license-identifier\s{0,8}:[ \t]*([^\r\n]*)", re.IGNORECASE | re.ASCII)
+# A tag as its words and as it is written; its expression ends with its line.
+TAG_WORDS, TAG = "spdx license identifier", b"spdx-license-identifier"
+BEHIND_TAG = re.compile(rb"\s*:[ \t]*([^\r\n]*)")
 TOKEN = re.compile(r"\(|\)|[A-Za-z0-9.+:\-]+")
 RANK = {"or": 1, "and": 2, "with": 3}
 # Bytes of words stay, A-Z becomes a-z, every other ASCII byte is a blank.
@@ -55,12 +57,13 @@ WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122
 
 @functools.cache
 def automaton() -> ahocorasick.Automaton:
-    """All phrases, each between blanks so that only whole words match."""
+    """All phrases and the tag, each between blanks so that only whole words match."""
     labels: dict[str, list[tuple[str, bool]]] = {}
     for phrases, base in ((BASE, True), (NOTICES, False)):
         for phrase, label in phrases:
             labels.setdefault(phrase, []).append((label, base))
     found = ahocorasick.Automaton()
+    labels[TAG_WORDS] = [(TAG_WORDS, False)]
     for phrase, what in labels.items():
         found.add_word(f" {phrase} ", (len(phrase) + 2, what))
     found.make_automaton()
@@ -82,6 +85,19 @@ def phrases_in(words: bytes) -> list[tuple[int, str, bool]]:
     return [(int(at), label, base) for at, (_, (_, what)) in zip(starts, hits) for label, base in what]
 
 
+def expressions_at(text: str, places: list[int]) -> list[str]:
+    """The expressions behind the tags that begin at these words."""
+    raw = text.encode("utf-8", "surrogatepass")
+    inside = np.frombuffer(raw.translate(WORD_BYTES), np.uint8) != 32
+    starts = np.flatnonzero(inside & ~np.concatenate(([False], inside[:-1])))
+    found = []
+    for at in starts[places].tolist():
+        behind = BEHIND_TAG.match(raw, at + len(TAG)) if raw[at: at + len(TAG)].lower() == TAG else None
+        if behind:
+            found.append(behind[1].decode("utf-8", "replace").strip())
+    return found
+
+
 def postfix(expression: str) -> list[str] | None:
     """Shunting yard: operands and operators in evaluation order, or None where the expression is malformed."""
     output, waiting, operand_next = [], [], True
@@ -123,7 +139,7 @@ def limit_of(licence: str) -> float:
 
 
 def evaluate(expression: str) -> tuple[list[str], float]:
-    """Licences named in an expression and how much it limits reuse at its mildest choice."""
+    """Licences named in an expression, without exceptions, and how much it limits reuse at its mildest choice."""
     steps = postfix(expression)
     if steps is None:
         return ["unreadable"], LIMITS["unreadable"]
@@ -134,10 +150,11 @@ def evaluate(expression: str) -> tuple[list[str], float]:
             names.append(step)
             stack.append((limit_of(step), True))
             continue
-        (right, _), (left, plain) = stack.pop(), stack.pop()
+        (right, exception), (left, plain) = stack.pop(), stack.pop()
         if step == "with":
-            if not plain:
+            if not plain or not exception:
                 return ["unreadable"], LIMITS["unreadable"]
+            names.pop()  # the name just read is that of the exception
             left = max(0.0, left - EXCEPTION)
         else:
             left = max(left, right) if step == "and" else min(left, right)
@@ -149,10 +166,12 @@ def scan(text: str | None) -> tuple[int, int, int | None, int | None, str, str,
     """(words, base places, first, last, base labels, all labels, score, expressions) of one whole text."""
     words = words_of(text)
     found = phrases_in(words)
+    tags = [at for at, label, _ in found if label == TAG_WORDS]
+    found = [hit for hit in found if hit[1] != TAG_WORDS]
     base = [(at, label) for at, label, is_base in found if is_base]
     labels = {label for _, label, _ in found}
     score = max((LIMITS.get(label, limit_of(label)) for label in labels), default=0.0)
-    expressions = [m.strip() for m in TAG.findall(text or "")]
+    expressions = expressions_at(text, tags) if tags else []
     for e in expressions:
         names, limit = evaluate(e)
         labels.update(names)

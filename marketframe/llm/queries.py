@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,18 +37,25 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _leaks_sql() -> str:
-    """The same rule on words instead of hashes: masked words, shifts, best window."""
-    seed = lambda mask, w: "concat_ws(' ', '" + mask + "', " + ", ".join(f"{w}[p + {i + 1}]" for i, b in enumerate(mask) if b == "1") + ")"
-    grams = lambda rel, key: " UNION ALL ".join(
-        f"SELECT {key}, p, {seed(m, 'w')} AS seed FROM (SELECT {key}, w, unnest(range(len(w) - {len(m)} + 1)) AS p FROM {rel} WHERE len(w) >= {len(m)})"
-        for m in decontaminate.MASKS)
+    """All windows compared plainly: of k + 1 pieces of a window one has none of its k differing words, so runs of words give every shift that can matter."""
+    run = lambda g: "concat_ws(' ', " + ", ".join(f"w[p + {i + 1}]" for i in range(g)) + ")"
+    grams = lambda rel, key, sizes: " UNION ALL ".join(
+        f"SELECT {key}, p, {g} AS g, {run(g)} AS seed FROM (SELECT {key}, w, unnest(range(len(w) - {g - 1})) AS p FROM {rel} WHERE len(w) >= {g} AND len(w) BETWEEN {lo} AND {hi})"
+        for g, lo, hi in sizes)
+    allowed = lambda n: n - math.ceil(n * decontaminate.AGREE)
+    pieces: dict[int, list[int]] = {}
+    for n in range(decontaminate.MIN_ITEM, decontaminate.WINDOW + 1):
+        pieces.setdefault(n // (allowed(n) + 1), []).append(n)
+    top = 1 << 30
+    of_items = [(g, min(ns), top if decontaminate.WINDOW in ns else max(ns)) for g, ns in pieces.items()]
+    of_docs = [(g, 0, top) for g in pieces]
     words = "[x FOR x IN regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+') IF x <> '']"
     return f"""
 WITH d AS MATERIALIZED (SELECT doc_id, {words} AS w FROM documents),
 b AS MATERIALIZED (SELECT item_id, w FROM (SELECT item_id, {words} AS w FROM benchmark) WHERE len(w) >= {decontaminate.MIN_ITEM}),
-bs AS MATERIALIZED ({grams('b', 'item_id')}),
-ds AS MATERIALIZED ({grams('d', 'doc_id')}),
-hits AS MATERIALIZED (SELECT DISTINCT doc_id, item_id, ds.p - bs.p AS shift FROM ds JOIN bs USING (seed)),
+bs AS MATERIALIZED ({grams('b', 'item_id', of_items)}),
+ds AS MATERIALIZED ({grams('d', 'doc_id', of_docs)}),
+hits AS MATERIALIZED (SELECT DISTINCT doc_id, item_id, ds.p - bs.p AS shift FROM ds JOIN bs USING (g, seed)),
 laid AS MATERIALIZED (SELECT doc_id, item_id, least(len(b.w), {decontaminate.WINDOW}) AS width,
     [CASE WHEN shift + j >= 0 AND b.w[j + 1] = d.w[shift + j + 1] THEN 1 ELSE 0 END FOR j IN range(len(b.w))] AS equal
     FROM hits JOIN b USING (item_id) JOIN d USING (doc_id)),

@@ -420,6 +420,11 @@ def test_expressions():
     assert licenses.postfix("MIT OR Apache-2.0 AND GPL-2.0 WITH Classpath-exception") == ["mit", "apache-2.0", "gpl-2.0", "classpath-exception", "with", "and", "or"]
     assert licenses.evaluate("(MIT OR GPL-3.0)")[1] == pytest.approx(0.1) and licenses.evaluate("MIT AND GPL-3.0")[1] == pytest.approx(0.7)
     assert licenses.evaluate("GPL-2.0 WITH x AND MIT")[1] == pytest.approx(0.5)
+    assert licenses.evaluate("GPL-2.0 WITH Classpath-exception OR MIT")[0] == ["gpl-2.0", "mit"]
+    tagged = lambda t: licenses.scan(t)[5:]
+    assert tagged("x\nSPDX-License-Identifier   \t         : MIT OR GPL-2.0 WITH e-1.0 \r\nmore") == ("gpl-2.0,mit", 0.1, "MIT OR GPL-2.0 WITH e-1.0")
+    assert tagged("é spdx-license-identifier:Apache-2.0\n// SPDX-LICENSE-IDENTIFIER: (MIT")[0:3:2] == ("apache-2.0,unreadable", "Apache-2.0 | (MIT")
+    assert tagged("spdx license identifier: MIT, notspdx-license-identifier: MIT, spdx-license-identifier MIT") == ("", 0.0, "")
     for bad in ("", "AND", "MIT OR", "(MIT", "MIT)", "MIT GPL", "()", "MIT ! GPL", "(MIT OR BSD) WITH x"):
         assert licenses.evaluate(bad)[0] == ["unreadable"], bad
 
@@ -550,6 +555,7 @@ def test_chat(spark):
         full = [(r.choice(["user", None]), prose(4, r.randrange(3))) for _ in range(6)]
         for n, (role, t) in enumerate(full[: 1 + random.Random(c).randrange(6)]):
             turns.append((c, n, role, t))
+    turns += [(90 + k, n, "user", f"turn {n}") for k, last in enumerate((400, 300, 128)) for n in range(last)]  # several pages of hashes
     turns += [(100, 0, "user", None), (100, 0, "user", None), (100, None, "user", "last"), (None, 0, "user", "x"), (101, 0, "user", None), (102, 0, "user", "tie"), (102, 0, "user", "other")]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").selectExpr("*", "1 AS id", "2 AS hash", "3 AS turns").repartition(4)
     whole = {}
