@@ -35,8 +35,8 @@ from marketframe.llm.common import pick, stored, text_or_empty
 EDITS, LEAST = 2, 20
 BROADCAST_ROWS = 200_000
 BLANKS = " \t\r\x0b\f"
-# Counts of these letters, modulo 4, tell most candidates apart: an edit changes them by two together at most.
-LETTERS = "enaitrsodluhcmpg"
+# Counts of these letters in the first HEAD characters, modulo 4, tell most candidates apart.
+LETTERS, HEAD = "enaitrsodluhcmpg", 128
 
 
 def text_name(text: Column) -> Column:
@@ -89,9 +89,13 @@ def probes(edits: int) -> list[tuple[int, int, int]]:
 
 
 def with_letter_counts(rows: DataFrame) -> DataFrame:
-    """A column ``counts``: counts of ``LETTERS`` in ``line`` modulo 4, two bits each. A letter that is counted is taken out, so that the next one looks through less."""
-    rest = [F.col("line"), *[F.col(f"_without{i}") for i in range(len(LETTERS))]]
+    """A column ``counts``: counts of ``LETTERS`` in the head of ``line``, modulo 4, two bits each.
+
+    A letter that is counted is taken out, so that the next one looks through less.
+    """
+    rest = [F.col("_head"), *[F.col(f"_without{i}") for i in range(len(LETTERS))]]
     packed, columns = F.lit(0), rows.columns
+    rows = rows.withColumn("_head", F.substring("line", 1, HEAD))
     for i, letter in enumerate(LETTERS):
         rows = rows.withColumn(f"_without{i}", F.replace(rest[i], F.lit(letter), F.lit("")))
         packed = packed.bitwiseOR(F.shiftleft((F.octet_length(rest[i]) - F.octet_length(rest[i + 1])) % 4, 2 * i))
@@ -99,7 +103,11 @@ def with_letter_counts(rows: DataFrame) -> DataFrame:
 
 
 def may_be_close(a: Column, b: Column, edits: int) -> Column:
-    """False only where letter counts prove more than ``edits`` edits."""
+    """False only where letter counts prove more than ``edits`` edits.
+
+    An edit changes the counts of a head by two together at most: it replaces a
+    letter, or puts one in or out and moves another over the head's end.
+    """
     apart = F.lit(0)
     for i in range(len(LETTERS)):
         nibble = lambda c: F.shiftright(c, 2 * i).bitwiseAND(F.lit(3))  # noqa: B023, E731
