@@ -529,7 +529,6 @@ def test_lines(spark, odd, none, monkeypatch):
     assert sorted((str(x["id"]), x["name"], x["line_no"], x["repeated"], x["near"]) for x in lines.dropped_lines(docs).collect()) == want
     assert sum(w[4] for w in want) > 5
     monkeypatch.setattr(lines, "BROADCAST_ROWS", 0)
-    monkeypatch.setattr(lines, "HEAD", 9)  # letters move over the end of the head
     assert sorted((str(x["id"]), x["name"], x["line_no"], x["repeated"], x["near"]) for x in lines.dropped_lines(docs).collect()) == want
     assert lines.per_document(docs).count() == len({(r[0], text(r[1])) for r in rows})
     kept = lines.deduplicated(docs)
