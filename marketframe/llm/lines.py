@@ -26,6 +26,7 @@ null ids come last; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,17 +65,27 @@ def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
     return rows.withColumns({"h1": F.when(mark, F.xxhash64("id", "name")).otherwise(F.xxhash64("line")), "h2": F.hash("line")})
 
 
-def _key(line: Column, size: Column, shorter: int, i: int, shift: int, parts: int, least: int) -> Column:
+def with_cuts(rows: DataFrame, edits: int) -> DataFrame:
+    """Columns ``_cut{shorter}_{i}``: where segment ``i`` of a line ``shorter`` characters shorter begins. Segments are even parts; the last cut is that line's end."""
+    parts = edits + 1
+    at = lambda shorter, i: F.call_function("div", (F.col("size") - shorter) * i, F.lit(parts)).cast("int")
+    return rows.withColumns({f"_cut{shorter}_{i}": at(shorter, i) for shorter in range(parts) for i in range(1, parts + 1)})
+
+
+def _key(shorter: int, i: int, shift: int, edits: int, least: int) -> Column:
     """Key of the substring that can be segment ``i`` of a line ``shorter`` characters shorter, ``shift`` further on; null where there is none.
 
-    Segments are even parts, the longer ones last.
+    Reads line, size (at least ``least``) and the cuts. What holds for all such
+    sizes is settled here, so that the expression stays small enough for the JVM to compile.
     """
-    length = size - shorter
-    short, longer = F.floor(length / parts).cast("int"), length % parts
-    start = short * i + F.greatest(longer - (parts - i), F.lit(0)) + shift
-    width = short + F.when(longer >= parts - i, 1).otherwise(0)
-    there = (length >= least) & (start >= 0) & (start + width <= size)
-    return F.when(there, F.xxhash64(length, F.lit(i), F.substring(line, start + 1, width)))
+    begin = F.lit(0) if i == 0 else F.col(f"_cut{shorter}_{i}")
+    end, length = F.col(f"_cut{shorter}_{i + 1}"), F.col(f"_cut{shorter}_{edits + 1}")
+    key = F.xxhash64(length, F.lit(i), F.substring(F.col("line"), begin + (shift + 1), end - begin))
+    behind = (edits - i) * ((least - shorter) // (edits + 1))  # characters after the segment, at the least
+    there = [length >= least] if shorter else []
+    there += [begin + shift >= 0] if shift < 0 else []
+    there += [end + shift <= F.col("size")] if shift > shorter + behind else []
+    return F.when(reduce(Column.__and__, there), key) if there else key
 
 
 def probes(edits: int) -> list[tuple[int, int, int]]:
@@ -167,9 +178,8 @@ def within(a: Column, b: Column, edits: int) -> Column:
 def candidate_pairs(lines: DataFrame, edits: int, least: int) -> DataFrame:
     """Pairs of names (a, b) of different lines that share a key and whose letter counts may be close."""
     rows = with_letter_counts(lines.select("h1", "line", F.length("line").alias("size")).where(F.col("size") >= least))
-    key = lambda *place: _key(F.col("line"), F.col("size"), *place, edits + 1, least)
     places = {f"k{n}": place for n, place in enumerate(probes(edits))}
-    numbers = rows.select("h1", "counts", *[key(*place).alias(n) for n, place in places.items()])
+    numbers = with_cuts(rows, edits).select("h1", "counts", *[_key(*place, edits, least).alias(n) for n, place in places.items()])
     # equal lines have equal numbers
     once = numbers.groupBy("h1").agg(*[F.max(c).alias(c) for c in numbers.columns[1:]])
 
