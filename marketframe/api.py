@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketframe.operators import aggregate, joins, predicates, scan, shape, studies
-from marketframe.plans import recipes
+from marketframe.plans import bundles, futures, recipes
 
 FORMATS = ("long", "long_typed", "long_metadata", "semi_long", "wide", "json")
 
@@ -55,6 +55,11 @@ class MarketData:
     instruments: DataFrame | None = None
     curves: DataFrame | None = None
     govts: DataFrame | None = None
+    funds: DataFrame | None = None
+    contracts: DataFrame | None = None
+    options: DataFrame | None = None
+    bonds: DataFrame | None = None
+    exchanges: DataFrame | None = None
     screens: predicates.Screens = field(default_factory=predicates.Screens)
     field_types: dict[str, str] = field(default_factory=dict)
 
@@ -70,12 +75,30 @@ class MarketData:
         names = [tickers] if isinstance(tickers, str) else list(tickers)
         return self.spark.createDataFrame([(t,) for t in names], "ticker string")
 
+    def _points(self, generics: str | Sequence[str] | DataFrame, dates: str | Sequence[str] | None) -> DataFrame:
+        """Points (gen_ticker, dt): a frame of them, or every name at every date."""
+        if isinstance(generics, DataFrame):
+            return generics.select("gen_ticker", "dt")
+        if not dates:
+            raise ValueError("names need dates")
+        names, days = ([x] if isinstance(x, str) else list(x) for x in (generics, dates))
+        rows = self.spark.createDataFrame([(n, d) for n in names for d in days], "gen_ticker string, dt string")
+        return rows.withColumn("dt", F.col("dt").cast("date"))
+
+    def _types(self, fields: Sequence[str], default: str) -> dict[str, str]:
+        """Types of the requested fields: own ones, else those of the field catalog, if there is one."""
+        if self.catalog is None:
+            return self.field_types
+        wanted = self.spark.createDataFrame([(f,) for f in fields], "field string").distinct()
+        known = scan.field_catalog(self.catalog, list(fields))
+        return {r["field"]: r["type"] for r in shape.resolve_field_types(wanted, self.field_types, known, default).collect()}  # one row per requested field
+
     def reference(
         self, tickers: scan.Tickers, fields: Sequence[str], format: str = "long", include_errors: bool = False, as_of=None
     ) -> DataFrame:
-        """Snapshot fields; types come from overrides, else text."""
+        """Snapshot fields; types come from overrides, then the field catalog, else text."""
         rows = scan.ref_scan(self._need("snapshot"), self._tickers(tickers), fields, as_of, include_errors)
-        return formatted(rows, format, ["ticker"], list(fields), self.field_types, "string")
+        return formatted(rows, format, ["ticker"], list(fields), self._types(fields, "string"), "string")
 
     def daily(
         self, tickers: scan.Tickers, fields: Sequence[str] = ("PX_LAST",), start=None, end=None, format: str = "long",
@@ -148,6 +171,68 @@ class MarketData:
     def dividend(self, tickers: scan.Tickers, typ: str = "all", start=None, end=None) -> DataFrame:
         return recipes.dividend(self._need("bulk"), tickers, typ, start, end)
 
+    def vwap(
+        self, tickers: scan.Tickers, dt=None, start=None, end=None, start_time: str | None = None, end_time: str | None = None, typ: str = "TRADE",
+    ) -> DataFrame:
+        """Volume-weighted price, volume and turnover of a day or range, optionally within a time of day."""
+        if dt is not None:
+            start, end = f"{dt} 00:00:00", f"{dt} 23:59:59.999999"
+        if start is None or end is None:
+            raise ValueError("either dt, or both start and end, are required")
+        return aggregate.vwap(scan.ticks_scan(self._need("ticks"), tickers, start, end, [typ]), start_time, end_time, typ=typ)
+
+    def earnings(self, ticker: str, by: str = "Geo", typ: str = "Revenue", **choices) -> DataFrame:
+        """Segment figures by geography or product with shares; ``choices``: ccy, level, year, periods."""
+        return recipes.earnings_of(self._need("bulk"), ticker, typ, by=by, **choices)
+
+    def fund_holdings(self, fund: str | DataFrame | None, fields: Sequence[str] = ()) -> DataFrame:
+        return recipes.etf_holdings(self._need("funds"), fund, fields)
+
+    def yield_analysis(self, tickers: scan.Tickers, fields: Sequence[str] = ("YAS_BOND_YLD",), **params) -> DataFrame:
+        return recipes.yas(self._need("snapshot"), self._tickers(tickers), fields, **params)
+
+    def bundle(self, name: str, tickers: scan.Tickers = None, **params: str) -> DataFrame:
+        """A field bundle of the snapshot, or the rows of a nested one."""
+        if name in bundles.BULK_FIELDS:
+            return bundles.bulk_bundle(self._need("bulk"), name, tickers)
+        return bundles.field_bundle(self._need("snapshot"), name, tickers, **params)
+
+    def futures_contract(self, generics: str | Sequence[str] | DataFrame, dates: str | Sequence[str] | None = None, active: bool = False) -> DataFrame:
+        """Contract of each generic future at each date: by its number, or the more active of the first two."""
+        points, chain = self._points(generics, dates), self._need("contracts")
+        return futures.active_futures(points, chain, self._need("history")) if active else futures.fut_ticker(points, chain)
+
+    def credit_index(self, generics: str | Sequence[str] | DataFrame, dates: str | Sequence[str] | None = None, active: bool = False) -> DataFrame:
+        """Series of each generic credit index at each date: the current one, or the one with the more recent price."""
+        points, ref = self._points(generics, dates), self._need("snapshot")
+        return futures.active_cdx(points, ref, self._need("history")) if active else futures.cdx_ticker(points, ref)
+
+    def option_chain(self, underlying: str | None = None, **choices) -> DataFrame:
+        """Members of a chain; ``choices`` as in ``predicates.option_chain``."""
+        rows = self._need("options")
+        return predicates.option_chain(rows if underlying is None else rows.where(F.col("underlying") == underlying), **choices)
+
+    def option_screen(self, underlying: str | None = None, **conditions) -> DataFrame:
+        return predicates.option_screen_filter(self._need("options"), underlying, **conditions)
+
+    def preferreds(self, issuer: str, fields: Sequence[str] = ()) -> DataFrame:
+        return predicates.preferreds(self._need("bonds"), issuer, fields)
+
+    def corporate_bonds(self, issuer: str, **choices) -> DataFrame:
+        """Corporate bonds of an issuer; ``choices``: ccy, fields, active_only, as_of."""
+        return predicates.corporate_bonds(self._need("bonds"), issuer, **choices)
+
+    def exchange_info(self, tickers: scan.Tickers, as_of: str, overrides: DataFrame | None = None) -> DataFrame:
+        return recipes.exchange_info(scan.only_tickers(self._need("exchanges"), tickers), as_of, overrides)
+
+    def market_info(self, tickers: scan.Tickers) -> DataFrame:
+        return recipes.market_info(self._need("snapshot"), self._tickers(tickers))
+
+    def converted(self, df: DataFrame, ccy: str) -> DataFrame:
+        """A given frame in another currency: long history (ticker, date, field, value), or a panel with one column per ticker and field."""
+        convert = joins.fx_join_long if {"ticker", "date", "field", "value"} <= set(df.columns) else joins.fx_join_wide
+        return convert(df, self._need("snapshot"), self._need("fx"), ccy)
+
     def study(self, bars: DataFrame, name: str, **params) -> DataFrame:
         return studies.study(bars, name, **params)
 

@@ -77,6 +77,31 @@ def earnings(data: DataFrame, header: DataFrame, level: str = "level", pos: str
     return rated.select(*order)
 
 
+def earning_choices(by: str = "Geo", ccy: str | None = None, level: int | None = None, year: int | None = None, periods: int | None = None) -> tuple[dict[str, str], dict[str, str]]:
+    """Parameter columns and values of the header and of the figures; a year and a number of periods hold for both."""
+    kind = by[:1].upper()
+    if kind not in EARNING_KINDS:
+        raise ValueError(f"by {by!r}: one of {', '.join(EARNING_KINDS.values())}")
+    given = lambda **choices: {k: str(v) for k, v in choices.items() if v is not None}
+    both = given(Product_Geo_Override=kind, Eqy_Fund_Year=year, Number_Of_Periods=periods)
+    return both, both | given(Eqy_Fund_Crncy=ccy, PG_Hierarchy_Level=level)
+
+
+def earnings_of(bulk: DataFrame, ticker: str, typ: str = "Revenue", **choices) -> DataFrame:
+    """Segment figures of a ticker from its nested fields ``PG_Bulk_Header`` and ``PG_<typ>``.
+
+    ``choices`` (see ``earning_choices``) pick precomputed rows by parameter
+    columns of the nested table. Rows without a header keep their column names.
+    """
+    of_header, of_data = earning_choices(**choices)
+
+    def picked(field: str, params: dict[str, str]) -> DataFrame:
+        return scan.bulk_scan(bulk.where(predicates.all_of([F.col(c) == v for c, v in params.items()])), ticker, field)
+
+    data = picked(f"PG_{typ}", of_data)
+    return earnings(data.drop(*[c for c in data.columns if c.endswith(" Header")]), picked("PG_Bulk_Header", of_header))
+
+
 ETF_BASE = ["id_isin", "weights", "id().position"]
 
 
