@@ -15,7 +15,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketframe.operators import aggregate, joins, predicates, scan, shape, studies
+from marketframe.functions import dates
+from marketframe.operators import aggregate, calendars, joins, predicates, scan, shape, studies
 from marketframe.plans import bundles, futures, recipes
 
 FORMATS = ("long", "long_typed", "long_metadata", "semi_long", "wide", "json")
@@ -75,16 +76,47 @@ class MarketData:
         names = [tickers] if isinstance(tickers, str) else list(tickers)
         return self.spark.createDataFrame([(t,) for t in names], "ticker string")
 
-    def _points(self, generics: str | Sequence[str] | DataFrame, dates: str | Sequence[str] | None) -> DataFrame:
+    def _points(self, generics: str | Sequence[str] | DataFrame, days: str | Sequence[str] | None) -> DataFrame:
         """Points (gen_ticker, dt): a frame of them, or every name at every date."""
         if isinstance(generics, DataFrame):
             return generics.select("gen_ticker", "dt")
-        if not dates:
+        if not days:
             raise ValueError("names need dates")
-        names, days = ([x] if isinstance(x, str) else list(x) for x in (generics, dates))
+        names, days = ([x] if isinstance(x, str) else list(x) for x in (generics, days))
         rows = self.spark.createDataFrame([(n, d) for n in names for d in days], "gen_ticker string, dt string")
         return rows.withColumn("dt", F.col("dt").cast("date"))
 
+    def _zone(self, label: str, tickers: scan.Tickers = None) -> str:
+        """Zone of a label: an alias, a zone name, a reference ticker, or ``exchange`` for the only ticker asked for."""
+        of = label
+        if label.lower() == "exchange":
+            names = [tickers] if isinstance(tickers, str) else tickers
+            if names is None or isinstance(names, DataFrame) or len(names) != 1:
+                raise ValueError("exchange needs a single ticker")
+            of = names[0]
+        elif " " not in label:
+            shown = dates.timezone_alias(F.lit(label), F.lit(None).cast("string"))
+            # the alias of one literal; an unknown zone fails here, not in a task
+            zone = self.spark.range(1).select(shown.alias("zone"), F.from_utc_timestamp(F.lit("2000-01-01"), shown)).first()["zone"]
+            if zone is None:
+                raise ValueError(f"unknown zone {label!r}")
+            return zone
+        facts = joins.timezone_join(self._need("exchanges").where(F.col("ticker") == of)).select("timezone").limit(1).collect()
+        if not facts:
+            raise ValueError(f"no exchange known for {of!r}")
+        return facts[0]["timezone"]
+
+    def _between(self, tickers: scan.Tickers, start, end, request_tz: str | None) -> tuple:
+        """Bounds as UTC instants; wall-clock texts of another zone are converted, so that the scan still gets constants."""
+        if request_tz is None:
+            return start, end
+        zone = F.lit(self._zone(request_tz, tickers))
+        return tuple(F.to_utc_timestamp(F.lit(x).cast("timestamp"), zone) for x in (start, end))
+
+    def _shown(self, df: DataFrame, tickers: scan.Tickers, output_tz: str | None) -> DataFrame:
+        """With a column ``local_time`` where an output zone is asked for."""
+        return df if output_tz is None else calendars.relabel_output_tz(df, self._zone(output_tz, tickers))
+
     def _types(self, fields: Sequence[str], default: str) -> dict[str, str]:
         """Types of the requested fields: own ones, else those of the field catalog, if there is one."""
         if self.catalog is None:
@@ -129,19 +161,28 @@ class MarketData:
     def bars(
         self, tickers: scan.Tickers, dt=None, start=None, end=None, interval: int = 1, seconds: bool = False,
         typ: str = "TRADE", session: str | None = None, exchange: DataFrame | None = None,
+        request_tz: str | None = None, output_tz: str | None = None,
     ) -> DataFrame:
-        """Intraday bars built from ticks; the range and tickers reach the tick scan first."""
+        """Intraday bars built from ticks; the range and tickers reach the tick scan first.
+
+        ``request_tz`` is the zone of the day or range, ``output_tz`` that of an
+        extra column ``local_time``; see ``_zone`` for their labels.
+        """
         if dt is not None:
             start, end = f"{dt} 00:00:00", f"{dt} 23:59:59.999999"
         if start is None or end is None:
             raise ValueError("either dt, or both start and end, are required")
+        start, end = self._between(tickers, start, end, request_tz)
         rows = scan.ticks_scan(self._need("ticks"), tickers, start, end, [typ])
         if session is not None:
             rows = predicates.session_filter(rows, session, exchange)
-        return aggregate.bars_from_ticks(rows, interval, seconds, typ)
+        return self._shown(aggregate.bars_from_ticks(rows, interval, seconds, typ), tickers, output_tz)
 
-    def trades(self, tickers: scan.Tickers, start, end, event_types: Sequence[str] = ("TRADE",)) -> DataFrame:
-        return scan.ticks_scan(self._need("ticks"), tickers, start, end, event_types)
+    def trades(
+        self, tickers: scan.Tickers, start, end, event_types: Sequence[str] = ("TRADE",), request_tz: str | None = None, output_tz: str | None = None,
+    ) -> DataFrame:
+        start, end = self._between(tickers, start, end, request_tz)
+        return self._shown(scan.ticks_scan(self._need("ticks"), tickers, start, end, event_types), tickers, output_tz)
 
     def quotes(self, tickers: scan.Tickers, as_of: str, **kw) -> DataFrame:
         return scan.quotes_scan(self._need("ticks"), tickers, as_of, **kw)
@@ -197,14 +238,14 @@ class MarketData:
             return bundles.bulk_bundle(self._need("bulk"), name, tickers)
         return bundles.field_bundle(self._need("snapshot"), name, tickers, **params)
 
-    def futures_contract(self, generics: str | Sequence[str] | DataFrame, dates: str | Sequence[str] | None = None, active: bool = False) -> DataFrame:
+    def futures_contract(self, generics: str | Sequence[str] | DataFrame, days: str | Sequence[str] | None = None, active: bool = False) -> DataFrame:
         """Contract of each generic future at each date: by its number, or the more active of the first two."""
-        points, chain = self._points(generics, dates), self._need("contracts")
+        points, chain = self._points(generics, days), self._need("contracts")
         return futures.active_futures(points, chain, self._need("history")) if active else futures.fut_ticker(points, chain)
 
-    def credit_index(self, generics: str | Sequence[str] | DataFrame, dates: str | Sequence[str] | None = None, active: bool = False) -> DataFrame:
+    def credit_index(self, generics: str | Sequence[str] | DataFrame, days: str | Sequence[str] | None = None, active: bool = False) -> DataFrame:
         """Series of each generic credit index at each date: the current one, or the one with the more recent price."""
-        points, ref = self._points(generics, dates), self._need("snapshot")
+        points, ref = self._points(generics, days), self._need("snapshot")
         return futures.active_cdx(points, ref, self._need("history")) if active else futures.cdx_ticker(points, ref)
 
     def option_chain(self, underlying: str | None = None, **choices) -> DataFrame:

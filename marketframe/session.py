@@ -33,10 +33,11 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder that the driver and all executors share.
 
     The cluster names one in ``spark.checkpoint.dir``; without it the folder
-    lies in the warehouse, which is shared too.
+    lies in the warehouse, unless that is a machine's own disk (Spark's default) on a cluster.
     """
     base, warehouse = spark.conf.get("spark.checkpoint.dir", None), spark.conf.get("spark.sql.warehouse.dir", None)
-    if not base and not warehouse:
+    own_disk = warehouse and warehouse.startswith(("file:", "/")) and not spark.conf.get("spark.master", "").startswith("local")
+    if not base and (not warehouse or own_disk):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     base = base or warehouse.rstrip("/") + "/_work"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -96,3 +96,31 @@ def test_bonds_options_funds_and_conversion(spark):
         md.fund_holdings("F")
     with pytest.raises(ValueError, match="unknown bundle"):
         md.bundle("nothing")
+
+
+def test_converted_frames(spark):
+    snapshot = spark.createDataFrame([("A", "CRNCY", "EUR")], SNAPSHOT)
+    hist = spark.createDataFrame([("A", D(2024, 1, 2), "PX_LAST", 4.0)], HISTORY)
+    md = MarketData(spark, snapshot=snapshot, fx=spark.createDataFrame([("USDEUR Curncy", D(2024, 1, 2), "PX_LAST", 2.0)], HISTORY))
+    assert [r.value for r in md.converted(hist, "USD").collect()] == [2.0]
+    assert md.converted(hist, "EUR").first().value == 4.0
+
+
+def test_zones_of_request_and_output(spark):
+    ticks = [("A US Equity", T(2024, 1, 2, h, 30), "TRADE", float(h), 1, h) for h in (4, 6, 23)] + [("A US Equity", T(2024, 1, 3, 4, 30), "TRADE", 28.0, 1, 28)]
+    exchanges = spark.createDataFrame([("A US Equity", "America/New_York", None), ("B JP Equity", None, "JP")], "ticker string, iana_tz string, country string")
+    md = MarketData(spark, ticks=spark.createDataFrame(ticks, "ticker string, time timestamp, type string, value double, size bigint, event_id bigint"), exchanges=exchanges)
+    hours = lambda **kw: [r.open for r in md.bars("A US Equity", dt="2024-01-02", interval=60, **kw).orderBy("time").collect()]
+    assert hours() == [4.0, 6.0, 23.0]
+    # New York's day runs from 05:00 to 05:00 UTC
+    for label in ("NY", "America/New_York", "exchange", "A US Equity"):
+        assert hours(request_tz=label) == [6.0, 23.0, 28.0], label
+    shown = md.trades("A US Equity", "2024-01-02 23:00:00", "2024-01-03 00:00:00", output_tz="B JP Equity").collect()
+    assert [(r.time.hour, r.local_time.day, r.local_time.hour) for r in shown] == [(23, 3, 8)]
+    assert "local_time" not in md.trades("A US Equity", "2024-01-02", "2024-01-03").columns
+    with pytest.raises(ValueError, match="single"):
+        md.bars(["A US Equity", "B JP Equity"], dt="2024-01-02", request_tz="exchange")
+    with pytest.raises(ValueError, match="no exchange"):
+        md.bars("A US Equity", dt="2024-01-02", output_tz="Z US Equity")
+    with pytest.raises(ValueError, match="unknown zone"):
+        md.bars("A US Equity", dt="2024-01-02", output_tz="Mars")

@@ -309,8 +309,16 @@ def test_cluster_needs_a_shared_folder(monkeypatch):
         def __init__(self, **kw):
             self.conf = Conf({k.replace("_", "."): v for k, v in kw.items()})
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        work_dir(Session(spark_master="yarn"), "x")
+    def session_of(**kw):
+        session = Session()
+        session.conf = Conf({f"spark.{k.replace('__', '.')}": v for k, v in kw.items()})
+        return session
+
+    for conf in ({}, {"sql__warehouse__dir": "file:/opt/app/spark-warehouse"}, {"sql__warehouse__dir": "/opt/app/spark-warehouse"}):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            work_dir(session_of(master="yarn", **conf), "x")
+    assert work_dir(session_of(master="local[2]", sql__warehouse__dir="file:/w"), "x").startswith("file:/w/_work/x-")
+    assert work_dir(session_of(master="yarn", sql__warehouse__dir="s3a://b/w"), "x").startswith("s3a://b/w/_work/x-")
     shared = Conf({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs://nn/shared/"})
     session = Session()
     session.conf = shared
