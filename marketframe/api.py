@@ -21,6 +21,9 @@ from marketframe.plans import bundles, futures, recipes
 
 FORMATS = ("long", "long_typed", "long_metadata", "semi_long", "wide", "json")
 
+# Short names of period, fill and days.
+SHORT_NAMES = ("Per", "Fill", "Days")
+
 
 def formatted(
     df: DataFrame, format: str, keys: Sequence[str], fields: Sequence[str], types: dict[str, str], default: str
@@ -135,13 +138,18 @@ class MarketData:
     def daily(
         self, tickers: scan.Tickers, fields: Sequence[str] = ("PX_LAST",), start=None, end=None, format: str = "long",
         period: str | None = None, fill: str | None = None, days: str = "W", ccy: str | None = None,
-        adjust: str | None = None, actions: DataFrame | None = None,
+        adjust: str | None = None, actions: DataFrame | None = None, **short: str,
     ) -> DataFrame:
         """Daily history, optionally adjusted, converted, sampled by period or filled over days.
 
+        ``Per``, ``Fill`` and ``Days`` are short names of period, fill and days.
+
         The range is cut first, so that only its rows are adjusted; days before
         the first point of the range are filled from the last one before it.
         """
+        if unknown := set(short) - set(SHORT_NAMES):
+            raise ValueError(f"unknown options {sorted(unknown)}; short names are {', '.join(SHORT_NAMES)}")
+        period, fill, days = (short.get(name, given) for name, given in zip(SHORT_NAMES, (period, fill, days)))
         rows = scan.hist_scan(self._need("history"), tickers, fields, start, end)
         if fill == "P" and start is not None:
             rows = rows.unionByName(scan.last_before(self._need("history"), tickers, fields, start))

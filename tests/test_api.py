@@ -43,6 +43,10 @@ def test_daily(md):
     weekly = md.daily("A US Equity", period="W").orderBy("date").collect()
     assert [r.date.day for r in weekly] == [3, 9]
     assert md.daily("A US Equity", fill="P", days="A").count() == 8
+    short = md.daily("A US Equity", Per="W", Fill="P", Days="A")
+    assert short.collect() == md.daily("A US Equity", period="W", fill="P", days="A").collect()
+    with pytest.raises(ValueError, match="Per"):
+        md.daily("A US Equity", Period="W")
 
 
 def test_bars_and_request(md):
