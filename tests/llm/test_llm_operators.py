@@ -545,6 +545,50 @@ def test_lines_of_documents_that_share_an_id_or_have_none(spark):
     assert kept == sorted([t for _, t, *_ in rows[:4]] + ["said once\nsaid twice by number nine"])
 
 
+def changed(line, times, r, letters="q9é"):
+    """A line after that many insertions, deletions and substitutions."""
+    line = list(line)
+    for _ in range(times):
+        k = r.randrange(len(line))
+        line[k: k + r.randrange(2)] = r.choice(["", *letters])
+    return "".join(line)
+
+
+@pytest.mark.parametrize("edits", [1, 2, 3])
+def test_lines_of_crowds(spark, monkeypatch, edits):
+    """Keys of crowds are told apart by ever smaller blocks; no near line is lost, whatever the edits and wherever they are."""
+    monkeypatch.setattr(lines, "CROWD", 1)
+    r = random.Random(edits)
+    stock = ["a line that many others are like", "page 000 of 000 in this book", "ababababababababababab", "é" * 24]
+    all_lines = [changed(r.choice(stock), r.randrange(6), r) for _ in range(110)] + [f"page {a}{b}0 of 000 in this book" for a in range(4) for b in range(4)]
+    r.shuffle(all_lines)
+    first = {line: n for n, line in reversed([*enumerate(all_lines)])}
+    want = sorted({b for a, b in itertools.permutations(first, 2) if first[a] < first[b] and min(len(a), len(b)) >= lines.LEAST and abs(len(a) - len(b)) <= edits and distance(a, b) <= edits})
+    got = lines.dropped_lines(frame(spark, [(n, line, "en", "a", 0) for n, line in enumerate(all_lines)]), edits=edits).where("near").collect()
+    assert {x["id"] for x in got} == {n for n, line in enumerate(all_lines) if line in want} and len(want) > 30
+
+
+def test_pairs_of_crowds_grow_with_their_lines(spark, monkeypatch):
+    """Neither near copies that differ in words, few of them near lines, nor lines that are all near each other are joined in pairs."""
+    pairs = []
+
+    def counted(df, purpose, stored=lines.stored):
+        out = stored(df, purpose)
+        pairs.append(out.count() if purpose == "line-pairs" else 0)
+        return out
+
+    monkeypatch.setattr(lines, "stored", counted)
+    r = random.Random(3)
+    base, many = prose(60, 1).split(), 400
+    words = [" ".join("other" if k in cut else w for k, w in enumerate(base)) for cut in (r.sample(range(len(base)), 2) for _ in range(many))]
+    close = [prose(20, 2)[:k % 150] + chr(0x4E00 + k) + prose(20, 2)[k % 150 + 1:] for k in range(many)]
+    for family, near in ((words, 0), (close, many - 1)):
+        pairs.clear()
+        rows = lines.dropped_lines(frame(spark, [(n, line, "en", "a", 0) for n, line in enumerate(dict.fromkeys(family))])).collect()
+        assert sum(x["near"] for x in rows) >= near
+        assert sum(pairs) < 10 * many, sum(pairs)
+
+
 # chat
 
 
